@@ -8,19 +8,19 @@ arrival (arrival_ms, seq):
     record's own timestamp field -- the last processed record, not the maximum) and the state age (arrival
     time since the segment started, in seconds; arrival replaces wall clock).
 
-All running values are computed with ``chunked_running`` keyed by patient and chunked by arrival hour, so a
-patient holding a large share of the rows is spread over many tasks. Counts inside a segment are global
-running counts minus the running count just before the segment started (counts only grow, so "the latest
-segment start" is a running maximum).
+Plan (no single-task window even for a patient with a third of all rows): rows are chunked by
+(patient, arrival hour). Because a chunk is shorter than the lifetime, a segment can only start at the first
+row of a chunk, so every segment decision is taken on the small per-chunk summary (first/last arrival and
+level counts per chunk; a window per patient over chunks). The summary is joined back on (patient, chunk)
+and a window inside each chunk adds the running counts of the chunk itself. The rows are shuffled once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import risk_level, seven_factor_score
-from .scan import Running, chunked_running
 
 TTL_MS = 24 * 3600 * 1000
 PATIENT_CHUNK_MS = 3_600_000
@@ -31,47 +31,71 @@ def scored(accepted_df: DataFrame) -> DataFrame:
     return accepted_df.withColumn("risk_level", risk_level(seven_factor_score()))
 
 
+def _chunk_plan(df: DataFrame, ttl_ms: int, chunk_ms: int, with_levels: bool) -> DataFrame:
+    if chunk_ms > ttl_ms:
+        raise ValueError("chunk_ms must not exceed ttl_ms (segments may only start at chunk boundaries)")
+    rows = df.withColumn("_chunk", F.floor(F.col("arrival_ms") / F.lit(chunk_ms)))
+    keys = ["patient_id", "_chunk"]
+
+    aggs = [F.min("arrival_ms").alias("_first_ms"), F.max("arrival_ms").alias("_last_ms"),
+            F.count(F.lit(1)).alias("_n_total")]
+    if with_levels:
+        aggs += [F.count_if(F.col("risk_level") == l).alias(f"_n_{l}") for l in LEVELS]
+    summary = rows.groupBy(*keys).agg(*aggs)
+
+    wc = Window.partitionBy("patient_id").orderBy("_chunk")
+    upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    counted = ["total", *LEVELS] if with_levels else ["total"]
+    s1 = summary.select(
+        *keys, "_first_ms",
+        F.lag("_last_ms").over(wc).alias("_prev_last_ms"),
+        *[F.coalesce(F.sum(f"_n_{c}").over(before), F.lit(0)).alias(f"_cum_{c}") for c in counted])
+    start = F.col("_prev_last_ms").isNull() | (F.col("_first_ms") - F.col("_prev_last_ms") >= F.lit(ttl_ms))
+    s1 = s1.withColumn("_chunk_start", start)
+    on_start = lambda c: F.when(F.col("_chunk_start"), c)
+    s2 = s1.select(
+        *keys, "_prev_last_ms", "_chunk_start",
+        F.max(on_start(F.col("_first_ms"))).over(upto).alias("_seg_start_ms"),
+        F.sum(F.col("_chunk_start").cast("long")).over(upto).alias("segment"),
+        *[(F.col(f"_cum_{c}") - F.max(on_start(F.col(f"_cum_{c}"))).over(upto)).alias(f"_off_{c}")
+          for c in counted])
+
+    w = Window.partitionBy(*keys).orderBy("arrival_ms", "seq")
+    upto_row = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = [F.row_number().over(w).cast("long").alias("_l_total"),
+             F.lag("arrival_ms").over(w).alias("_l_prev_ms")]
+    if with_levels:
+        local += [F.count_if(F.col("risk_level") == l).over(upto_row).alias(f"_l_{l}") for l in LEVELS]
+    joined = rows.select("*", *local).join(s2, on=keys, how="inner")
+    first = F.col("_l_total") == 1
+    prev = F.when(first, F.col("_prev_last_ms")).otherwise(F.col("_l_prev_ms"))
+    out = joined.select(
+        "*",
+        prev.alias("prev_arrival_ms"),
+        (F.col("arrival_ms") - prev).alias("gap_ms"),
+        F.coalesce(F.col("arrival_ms") - prev >= F.lit(ttl_ms), F.lit(False)).alias("ttl_reset"),
+        *[(F.col(f"_off_{c}") + F.col(f"_l_{c}")).alias(f"_seg_{c}") for c in counted])
+    return out
+
+
 def ttl_segments(accepted_df: DataFrame, ttl_ms: int = TTL_MS, chunk_ms: int = PATIENT_CHUNK_MS) -> DataFrame:
     """Per accepted record the previous arrival of the patient, the gap, the reset flag and segment number."""
-    chunk = F.floor(F.col("arrival_ms") / F.lit(chunk_ms))
-    step1 = chunked_running(accepted_df, ["patient_id"], chunk, ["arrival_ms", "seq"],
-                            [Running("prev_arrival_ms", "prev", F.col("arrival_ms"))])
-    gap = F.col("arrival_ms") - F.col("prev_arrival_ms")
-    step1 = (step1.withColumn("gap_ms", gap)
-                  .withColumn("ttl_reset", F.coalesce(gap >= F.lit(ttl_ms), F.lit(False)))
-                  .withColumn("segment_start", F.col("prev_arrival_ms").isNull() | F.col("ttl_reset")))
-    return step1
+    out = _chunk_plan(accepted_df, ttl_ms, chunk_ms, with_levels=False)
+    return out.select(*accepted_df.columns, "prev_arrival_ms", "gap_ms", "ttl_reset", "segment")
 
 
 def patient_risk_running(accepted_df: DataFrame, ttl_ms: int = TTL_MS,
                          chunk_ms: int = PATIENT_CHUNK_MS) -> DataFrame:
     """A1-A3 over accepted records; one output row per record (flat columns, see module docstring)."""
-    chunk = F.floor(F.col("arrival_ms") / F.lit(chunk_ms))
-    lvl = F.col("risk_level")
-    flags = {l: (lvl == l).cast("long") for l in LEVELS}
-    step1 = chunked_running(
-        scored(accepted_df), ["patient_id"], chunk, ["arrival_ms", "seq"],
-        [Running("prev_arrival_ms", "prev", F.col("arrival_ms")),
-         Running("cum_total", "sum", F.lit(1).cast("long"))]
-        + [Running(f"cum_{l}", "sum", flags[l]) for l in LEVELS])
-    gap = F.col("arrival_ms") - F.col("prev_arrival_ms")
-    start = F.col("prev_arrival_ms").isNull() | (gap >= F.lit(ttl_ms))
-    step1 = step1.withColumn("_start", start)
-    on_start = lambda c: F.when(F.col("_start"), c)
-    step2 = chunked_running(
-        step1, ["patient_id"], chunk, ["arrival_ms", "seq"],
-        [Running("_base_total", "max", on_start(F.col("cum_total") - 1)),
-         Running("_seg_start_ms", "max", on_start(F.col("arrival_ms"))),
-         Running("segment", "sum", F.col("_start").cast("long"))]
-        + [Running(f"_base_{l}", "max", on_start(F.col(f"cum_{l}") - flags[l])) for l in LEVELS])
-    total = F.col("cum_total") - F.col("_base_total")
-    high = F.col("cum_high") - F.col("_base_high")
-    return step2.select(
+    out = _chunk_plan(scored(accepted_df), ttl_ms, chunk_ms, with_levels=True)
+    total, high = F.col("_seg_total"), F.col("_seg_high")
+    return out.select(
         "seq", "id", "patient_id", "risk_level", "arrival_ms", "event_time_ms", "watermark_ms", "segment",
         total.alias("total_records"),
         high.alias("high_risk_count"),
-        (F.col("cum_medium") - F.col("_base_medium")).alias("medium_risk_count"),
-        (F.col("cum_low") - F.col("_base_low")).alias("low_risk_count"),
+        F.col("_seg_medium").alias("medium_risk_count"),
+        F.col("_seg_low").alias("low_risk_count"),
         F.when(total > 0, high / total).otherwise(F.lit(0.0)).alias("high_risk_ratio"),
         F.col("timestamp").alias("last_activity"),
         ((F.col("arrival_ms") - F.col("_seg_start_ms")) / F.lit(1000.0)).alias("state_age_seconds"),

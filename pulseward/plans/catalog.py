@@ -73,7 +73,7 @@ def late_ratio(spark, sf_dir):
 def ttl_segments(spark, sf_dir):
     """24 h state-lifetime segments per patient over accepted records."""
     df = running.ttl_segments(live.accepted_records(spark, sf_dir))
-    return df.select("seq", "patient_id", "arrival_ms", "prev_arrival_ms", "gap_ms", "ttl_reset")
+    return df.select("seq", "patient_id", "arrival_ms", "prev_arrival_ms", "gap_ms", "ttl_reset", "segment")
 
 
 @query

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import lateness, running
+from ..schemas import RECORD_COLUMNS
 from ..sources.feed import feed
+from .materialize import materialize
+
+ACCEPTED_COLUMNS = ["seq", "arrival_ms", *RECORD_COLUMNS, "event_time_ms", "watermark_ms"]
 
 
 def checked_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +21,9 @@ def watermarked_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accepted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lateness.accepted(watermarked_feed(spark, sf_dir))
+    """Accepted records, written once per session as a table in the checkpoint folder (read by two branches)."""
+    acc = lateness.accepted(watermarked_feed(spark, sf_dir)).select(*ACCEPTED_COLUMNS)
+    return materialize(spark, acc, "accepted", sf_dir)
 
 
 def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,7 +136,7 @@ SELECT count(*) AS valid_records, count(*) FILTER (WHERE late) AS late_records,
 FROM flagged WHERE error IS NULL""")
 
 ORACLE["ttl_segments"] = with_ctes(
-    "SELECT seq, patient_id, arrival_ms, prev_arrival_ms, gap_ms, ttl_reset FROM segs")
+    "SELECT seq, patient_id, arrival_ms, prev_arrival_ms, gap_ms, ttl_reset, segment FROM segs")
 
 ORACLE["patient_risk_running"] = with_ctes("""
 SELECT seq, id AS record_id, patient_id, risk_level, segment, total_records, high_risk_count,
