@@ -85,3 +85,169 @@ def patient_risk_running(spark, sf_dir):
         "high_risk_count", "medium_risk_count", "low_risk_count", "high_risk_ratio", "last_activity",
         "state_age_seconds", "arrival_ms", F.col("event_time_ms").alias("processing_timestamp"),
         F.col("watermark_ms").alias("watermark"), "age", "bmi", "medication_count", "length_of_stay")
+
+
+# ---------------------------------------------------------------- step 2: scoring
+
+from ..functions import scoring  # noqa: E402
+from ..sources import fixtures  # noqa: E402
+
+
+@query
+def risk_score(spark, sf_dir):
+    """Seven-factor score and level of every valid record."""
+    df = live.checked_feed(spark, sf_dir).filter(F.col("error").isNull())
+    score = scoring.seven_factor_score()
+    return df.select("seq", scoring.hit_count().alias("hits"), score.alias("risk_score"),
+                     scoring.risk_level(score).alias("risk_level"))
+
+
+@query
+def weighted_risk(spark, sf_dir):
+    """Mean of the fired weights (0.5 when none fired) and its level."""
+    df = live.checked_feed(spark, sf_dir).filter(F.col("error").isNull())
+    score = scoring.weighted_score()
+    return df.select("seq", F.round(score, 9).alias("weighted_score"),
+                     scoring.weighted_level(score).alias("weighted_level"))
+
+
+@query
+def linear_risk(spark, sf_dir):
+    """(age/100 + bmi/40 + medication_count/10) / 3."""
+    df = live.checked_feed(spark, sf_dir).filter(F.col("error").isNull())
+    return df.select("seq", F.round(scoring.linear_score(), 9).alias("linear_score"))
+
+
+@query
+def softmax_label(spark, sf_dir):
+    """Softmax over two logits, argmax label (class 1 positive) and its probability as confidence."""
+    lg = fixtures.logits(spark, sf_dir)
+    probs = lg.select("vec_id", scoring.softmax(F.col("logits")).alias("p"))
+    cls = scoring.argmax(F.col("p"))
+    return probs.select(
+        "vec_id",
+        F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
+        F.round(F.element_at("p", (cls + 1).cast("int")), 9).alias("confidence"),
+        F.round(F.element_at("p", 1), 9).alias("p_negative"),
+        F.round(F.element_at("p", 2), 9).alias("p_positive"))
+
+
+# ---------------------------------------------------------------- step 4: features
+
+from ..operators import features as feat  # noqa: E402
+
+
+def _feature_table(spark, sf_dir):
+    acc = live.accepted_records(spark, sf_dir)
+    return feat.upsert_features(acc.filter(F.col("patient_id") % 3 != 0))
+
+
+@query
+def patient_features_update(spark, sf_dir):
+    """Per patient record_count and last_activity after all upserts (patients with id % 3 <> 0)."""
+    return _feature_table(spark, sf_dir)
+
+
+@query
+def patient_features_lookup(spark, sf_dir):
+    """Features for every accepted record; unknown patients get the default row."""
+    acc = live.accepted_records(spark, sf_dir).select("seq", "patient_id")
+    return feat.lookup_features(acc, _feature_table(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 5: quality
+
+from ..operators import quality  # noqa: E402
+
+PERIOD_SPLIT_MS = 1705363200000  # 2024-01-16 00:00:00 UTC: reference period before, current period after
+
+
+def _period():
+    return F.when(F.col("event_time_ms") < F.lit(PERIOD_SPLIT_MS), F.lit("reference")).otherwise(F.lit("current"))
+
+
+@query
+def risk_distribution(spark, sf_dir):
+    """A4: level shares of accepted records in the reference and current periods."""
+    df = live.scored_records(spark, sf_dir).withColumn("period", _period())
+    return quality.distribution(df, ["period"])
+
+
+@query
+def psi_drift(spark, sf_dir):
+    """PSI between the reference and current level distributions and the drift verdict."""
+    df = live.scored_records(spark, sf_dir)
+    return quality.psi_between(df, F.col("event_time_ms") < F.lit(PERIOD_SPLIT_MS))
+
+
+@query
+def quality_flags(spark, sf_dir):
+    """Hourly quality limits (late ratio, PSI, state growth, checkpoint, lag, p99)."""
+    from ..operators.percentiles import exact_percentiles
+    wm = live.watermarked_feed(spark, sf_dir)
+    scored_acc = live.scored_records(spark, sf_dir)
+    segs = running.ttl_segments(live.accepted_records(spark, sf_dir))
+    samples = fixtures.metric_samples(spark, sf_dir)
+    hourly = samples.select(quality._hour("ts_ms").alias("hour_ms"), "latency_ms")
+    p99 = exact_percentiles(hourly, "latency_ms", {"p99_ms": 0.99}, keys=["hour_ms"])
+    return quality.hourly_quality(wm, scored_acc, segs, samples, p99, running.TTL_MS)
+
+
+# ---------------------------------------------------------------- step 6: metrics
+
+from ..operators import metrics  # noqa: E402
+
+
+@query
+def latency_summary(spark, sf_dir):
+    """Latency percentiles, extremes, mean, population std and the p99 < 30 ms check."""
+    return metrics.latency_summary(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def latency_last_1000(spark, sf_dir):
+    """Percentiles over the last 1,000 samples; throughput and error rate over all."""
+    return metrics.rolling_metrics(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def client_metrics(spark, sf_dir):
+    """Request counters, success rate, percentiles and throughput."""
+    return metrics.client_metrics(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def penalised_metrics(spark, sf_dir):
+    """A10: metrics with failed calls counted as 1000 ms."""
+    return metrics.penalised_metrics(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def stage_metrics(spark, sf_dir):
+    """Avg / p95 / count per stage per hourly report window."""
+    return metrics.stage_metrics(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def latency_index_pct(spark, sf_dir):
+    """Nearest-index percentiles over the last 1,000 latencies (seconds)."""
+    return metrics.index_percentiles(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def latency_histogram(spark, sf_dir):
+    """Cumulative latency histogram over the last 1,000 samples."""
+    return metrics.latency_histogram(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def batch_size_histogram(spark, sf_dir):
+    """Cumulative batch-size histogram over the last 1,000 requests."""
+    return metrics.batch_size_histogram(fixtures.metric_samples(spark, sf_dir))
+
+
+@query
+def compare_runs(spark, sf_dir):
+    """Before (even seq) vs after (odd seq) run metrics and improvement in percent."""
+    run = F.when(F.col("seq") % 2 == 0, F.lit("before")).otherwise(F.lit("after"))
+    return metrics.compare_runs(fixtures.metric_samples(spark, sf_dir), run)

@@ -144,3 +144,200 @@ SELECT seq, id AS record_id, patient_id, risk_level, segment, total_records, hig
   "timestamp" AS last_activity, (arrival_ms - seg_start_ms) / 1000.0 AS state_age_seconds, arrival_ms,
   event_time_ms AS processing_timestamp, watermark_ms AS watermark, age, bmi, medication_count, length_of_stay
 FROM running""")
+
+# ---------------------------------------------------------------- step 2: scoring
+HITS = ("CAST(age > 65 AS INTEGER) + CAST(bmi > 30 AS INTEGER) + CAST(medication_count > 5 AS INTEGER) "
+        "+ CAST(length_of_stay > 7 AS INTEGER) + CAST(diabetes = 1 AS INTEGER) + CAST(hypertension = 1 AS INTEGER) "
+        "+ CAST(cholesterol > 240 AS INTEGER)")
+
+
+def level_sql(x: str) -> str:
+    return (f"CASE WHEN {x} > CAST(0.7 AS DOUBLE) THEN 'high' WHEN {x} > CAST(0.4 AS DOUBLE) THEN 'medium' "
+            f"ELSE 'low' END")
+
+
+ORACLE["risk_score"] = with_ctes(f"""
+SELECT seq, hits, CAST(hits AS DOUBLE) / 7 AS risk_score, {level_sql('CAST(hits AS DOUBLE) / 7')} AS risk_level
+FROM (SELECT seq, {HITS} AS hits FROM checked WHERE error IS NULL)""")
+
+_W = [("age > 65", "0.2"), ("bmi > 30", "0.15"), ("medication_count > 5", "0.15"), ("length_of_stay > 7", "0.2"),
+      ("diabetes = 1", "0.15"), ("hypertension = 1", "0.15")]
+_WSUM = "CAST(0.0 AS DOUBLE)" + "".join(
+    f" + CASE WHEN coalesce({c}, false) THEN CAST({w} AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END" for c, w in _W)
+_WN = "0" + "".join(f" + CAST(coalesce({c}, false) AS INTEGER)" for c, _ in _W)
+ORACLE["weighted_risk"] = with_ctes(f"""
+SELECT seq, round(ws, 9) AS weighted_score,
+  CASE WHEN ws IS NULL THEN 'medium' ELSE {level_sql('ws')} END AS weighted_level
+FROM (SELECT seq, CASE WHEN fired > 0 THEN total / fired ELSE CAST(0.5 AS DOUBLE) END AS ws
+      FROM (SELECT seq, {_WSUM} AS total, {_WN} AS fired FROM checked WHERE error IS NULL))""")
+
+ORACLE["linear_risk"] = with_ctes("""
+SELECT seq, round((age / CAST(100 AS DOUBLE) + bmi / CAST(40 AS DOUBLE) + medication_count / CAST(10 AS DOUBLE))
+                  / CAST(3 AS DOUBLE), 9) AS linear_score
+FROM checked WHERE error IS NULL""")
+
+ORACLE["softmax_label"] = """
+WITH lg AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
+e AS (SELECT vec_id, exp(x0 - greatest(x0, x1)) AS e0, exp(x1 - greatest(x0, x1)) AS e1 FROM lg),
+p AS (SELECT vec_id, e0 / (CAST(0.0 AS DOUBLE) + e0 + e1) AS p0, e1 / (CAST(0.0 AS DOUBLE) + e0 + e1) AS p1 FROM e)
+SELECT vec_id, CASE WHEN p1 > p0 THEN 'positive' ELSE 'negative' END AS label,
+  round(CASE WHEN p1 > p0 THEN p1 ELSE p0 END, 9) AS confidence, round(p0, 9) AS p_negative, round(p1, 9) AS p_positive
+FROM p"""
+
+# ---------------------------------------------------------------- step 4: features
+FEATS = """
+fw AS (SELECT * FROM accepted WHERE patient_id % 3 <> 0),
+fcount AS (SELECT patient_id, count(*) AS record_count FROM fw GROUP BY patient_id),
+flast AS (SELECT patient_id, "timestamp" AS last_activity FROM (
+  SELECT patient_id, "timestamp", row_number() OVER (PARTITION BY patient_id ORDER BY arrival_ms DESC, seq DESC) AS rn
+  FROM fw) WHERE rn = 1),
+feats AS (SELECT patient_id, record_count, last_activity FROM fcount JOIN flast USING (patient_id))"""
+
+ORACLE["patient_features_update"] = with_ctes("SELECT patient_id, record_count, last_activity FROM feats", FEATS)
+
+ORACLE["patient_features_lookup"] = with_ctes("""
+SELECT a.seq, a.patient_id, coalesce(f.record_count, 0) AS record_count, CAST(0.5 AS DOUBLE) AS avg_risk_score,
+  coalesce(f.last_activity, 0) AS last_activity, CAST(0.0 AS DOUBLE) AS risk_trend,
+  f.patient_id IS NOT NULL AS known_patient
+FROM accepted a LEFT JOIN feats f ON a.patient_id = f.patient_id""", FEATS)
+
+# ---------------------------------------------------------------- step 5: quality
+SPLIT_MS = 1705363200000
+ORACLE["risk_distribution"] = with_ctes(f"""
+SELECT period, count(*) AS n,
+  count(*) FILTER (WHERE risk_level = 'high') / count(*) AS high_share,
+  count(*) FILTER (WHERE risk_level = 'medium') / count(*) AS medium_share,
+  count(*) FILTER (WHERE risk_level = 'low') / count(*) AS low_share
+FROM (SELECT *, CASE WHEN event_time_ms < {SPLIT_MS} THEN 'reference' ELSE 'current' END AS period FROM leveled)
+GROUP BY period""")
+
+
+def psi_sql(e: list[str], a: list[str]) -> str:
+    terms = "".join(f" + CASE WHEN {x} > 0 AND {y} > 0 THEN ({y} - {x}) * ln({y} / {x}) ELSE CAST(0.0 AS DOUBLE) END"
+                    for x, y in zip(e, a))
+    return f"abs(CAST(0.0 AS DOUBLE){terms})"
+
+
+_LV = ("high", "medium", "low")
+ORACLE["psi_drift"] = with_ctes(f"""
+SELECT reference_records, current_records, round(psi, 9) AS psi, coalesce(psi > CAST(0.2 AS DOUBLE), false) AS drift
+FROM (SELECT *, CASE WHEN reference_records > 0 AND current_records > 0 THEN
+        {psi_sql([f'r_{l} / reference_records' for l in _LV], [f'c_{l} / current_records' for l in _LV])} END AS psi
+      FROM (SELECT count(*) FILTER (WHERE ref) AS reference_records, count(*) FILTER (WHERE NOT ref) AS current_records,
+              {', '.join(f"count(*) FILTER (WHERE ref AND risk_level = '{l}') AS r_{l}" for l in _LV)},
+              {', '.join(f"count(*) FILTER (WHERE NOT ref AND risk_level = '{l}') AS c_{l}" for l in _LV)}
+            FROM (SELECT *, event_time_ms < {SPLIT_MS} AS ref FROM leveled)))""")
+
+SAMPLES = """
+smp AS (SELECT event_id AS seq, event_type AS stage, epoch_us(ts) // 1000 AS ts_ms, value AS latency_ms,
+               event_type <> 'error' AS ok, 1 + event_id % 120 AS batch_size FROM events),
+last1000 AS (SELECT * FROM smp ORDER BY seq DESC LIMIT 1000)"""
+
+ORACLE["quality_flags"] = with_ctes(f"""
+SELECT hour_ms, valid_records, late_records, round(late_records / valid_records, 9) AS late_ratio,
+  late_records / valid_records > CAST(0.05 AS DOUBLE) AS late_flag,
+  psi_prev_hour, coalesce(psi_prev_hour > CAST(0.2 AS DOUBLE), false) AS drift_flag,
+  live_states, round(growth, 9) AS state_growth, coalesce(growth > CAST(0.1 AS DOUBLE), false) AS growth_flag,
+  checkpoint_ms, coalesce(checkpoint_ms > 30000, false) AS checkpoint_flag,
+  lag_records, lag_records > 1000 AS lag_flag, p99_ms, coalesce(p99_ms > CAST(30 AS DOUBLE), false) AS p99_flag
+FROM (
+  SELECT l.*, CASE WHEN prev_live > 0 THEN live_states / prev_live - 1 END AS growth, ps.psi_prev_hour
+  FROM liv2 l LEFT JOIN ps USING (hour_ms)
+  WHERE valid_records > 0)""", SAMPLES, f"""
+rows_h AS (SELECT (arrival_ms // 3600000) * 3600000 AS hour_ms,
+  count(*) FILTER (WHERE error IS NULL) AS valid_records, count(*) FILTER (WHERE late) AS late_records,
+  count(*) FILTER (WHERE arrival_ms - event_time_ms > 5000) AS lag_records FROM flagged GROUP BY 1),
+lv_h AS (SELECT (arrival_ms // 3600000) * 3600000 AS hour_ms, count(*) AS n_acc,
+  {', '.join(f"count(*) FILTER (WHERE risk_level = '{l}') AS n_{l}" for l in _LV)} FROM leveled GROUP BY 1),
+seg_se AS (SELECT patient_id, segment, min(arrival_ms) AS s, max(arrival_ms) AS e FROM segs GROUP BY 1, 2),
+deltas AS (SELECT hour_ms, sum(d) AS live_delta FROM (
+  SELECT (s // 3600000) * 3600000 AS hour_ms, 1 AS d FROM seg_se
+  UNION ALL SELECT ((e + 86400000) // 3600000) * 3600000 AS hour_ms, -1 AS d FROM seg_se) GROUP BY 1),
+smp_h AS (SELECT (ts_ms // 3600000) * 3600000 AS hour_ms, max(latency_ms) AS checkpoint_ms,
+  round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms FROM smp GROUP BY 1),
+hours AS (SELECT hour_ms FROM rows_h UNION SELECT hour_ms FROM lv_h UNION SELECT hour_ms FROM deltas
+          UNION SELECT hour_ms FROM smp_h),
+comb AS (SELECT h.hour_ms, r.valid_records, r.late_records, r.lag_records, v.n_acc, s.checkpoint_ms, s.p99_ms,
+  coalesce(d.live_delta, 0) AS live_delta
+  FROM hours h LEFT JOIN rows_h r USING (hour_ms) LEFT JOIN lv_h v USING (hour_ms)
+  LEFT JOIN deltas d USING (hour_ms) LEFT JOIN smp_h s USING (hour_ms)),
+liv AS (SELECT *, CAST(sum(live_delta) OVER (ORDER BY hour_ms ROWS UNBOUNDED PRECEDING) AS BIGINT) AS live_states
+        FROM comb),
+liv2 AS (SELECT *, lag(live_states) OVER (ORDER BY hour_ms) AS prev_live FROM liv),
+ps0 AS (SELECT hour_ms, {', '.join(f'n_{l} / n_acc AS sh_{l}' for l in _LV)},
+  {', '.join(f'lag(n_{l} / n_acc) OVER (ORDER BY hour_ms) AS pv_{l}' for l in _LV)} FROM lv_h),
+ps AS (SELECT hour_ms, round(CASE WHEN pv_high IS NOT NULL THEN
+  {psi_sql([f'pv_{l}' for l in _LV], [f'sh_{l}' for l in _LV])} END, 9) AS psi_prev_hour FROM ps0)""")
+
+# ---------------------------------------------------------------- step 6: metrics
+
+
+def pcts(col: str, src: str = "") -> str:
+    return ", ".join(f"round(quantile_cont({col}, {q}), 6) AS {n}" for n, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
+
+
+ORACLE["latency_summary"] = with_ctes(f"""
+SELECT {pcts('latency_ms')}, count(*) AS sample_count, max(latency_ms) AS "max", min(latency_ms) AS "min",
+  round(avg(latency_ms), 6) AS mean, round(stddev_pop(latency_ms), 6) AS std,
+  round(quantile_cont(latency_ms, 0.99), 6) < CAST(30 AS DOUBLE) AS sla_ok
+FROM smp""", SAMPLES)
+
+ORACLE["latency_last_1000"] = with_ctes(f"""
+SELECT r.p50, r.p95, r.p99, t.total_requests, t.errors,
+  round(t.total_requests / t.duration_s, 6) AS throughput_rps, round(t.errors / t.total_requests, 9) AS error_rate
+FROM (SELECT {pcts('latency_ms')} FROM last1000) r,
+     (SELECT count(*) AS total_requests, count(*) FILTER (WHERE NOT ok) AS errors,
+             (max(ts_ms) - min(ts_ms)) / CAST(1000 AS DOUBLE) AS duration_s FROM smp) t""", SAMPLES)
+
+ORACLE["client_metrics"] = with_ctes(f"""
+SELECT count(*) AS total_requests, count(*) FILTER (WHERE NOT ok) AS failed_requests,
+  round((count(*) - count(*) FILTER (WHERE NOT ok)) / count(*), 9) AS success_rate, {pcts('latency_ms')},
+  count(*) FILTER (WHERE batch_size = 1) AS single_requests, count(*) FILTER (WHERE batch_size > 1) AS batch_requests,
+  count(*) FILTER (WHERE batch_size > 1 AND NOT ok) AS batch_errors,
+  round(count(*) / ((max(ts_ms) - min(ts_ms)) / CAST(1000 AS DOUBLE)), 6) AS throughput_rps
+FROM smp""", SAMPLES)
+
+ORACLE["penalised_metrics"] = with_ctes(f"""
+SELECT {pcts('lat')}, count(*) AS sample_count, round(count(*) / (sum(lat) / CAST(1000 AS DOUBLE)), 6) AS throughput_rps,
+  round(count(*) FILTER (WHERE NOT ok) / count(*), 9) AS error_rate
+FROM (SELECT CASE WHEN ok THEN latency_ms ELSE CAST(1000 AS DOUBLE) END AS lat, ok FROM smp)""", SAMPLES)
+
+ORACLE["stage_metrics"] = with_ctes("""
+SELECT stage, (ts_ms // 3600000) * 3600000 AS window_start_ms, round(avg(latency_ms), 6) AS avg_ms,
+  count(*) AS "count", round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms
+FROM smp GROUP BY 1, 2""", SAMPLES)
+
+ORACLE["latency_index_pct"] = with_ctes("""
+SELECT n AS sample_count,
+  v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.5 AS DOUBLE)) AS BIGINT) + 1] AS p50_seconds,
+  v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.95 AS DOUBLE)) AS BIGINT) + 1] AS p95_seconds,
+  v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.99 AS DOUBLE)) AS BIGINT) + 1] AS p99_seconds
+FROM (SELECT list_sort(list(latency_ms / CAST(1000 AS DOUBLE))) AS v, count(*) AS n FROM last1000)""", SAMPLES)
+
+_LB = ["0.001", "0.005", "0.01", "0.05", "0.1", "0.5", "1.0", "2.0", "5.0"]
+ORACLE["latency_histogram"] = with_ctes(
+    " UNION ALL ".join(f"SELECT '{b}' AS le, b{i} AS cumulative_count, total_count, total_sum FROM agg"
+                       for i, b in enumerate(_LB))
+    + " UNION ALL SELECT '+Inf' AS le, total_count AS cumulative_count, total_count, total_sum FROM agg",
+    SAMPLES, "s AS (SELECT latency_ms / CAST(1000 AS DOUBLE) AS s FROM last1000)",
+    "agg AS (SELECT " + ", ".join(f"count(*) FILTER (WHERE s <= CAST({b} AS DOUBLE)) AS b{i}" for i, b in enumerate(_LB))
+    + ", count(*) AS total_count, round(sum(s), 6) AS total_sum FROM s)")
+
+_BB = [1, 5, 10, 20, 50, 100]
+ORACLE["batch_size_histogram"] = with_ctes(
+    " UNION ALL ".join(f"SELECT '{b}' AS le, b{i} AS cumulative_count, total_count, total_sum FROM agg"
+                       for i, b in enumerate(_BB))
+    + " UNION ALL SELECT '+Inf' AS le, total_count AS cumulative_count, total_count, total_sum FROM agg",
+    SAMPLES,
+    "agg AS (SELECT " + ", ".join(f"count(*) FILTER (WHERE batch_size <= {b}) AS b{i}" for i, b in enumerate(_BB))
+    + ", count(*) AS total_count, CAST(sum(batch_size) AS BIGINT) AS total_sum FROM last1000)")
+
+ORACLE["compare_runs"] = with_ctes("""
+SELECT b.metric, b.value AS "before", a.value AS "after",
+  round(CASE WHEN b.value <> 0 THEN (b.value - a.value) / b.value * 100 END, 6) AS improvement_pct
+FROM t b JOIN t a ON b.metric = a.metric AND b.run = 'before' AND a.run = 'after'""", SAMPLES, """
+r AS (SELECT CASE WHEN seq % 2 = 0 THEN 'before' ELSE 'after' END AS run, latency_ms FROM smp),
+m AS (SELECT run, round(quantile_cont(latency_ms, 0.5), 6) AS p50, round(quantile_cont(latency_ms, 0.95), 6) AS p95,
+        round(quantile_cont(latency_ms, 0.99), 6) AS p99, round(avg(latency_ms), 6) AS mean FROM r GROUP BY run),
+t AS (SELECT run, 'p50' AS metric, p50 AS value FROM m UNION ALL SELECT run, 'p95', p95 FROM m
+      UNION ALL SELECT run, 'p99', p99 FROM m UNION ALL SELECT run, 'mean', mean FROM m)""")
