@@ -251,3 +251,74 @@ def compare_runs(spark, sf_dir):
     """Before (even seq) vs after (odd seq) run metrics and improvement in percent."""
     run = F.when(F.col("seq") % 2 == 0, F.lit("before")).otherwise(F.lit("after"))
     return metrics.compare_runs(fixtures.metric_samples(spark, sf_dir), run)
+
+
+# ---------------------------------------------------------------- step 7: loading and replay
+
+from ..sources import loading  # noqa: E402
+
+REPLAY_RPS = 50            # shuffled replay: records per second
+REPLAY_MINUTES = 10        # shuffled replay: duration; total = rps * 60 * minutes
+REPLAY_SEED = 42
+SAMPLE_SIZE = 1000         # stratified validation sample
+
+
+def _cleansed(spark, sf_dir):
+    return loading.cleanse(fixtures.raw_rows(spark, sf_dir))
+
+
+@query
+def cleanse_rows(spark, sf_dir):
+    """Raw rows after whole-row de-duplication (first copy kept) and dropping rows with nulls."""
+    return _cleansed(spark, sf_dir)
+
+
+@query
+def raw_to_record(spark, sf_dir):
+    """Cleansed raw rows reshaped into wire records (event ms t0 + 100 * (seq + 1))."""
+    ts = F.lit(loading.T0_MS) + F.lit(loading.CYCLIC_STEP_MS) * (F.col("seq") + 1)
+    return loading.to_records(_cleansed(spark, sf_dir), ts)
+
+
+@query
+def replay_cyclic(spark, sf_dir):
+    """The cleansed file replayed in order two and a half times, 100 ms apart."""
+    rows = _cleansed(spark, sf_dir)
+    n = rows.count()
+    return loading.replay_cyclic(spark, rows, total=2 * n + n // 2, n_rows=n)
+
+
+@query
+def replay_shuffled(spark, sf_dir):
+    """Per-epoch counts of the shuffled replay (rps 50 for 10 minutes)."""
+    rows = _cleansed(spark, sf_dir)
+    n = rows.count()
+    total = REPLAY_RPS * 60 * REPLAY_MINUTES
+    rep = loading.replay_shuffled(rows, total=total, n_rows=n, rps=REPLAY_RPS, seed=REPLAY_SEED)
+    return rep.groupBy(F.col("epoch").cast("long").alias("epoch")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.countDistinct("seq").alias("n_distinct_rows"),
+        F.min("i").alias("first_i"), F.max("i").alias("last_i"),
+        F.min("timestamp").alias("first_ts_ms"), F.max("timestamp").alias("last_ts_ms"))
+
+
+@query
+def stratified_sample(spark, sf_dir):
+    """First 500 readmitted rows then first 500 others, as test records."""
+    return loading.stratified(_cleansed(spark, sf_dir), SAMPLE_SIZE)
+
+
+# ---------------------------------------------------------------- step 8: alerts
+
+from ..operators import alerts  # noqa: E402
+
+
+@query
+def threshold_alerts(spark, sf_dir):
+    """L1: firing islands of the latency, backpressure and lag rules."""
+    return alerts.threshold_alerts(fixtures.metric_series(spark, sf_dir))
+
+
+@query
+def counter_rate(spark, sf_dir):
+    """L2: failed-checkpoint counter increase, 5-minute rate and alert state per point."""
+    return alerts.counter_rate(fixtures.metric_series(spark, sf_dir))

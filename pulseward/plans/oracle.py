@@ -341,3 +341,110 @@ m AS (SELECT run, round(quantile_cont(latency_ms, 0.5), 6) AS p50, round(quantil
         round(quantile_cont(latency_ms, 0.99), 6) AS p99, round(avg(latency_ms), 6) AS mean FROM r GROUP BY run),
 t AS (SELECT run, 'p50' AS metric, p50 AS value FROM m UNION ALL SELECT run, 'p95', p95 FROM m
       UNION ALL SELECT run, 'p99', p99 FROM m UNION ALL SELECT run, 'mean', mean FROM m)""")
+
+# ---------------------------------------------------------------- step 7: loading and replay
+RAW_COLS = ("patient_id, age, gender, blood_pressure, cholesterol, bmi, diabetes, hypertension, medication_count, "
+            "length_of_stay, discharge_destination, readmitted_30_days")
+RAW = f"""
+rawbase AS (
+  SELECT seq, CAST(src_patient AS INTEGER) AS patient_id, src_age AS age,
+    CASE WHEN seq % 59 = 0 THEN NULL ELSE src_gender END AS gender,
+    CAST(src_systolic AS VARCHAR) || '/' || CAST(src_diastolic AS VARCHAR) AS blood_pressure,
+    src_cholesterol AS cholesterol, src_bmi AS bmi,
+    CASE WHEN src_diabetes = 1 THEN 'Yes' ELSE 'No' END AS diabetes,
+    CASE WHEN src_hypertension = 1 THEN 'Yes' ELSE 'No' END AS hypertension,
+    src_medication AS medication_count, src_stay AS length_of_stay, src_destination AS discharge_destination,
+    CASE WHEN src_risk = CAST(1.0 AS DOUBLE) THEN 'Yes' ELSE 'No' END AS readmitted_30_days
+  FROM feed),
+raw AS (SELECT * FROM rawbase UNION ALL
+        SELECT seq + 1000000000000 AS seq, {RAW_COLS} FROM rawbase WHERE seq % 71 = 0),
+cleansed AS (
+  SELECT * FROM (SELECT min(seq) AS seq, {RAW_COLS} FROM raw GROUP BY {RAW_COLS})
+  WHERE {' AND '.join(c.strip() + ' IS NOT NULL' for c in RAW_COLS.split(','))}),
+nn AS (SELECT count(*) AS n FROM cleansed)"""
+
+ORACLE["cleanse_rows"] = with_ctes(f"SELECT seq, {RAW_COLS} FROM cleansed", RAW)
+
+
+def yn(c: str) -> str:
+    return f"CASE WHEN {c} = 'Yes' THEN 1 ELSE 0 END"
+
+
+ORACLE["raw_to_record"] = with_ctes(f"""
+SELECT seq, 'patient_' || CAST(patient_id AS VARCHAR) || '_' || CAST(ts AS VARCHAR) AS id,
+  CAST(patient_id AS BIGINT) AS patient_id, age, gender,
+  CAST(split_part(blood_pressure, '/', 1) AS INTEGER) AS systolic_bp,
+  CAST(split_part(blood_pressure, '/', 2) AS INTEGER) AS diastolic_bp, cholesterol, bmi,
+  {yn('diabetes')} AS diabetes, {yn('hypertension')} AS hypertension, medication_count, length_of_stay,
+  discharge_destination, CAST({yn('readmitted_30_days')} AS DOUBLE) AS readmission_risk_raw, ts AS "timestamp"
+FROM (SELECT *, 1704067200000 + 100 * (seq + 1) AS ts FROM cleansed)""", RAW)
+
+ORACLE["replay_cyclic"] = with_ctes("""
+SELECT p.i, x.seq, CAST(x.patient_id AS BIGINT) AS patient_id,
+  'patient_' || CAST(x.patient_id AS VARCHAR) || '_' || CAST(1704067200000 + 100 * (p.i + 1) AS VARCHAR) AS id,
+  1704067200000 + 100 * (p.i + 1) AS "timestamp"
+FROM pos p JOIN idx x ON p.row_index = x.row_index""", RAW, """
+idx AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS row_index FROM cleansed),
+pos AS (SELECT i, i % n AS row_index FROM (SELECT unnest(range(2 * n + n // 2)) AS i, n FROM nn))""")
+
+ORACLE["replay_shuffled"] = with_ctes("""
+SELECT epoch, cnt AS n_records, cnt AS n_distinct_rows, epoch * n AS first_i, epoch * n + cnt - 1 AS last_i,
+  1704067200000 + epoch * n * 20 AS first_ts_ms, 1704067200000 + (epoch * n + cnt - 1) * 20 AS last_ts_ms
+FROM (SELECT epoch, n, least(n, 30000 - epoch * n) AS cnt
+      FROM (SELECT unnest(range(CAST(ceil(30000 / n) AS BIGINT))) AS epoch, n FROM nn))""", RAW)
+
+ORACLE["stratified_sample"] = with_ctes("""
+SELECT row_number() OVER (ORDER BY part, seq) - 1 AS position, seq,
+  'test_medical_' || CAST(patient_id AS VARCHAR) AS id, CAST(patient_id AS BIGINT) AS patient_id, age, bmi,
+  CAST(CASE WHEN readmitted_30_days = 'Yes' THEN 1 ELSE 0 END AS DOUBLE) AS readmission_risk_raw, true AS is_test
+FROM (SELECT *, 0 AS part FROM (SELECT * FROM cleansed WHERE readmitted_30_days = 'Yes' ORDER BY seq LIMIT 500)
+      UNION ALL
+      SELECT *, 1 AS part FROM (SELECT * FROM cleansed WHERE readmitted_30_days = 'No' ORDER BY seq LIMIT 500))""",
+    RAW)
+
+# ---------------------------------------------------------------- step 8: alerts
+SERIES = """
+ser AS (
+  SELECT CASE event_type WHEN 'view' THEN 'latency_p99_ms' WHEN 'click' THEN 'backpressured'
+                         WHEN 'purchase' THEN 'kafka_lag' WHEN 'error' THEN 'failed_checkpoints' END AS series,
+    event_id AS seq, epoch_us(ts) // 1000 AS ts_ms,
+    CASE event_type WHEN 'view' THEN value
+      WHEN 'click' THEN CASE WHEN value > 250 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+      WHEN 'purchase' THEN value * 4
+      WHEN 'error' THEN CAST(((event_id % 500 + 1) // 5) * 10
+                             + ((event_id % 500 + 1) % 5) * ((event_id % 500 + 1) % 5 - 1) // 2 AS DOUBLE) END AS value
+  FROM events WHERE event_type IN ('view', 'click', 'purchase', 'error'))"""
+
+ORACLE["threshold_alerts"] = """
+WITH """ + SERIES.strip() + """,
+rules AS (SELECT * FROM (VALUES
+  ('HighMedicalProcessingLatency', 'latency_p99_ms', CAST(30 AS DOUBLE), CAST(60000 AS BIGINT), 'critical'),
+  ('HighMedicalBackpressure', 'backpressured', CAST(0 AS DOUBLE), CAST(60000 AS BIGINT), 'warning'),
+  ('HighKafkaLagMedical', 'kafka_lag', CAST(1000 AS DOUBLE), CAST(180000 AS BIGINT), 'warning'))
+  r(alert, series, threshold, for_ms, severity)),
+pts AS (SELECT r.alert, r.severity, r.for_ms, s.series, s.seq, s.ts_ms, s.value, s.value > r.threshold AS hold
+        FROM ser s JOIN rules r ON s.series = r.series),
+isl AS (SELECT *, sum(CASE WHEN hold THEN 0 ELSE 1 END) OVER (PARTITION BY alert ORDER BY ts_ms, seq
+                                                             ROWS UNBOUNDED PRECEDING) AS grp FROM pts),
+g AS (SELECT alert, series, severity, for_ms, grp, min(ts_ms) AS island_start_ms, max(ts_ms) AS island_end_ms,
+             count(*) AS n_points, max(value) AS max_value
+      FROM isl WHERE hold GROUP BY alert, series, severity, for_ms, grp),
+f AS (SELECT i.alert, i.grp, min(i.ts_ms) AS firing_since_ms FROM isl i JOIN g ON i.alert = g.alert AND i.grp = g.grp
+      WHERE i.hold AND i.ts_ms >= g.island_start_ms + g.for_ms GROUP BY i.alert, i.grp)
+SELECT g.alert, g.series, g.severity, g.island_start_ms, f.firing_since_ms, g.island_end_ms, g.n_points, g.max_value
+FROM g JOIN f ON g.alert = f.alert AND g.grp = f.grp"""
+
+ORACLE["counter_rate"] = """
+WITH """ + SERIES.strip() + """,
+c AS (SELECT seq, ts_ms, value FROM ser WHERE series = 'failed_checkpoints'),
+c2 AS (SELECT *, lag(value) OVER (ORDER BY ts_ms, seq) AS prev FROM c),
+c3 AS (SELECT *, CASE WHEN prev IS NULL THEN CAST(0.0 AS DOUBLE) WHEN value >= prev THEN value - prev
+                      ELSE value END AS increase FROM c2),
+c4 AS (SELECT *, sum(increase) OVER (ORDER BY ts_ms RANGE BETWEEN 299999 PRECEDING AND CURRENT ROW)
+                 / CAST(300 AS DOUBLE) AS rate FROM c3),
+c5 AS (SELECT *, rate > 0 AS hold, sum(CASE WHEN rate > 0 THEN 0 ELSE 1 END)
+                 OVER (ORDER BY ts_ms, seq ROWS UNBOUNDED PRECEDING) AS grp FROM c4),
+c6 AS (SELECT *, min(ts_ms) OVER (PARTITION BY grp, hold) AS island_start FROM c5)
+SELECT seq, ts_ms, value AS counter, increase, round(rate, 9) AS rate_5m, rate > 0 AS above,
+  coalesce(hold AND ts_ms >= island_start + 60000, false) AS firing
+FROM c6"""
