@@ -322,3 +322,14 @@ def threshold_alerts(spark, sf_dir):
 def counter_rate(spark, sf_dir):
     """L2: failed-checkpoint counter increase, 5-minute rate and alert state per point."""
     return alerts.counter_rate(fixtures.metric_series(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- step 10: text scoring (rows-only check)
+
+@query
+def score_texts(spark, sf_dir):
+    """M1: label and confidence for every document from a pipeline trained on the labelled ones."""
+    from ..operators import text
+    docs = fixtures.texts(spark, sf_dir)
+    model = text.train(docs)
+    return text.score(model, docs)

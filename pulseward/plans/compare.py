@@ -22,6 +22,10 @@ def duckdb_connection(sf_dir: str):
     return con
 
 
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                  "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint", "DATE": "date"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -50,6 +54,10 @@ def compare(spark, con, name: str, sf_dir: str, spark_df=None) -> tuple[bool, st
     o_rows = rel.fetchall()
     if sorted(s_cols) != sorted(o_cols):
         return False, f"columns differ: spark={sorted(s_cols)} oracle={sorted(o_cols)}"
+    o_types = dict(zip(o_cols, [str(t) for t in rel.types]))
+    bad_types = [(c, t, o_types[c]) for c, t in sdf.dtypes if _DUCK_TO_SPARK.get(o_types[c], o_types[c]) != t]
+    if bad_types:
+        return False, f"column types differ (name, spark, duckdb): {bad_types}"
     if len(s_rows) != len(o_rows):
         return False, f"row count spark={len(s_rows)} oracle={len(o_rows)}"
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
