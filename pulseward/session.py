@@ -27,6 +27,7 @@ BASE_CONF = {
 
 def get_spark(master: str = "local[8]", app: str = "pulseward", shuffle_partitions: int = 8,
               extra: dict | None = None) -> SparkSession:
+    _export_pythonpath()
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -39,6 +40,16 @@ def get_spark(master: str = "local[8]", app: str = "pulseward", shuffle_partitio
     return spark
 
 
+def _export_pythonpath() -> None:
+    """Local mode: Python workers inherit the JVM's environment, so the repository root on PYTHONPATH
+    (set before the JVM starts) makes ``pulseward`` importable in them. Clusters use ``--py-files``."""
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    parts = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *parts])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -57,3 +68,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulseward-ckpt-"))
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pulseward`` importable in Python workers (needed by the streaming processor) via addPyFile.
+
+    The zip is built on the driver and distributed by Spark itself, so it works on a cluster as well.
+    """
+    import os
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="pulseward-pkg-"), "pulseward.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
