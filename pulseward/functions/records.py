@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import CORRUPT_COLUMN, WIRE_FIELDS, WIRE_PARSE_SCHEMA
 
-JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
 LATE_DELAY_MS = 5_000          # bounded out-of-orderness of the live path
 MIN_AGE, MAX_AGE = 0, 150      # inclusive limits
 MIN_BMI, MAX_BMI = 10.0, 60.0  # inclusive limits
