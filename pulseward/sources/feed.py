@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import epoch_ms
-from ..tables import read_table
+from ..tables import read_table, spread
 
 SIX_HOURS_MS = 21_600_000
 
@@ -76,6 +76,6 @@ def record_json(fields: DataFrame) -> Column:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seq, arrival_ms, value): the broker feed derived from ``events``."""
-    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    events = spread(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"]))
     fields = feed_fields(events)
     return fields.select("seq", "arrival_ms", record_json(fields).alias("value"))

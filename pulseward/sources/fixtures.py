@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import epoch_ms
-from ..tables import read_table
+from ..tables import read_table, spread
 from .feed import feed_fields
 
 # Metric series names carried by each event type, and the counter's reset period.
@@ -88,6 +88,6 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
     return docs.join(labels, "doc_id", "left")
