@@ -9,15 +9,15 @@ joined back on (series, island); AQE splits an island that is very large.
 
 L2 "counter rate over 5 m > 0 held for 1 m": per point the increase since the previous point (a drop is a
 counter reset, so the increase is the new value), summed over the trailing 300 s and divided by 300. This is
-our windowed rate (no extrapolation). The trailing range sum runs per series; a counter series holds one point
-per scrape, so a series is small next to the record stream.
+our windowed rate (no extrapolation). The previous point comes from the two-level scan; the trailing sum runs
+per (series, 300 s chunk) with every point also copied into the next chunk (``trailing_sum``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scan import Running, chunked_running
@@ -86,16 +86,32 @@ def threshold_alerts(series: DataFrame, rules: list[ThresholdRule] = THRESHOLD_R
                       "n_points", "max_value")
 
 
+def trailing_sum(points: DataFrame, keys: list[str], col: str, range_ms: int) -> Column:
+    """Per point, the sum of ``col`` over points of the same key with ts in (ts - range_ms, ts].
+
+    Points are cut into chunks of ``range_ms``; a window of that length never spans more than the point's own
+    chunk and the one before, so every point is also copied into the next chunk and the range window runs per
+    (key, chunk) -- exact, and no task holds a whole series. Returns the frame restricted to own rows."""
+    c = F.floor(F.col("ts_ms") / F.lit(range_ms))
+    own = points.withColumn("_rc", c).withColumn("_own", F.lit(True))
+    nxt = points.withColumn("_rc", c + 1).withColumn("_own", F.lit(False))
+    w = Window.partitionBy(*keys, "_rc").orderBy("ts_ms").rangeBetween(-(range_ms - 1), 0)
+    both = own.unionByName(nxt).withColumn(f"{col}_sum", F.sum(col).over(w))
+    return both.filter(F.col("_own")).drop("_rc", "_own")
+
+
 def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int = COUNTER_RULE[2],
                  for_ms: int = COUNTER_RULE[3]) -> DataFrame:
     """L2: per point of a counter series: increase, rate over the trailing ``range_ms``, alert state."""
     pts = series.filter(F.col("series") == name)
-    w = Window.partitionBy("series").orderBy("ts_ms", "seq")
-    prev = F.lag("value").over(w)
-    inc = (F.when(prev.isNull(), F.lit(0.0)).when(F.col("value") >= prev, F.col("value") - prev)
+    prev = chunked_running(pts, ["series"], F.floor(F.col("ts_ms") / F.lit(DAY_MS)), ["ts_ms", "seq"],
+                           [Running("_prev", "prev", F.col("value"))])
+    p = F.col("_prev")
+    inc = (F.when(p.isNull(), F.lit(0.0)).when(F.col("value") >= p, F.col("value") - p)
             .otherwise(F.col("value")))
-    wr = Window.partitionBy("series").orderBy("ts_ms").rangeBetween(-(range_ms - 1), 0)
-    rated = pts.withColumn("increase", inc).withColumn("rate", F.sum("increase").over(wr) / F.lit(range_ms / 1000.0))
+    with_inc = prev.withColumn("increase", inc).drop("_prev")
+    summed = trailing_sum(with_inc, ["series"], "increase", range_ms)
+    rated = summed.withColumn("rate", F.col("increase_sum") / F.lit(range_ms / 1000.0)).drop("increase_sum")
     marked = island_points(rated, F.col("rate") > 0, ["series"])
     firing = F.col("_hold") & (F.col("ts_ms") >= F.col("island_start_ms") + F.lit(for_ms))
     return marked.select("seq", "ts_ms", F.col("value").alias("counter"), "increase",

@@ -1,8 +1,10 @@
 """Exact percentiles without gathering a group's values in one place.
 
 ``percentile`` in Spark keeps every distinct value of a group in one aggregation buffer. Here the values are
-first counted per (keys, value) -- a partial aggregation, so a hot group is combined map-side -- then ranked
-with a running sum over the *distinct* values and the two neighbouring order statistics are picked:
+first counted per (keys, value) -- a partial aggregation, so a hot group is combined map-side -- then the
+distinct values are ranked with the two-level running sum of ``operators.scan`` (chunked by a monotone
+log-scale bucket of the value, so no task holds all distinct values of a group) and the two neighbouring
+order statistics are picked:
 
     pos = (n - 1) * q,  p = v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * (pos - floor(pos))
 
@@ -12,30 +14,42 @@ agree only to about 1e-14 on interpolated values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .scan import Running, chunked_running
+
+BUCKETS_PER_DOUBLING = 64
+
+
+def value_bucket(v: Column) -> Column:
+    """Monotone non-decreasing bucket of a double: sign(v) * floor(log2(|v| + 1) * 64)."""
+    mag = F.floor(F.log2(F.abs(v) + F.lit(1.0)) * F.lit(BUCKETS_PER_DOUBLING))
+    return F.when(v < 0, -mag).otherwise(mag)
+
 
 def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: list[str] | None = None,
                       digits: int = 6) -> DataFrame:
     """One row per key combination with one column per entry of ``qs`` (name -> quantile in [0, 1])."""
-    keys = keys or []
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value) if keys else Window.orderBy(value)
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    ranked = counts.select(
-        *keys, value, "_c",
-        F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_hi"),
-        F.sum("_c").over(whole).alias("_n"))
+    keys = list(keys or [])
+    v = F.col(value).cast("double")
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = chunked_running(counts, keys, value_bucket(F.col("_v")), ["_v"],
+                             [Running("_hi", "sum", F.col("_c"))])
+    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    join_keys = keys or ["_k"]
+    if not keys:  # one global row: joined on a constant key (a one-row table, planned as a broadcast)
+        ranked, totals = ranked.withColumn("_k", F.lit(0)), totals.withColumn("_k", F.lit(0))
+    ranked = ranked.join(totals, join_keys)
     picks = []
     for name, q in qs.items():
         pos = (F.col("_n") - 1) * F.lit(float(q))
         lo, hi = F.floor(pos), F.ceil(pos)
         hit = lambda k: (F.col("_hi") - F.col("_c") <= k) & (k < F.col("_hi"))
-        picks += [F.max(F.when(hit(lo), F.col(value))).alias(f"_{name}_lo"),
-                  F.max(F.when(hit(hi), F.col(value))).alias(f"_{name}_hi"),
+        picks += [F.max(F.when(hit(lo), F.col("_v"))).alias(f"_{name}_lo"),
+                  F.max(F.when(hit(hi), F.col("_v"))).alias(f"_{name}_hi"),
                   F.max(pos - lo).alias(f"_{name}_f")]
-    agg = ranked.groupBy(*keys).agg(*picks)
+    agg = ranked.groupBy(*join_keys).agg(*picks)
     out = [F.round(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f"), digits).alias(n)
            for n in qs]
     return agg.select(*keys, *out)

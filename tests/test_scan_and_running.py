@@ -82,3 +82,23 @@ def test_ttl_gap_of_exactly_24h_expires(spark):
     out = {r.seq: r for r in ttl_segments(df).collect()}
     assert [out[i].ttl_reset for i in range(4)] == [False, False, True, True]
     assert [out[i].segment for i in range(4)] == [1, 1, 2, 3]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pts=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 2_000_000), st.integers(0, 9)), min_size=1,
+                    max_size=60))
+def test_trailing_sum_matches_naive_range_sum(spark, pts):
+    from pulseward.operators.alerts import trailing_sum
+    pdf = pd.DataFrame([(k, t, float(v), i) for i, (k, t, v) in enumerate(pts)], columns=["k", "ts_ms", "x", "seq"])
+    out = trailing_sum(spark.createDataFrame(pdf), ["k"], "x", 300_000).toPandas().set_index("seq").sort_index()
+    for r in pdf.itertuples():
+        sel = pdf[(pdf.k == r.k) & (pdf.ts_ms > r.ts_ms - 300_000) & (pdf.ts_ms <= r.ts_ms)]
+        assert out.loc[r.seq, "x_sum"] == sel.x.sum()
+
+
+def test_value_bucket_is_monotone(spark):
+    from pulseward.operators.percentiles import value_bucket
+    vals = sorted([-1e9, -1000.5, -3.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 2.0, 3.999, 1e6, 1e300])
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = [r.b for r in df.select(value_bucket(F.col("v")).alias("b")).collect()]
+    assert got == sorted(got)
