@@ -25,6 +25,13 @@ LATENCY_BUCKETS = [0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 2.0, 5.0]
 BATCH_BUCKETS = [1, 5, 10, 20, 50, 100]
 
 
+def safe_div(a, b):
+    """a / b, null when b is 0 (ANSI mode raises on division by zero)."""
+    b = F.col(b) if isinstance(b, str) else b
+    a = F.col(a) if isinstance(a, str) else a
+    return F.when(b != 0, a / b)
+
+
 def _one_row(*frames: DataFrame) -> DataFrame:
     """Combine one-row frames with disjoint columns into one row (union + max, no join)."""
     cols = [c for f in frames for c in f.columns]
@@ -59,8 +66,8 @@ def rolling_metrics(samples: DataFrame, n: int = LAST_N) -> DataFrame:
                          _duration_s(samples).alias("duration_s"))
     row = _one_row(recent, totals)
     return row.select("p50", "p95", "p99", "total_requests", "errors",
-                      F.round(F.col("total_requests") / F.col("duration_s"), 6).alias("throughput_rps"),
-                      F.round(F.col("errors") / F.col("total_requests"), 9).alias("error_rate"))
+                      F.round(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"),
+                      F.round(safe_div("errors", "total_requests"), 9).alias("error_rate"))
 
 
 def client_metrics(samples: DataFrame) -> DataFrame:
@@ -77,9 +84,9 @@ def client_metrics(samples: DataFrame) -> DataFrame:
     row = _one_row(pct, totals)
     return row.select(
         "total_requests", "failed_requests",
-        F.round((F.col("total_requests") - F.col("failed_requests")) / F.col("total_requests"), 9).alias("success_rate"),
+        F.round(safe_div(F.col("total_requests") - F.col("failed_requests"), "total_requests"), 9).alias("success_rate"),
         "p50", "p95", "p99", "single_requests", "batch_requests", "batch_errors",
-        F.round(F.col("total_requests") / F.col("duration_s"), 6).alias("throughput_rps"))
+        F.round(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"))
 
 
 def penalised_metrics(samples: DataFrame) -> DataFrame:
@@ -91,8 +98,8 @@ def penalised_metrics(samples: DataFrame) -> DataFrame:
                      F.count_if(~F.col("ok")).alias("errors"))
     row = _one_row(pct, totals)
     return row.select("p50", "p95", "p99", F.col("n").alias("sample_count"),
-                      F.round(F.col("n") / (F.col("lat_sum") / F.lit(1000.0)), 6).alias("throughput_rps"),
-                      F.round(F.col("errors") / F.col("n"), 9).alias("error_rate"))
+                      F.round(safe_div("n", F.col("lat_sum") / F.lit(1000.0)), 6).alias("throughput_rps"),
+                      F.round(safe_div("errors", "n"), 9).alias("error_rate"))
 
 
 def stage_metrics(samples: DataFrame, window_ms: int = REPORT_WINDOW_MS) -> DataFrame:
@@ -148,5 +155,5 @@ def compare_runs(samples: DataFrame, run_of) -> DataFrame:
     before = tall.filter(F.col("run") == "before").select("metric", F.col("value").alias("before"))
     after = tall.filter(F.col("run") == "after").select("metric", F.col("value").alias("after"))
     paired = before.join(after, "metric", "inner")
-    imp = F.when(F.col("before") != 0, (F.col("before") - F.col("after")) / F.col("before") * 100)
+    imp = safe_div(F.col("before") - F.col("after"), "before") * 100
     return paired.select("metric", "before", "after", F.round(imp, 6).alias("improvement_pct"))

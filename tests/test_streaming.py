@@ -111,3 +111,16 @@ def test_watermark_counts_invalid_rows(spark):
     optimized = text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     # the validity filter must stay above the watermark node, so bad rows still advance the watermark
     assert optimized.index("Filter") < optimized.index("EventTimeWatermark")
+
+
+def test_rate_replay_source_maps_ticks_to_rows(spark):
+    from pyspark.sql import functions as F
+    records = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "row_index long, value string")
+    src = sources.rate_replay_source(spark, records, n_rows=3, rows_per_batch=7, t0_ms=1000, step_ms=100)
+    name = "replay_probe"
+    q = src.writeStream.format("memory").queryName(name).trigger(once=True).start()
+    assert q.awaitTermination(120)
+    rows = {r.seq: r for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    assert sorted(rows) == list(range(7))
+    assert [rows[i].value for i in range(7)] == ["a", "b", "c", "a", "b", "c", "a"]
+    assert rows[4].arrival_ms == 1000 + 100 * 5
