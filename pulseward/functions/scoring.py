@@ -57,7 +57,11 @@ def risk_level(score: Column) -> Column:
 
 
 def weighted_score() -> Column:
-    """Mean of the weights that fired; 0.5 when none fired. A missing (null) feature never fires."""
+    """Mean of the weights that fired; 0.5 when none fired.
+
+    A null in a feature compared with ``>`` (age, bmi, medication_count, length_of_stay) makes the
+    evaluation fail: the score is null and R4 turns it into 'medium'. Null diabetes / hypertension
+    (compared with ``==``) simply do not fire."""
     conds = {
         "age": F.col("age") > AGE_LIMIT,
         "bmi": F.col("bmi") > BMI_LIMIT,
@@ -71,7 +75,9 @@ def weighted_score() -> Column:
         on = F.coalesce(conds[name], F.lit(False))
         total = total + F.when(on, F.lit(weight)).otherwise(F.lit(0.0))
         fired = fired + on.cast("int")
-    return F.when(fired > 0, total / fired).otherwise(F.lit(0.5))
+    failed = (F.col("age").isNull() | F.col("bmi").isNull() | F.col("medication_count").isNull()
+              | F.col("length_of_stay").isNull())
+    return F.when(failed, F.lit(None).cast("double")).when(fired > 0, total / fired).otherwise(F.lit(0.5))
 
 
 def weighted_level(score: Column) -> Column:

@@ -36,11 +36,11 @@ def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: lis
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     ranked = chunked_running(counts, keys, value_bucket(F.col("_v")), ["_v"],
                              [Running("_hi", "sum", F.col("_c"))])
-    totals = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    join_keys = keys or ["_k"]
-    if not keys:  # one global row: joined on a constant key (a one-row table, planned as a broadcast)
-        ranked, totals = ranked.withColumn("_k", F.lit(0)), totals.withColumn("_k", F.lit(0))
-    ranked = ranked.join(totals, join_keys)
+    if keys:
+        ranked = ranked.join(counts.groupBy(*keys).agg(F.sum("_c").alias("_n")), keys)
+    else:  # no key: the total is one number, read from a one-row aggregate
+        n = counts.agg(F.sum("_c")).first()[0] or 0
+        ranked = ranked.withColumn("_n", F.lit(n).cast("long"))
     picks = []
     for name, q in qs.items():
         pos = (F.col("_n") - 1) * F.lit(float(q))
@@ -49,7 +49,7 @@ def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: lis
         picks += [F.max(F.when(hit(lo), F.col("_v"))).alias(f"_{name}_lo"),
                   F.max(F.when(hit(hi), F.col("_v"))).alias(f"_{name}_hi"),
                   F.max(pos - lo).alias(f"_{name}_f")]
-    agg = ranked.groupBy(*join_keys).agg(*picks)
+    agg = ranked.groupBy(*keys).agg(*picks)
     out = [F.round(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f"), digits).alias(n)
            for n in qs]
     return agg.select(*keys, *out)

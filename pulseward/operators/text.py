@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 NUM_FEATURES = 1 << 18
 
 
-def text_pipeline(max_iter: int = 30, reg: float = 0.01) -> Pipeline:
+def text_pipeline(max_iter: int = 15, reg: float = 0.01, tol: float = 1e-4) -> Pipeline:
     return Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W+", toLowercase=True, minTokenLength=1),
         HashingTF(inputCol="tokens", outputCol="tf", numFeatures=NUM_FEATURES),
         IDF(inputCol="tf", outputCol="features", minDocFreq=1),
-        LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg,
+        LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol,
                            probabilityCol="probability", predictionCol="prediction"),
     ])
 

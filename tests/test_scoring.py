@@ -63,3 +63,13 @@ def test_softmax_argmax(spark):
     assert out[0].p[1] == pytest.approx(e / (1 + e)) and out[0].c == 1
     assert out[1].c == 0 and out[1].p[0] == pytest.approx(0.5)      # tie -> first class
     assert out[2].p[0] == pytest.approx(1.0) and out[2].c == 0       # stable for large logits
+
+
+def test_weighted_score_null_feature_is_medium(spark):
+    df = spark.createDataFrame([(None, 32.0, 6, 8, 1, 1, 0), (70, 32.0, 6, 8, None, None, 0)],
+                               "age int, bmi double, medication_count int, length_of_stay int, diabetes int, "
+                               "hypertension int, cholesterol int")
+    w = scoring.weighted_score()
+    out = df.select(w.alias("w"), scoring.weighted_level(w).alias("l")).collect()
+    assert out[0].w is None and out[0].l == "medium"
+    assert round(out[1].w, 6) == round(0.7 / 4, 6) and out[1].l == "low"
