@@ -11,12 +11,20 @@ def _plan(df):
 
 
 def test_feed_scan_reads_only_needed_columns(spark):
-    plan = _plan(QUERIES["event_time"](spark, SF_SMALL))
+    from pulseward.sources.feed import feed
+    plan = _plan(feed(spark, SF_SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert schemas and all(set(s.split(",")) <= {"event_id:bigint", "ts:timestamp_ntz", "user_id:bigint",
                                                   "event_type:string"} for s in schemas)
 
 
+def test_queries_read_only_their_columns_of_the_parsed_table(spark):
+    plan = _plan(QUERIES["event_time"](spark, SF_SMALL))
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == ["seq:bigint,arrival_ms:bigint,event_time_ms:bigint"]
+    plan = _plan(QUERIES["validate_records"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNull(error)]" in plan
+
+
 def test_running_state_shuffles_rows_once_on_patient_and_chunk(spark):
     df = QUERIES["patient_risk_running"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().sparkPlan().toString()
