@@ -27,13 +27,14 @@ def checked_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermarked_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lateness.with_watermark(checked_feed(spark, sf_dir))
+    """The parsed feed with ``watermark_ms`` and ``late``, written once as a table: the watermark shuffle runs
+    once per session, and every reader (late rows, late ratio, quality, accepted records) prunes and filters."""
+    return materialize(spark, lateness.with_watermark(checked_feed(spark, sf_dir)), "watermarked", sf_dir)
 
 
 def accepted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted records, written once per session as a table in the checkpoint folder (read by two branches)."""
-    acc = lateness.accepted(watermarked_feed(spark, sf_dir)).select(*ACCEPTED_COLUMNS)
-    return materialize(spark, acc, "accepted", sf_dir)
+    """Valid, on-time records: a filter on the stored watermarked table (pushed into the scan)."""
+    return lateness.accepted(watermarked_feed(spark, sf_dir)).select(*ACCEPTED_COLUMNS)
 
 
 def scored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
