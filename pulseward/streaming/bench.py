@@ -18,7 +18,8 @@ from ..sources.feed import feed
 from . import pipeline, sources
 
 
-def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadline_s: float = 600.0) -> dict:
+def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadline_s: float = 600.0,
+                      engine: str = "tws") -> dict:
     root = tempfile.mkdtemp(prefix="pulseward-streambench-", dir="/tmp")
     inp = os.path.join(root, "in")
     fd = feed(spark, sf_dir)
@@ -32,8 +33,8 @@ def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadl
     src = sources.file_source(spark, os.path.join(inp, "*"), fmt="parquet", max_files_per_trigger=1)
     started = time.perf_counter()
     q = pipeline.start_risk_query(src, os.path.join(root, "out"), os.path.join(root, "ck"),
-                                  trigger={"processingTime": "0 seconds"})
-    done_rows, durations = 0, []
+                                  trigger={"processingTime": "0 seconds"}, engine=engine)
+    done_rows, durations, phases = 0, [], []
     seen = set()
     try:
         while time.perf_counter() - started < deadline_s:
@@ -42,6 +43,7 @@ def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadl
                     seen.add(p["batchId"])
                     done_rows += p["numInputRows"]
                     durations.append(p["durationMs"].get("triggerExecution", 0))
+                    phases.append(p["durationMs"])
             if done_rows >= n:
                 break
             time.sleep(0.2)
@@ -49,8 +51,11 @@ def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadl
     finally:
         q.stop()
     durations.sort()
-    return {"stream_rows": done_rows, "stream_seconds": round(elapsed, 3),
+    return {"stream_engine": engine, "stream_rows": done_rows, "stream_seconds": round(elapsed, 3),
             "stream_rows_per_sec": round(done_rows / elapsed, 1) if elapsed else None,
             "stream_batches": len(durations),
             "stream_batch_ms_p50": durations[len(durations) // 2] if durations else None,
-            "stream_batch_ms_max": durations[-1] if durations else None}
+            "stream_batch_ms_max": durations[-1] if durations else None,
+            "stream_phase_ms_median": {k: sorted(p.get(k, 0) for p in phases)[len(phases) // 2]
+                                       for k in ("addBatch", "queryPlanning", "walCommit", "commitOffsets",
+                                                 "latestOffset", "getBatch")} if phases else None}

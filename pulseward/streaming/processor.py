@@ -59,7 +59,7 @@ class PatientRiskProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         now_ms = timerValues.getCurrentProcessingTimeInMs()
-        current = self.state.get() if self.state.exists() else None
+        current = self.state.get()  # None when absent or expired (one state call instead of two)
         if current is None:
             total = high = medium = low = 0
             last_activity, created = 0, now_ms

@@ -22,8 +22,8 @@ def _rec(seq, pid, ts, arrival, age=70, **kw):
 
 
 class Harness:
-    def __init__(self, spark, ttl_ms=pipeline.TTL_MS):
-        self.spark, self.ttl_ms = spark, ttl_ms
+    def __init__(self, spark, ttl_ms=pipeline.TTL_MS, engine="tws"):
+        self.spark, self.ttl_ms, self.engine = spark, ttl_ms, engine
         self.root = tempfile.mkdtemp(prefix="pulseward-stream-", dir="/tmp")
         self.inp = os.path.join(self.root, "in")
         self.out = os.path.join(self.root, "out")
@@ -38,7 +38,8 @@ class Harness:
 
     def run(self):
         q = pipeline.start_risk_query(sources.file_source(self.spark, self.inp), self.out,
-                                      os.path.join(self.root, "ck"), ttl_ms=self.ttl_ms, trigger={"once": True})
+                                      os.path.join(self.root, "ck"), ttl_ms=self.ttl_ms, trigger={"once": True},
+                                      engine=self.engine)
         assert q.awaitTermination(180)
         d = pipeline.start_dlq_query(sources.file_source(self.spark, self.inp), self.out,
                                      os.path.join(self.root, "ckd"), trigger={"once": True})
@@ -48,9 +49,9 @@ class Harness:
         return {r.seq: r for r in sinks.read_table(self.spark, self.out, name).collect()}
 
 
-@pytest.fixture(scope="module")
-def two_batches(spark):
-    h = Harness(spark)
+@pytest.fixture(scope="module", params=["pandas", "tws"])
+def two_batches(spark, request):
+    h = Harness(spark, engine=request.param)
     h.add([_rec(1, 1, 100_000, 100_000), _rec(2, 2, 100_000, 100_001), {"seq": 3, "arrival_ms": 100_002,
                                                                         "value": "{bad"}])
     h.run()
@@ -93,8 +94,9 @@ def test_rerun_without_new_data_adds_nothing(two_batches):
     assert {t: len(two_batches.table(t)) for t in ("results", "late", "dlq")} == before
 
 
-def test_state_expires_after_ttl(spark):
-    h = Harness(spark, ttl_ms=2_000)
+@pytest.mark.parametrize("engine", ["pandas", "tws"])
+def test_state_expires_after_ttl(spark, engine):
+    h = Harness(spark, ttl_ms=2_000, engine=engine)
     h.add([_rec(1, 9, 1_000, 1_000)])
     h.run()
     time.sleep(5)
@@ -104,6 +106,20 @@ def test_state_expires_after_ttl(spark):
     assert res[2].patient_stats.total_records == 1
 
 
+@pytest.mark.parametrize("engine", ["pandas", "tws"])
+def test_state_kept_within_ttl_and_late_only_batch_keeps_expiry(spark, engine):
+    h = Harness(spark, ttl_ms=600_000, engine=engine)
+    h.add([_rec(1, 9, 100_000, 100_000)])
+    h.run()
+    h.add([_rec(2, 9, 50_000, 100_100)])            # late only: no write
+    h.run()
+    h.add([_rec(3, 9, 100_200, 100_200)])
+    h.run()
+    res = h.table("results")
+    assert sorted(res) == [1, 3] and res[3].patient_stats.total_records == 2
+    assert list(h.table("late")) == [2]
+
+
 def test_watermark_counts_invalid_rows(spark):
     from pulseward.streaming.pipeline import risk_stream
     df = risk_stream(sources.file_source(spark, tempfile.mkdtemp(prefix="pulseward-empty-", dir="/tmp")))
