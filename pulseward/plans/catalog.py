@@ -138,6 +138,8 @@ from ..operators import features as feat  # noqa: E402
 
 
 def _feature_table(spark, sf_dir):
+    """The stored feature table: upserts from accepted records of patients with id % 3 <> 0. The other third
+    has no stored features, so lookups exercise the default row (fixture definition, not a sample)."""
     acc = live.accepted_records(spark, sf_dir)
     return feat.upsert_features(acc.filter(F.col("patient_id") % 3 != 0))
 

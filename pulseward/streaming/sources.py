@@ -48,3 +48,16 @@ def rate_replay_source(spark: SparkSession, records: DataFrame, n_rows: int, row
              .select(F.col("value").alias("seq"), (F.col("value") % F.lit(n_rows)).alias("row_index")))
     joined = ticks.join(records.select("row_index", "value"), "row_index")
     return joined.select("seq", (F.lit(t0_ms) + F.lit(step_ms) * (F.col("seq") + 1)).alias("arrival_ms"), "value")
+
+
+def pick_source(spark: SparkSession, kind: str, **options) -> DataFrame:
+    """The stream source named by configuration: 'kafka' (bootstrap, topic, group, max_offsets_per_trigger),
+    'files' (path, fmt, max_files_per_trigger) or 'rate' (records, n_rows, rows_per_batch, t0_ms).
+    There is no broker probing: an unavailable broker is a configuration error, not a silent switch."""
+    if kind == "kafka":
+        return kafka_source(spark, **options)
+    if kind == "files":
+        return file_source(spark, **options)
+    if kind == "rate":
+        return rate_replay_source(spark, **options)
+    raise ValueError(f"unknown source kind {kind!r}")
