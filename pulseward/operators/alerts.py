@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
 from .scan import Running, chunked_running
 
 DAY_MS = 86_400_000
@@ -115,5 +116,5 @@ def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int =
     marked = island_points(rated, F.col("rate") > 0, ["series"])
     firing = F.col("_hold") & (F.col("ts_ms") >= F.col("island_start_ms") + F.lit(for_ms))
     return marked.select("seq", "ts_ms", F.col("value").alias("counter"), "increase",
-                         F.round("rate", 9).alias("rate_5m"), (F.col("rate") > 0).alias("above"),
+                         round_half("rate", 9).alias("rate_5m"), (F.col("rate") > 0).alias("above"),
                          F.coalesce(firing, F.lit(False)).alias("firing"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
 from ..functions.records import LATE_DELAY_MS, parse_records, with_checks
 from .scan import Running, chunked_running
 
@@ -50,5 +51,5 @@ def late_ratio(watermarked: DataFrame) -> DataFrame:
     agg = valid.agg(F.count(F.lit(1)).alias("valid_records"),
                     F.count_if(F.col("late")).alias("late_records"))
     ratio = F.when(F.col("valid_records") > 0, F.col("late_records") / F.col("valid_records")).otherwise(F.lit(0.0))
-    return agg.select("valid_records", "late_records", F.round(ratio, 9).alias("late_ratio"),
+    return agg.select("valid_records", "late_records", round_half(ratio, 9).alias("late_ratio"),
                       (ratio > LATE_ALARM_RATIO).alias("late_alarm"))

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_mean, exact_mean_parts, round_half
 from .percentiles import exact_percentiles
 
 PCTS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
@@ -53,21 +54,22 @@ def latency_summary(samples: DataFrame) -> DataFrame:
     """p50/p95/p99 (linear), max, min, mean, population std and the p99 < 30 ms check."""
     pct = exact_percentiles(samples, "latency_ms", PCTS)
     stats = samples.agg(F.count(F.lit(1)).alias("sample_count"), F.max("latency_ms").alias("max"),
-                        F.min("latency_ms").alias("min"), F.round(F.avg("latency_ms"), 6).alias("mean"),
-                        F.round(F.stddev_pop("latency_ms"), 6).alias("std"))
+                        F.min("latency_ms").alias("min"), *exact_mean_parts("latency_ms", "mean"),
+                        round_half(F.stddev_pop("latency_ms"), 6).alias("std"))
+    stats = stats.select("sample_count", "max", "min", exact_mean("mean").alias("mean"), "std")
     row = _one_row(pct, stats)
     return row.withColumn("sla_ok", F.col("p99") < F.lit(SLA_P99_MS))
 
 
 def rolling_metrics(samples: DataFrame, n: int = LAST_N) -> DataFrame:
     """Percentiles over the last ``n`` samples; throughput and error rate over all samples."""
-    recent = last_n(samples, n).agg(*[F.round(F.percentile("latency_ms", q), 6).alias(k) for k, q in PCTS.items()])
+    recent = last_n(samples, n).agg(*[round_half(F.percentile("latency_ms", q), 6).alias(k) for k, q in PCTS.items()])
     totals = samples.agg(F.count(F.lit(1)).alias("total_requests"), F.count_if(~F.col("ok")).alias("errors"),
                          _duration_s(samples).alias("duration_s"))
     row = _one_row(recent, totals)
     return row.select("p50", "p95", "p99", "total_requests", "errors",
-                      F.round(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"),
-                      F.round(safe_div("errors", "total_requests"), 9).alias("error_rate"))
+                      round_half(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"),
+                      round_half(safe_div("errors", "total_requests"), 9).alias("error_rate"))
 
 
 def client_metrics(samples: DataFrame) -> DataFrame:
@@ -84,9 +86,9 @@ def client_metrics(samples: DataFrame) -> DataFrame:
     row = _one_row(pct, totals)
     return row.select(
         "total_requests", "failed_requests",
-        F.round(safe_div(F.col("total_requests") - F.col("failed_requests"), "total_requests"), 9).alias("success_rate"),
+        round_half(safe_div(F.col("total_requests") - F.col("failed_requests"), "total_requests"), 9).alias("success_rate"),
         "p50", "p95", "p99", "single_requests", "batch_requests", "batch_errors",
-        F.round(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"))
+        round_half(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"))
 
 
 def penalised_metrics(samples: DataFrame) -> DataFrame:
@@ -98,8 +100,8 @@ def penalised_metrics(samples: DataFrame) -> DataFrame:
                      F.count_if(~F.col("ok")).alias("errors"))
     row = _one_row(pct, totals)
     return row.select("p50", "p95", "p99", F.col("n").alias("sample_count"),
-                      F.round(safe_div("n", F.col("lat_sum") / F.lit(1000.0)), 6).alias("throughput_rps"),
-                      F.round(safe_div("errors", "n"), 9).alias("error_rate"))
+                      round_half(safe_div("n", F.col("lat_sum") / F.lit(1000.0)), 6).alias("throughput_rps"),
+                      round_half(safe_div("errors", "n"), 9).alias("error_rate"))
 
 
 def stage_metrics(samples: DataFrame, window_ms: int = REPORT_WINDOW_MS) -> DataFrame:
@@ -107,8 +109,9 @@ def stage_metrics(samples: DataFrame, window_ms: int = REPORT_WINDOW_MS) -> Data
     win_ms = F.floor(F.col("ts_ms") / F.lit(window_ms)) * F.lit(window_ms)
     keyed = samples.select("stage", win_ms.alias("window_start_ms"), "latency_ms")
     pct = exact_percentiles(keyed, "latency_ms", {"p95_ms": 0.95}, keys=["stage", "window_start_ms"])
-    stats = keyed.groupBy("stage", "window_start_ms").agg(F.round(F.avg("latency_ms"), 6).alias("avg_ms"),
+    stats = keyed.groupBy("stage", "window_start_ms").agg(*exact_mean_parts("latency_ms", "avg"),
                                                           F.count(F.lit(1)).alias("count"))
+    stats = stats.select("stage", "window_start_ms", exact_mean("avg").alias("avg_ms"), "count")
     return stats.join(pct, ["stage", "window_start_ms"], "inner")
 
 
@@ -135,7 +138,7 @@ def latency_histogram(samples: DataFrame, n: int = LAST_N) -> DataFrame:
     """Cumulative latency histogram (seconds) over the last ``n`` samples, with sum and count."""
     recent = last_n(samples, n).select((F.col("latency_ms") / F.lit(1000.0)).alias("s"))
     out = _histogram(recent, "s", LATENCY_BUCKETS, [str(b) for b in LATENCY_BUCKETS])
-    return out.withColumn("total_sum", F.round("total_sum", 6))
+    return out.withColumn("total_sum", round_half("total_sum", 6))
 
 
 def batch_size_histogram(samples: DataFrame, n: int = LAST_N) -> DataFrame:
@@ -148,7 +151,7 @@ def compare_runs(samples: DataFrame, run_of) -> DataFrame:
     """Per-run p50/p95/p99/mean, paired on the metric name, with the improvement in percent."""
     runs = samples.select(run_of.alias("run"), "latency_ms")
     pct = exact_percentiles(runs, "latency_ms", PCTS, keys=["run"])
-    mean = runs.groupBy("run").agg(F.round(F.avg("latency_ms"), 6).alias("mean"))
+    mean = runs.groupBy("run").agg(*exact_mean_parts("latency_ms", "mean")).select("run", exact_mean("mean").alias("mean"))
     wide = pct.join(mean, "run")
     tall = wide.select("run", F.expr("stack(4, 'p50', p50, 'p95', p95, 'p99', p99, 'mean', mean)")
                        .alias("metric", "value"))
@@ -156,4 +159,4 @@ def compare_runs(samples: DataFrame, run_of) -> DataFrame:
     after = tall.filter(F.col("run") == "after").select("metric", F.col("value").alias("after"))
     paired = before.join(after, "metric", "inner")
     imp = safe_div(F.col("before") - F.col("after"), "before") * 100
-    return paired.select("metric", "before", "after", F.round(imp, 6).alias("improvement_pct"))
+    return paired.select("metric", "before", "after", round_half(imp, 6).alias("improvement_pct"))

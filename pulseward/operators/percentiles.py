@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
 from .scan import Running, chunked_running
 
 BUCKETS_PER_DOUBLING = 64
@@ -50,6 +51,6 @@ def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: lis
                   F.max(F.when(hit(hi), F.col("_v"))).alias(f"_{name}_hi"),
                   F.max(pos - lo).alias(f"_{name}_f")]
     agg = ranked.groupBy(*keys).agg(*picks)
-    out = [F.round(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f"), digits).alias(n)
+    out = [round_half(F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f"), digits).alias(n)
            for n in qs]
     return agg.select(*keys, *out)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
+
 LEVELS = ("high", "medium", "low")
 # The limits of the quality rules.
 PSI_LIMIT = 0.2
@@ -50,7 +52,7 @@ def psi_between(df: DataFrame, is_reference: Column) -> DataFrame:
     a = [F.col(f"c_{l}") / F.col("current_records") for l in LEVELS]
     both = (F.col("reference_records") > 0) & (F.col("current_records") > 0)
     psi = F.when(both, psi_terms(e, a))
-    return agg.select("reference_records", "current_records", F.round(psi, 9).alias("psi"),
+    return agg.select("reference_records", "current_records", round_half(psi, 9).alias("psi"),
                       F.coalesce(psi > PSI_LIMIT, F.lit(False)).alias("drift"))
 
 
@@ -112,15 +114,15 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
                      *[p.alias(f"pv_{l}") for p, l in zip(prev, LEVELS)])
     psi = F.when(F.col("pv_high").isNotNull(),
                  psi_terms([F.col(f"pv_{l}") for l in LEVELS], [F.col(f"sh_{l}") for l in LEVELS]))
-    acc = acc.select("hour_ms", F.round(psi, 9).alias("psi_prev_hour"))
+    acc = acc.select("hour_ms", round_half(psi, 9).alias("psi_prev_hour"))
     out = with_live.filter(F.col("valid_records") > 0).join(acc, "hour_ms", "left")
     ratio = F.col("late_records") / F.col("valid_records")
     growth = F.when(F.col("prev_live") > 0, F.col("live_states") / F.col("prev_live") - 1)
     return out.select(
-        "hour_ms", "valid_records", "late_records", F.round(ratio, 9).alias("late_ratio"),
+        "hour_ms", "valid_records", "late_records", round_half(ratio, 9).alias("late_ratio"),
         (ratio > LATE_RATIO_LIMIT).alias("late_flag"),
         "psi_prev_hour", F.coalesce(F.col("psi_prev_hour") > PSI_LIMIT, F.lit(False)).alias("drift_flag"),
-        F.col("live_states").cast("long").alias("live_states"), F.round(growth, 9).alias("state_growth"),
+        F.col("live_states").cast("long").alias("live_states"), round_half(growth, 9).alias("state_growth"),
         F.coalesce(growth > STATE_GROWTH_LIMIT, F.lit(False)).alias("growth_flag"),
         "checkpoint_ms", F.coalesce(F.col("checkpoint_ms") > CHECKPOINT_LIMIT_MS, F.lit(False)).alias("checkpoint_flag"),
         "lag_records", (F.col("lag_records") > LAG_LIMIT).alias("lag_flag"),

@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
+
 NUM_FEATURES = 1 << 18
 
 
@@ -46,5 +48,5 @@ def score(model: PipelineModel, docs: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id",
         F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
-        F.round(F.element_at(p, cls + 1), 6).alias("confidence"),
+        round_half(F.element_at(p, cls + 1), 6).alias("confidence"),
         F.size("tokens").alias("n_tokens"))

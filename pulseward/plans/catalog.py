@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_half
 from ..operators import lateness, running
 from ..schemas import RECORD_COLUMNS
 from . import live
@@ -107,7 +108,7 @@ def weighted_risk(spark, sf_dir):
     """Mean of the fired weights (0.5 when none fired) and its level."""
     df = live.checked_feed(spark, sf_dir).filter(F.col("error").isNull())
     score = scoring.weighted_score()
-    return df.select("seq", F.round(score, 9).alias("weighted_score"),
+    return df.select("seq", round_half(score, 9).alias("weighted_score"),
                      scoring.weighted_level(score).alias("weighted_level"))
 
 
@@ -115,7 +116,7 @@ def weighted_risk(spark, sf_dir):
 def linear_risk(spark, sf_dir):
     """(age/100 + bmi/40 + medication_count/10) / 3."""
     df = live.checked_feed(spark, sf_dir).filter(F.col("error").isNull())
-    return df.select("seq", F.round(scoring.linear_score(), 9).alias("linear_score"))
+    return df.select("seq", round_half(scoring.linear_score(), 9).alias("linear_score"))
 
 
 @query
@@ -127,9 +128,9 @@ def softmax_label(spark, sf_dir):
     return probs.select(
         "vec_id",
         F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
-        F.round(F.element_at("p", (cls + 1).cast("int")), 9).alias("confidence"),
-        F.round(F.element_at("p", 1), 9).alias("p_negative"),
-        F.round(F.element_at("p", 2), 9).alias("p_positive"))
+        round_half(F.element_at("p", (cls + 1).cast("int")), 9).alias("confidence"),
+        round_half(F.element_at("p", 1), 9).alias("p_negative"),
+        round_half(F.element_at("p", 2), 9).alias("p_positive"))
 
 
 # ---------------------------------------------------------------- step 4: features

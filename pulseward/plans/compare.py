@@ -1,12 +1,14 @@
 """Local correctness check: run a catalogue query in Spark and its oracle SQL in DuckDB, compare results.
 
-Comparison: same column names (sorted), same row count, and the same multiset of rows after normalising
-(floats rounded to 9 significant digits, NaN/None unified). Used by tests and ``python -m pulseward.plans.compare``.
+Comparison: same column names (sorted) and types, same row count, and the same multiset of rows after
+normalising (floats rounded to 9 significant digits, NaN/None unified; PULSEWARD_STRICT_COMPARE=1 compares
+floats exactly). Used by tests and ``python -m pulseward.plans.compare``.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 from collections import Counter
 
@@ -26,13 +28,16 @@ _DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VAR
                   "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint", "DATE": "date"}
 
 
+STRICT = os.environ.get("PULSEWARD_STRICT_COMPARE", "0") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())

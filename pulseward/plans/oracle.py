@@ -448,3 +448,42 @@ c6 AS (SELECT *, min(ts_ms) OVER (PARTITION BY grp, hold) AS island_start FROM c
 SELECT seq, ts_ms, value AS counter, increase, round(rate, 9) AS rate_5m, rate > 0 AS above,
   coalesce(hold AND ts_ms >= island_start + 60000, false) AS firing
 FROM c6"""
+
+
+# ---------------------------------------------------------------- engine-independent rounding and means
+# The Spark side rounds with ``functions.numeric``: floor(x * 10^d + 0.5) / 10^d, and exact means from a
+# DECIMAL(38,0) sum of values scaled by 10^10. The SQL above writes ``round(x, d)`` and
+# ``round(avg(col), d)`` for readability; both are rewritten here into the identical formulas.
+
+
+def exact_mean_sql(col: str, digits: int) -> str:
+    d = 10 ** (10 - digits)
+    return (f"CASE WHEN count({col}) > 0 THEN CAST((2 * CAST(sum(CAST({col} * 1e10 AS DECIMAL(38,0))) AS HUGEINT)"
+            f" + count({col}) * {d}) // (2 * count({col}) * {d}) AS DOUBLE) / 1e{digits} END")
+
+
+def _rewrite_round(sql: str) -> str:
+    out = sql
+    while True:
+        i = next((k for k in range(len(out)) if out.startswith("round(", k)
+                  and (k == 0 or not (out[k - 1].isalnum() or out[k - 1] == "_"))), -1)
+        if i < 0:
+            return out
+        depth, comma, j = 0, -1, i + len("round(")
+        while True:
+            ch = out[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = j
+            j += 1
+        expr, digits = out[i + len("round("):comma].strip(), int(out[comma + 1:j].strip())
+        out = f"{out[:i]}floor(({expr}) * 1e{digits} + 0.5) / 1e{digits}{out[j + 1:]}"
+
+
+ORACLE = {name: _rewrite_round(sql.replace("round(avg(latency_ms), 6)", exact_mean_sql("latency_ms", 6)))
+          for name, sql in ORACLE.items()}
