@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
+from ..staging import stage
 from .scan import Running, chunked_running
 
 DAY_MS = 86_400_000
@@ -113,7 +114,8 @@ def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int =
     with_inc = prev.withColumn("increase", inc).drop("_prev")
     summed = trailing_sum(with_inc, ["series"], "increase", range_ms)
     rated = summed.withColumn("rate", F.col("increase_sum") / F.lit(range_ms / 1000.0)).drop("increase_sum")
-    marked = island_points(rated, F.col("rate") > 0, ["series"])
+    # stored once: the island step reads the rated points in two branches
+    marked = island_points(stage(rated, "counter_rate"), F.col("rate") > 0, ["series"])
     firing = F.col("_hold") & (F.col("ts_ms") >= F.col("island_start_ms") + F.lit(for_ms))
     return marked.select("seq", "ts_ms", F.col("value").alias("counter"), "increase",
                          round_half("rate", 9).alias("rate_5m"), (F.col("rate") > 0).alias("above"),

@@ -1,28 +1,12 @@
-"""Materialising shared intermediate tables in the cluster's checkpoint folder.
-
-A DataFrame that feeds two branches of one plan (e.g. the rows and their per-chunk summary) would otherwise be
-recomputed per branch. ``materialize`` writes it once as parquet under ``spark.checkpoint.dir`` (a shared,
-reliable folder; written by retry-safe tasks, so a lost executor only re-runs its tasks) and reads it back,
-which also cuts the lineage. Within one session a table is written once per (source folder, name).
-"""
+"""Shared intermediate tables of the catalogue (see ``pulseward.staging``)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
-
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+from ..staging import shared
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, source: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, source, name)
-    path = _WRITTEN.get(key)
-    if path is None:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
-        df.write.mode("overwrite").parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    """Write ``df`` once per session and source folder; later calls read the stored table."""
+    return shared(spark, df, name, source)
