@@ -5,8 +5,10 @@ strictly earlier in arrival order (arrival_ms, seq) -- all rows, including malfo
 because the watermark is assigned before filtering -- minus the 5 s bound and 1 ms. A record is late when its
 event time is below that watermark. The first arrival has no watermark (null) and is never late.
 
-The running maximum is global (no key), so it is computed with the two-level ``chunked_running`` over
-arrival-time chunks instead of an unpartitioned window.
+The running maximum is global (no key), so it is computed with ``chunked_running`` instead of an
+unpartitioned window. Rows are chunked by (exact arrival ms, block of 2^20 sequence numbers) -- monotone in
+the arrival order, so even a burst with one broker timestamp splits by row count -- and the per-chunk summary
+(about one row per distinct arrival ms) is itself scanned two-level by arrival minute.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from ..functions.numeric import round_half
 from ..functions.records import LATE_DELAY_MS, parse_records, with_checks
 from .scan import Running, chunked_running
 
-WATERMARK_CHUNK_MS = 60_000
+WATERMARK_CHUNK_MS = 60_000     # chunk of the summary level (arrival minute)
+SEQ_BLOCK = 1 << 20             # rows of one arrival ms are split into blocks of this many sequence numbers
 LATE_ALARM_RATIO = 0.05
 
 
@@ -30,10 +33,11 @@ def checked(feed_df: DataFrame) -> DataFrame:
 def with_watermark(checked_df: DataFrame, chunk_ms: int = WATERMARK_CHUNK_MS,
                    delay_ms: int = LATE_DELAY_MS) -> DataFrame:
     """Add ``watermark_ms`` and ``late`` (valid records only can be late)."""
+    chunk = F.struct(F.col("arrival_ms").alias("a"), F.floor(F.col("seq") / F.lit(SEQ_BLOCK)).alias("b"))
     out = chunked_running(
-        checked_df, keys=[], chunk=F.floor(F.col("arrival_ms") / F.lit(chunk_ms)),
-        order=["arrival_ms", "seq"],
-        specs=[Running("_max_before", "max", F.col("event_time_ms"), inclusive=False)])
+        checked_df, keys=[], chunk=chunk, order=["arrival_ms", "seq"],
+        specs=[Running("_max_before", "max", F.col("event_time_ms"), inclusive=False)],
+        summary_chunk=lambda c: F.floor(c.getField("a") / F.lit(chunk_ms)))
     wm = F.col("_max_before") - F.lit(delay_ms + 1)
     return (out.withColumn("watermark_ms", wm)
                .withColumn("late", F.col("error").isNull() & F.coalesce(F.col("event_time_ms") < wm, F.lit(False)))

@@ -13,6 +13,10 @@ The large side is shuffled once, on (keys, chunk); the join back reuses that par
 most one row per non-empty (key, chunk) and is never broadcast by hint: AQE may still turn the join into a
 broadcast after it has measured the summary.
 
+Chunks may be fine-grained (e.g. a struct of the exact arrival time and a block of the sequence number, so
+that even a burst of identical timestamps splits by row count); the summary is then large as well and its
+prefix is computed two-level again (``summary_chunk``).
+
 Supported kinds, each with ``inclusive`` (frame ends at the current row) or exclusive (ends one row before):
   ``sum``  running sum;   ``max``  running maximum (nulls ignored);
   ``prev`` the value of the previous row in order (``lag``), ignoring ``inclusive``.
@@ -20,6 +24,7 @@ Supported kinds, each with ``inclusive`` (frame ends at the current row) or excl
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,8 +40,14 @@ class Running:
 
 
 def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[str],
-                    specs: list[Running], chunk_name: str = "_chunk") -> DataFrame:
-    """Add one column per ``Running`` spec; see module docstring. ``order`` must be unique within a key."""
+                    specs: list[Running], chunk_name: str = "_chunk",
+                    summary_chunk: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Add one column per ``Running`` spec; see module docstring. ``order`` must be unique within a key.
+
+    ``chunk`` may be a struct (compared field by field). With ``summary_chunk`` the prefix over the per-chunk
+    summary is itself computed two-level, chunked by ``summary_chunk(chunk)`` (monotone in the chunk); use it
+    when chunks are fine-grained, so that the summary table is large.
+    """
     part = [*keys, chunk_name]
     base = df.withColumn(chunk_name, chunk)
     w = Window.partitionBy(*part).orderBy(*order)
@@ -71,18 +82,23 @@ def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[s
             summary_aggs.append(F.max_by(x, order_struct).alias(f"_c_{s.name}"))
     summary = local.groupBy(*part).agg(*summary_aggs)
 
-    wc = Window.partitionBy(*keys).orderBy(chunk_name) if keys else Window.orderBy(chunk_name)
-    earlier = wc.rowsBetween(Window.unboundedPreceding, -1)
-    prefix_cols = []
-    for s in specs:
-        c = F.col(f"_c_{s.name}")
-        if s.kind == "sum":
-            prefix_cols.append(F.sum(c).over(earlier).alias(f"_p_{s.name}"))
-        elif s.kind == "max":
-            prefix_cols.append(F.max(c).over(earlier).alias(f"_p_{s.name}"))
-        else:
-            prefix_cols.append(F.lag(c).over(wc).alias(f"_p_{s.name}"))
-    prefix = summary.select(*part, *prefix_cols)
+    if summary_chunk is None:
+        wc = Window.partitionBy(*keys).orderBy(chunk_name) if keys else Window.orderBy(chunk_name)
+        earlier = wc.rowsBetween(Window.unboundedPreceding, -1)
+        prefix_cols = []
+        for s in specs:
+            c = F.col(f"_c_{s.name}")
+            if s.kind == "sum":
+                prefix_cols.append(F.sum(c).over(earlier).alias(f"_p_{s.name}"))
+            elif s.kind == "max":
+                prefix_cols.append(F.max(c).over(earlier).alias(f"_p_{s.name}"))
+            else:
+                prefix_cols.append(F.lag(c).over(wc).alias(f"_p_{s.name}"))
+        prefix = summary.select(*part, *prefix_cols)
+    else:
+        inner = [Running(f"_p_{s.name}", s.kind, F.col(f"_c_{s.name}"), inclusive=False) for s in specs]
+        prefix = chunked_running(summary, keys, summary_chunk(F.col(chunk_name)), [chunk_name], inner,
+                                 chunk_name=f"{chunk_name}_s").select(*part, *[f"_p_{s.name}" for s in specs])
 
     joined = local.join(prefix, on=part, how="inner")
     out_cols = []

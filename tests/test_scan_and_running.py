@@ -102,3 +102,22 @@ def test_value_bucket_is_monotone(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = [r.b for r in df.select(value_bucket(F.col("v")).alias("b")).collect()]
     assert got == sorted(got)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from([0, 5, 5, 5, 60_000, 60_001, 130_000]), st.integers(-50, 50)),
+                     min_size=1, max_size=60))
+def test_recursive_struct_chunks_match_pandas(spark, rows):
+    # many rows share one timestamp (a burst); chunks are (timestamp, block of 4 sequence numbers)
+    pdf = pd.DataFrame([(t, v, i) for i, (t, v) in enumerate(rows)], columns=["t", "v", "seq"])
+    chunk = F.struct(F.col("t").alias("a"), F.floor(F.col("seq") / F.lit(4)).alias("b"))
+    out = chunked_running(spark.createDataFrame(pdf), [], chunk, ["t", "seq"],
+                          [Running("mx", "max", F.col("v"), inclusive=False), Running("s", "sum", F.col("v")),
+                           Running("p", "prev", F.col("v"))],
+                          summary_chunk=lambda c: F.floor(c.getField("a") / F.lit(60_000)))
+    got = out.toPandas().set_index("seq").sort_index()
+    exp = pdf.sort_values(["t", "seq"])
+    exp = exp.assign(s=exp["v"].cumsum(), p=exp["v"].shift(1), mx=exp["v"].cummax().shift(1)).set_index("seq").sort_index()
+    assert (got["s"].values == exp["s"].values).all()
+    np.testing.assert_array_equal(got["mx"].astype(float).values, exp["mx"].astype(float).values)
+    np.testing.assert_array_equal(got["p"].astype(float).values, exp["p"].astype(float).values)
