@@ -8,11 +8,15 @@ arrival (arrival_ms, seq):
     record's own timestamp field -- the last processed record, not the maximum) and the state age (arrival
     time since the segment started, in seconds; arrival replaces wall clock).
 
-Plan (no single-task window even for a patient with a third of all rows): rows are chunked by
-(patient, arrival hour). Because a chunk is shorter than the lifetime, a segment can only start at the first
-row of a chunk, so every segment decision is taken on the small per-chunk summary (first/last arrival and
-level counts per chunk; a window per patient over chunks). The summary is joined back on (patient, chunk)
-and a window inside each chunk adds the running counts of the chunk itself. The rows are shuffled once.
+Plan (no single-task window even for a patient -- or one patient-hour -- with a third of all rows):
+  * hour level: rows are chunked by (patient, arrival hour). Because an hour is shorter than the lifetime, a
+    segment can only start at the first row of an hour chunk, so every segment decision is taken on the
+    per-(patient, hour) summary (first/last arrival and level counts; a window per patient over hours);
+  * sub-chunk level: inside an hour, rows are cut into sub-chunks (exact arrival ms, block of 2^20 sequence
+    numbers); a window per (patient, hour) over the sub-chunk summaries (at most one per distinct ms and
+    block) gives the counts before each sub-chunk. The hour-level values are joined onto this small table;
+  * rows: a window inside each sub-chunk adds the row's own running counts; one join on the sub-chunk key.
+The rows are shuffled once, on (patient, hour, sub-chunk); everything else moves summaries.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from ..functions.scoring import risk_level, seven_factor_score
 
 TTL_MS = 24 * 3600 * 1000
 PATIENT_CHUNK_MS = 3_600_000
+SUB_BLOCK = 1 << 20    # inside one arrival ms, rows are split into blocks of this many sequence numbers
 LEVELS = ("high", "medium", "low")
 
 
@@ -34,19 +39,25 @@ def scored(accepted_df: DataFrame) -> DataFrame:
 def _chunk_plan(df: DataFrame, ttl_ms: int, chunk_ms: int, with_levels: bool) -> DataFrame:
     if chunk_ms > ttl_ms:
         raise ValueError("chunk_ms must not exceed ttl_ms (segments may only start at chunk boundaries)")
-    rows = df.withColumn("_chunk", F.floor(F.col("arrival_ms") / F.lit(chunk_ms)))
+    rows = (df.withColumn("_chunk", F.floor(F.col("arrival_ms") / F.lit(chunk_ms)))
+              .withColumn("_sub", F.struct(F.col("arrival_ms").alias("a"),
+                                           F.floor(F.col("seq") / F.lit(SUB_BLOCK)).alias("b"))))
     keys = ["patient_id", "_chunk"]
+    sub_keys = [*keys, "_sub"]
+    counted = ["total", *LEVELS] if with_levels else ["total"]
 
-    aggs = [F.min("arrival_ms").alias("_first_ms"), F.max("arrival_ms").alias("_last_ms"),
-            F.count(F.lit(1)).alias("_n_total")]
-    if with_levels:
-        aggs += [F.count_if(F.col("risk_level") == l).alias(f"_n_{l}") for l in LEVELS]
-    summary = rows.groupBy(*keys).agg(*aggs)
+    def level_counts(prefix: str) -> list:
+        out = [F.count(F.lit(1)).alias(f"{prefix}total")]
+        if with_levels:
+            out += [F.count_if(F.col("risk_level") == l).alias(f"{prefix}{l}") for l in LEVELS]
+        return out
 
+    # hour level: every segment decision (a segment can only start at the first row of an hour chunk)
+    summary = rows.groupBy(*keys).agg(F.min("arrival_ms").alias("_first_ms"), F.max("arrival_ms").alias("_last_ms"),
+                                      *level_counts("_n_"))
     wc = Window.partitionBy("patient_id").orderBy("_chunk")
     upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    counted = ["total", *LEVELS] if with_levels else ["total"]
     s1 = summary.select(
         *keys, "_first_ms",
         F.lag("_last_ms").over(wc).alias("_prev_last_ms"),
@@ -54,28 +65,39 @@ def _chunk_plan(df: DataFrame, ttl_ms: int, chunk_ms: int, with_levels: bool) ->
     start = F.col("_prev_last_ms").isNull() | (F.col("_first_ms") - F.col("_prev_last_ms") >= F.lit(ttl_ms))
     s1 = s1.withColumn("_chunk_start", start)
     on_start = lambda c: F.when(F.col("_chunk_start"), c)
-    s2 = s1.select(
-        *keys, "_prev_last_ms", "_chunk_start",
+    hour_level = s1.select(
+        *keys, "_prev_last_ms",
         F.max(on_start(F.col("_first_ms"))).over(upto).alias("_seg_start_ms"),
         F.sum(F.col("_chunk_start").cast("long")).over(upto).alias("segment"),
         *[(F.col(f"_cum_{c}") - F.max(on_start(F.col(f"_cum_{c}"))).over(upto)).alias(f"_off_{c}")
           for c in counted])
 
-    w = Window.partitionBy(*keys).orderBy("arrival_ms", "seq")
+    # sub-chunk level inside an hour: counts of earlier sub-chunks and the last arrival before each sub-chunk;
+    # the hour-level values are attached here, on the small table, so the rows are joined only once
+    sub = rows.groupBy(*sub_keys).agg(F.max("arrival_ms").alias("_sub_last_ms"), *level_counts("_m_"))
+    wp = Window.partitionBy(*keys).orderBy("_sub")
+    sub_prefix = sub.select(
+        *sub_keys,
+        F.lag("_sub_last_ms").over(wp).alias("_sb_prev_ms"),
+        *[F.coalesce(F.sum(f"_m_{c}").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+          .alias(f"_sb_{c}") for c in counted]).join(hour_level, keys)
+
+    # rows: running values inside their sub-chunk (one shuffle of the rows, on the sub-chunk)
+    w = Window.partitionBy(*sub_keys).orderBy("arrival_ms", "seq")
     upto_row = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = [F.row_number().over(w).cast("long").alias("_l_total"),
              F.lag("arrival_ms").over(w).alias("_l_prev_ms")]
     if with_levels:
         local += [F.count_if(F.col("risk_level") == l).over(upto_row).alias(f"_l_{l}") for l in LEVELS]
-    joined = rows.select("*", *local).join(s2, on=keys, how="inner")
+    joined = rows.select("*", *local).join(sub_prefix, on=sub_keys, how="inner")
     first = F.col("_l_total") == 1
-    prev = F.when(first, F.col("_prev_last_ms")).otherwise(F.col("_l_prev_ms"))
+    prev = F.when(first, F.coalesce(F.col("_sb_prev_ms"), F.col("_prev_last_ms"))).otherwise(F.col("_l_prev_ms"))
     out = joined.select(
         "*",
         prev.alias("prev_arrival_ms"),
         (F.col("arrival_ms") - prev).alias("gap_ms"),
         F.coalesce(F.col("arrival_ms") - prev >= F.lit(ttl_ms), F.lit(False)).alias("ttl_reset"),
-        *[(F.col(f"_off_{c}") + F.col(f"_l_{c}")).alias(f"_seg_{c}") for c in counted])
+        *[(F.col(f"_off_{c}") + F.col(f"_sb_{c}") + F.col(f"_l_{c}")).alias(f"_seg_{c}") for c in counted])
     return out
 
 

@@ -54,6 +54,10 @@ def _reference_running(pdf):
 @given(rows=st.lists(st.tuples(st.integers(1, 3), st.integers(0, 6 * 86_400_000), st.integers(0, 7)),
                      min_size=1, max_size=50))
 def test_patient_running_matches_sequential_state(spark, rows):
+    _check_patient_running(spark, rows)
+
+
+def _check_patient_running(spark, rows):
     recs = []
     for i, (pid, arrival, hits) in enumerate(rows):
         age = 70 if hits >= 1 else 30
@@ -121,3 +125,17 @@ def test_recursive_struct_chunks_match_pandas(spark, rows):
     assert (got["s"].values == exp["s"].values).all()
     np.testing.assert_array_equal(got["mx"].astype(float).values, exp["mx"].astype(float).values)
     np.testing.assert_array_equal(got["p"].astype(float).values, exp["p"].astype(float).values)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(1, 2), st.sampled_from([0, 7, 7, 7, 3_599_999, 3_600_000,
+                                                                     90_000_000, 90_000_000]),
+                               st.integers(0, 7)), min_size=1, max_size=40))
+def test_patient_running_with_tiny_sub_chunks(spark, rows):
+    import pulseward.operators.running as running_mod
+    old = running_mod.SUB_BLOCK
+    running_mod.SUB_BLOCK = 2          # bursts of one timestamp now span several sub-chunks
+    try:
+        _check_patient_running(spark, rows)
+    finally:
+        running_mod.SUB_BLOCK = old
