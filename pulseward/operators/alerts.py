@@ -3,8 +3,8 @@
 L1 "condition held for a minimum time": consecutive points of a series where the condition holds form an
 island; the alert fires at the first point whose distance to the island's first point is at least ``for``.
 Islands are found without a per-series window: for every point, the last earlier point where the condition
-did *not* hold (a running maximum, computed two-level by ``chunked_running`` over day chunks) identifies the
-island, so islands are groups of an ordinary aggregation. The firing point needs the island start, which is
+did *not* hold (a running maximum, computed by ``chunked_running`` over (timestamp, sequence block) chunks
+with a day-level summary) identifies the island, so islands are groups of an ordinary aggregation. The firing point needs the island start, which is
 joined back on (series, island); AQE splits an island that is very large.
 
 L2 "counter rate over 5 m > 0 held for 1 m": per point the increase since the previous point (a drop is a
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..staging import stage
-from .scan import Running, chunked_running
+from .scan import Running, by_period, chunked_running, time_chunk
 
 DAY_MS = 86_400_000
 
@@ -55,9 +55,10 @@ def island_points(points: DataFrame, cond: F.Column, keys: list[str]) -> DataFra
     maximum value (per ``keys``, ordered by ts_ms, seq)."""
     marked = points.withColumn("_hold", F.coalesce(cond, F.lit(False)))
     # last earlier-or-same point where the condition did not hold identifies the island (-1: none yet)
-    breaks = chunked_running(marked, keys, F.floor(F.col("ts_ms") / F.lit(DAY_MS)), ["ts_ms", "seq"],
+    breaks = chunked_running(marked, keys, time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
                              [Running("_last_break", "max",
-                                      F.when(~F.col("_hold"), F.struct("ts_ms", "seq")))])
+                                      F.when(~F.col("_hold"), F.struct("ts_ms", "seq")))],
+                             summary_chunk=by_period(DAY_MS))
     pts = breaks.withColumn("_island", F.when(F.col("_hold"), F.coalesce(F.col("_last_break.seq"),
                                                                            F.lit(-1).cast("long")))) \
                 .drop("_last_break")
@@ -106,8 +107,8 @@ def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int =
                  for_ms: int = COUNTER_RULE[3]) -> DataFrame:
     """L2: per point of a counter series: increase, rate over the trailing ``range_ms``, alert state."""
     pts = series.filter(F.col("series") == name)
-    prev = chunked_running(pts, ["series"], F.floor(F.col("ts_ms") / F.lit(DAY_MS)), ["ts_ms", "seq"],
-                           [Running("_prev", "prev", F.col("value"))])
+    prev = chunked_running(pts, ["series"], time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
+                           [Running("_prev", "prev", F.col("value"))], summary_chunk=by_period(DAY_MS))
     p = F.col("_prev")
     inc = (F.when(p.isNull(), F.lit(0.0)).when(F.col("value") >= p, F.col("value") - p)
             .otherwise(F.col("value")))

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..functions.records import LATE_DELAY_MS, parse_records, with_checks
-from .scan import Running, chunked_running
+from .scan import Running, by_period, chunked_running, time_chunk
 
 WATERMARK_CHUNK_MS = 60_000     # chunk of the summary level (arrival minute)
-SEQ_BLOCK = 1 << 20             # rows of one arrival ms are split into blocks of this many sequence numbers
 LATE_ALARM_RATIO = 0.05
 
 
@@ -33,11 +32,10 @@ def checked(feed_df: DataFrame) -> DataFrame:
 def with_watermark(checked_df: DataFrame, chunk_ms: int = WATERMARK_CHUNK_MS,
                    delay_ms: int = LATE_DELAY_MS) -> DataFrame:
     """Add ``watermark_ms`` and ``late`` (valid records only can be late)."""
-    chunk = F.struct(F.col("arrival_ms").alias("a"), F.floor(F.col("seq") / F.lit(SEQ_BLOCK)).alias("b"))
     out = chunked_running(
-        checked_df, keys=[], chunk=chunk, order=["arrival_ms", "seq"],
+        checked_df, keys=[], chunk=time_chunk("arrival_ms", "seq"), order=["arrival_ms", "seq"],
         specs=[Running("_max_before", "max", F.col("event_time_ms"), inclusive=False)],
-        summary_chunk=lambda c: F.floor(c.getField("a") / F.lit(chunk_ms)))
+        summary_chunk=by_period(chunk_ms))
     wm = F.col("_max_before") - F.lit(delay_ms + 1)
     return (out.withColumn("watermark_ms", wm)
                .withColumn("late", F.col("error").isNull() & F.coalesce(F.col("event_time_ms") < wm, F.lit(False)))

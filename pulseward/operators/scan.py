@@ -112,3 +112,17 @@ def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[s
             out_cols.append(F.when(F.col("_first_in_chunk"), p).otherwise(l).alias(s.name))
     drop = [c for c in joined.columns if c.startswith(("_l_", "_p_", "_x_")) or c in ("_first_in_chunk", chunk_name)]
     return joined.select("*", *out_cols).drop(*drop)
+
+
+SEQ_BLOCK = 1 << 20
+
+
+def time_chunk(ts: str, seq: str) -> Column:
+    """A fine chunk monotone in the order (ts, seq): the exact timestamp and a block of sequence numbers, so
+    even many rows with one timestamp split by row count. Pair with ``by_period`` as ``summary_chunk``."""
+    return F.struct(F.col(ts).alias("a"), F.floor(F.col(seq) / F.lit(SEQ_BLOCK)).alias("b"))
+
+
+def by_period(period: int) -> Callable[[Column], Column]:
+    """Summary chunk for ``time_chunk``: the period (same unit as the timestamp) that contains the chunk."""
+    return lambda c: F.floor(c.getField("a") / F.lit(period))

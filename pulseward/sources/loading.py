@@ -8,8 +8,9 @@
                    xxhash64(seed, epoch, seq); record i has event time t0 + i * 1000 / rps ms.
   stratified       the first n/2 rows labelled 'Yes' followed by the first n/2 labelled 'No', flagged as tests.
 
-Row numbers (0..N-1 in file order, needed to wrap the replay) come from the two-level running count in
-``operators.scan`` chunked by ``seq``; ranks inside a shuffled epoch likewise, chunked by the top hash bits.
+Row numbers (0..N-1 in file order, needed to wrap the replay) come from the running count in
+``operators.scan`` chunked by blocks of ``seq`` (and the block summaries again by blocks of blocks); ranks
+inside a shuffled epoch likewise, chunked by the top 30 hash bits and summarised by the top 10.
 Replays are generated with ``spark.range`` and an equi-join on the row number, never on the driver.
 """
 
@@ -70,7 +71,8 @@ def to_records(rows: DataFrame, timestamp: F.Column) -> DataFrame:
 def with_row_index(rows: DataFrame, chunk: int = SEQ_CHUNK) -> DataFrame:
     """Add ``row_index`` = 0-based position by ``seq`` without a single-task window."""
     out = chunked_running(rows, [], F.floor(F.col("seq") / F.lit(chunk)), ["seq"],
-                          [Running("_pos", "sum", F.lit(1).cast("long"))])
+                          [Running("_pos", "sum", F.lit(1).cast("long"))],
+                          summary_chunk=lambda c: F.floor(c / F.lit(chunk)))
     return out.withColumn("row_index", F.col("_pos") - 1).drop("_pos")
 
 
@@ -91,8 +93,10 @@ def replay_shuffled(rows: DataFrame, total: int, n_rows: int, rps: int, seed: in
     per_epoch = rows.select("seq", "patient_id", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     h = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("seq"))
     hashed = per_epoch.withColumn("_h", h)
-    ranked = chunked_running(hashed, ["epoch"], F.shiftright(F.col("_h"), 54), ["_h", "seq"],
-                             [Running("_rank", "sum", F.lit(1).cast("long"))])
+    # 2^30 hash chunks per epoch (a few rows each at any size), summarised by the top 10 bits
+    ranked = chunked_running(hashed, ["epoch"], F.shiftright(F.col("_h"), 34), ["_h", "seq"],
+                             [Running("_rank", "sum", F.lit(1).cast("long"))],
+                             summary_chunk=lambda c: F.shiftright(c, 20))
     i = F.col("epoch").cast("long") * F.lit(n_rows) + F.col("_rank") - 1
     out = ranked.select(i.alias("i"), "epoch", "seq", "patient_id").filter(F.col("i") < F.lit(total))
     return out.withColumn("timestamp", F.lit(T0_MS) + (F.col("i") * F.lit(1000) / F.lit(rps)).cast("long"))
