@@ -12,9 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scoring
 from ..functions.numeric import round_half
-from ..operators import lateness, running
+from ..operators import alerts, lateness, metrics, quality, running
+from ..operators import features as feat
 from ..schemas import RECORD_COLUMNS
+from ..sources import fixtures, loading
 from . import live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,9 +93,6 @@ def patient_risk_running(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 2: scoring
 
-from ..functions import scoring  # noqa: E402
-from ..sources import fixtures  # noqa: E402
-
 
 @query
 def risk_score(spark, sf_dir):
@@ -135,8 +135,6 @@ def softmax_label(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 4: features
 
-from ..operators import features as feat  # noqa: E402
-
 
 def _feature_table(spark, sf_dir):
     """The stored feature table: upserts from accepted records of patients with id % 3 <> 0. The other third
@@ -160,7 +158,6 @@ def patient_features_lookup(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 5: quality
 
-from ..operators import quality  # noqa: E402
 
 PERIOD_SPLIT_MS = 1705363200000  # 2024-01-16 00:00:00 UTC: reference period before, current period after
 
@@ -198,8 +195,6 @@ def quality_flags(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 6: metrics
 
-from ..operators import metrics  # noqa: E402
-
 
 @query
 def latency_summary(spark, sf_dir):
@@ -258,7 +253,6 @@ def compare_runs(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 7: loading and replay
 
-from ..sources import loading  # noqa: E402
 
 REPLAY_RPS = 50            # shuffled replay: records per second
 REPLAY_MINUTES = 10        # shuffled replay: duration; total = rps * 60 * minutes
@@ -312,8 +306,6 @@ def stratified_sample(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 8: alerts
 
-from ..operators import alerts  # noqa: E402
-
 
 @query
 def threshold_alerts(spark, sf_dir):

@@ -56,7 +56,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting must name a shared folder and is only read here. Only a local-mode session
     without the setting (tests, the bench) gets a fresh scratch folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect): use the setting or a local folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="pulseward-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

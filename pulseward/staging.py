@@ -30,7 +30,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def shared(spark: SparkSession, df: DataFrame, name: str, source: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, source, name)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # no SparkContext on this client
+        app = spark.conf.get("spark.app.id", "session")
+    key = (app, source, name)
     path = _SHARED.get(key)
     if path is None:
         path = _path(spark, name)

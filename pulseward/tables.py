@@ -19,5 +19,9 @@ def spread(df: DataFrame) -> DataFrame:
     Large inputs are already split into many file partitions and pass through unchanged (no shuffle);
     only a small, unsplittable input (e.g. one parquet row group) is spread before CPU-heavy work.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a SparkContext (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(slots) if parts < slots else df
