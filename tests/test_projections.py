@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from pulseward.functions.records import parse_records, serialise, with_checks
 from pulseward.operators.running import as_result_rows
 from pulseward.streaming import sinks, sources

@@ -130,7 +130,6 @@ def test_watermark_counts_invalid_rows(spark):
 
 
 def test_rate_replay_source_maps_ticks_to_rows(spark):
-    from pyspark.sql import functions as F
     records = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "row_index long, value string")
     src = sources.rate_replay_source(spark, records, n_rows=3, rows_per_batch=7, t0_ms=1000, step_ms=100)
     name = "replay_probe"
