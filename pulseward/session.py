@@ -10,14 +10,15 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job here relies on. Time zone UTC keeps epoch-ms arithmetic stable; AQE re-plans joins at
-# run time (it turns a join into a broadcast only after it has measured the small side) and splits skewed
-# shuffle partitions.
+# Settings every job here relies on. Time zone UTC keeps epoch-ms arithmetic stable. Broadcasts are decided
+# only at run time: the static threshold (based on size *estimates*) is off, and AQE turns a join into a
+# broadcast only after it has measured the small side; AQE also splits skewed shuffle partitions.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
