@@ -9,8 +9,8 @@ joined back on (series, island); AQE splits an island that is very large.
 
 L2 "counter rate over 5 m > 0 held for 1 m": per point the increase since the previous point (a drop is a
 counter reset, so the increase is the new value), summed over the trailing 300 s and divided by 300. This is
-our windowed rate (no extrapolation). The previous point comes from the two-level scan; the trailing sum runs
-per (series, 300 s chunk) with every point also copied into the next chunk (``trailing_sum``).
+our windowed rate (no extrapolation). The previous point comes from the two-level scan; the trailing sum is a
+difference of two as-of lookups of the cumulative sum (``trailing_sum``), also two-level.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..staging import stage
-from .scan import Running, by_period, chunked_running, time_chunk
+from .scan import SEQ_BLOCK, Running, by_period, chunked_running, time_chunk
 
 DAY_MS = 86_400_000
 
@@ -89,18 +89,39 @@ def threshold_alerts(series: DataFrame, rules: list[ThresholdRule] = THRESHOLD_R
                       "n_points", "max_value")
 
 
-def trailing_sum(points: DataFrame, keys: list[str], col: str, range_ms: int) -> Column:
-    """Per point, the sum of ``col`` over points of the same key with ts in (ts - range_ms, ts].
-
-    Points are cut into chunks of ``range_ms``; a window of that length never spans more than the point's own
-    chunk and the one before, so every point is also copied into the next chunk and the range window runs per
-    (key, chunk) -- exact, and no task holds a whole series. Returns the frame restricted to own rows."""
-    c = F.floor(F.col("ts_ms") / F.lit(range_ms))
-    own = points.withColumn("_rc", c).withColumn("_own", F.lit(True))
-    nxt = points.withColumn("_rc", c + 1).withColumn("_own", F.lit(False))
-    w = Window.partitionBy(*keys, "_rc").orderBy("ts_ms").rangeBetween(-(range_ms - 1), 0)
-    both = own.unionByName(nxt).withColumn(f"{col}_sum", F.sum(col).over(w))
-    return both.filter(F.col("_own")).drop("_rc", "_own")
+def trailing_sum(points: DataFrame, keys: list[str], col: str, range_ms: int) -> DataFrame:
+    """Per point, ``<col>_sum`` = sum of ``col`` over points of the same key with ts in (ts - range_ms, ts].
+
+    Written as C(ts) - C(ts - range_ms), where C(x) is the cumulative sum over points with ts <= x. C comes
+    from a two-level running sum in (ts, seq) order. Each point then adds two probe rows, at ts and at
+    ts - range_ms, ordered after the data rows of the same timestamp; the last data row at or before a probe
+    (a two-level running maximum over (ts, seq, C) structs) gives C at the probe. Probes carry their point's
+    columns, so one aggregation per point reassembles the result -- no join, and no task holds a whole
+    key or a whole time range, however the points are distributed in time.
+    """
+    cols = points.columns
+    cum = chunked_running(points, keys, time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
+                          [Running("_cum", "sum", F.col(col))], summary_chunk=by_period(DAY_MS))
+    cum = stage(cum, "trailing_cum")
+    data = cum.select(*keys, F.col("ts_ms").alias("_t"), F.lit(0).alias("_kind"), F.col("seq").alias("_o"),
+                      F.lit(0).alias("_probe"), F.col("_cum"), F.lit(None).cast("long").alias("_point"),
+                      *[F.lit(None).cast(points.schema[c].dataType).alias(f"_v_{c}") for c in cols])
+    probes = [cum.select(*keys, (F.col("ts_ms") - F.lit(back)).alias("_t"), F.lit(1).alias("_kind"),
+                         F.col("seq").alias("_o"), F.lit(i).alias("_probe"), F.lit(None).cast("double").alias("_cum"),
+                         F.col("seq").alias("_point"), *[F.col(c).alias(f"_v_{c}") for c in cols])
+              for i, back in ((1, 0), (2, range_ms))]
+    both = data.unionByName(probes[0]).unionByName(probes[1])
+    chunk = F.struct(F.col("_t").alias("a"), F.col("_kind").alias("k"),
+                     F.floor(F.col("_o") / F.lit(SEQ_BLOCK)).alias("b"))
+    last = chunked_running(both, keys, chunk, ["_t", "_kind", "_o", "_probe"],
+                           [Running("_last", "max", F.when(F.col("_kind") == 0, F.struct("_t", "_o", "_cum")))],
+                           summary_chunk=lambda c: F.floor(c.getField("a") / F.lit(DAY_MS)))
+    c_at = F.coalesce(F.col("_last._cum"), F.lit(0.0))
+    per_point = last.filter(F.col("_kind") == 1).groupBy(*keys, "_point").agg(
+        *[F.first(f"_v_{c}", ignorenulls=True).alias(c) for c in cols if c not in keys],
+        F.max(F.when(F.col("_probe") == 1, c_at)).alias("_now"),
+        F.max(F.when(F.col("_probe") == 2, c_at)).alias("_back"))
+    return per_point.select(*cols, (F.col("_now") - F.col("_back")).alias(f"{col}_sum"))
 
 
 def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int = COUNTER_RULE[2],
