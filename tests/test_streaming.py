@@ -176,3 +176,28 @@ def test_stream_replay_of_the_derived_feed_agrees_with_batch(spark):
     for r in results.values():
         by_patient.setdefault(r.patient_id, []).append(r.patient_stats.total_records)
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in by_patient.values())
+
+
+def test_stage_reports_are_emitted_once_per_window(spark):
+    from pulseward.streaming.metrics import stage_report_stream
+    root = tempfile.mkdtemp(prefix="pulseward-stage-", dir="/tmp")
+    inp = os.path.join(root, "in")
+    os.makedirs(inp)
+    hour = 3_600_000
+    batches = [[("view", 10, 1.0), ("view", 20, 3.0), ("click", 30, 5.0)],          # window 0
+               [("view", hour + 5, 7.0)],                                             # window 1
+               [("view", 3 * hour, 9.0)]]                                             # moves the watermark on
+    for i, rows in enumerate(batches):
+        with open(os.path.join(inp, f"b{i}.json"), "w") as f:
+            for st, ts, lat in rows:
+                f.write(json.dumps({"stage": st, "ts_ms": ts, "latency_ms": lat}) + "\n")
+    src = (spark.readStream.schema("stage string, ts_ms long, latency_ms double")
+           .option("maxFilesPerTrigger", "1").json(inp))
+    name = "stage_reports_probe"
+    q = (stage_report_stream(src).writeStream.outputMode("append").format("memory").queryName(name)
+         .option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start())
+    assert q.awaitTermination(180)
+    got = {(r.stage, r.window_start_ms): r for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    assert set(got) == {("view", 0), ("click", 0), ("view", hour)}
+    assert got[("view", 0)]["count"] == 2 and got[("view", 0)].avg_ms == 2.0
+    assert got[("view", 0)].p95_ms == pytest.approx(1.0 + 2.0 * 0.95)
