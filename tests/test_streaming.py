@@ -201,3 +201,28 @@ def test_stage_reports_are_emitted_once_per_window(spark):
     assert set(got) == {("view", 0), ("click", 0), ("view", hour)}
     assert got[("view", 0)]["count"] == 2 and got[("view", 0)].avg_ms == 2.0
     assert got[("view", 0)].p95_ms == pytest.approx(1.0 + 2.0 * 0.95)
+
+
+def test_progress_events_become_metric_rows(spark):
+    from pulseward.operators.alerts import ThresholdRule, threshold_alerts
+    from pulseward.streaming.progress import ProgressMetrics
+    listener = ProgressMetrics()
+    spark.streams.addListener(listener)
+    try:
+        h = Harness(spark)
+        h.add([_rec(1, 1, 100_000, 100_000), _rec(2, 2, 100_000, 100_001)])
+        h.run()
+        h.add([_rec(3, 1, 100_500, 100_200)])
+        h.run()
+        deadline = time.time() + 30
+        while time.time() < deadline and listener.frame(spark).filter("series = 'state_rows'").count() < 2:
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    m = listener.frame(spark)
+    series = {r.series for r in m.select("series").distinct().collect()}
+    assert {"batch_duration_ms", "input_rows", "state_rows"} <= series
+    assert m.filter("series = 'input_rows'").agg({"value": "sum"}).first()[0] >= 3
+    # the alert operators run on these rows unchanged
+    rule = ThresholdRule("SlowBatches", "batch_duration_ms", -1.0, 0, "warning")
+    assert threshold_alerts(m.drop("query"), [rule]).count() >= 1
