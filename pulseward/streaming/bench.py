@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.feed import feed
-from . import pipeline, sources
+from . import jobs, sources
 
 
 def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadline_s: float = 600.0,
@@ -32,7 +32,7 @@ def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadl
         time.sleep(0.01)
     src = sources.file_source(spark, os.path.join(inp, "*"), fmt="parquet", max_files_per_trigger=1)
     started = time.perf_counter()
-    q = pipeline.start_risk_query(src, os.path.join(root, "out"), os.path.join(root, "ck"),
+    q = jobs.start_risk_query(src, os.path.join(root, "out"), os.path.join(root, "ck"),
                                   trigger={"processingTime": "0 seconds"}, engine=engine)
     done_rows, durations, phases = 0, [], []
     seen = set()

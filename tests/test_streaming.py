@@ -11,7 +11,7 @@ import time
 
 import pytest
 
-from pulseward.streaming import pipeline, sinks, sources
+from pulseward.streaming import jobs, sinks, sources
 
 
 def _rec(seq, pid, ts, arrival, age=70, **kw):
@@ -22,7 +22,7 @@ def _rec(seq, pid, ts, arrival, age=70, **kw):
 
 
 class Harness:
-    def __init__(self, spark, ttl_ms=pipeline.TTL_MS, engine="tws"):
+    def __init__(self, spark, ttl_ms=jobs.TTL_MS, engine="tws"):
         self.spark, self.ttl_ms, self.engine = spark, ttl_ms, engine
         self.root = tempfile.mkdtemp(prefix="pulseward-stream-", dir="/tmp")
         self.inp = os.path.join(self.root, "in")
@@ -37,11 +37,11 @@ class Harness:
         self.n += 1
 
     def run(self):
-        q = pipeline.start_risk_query(sources.file_source(self.spark, self.inp), self.out,
+        q = jobs.start_risk_query(sources.file_source(self.spark, self.inp), self.out,
                                       os.path.join(self.root, "ck"), ttl_ms=self.ttl_ms, trigger={"once": True},
                                       engine=self.engine)
         assert q.awaitTermination(180)
-        d = pipeline.start_dlq_query(sources.file_source(self.spark, self.inp), self.out,
+        d = jobs.start_dlq_query(sources.file_source(self.spark, self.inp), self.out,
                                      os.path.join(self.root, "ckd"), trigger={"once": True})
         assert d.awaitTermination(180)
 
@@ -121,7 +121,7 @@ def test_state_kept_within_ttl_and_late_only_batch_keeps_expiry(spark, engine):
 
 
 def test_watermark_counts_invalid_rows(spark):
-    from pulseward.streaming.pipeline import risk_stream
+    from pulseward.streaming.jobs import risk_stream
     df = risk_stream(sources.file_source(spark, tempfile.mkdtemp(prefix="pulseward-empty-", dir="/tmp")))
     text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "extended")
     optimized = text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
@@ -158,10 +158,10 @@ def test_stream_replay_of_the_derived_feed_agrees_with_batch(spark):
         h.n += 1
     src_path = os.path.join(h.inp, "*")
     for _ in range(5):
-        q = pipeline.start_risk_query(sources.file_source(spark, src_path), h.out, os.path.join(h.root, "ck"),
+        q = jobs.start_risk_query(sources.file_source(spark, src_path), h.out, os.path.join(h.root, "ck"),
                                       trigger={"once": True})
         assert q.awaitTermination(180)
-    d = pipeline.start_dlq_query(sources.file_source(spark, src_path, max_files_per_trigger=5), h.out,
+    d = jobs.start_dlq_query(sources.file_source(spark, src_path, max_files_per_trigger=5), h.out,
                                  os.path.join(h.root, "ckd"), trigger={"once": True})
     assert d.awaitTermination(180)
 
