@@ -1,5 +1,8 @@
 """SparkSession construction and the shared checkpoint folder.
 
+Python workers need the package: on a cluster submit it with ``--py-files``; in local mode ``get_spark``
+puts the repository on the workers' PYTHONPATH.
+
 The library never creates a session implicitly inside an operator; callers pass one in.
 ``get_spark`` is a convenience for tests, the bench and local runs.
 """
@@ -59,9 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # no SparkContext on this client (e.g. Spark Connect): use the setting or a local folder
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect): the setting is required
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="pulseward-ckpt-")
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -74,28 +79,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="pulseward-ckpt-"))
     return sc.getCheckpointDir()
 
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``pulseward`` importable in Python workers (needed by the streaming processor) via addPyFile.
-
-    The zip is built on the driver and distributed by Spark itself, so it works on a cluster as well.
-    """
-    import os
-    import zipfile
-
-    app = spark.sparkContext.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="pulseward-pkg-"), "pulseward.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
-        for dirpath, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    spark.sparkContext.addPyFile(target)
-    _SHIPPED.add(app)

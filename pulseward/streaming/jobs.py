@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scoring import risk_level, seven_factor_score
 from ..operators.dlq import dlq_envelope
 from ..operators.lateness import checked
-from ..session import ship_package
 from .pandas_state import PANDAS_STATE_SCHEMA, make_state_fn
 from .processor import OUTPUT_SCHEMA, TTL_MS, PatientRiskProcessor
 from .sinks import dlq_batch_writer, risk_batch_writer
@@ -30,7 +29,6 @@ WATERMARK_DELAY = "5 seconds"
 
 
 def configure(spark: SparkSession) -> None:
-    ship_package(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
