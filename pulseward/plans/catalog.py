@@ -19,6 +19,7 @@ from ..operators import features as feat
 from ..schemas import RECORD_COLUMNS
 from ..sources import fixtures, loading
 from . import live
+from .materialize import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -261,7 +262,8 @@ SAMPLE_SIZE = 1000         # stratified validation sample
 
 
 def _cleansed(spark, sf_dir):
-    return loading.cleanse(fixtures.raw_rows(spark, sf_dir))
+    """The cleansed raw file, stored once per session: five queries read it, the replays count it first."""
+    return materialize(spark, loading.cleanse(fixtures.raw_rows(spark, sf_dir)), "cleansed", sf_dir)
 
 
 @query
