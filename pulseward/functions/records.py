@@ -75,7 +75,7 @@ def with_checks(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("event_time_ms", event_time_ms()).withColumn("error", error_code())
 
 
-def serialise(df: DataFrame) -> Column:
+def serialise() -> Column:
     """The validated record as JSON; ``readmission_risk_raw`` goes out as ``readmission_risk``."""
     return F.to_json(F.struct(
         F.col("id"), "patient_id", "age", "gender", "systolic_bp", "diastolic_bp", "cholesterol", "bmi",

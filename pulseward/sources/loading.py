@@ -16,6 +16,7 @@ Replays are generated with ``spark.range`` and an equi-join on the row number, n
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,17 +40,20 @@ def read_raw_csv(spark: SparkSession, path: str | None) -> DataFrame:
 
     Common missing-value spellings are read as null so that ``cleanse`` drops them.
     """
+    df = None
     if path:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if fs.exists(jvm_path):
+        try:  # a missing path fails here, when the file source lists its input
             df = spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
-            missing = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None"]
-            for c, t in zip(RAW_COLUMNS, RAW_CSV_SCHEMA.fields):
-                if t.dataType.simpleString() == "string":
-                    df = df.withColumn(c, F.when(F.trim(F.col(c)).isin(missing), None).otherwise(F.col(c)))
-            return df.withColumn("seq", F.monotonically_increasing_id())
-    return spark.createDataFrame(DEMO_ROWS, RAW_CSV_SCHEMA).withColumn("seq", F.monotonically_increasing_id())
+        except AnalysisException:
+            df = None
+    if df is None:
+        return spark.createDataFrame(DEMO_ROWS, RAW_CSV_SCHEMA).withColumn("seq", F.monotonically_increasing_id())
+    missing = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None"]
+    for c, t in zip(RAW_COLUMNS, RAW_CSV_SCHEMA.fields):
+        if t.dataType.simpleString() == "string":
+            df = df.withColumn(c, F.when(F.trim(F.col(c)).isin(missing), None).otherwise(F.col(c)))
+    # position in file order: ids increase with the partition and the row inside it
+    return df.withColumn("seq", F.monotonically_increasing_id())
 
 
 def cleanse(raw: DataFrame) -> DataFrame:

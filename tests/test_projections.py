@@ -11,7 +11,7 @@ def test_serialise_renames_risk_key(spark):
     df = spark.createDataFrame([(1, 10, '{"id": "a", "patient_id": 7, "readmission_risk_raw": 1.0}')],
                                "seq long, arrival_ms long, value string")
     out = with_checks(parse_records(df))
-    doc = json.loads(out.select(serialise(out).alias("j")).first().j)
+    doc = json.loads(out.select(serialise().alias("j")).first().j)
     assert doc["readmission_risk"] == 1.0 and "readmission_risk_raw" not in doc
     assert list(doc)[:3] == ["id", "patient_id", "age"] and len(doc) == 15
 
