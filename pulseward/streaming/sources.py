@@ -18,13 +18,18 @@ CONSUMER_GROUP = "readmission-analysis"
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = RECORDS_TOPIC, group: str = CONSUMER_GROUP,
                  max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Records topic from the earliest offset; value as text, broker time as arrival."""
+    """Records topic from the earliest offset; value as text, broker time as arrival.
+
+    The consumer-group name becomes ``groupIdPrefix``: Spark then gives every query its own group id (the
+    risk and dead-letter queries read the same topic; sharing one ``kafka.group.id`` would make them split
+    the partitions between them). ``failOnDataLoss`` stays on, so lost offsets stop the query instead of
+    being skipped silently. Offsets live in the query checkpoint, not in the consumer group.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap)
               .option("subscribe", topic)
               .option("startingOffsets", "earliest")
-              .option("kafka.group.id", group)
-              .option("failOnDataLoss", "false"))
+              .option("groupIdPrefix", group))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     raw = reader.load()
