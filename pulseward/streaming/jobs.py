@@ -60,10 +60,12 @@ def dlq_stream(feed_stream: DataFrame) -> DataFrame:
 
 
 def start_risk_query(feed_stream: DataFrame, out_root: str, checkpoint: str, ttl_ms: int = TTL_MS,
-                     trigger: dict | None = None, name: str | None = None, engine: str = "tws") -> StreamingQuery:
+                     trigger: dict | None = None, name: str | None = None, engine: str = "tws",
+                     kafka_bootstrap: str | None = None) -> StreamingQuery:
     configure(feed_stream.sparkSession)
     w = (risk_stream(feed_stream, ttl_ms, engine=engine).writeStream.outputMode("append")
-         .foreachBatch(risk_batch_writer(out_root)).option("checkpointLocation", checkpoint))
+         .foreachBatch(risk_batch_writer(out_root, kafka_bootstrap=kafka_bootstrap))
+         .option("checkpointLocation", checkpoint))
     if name:
         w = w.queryName(name)
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()

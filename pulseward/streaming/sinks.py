@@ -29,13 +29,22 @@ def result_rows(out: DataFrame) -> DataFrame:
         F.struct("age", "bmi", "medication_count", "length_of_stay").alias("features"))
 
 
-def risk_batch_writer(root: str, with_features: bool = True):
-    """foreachBatch function for the stateful query: results, late rows and feature updates."""
+def risk_batch_writer(root: str, with_features: bool = True, kafka_bootstrap: str | None = None,
+                      results_topic: str = "medical-risk-results"):
+    """foreachBatch function for the stateful query: results, late rows and feature updates.
+
+    With ``kafka_bootstrap`` the results are also sent to ``results_topic`` as JSON (S6). That copy is
+    at-least-once: a micro-batch replayed after a failure is sent again (the parquet tables are overwritten
+    per batch and stay exactly-once).
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             results = batch.filter(F.col("kind") == "result")
             _write(result_rows(results), root, "results", batch_id)
+            if kafka_bootstrap:
+                (kafka_sink_frame(results).write.format("kafka")
+                 .option("kafka.bootstrap.servers", kafka_bootstrap).option("topic", results_topic).save())
             _write(batch.filter(F.col("kind") == "late").select(
                 "seq", "record_id", "patient_id", "processing_timestamp", "watermark", "arrival_ms"),
                 root, "late", batch_id)
