@@ -8,7 +8,7 @@ Everything is one pass of conditional counts (no join of the two periods).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
@@ -68,7 +68,7 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
     """One row per arrival hour with the six quality limits as boolean columns.
 
       late_ratio        late / valid records arriving in the hour                  > 0.05
-      psi_prev_hour     PSI of the hour's level shares against the previous hour   > 0.2
+      psi_prev_hour     PSI of the hour's level shares against the previous hour with accepted records  > 0.2
       state_growth      live patient states at the end of the hour vs one hour before, minus 1  > 0.10
       checkpoint_ms     slowest metric sample of the hour (duration proxy)         > 30000
       lag_records       records of the hour that arrived more than 5 s after their event time  > 1000
@@ -102,8 +102,7 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
         union = union.unionByName(p)
     hours = union.groupBy("hour_ms").agg(*[F.max(c).alias(c) for c in cols if c != "live_delta"],
                                          F.coalesce(F.sum("live_delta"), F.lit(0)).alias("live_delta"))
-    from pyspark.sql import Window
-    w = Window.orderBy("hour_ms")
+    w = Window.orderBy("hour_ms")   # over the hour table only (one row per hour of the time span)
     live = F.sum("live_delta").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     with_live = hours.withColumn("live_states", live).withColumn("prev_live", F.lag("live_states").over(w))
     acc = with_live.filter(F.col("n_acc").isNotNull())
