@@ -226,3 +226,21 @@ def test_progress_events_become_metric_rows(spark):
     # the alert operators run on these rows unchanged
     rule = ThresholdRule("SlowBatches", "batch_duration_ms", -1.0, 0, "warning")
     assert threshold_alerts(m.drop("query"), [rule]).count() >= 1
+
+
+def test_command_line_launcher_runs_once():
+    import subprocess
+    import sys
+    root = tempfile.mkdtemp(prefix="pulseward-cli-", dir="/tmp")
+    inp = os.path.join(root, "in")
+    os.makedirs(inp)
+    with open(os.path.join(inp, "b0.json"), "w") as f:
+        for r in (_rec(1, 1, 100_000, 100_000), {"seq": 2, "arrival_ms": 100_001, "value": "{bad"}):
+            f.write(json.dumps(r) + "\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    proc = subprocess.run([sys.executable, "-m", "pulseward.streaming", "--path", inp, "--out",
+                           os.path.join(root, "out"), "--checkpoint", os.path.join(root, "ck"), "--once",
+                           "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert os.path.isdir(os.path.join(root, "out", "results", "batch_id=0"))
+    assert os.path.isdir(os.path.join(root, "out", "dlq", "batch_id=0"))
