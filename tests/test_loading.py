@@ -29,3 +29,17 @@ def test_csv_scan_cleanse_and_records(spark):
     rec = {r.patient_id: r for r in loading.to_records(clean, F.lit(1000).cast("long")).collect()}
     assert (rec[1].systolic_bp, rec[1].diastolic_bp, rec[1].diabetes, rec[1].hypertension) == (130, 80, 1, 0)
     assert rec[3].readmission_risk_raw == 1.0 and rec[3].id == "patient_3_1000"
+
+
+def test_batch_command_line_lists_and_runs(tmp_path):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "pulseward", "list"], cwd=repo, capture_output=True, text=True,
+                         timeout=120)
+    assert out.returncode == 0 and "patient_risk_running" in out.stdout
+    target = tempfile.mkdtemp(prefix="pulseward-clirun-", dir="/tmp") + "/late_ratio"
+    run = subprocess.run([sys.executable, "-m", "pulseward", "run", "late_ratio", "/root/testdata/sf0.001", "--out",
+                          target, "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert os.path.isdir(target)
