@@ -31,7 +31,7 @@ def test_csv_scan_cleanse_and_records(spark):
     assert rec[3].readmission_risk_raw == 1.0 and rec[3].id == "patient_3_1000"
 
 
-def test_batch_command_line_lists_and_runs(tmp_path):
+def test_batch_command_line_lists_and_runs():
     import subprocess
     import sys
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
