@@ -8,11 +8,12 @@ partitioned by ``batch_id``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dlq import DLQ_TOPIC
-from ..operators.features import upsert_features
+from ..operators.features import merge_features, upsert_features
 
 
 def _write(df: DataFrame, root: str, table: str, batch_id: int) -> None:
@@ -67,14 +68,49 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{table}")
 
 
-def read_features(spark: SparkSession, root: str) -> DataFrame:
-    """S12 source: the feature table folded from the per-batch updates (counts add; the last write wins)."""
-    upd = read_table(spark, root, "feature_updates")
-    return upd.groupBy("patient_id").agg(
+def _fold(updates: DataFrame) -> DataFrame:
+    return updates.groupBy("patient_id").agg(
         F.sum("record_count").alias("record_count"),
         F.max_by("last_activity", F.col("batch_id")).alias("last_activity"))
 
 
+def _latest_snapshot(spark: SparkSession, root: str):
+    try:
+        snaps = read_table(spark, root, "feature_snapshot")
+    except AnalysisException:   # no snapshot written yet
+        return None, None
+    upto = snaps.agg(F.max("upto")).first()[0]
+    return (snaps.filter(F.col("upto") == upto).select("patient_id", "record_count", "last_activity"), upto) \
+        if upto is not None else (None, None)
+
+
+def read_features(spark: SparkSession, root: str) -> DataFrame:
+    """S12 source: the feature table = latest snapshot (if any) merged with the per-batch updates written
+    after it (counts add; the last write wins)."""
+    snap, upto = _latest_snapshot(spark, root)
+    upd = read_table(spark, root, "feature_updates")
+    if snap is None:
+        return _fold(upd)
+    return merge_features(snap, _fold(upd.filter(F.col("batch_id") > F.lit(upto))))
+
+
+def compact_features(spark: SparkSession, root: str) -> int | None:
+    """Fold the feature updates up to the newest batch into ``feature_snapshot/upto=<batch>``; later reads
+    start from it. Safe to repeat and to run next to the stream (it only reads committed batch folders)."""
+    upd = read_table(spark, root, "feature_updates")
+    last = upd.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    snap, upto = _latest_snapshot(spark, root)
+    if upto is not None and upto >= last:
+        return upto
+    fresh = upd.filter(F.col("batch_id") <= F.lit(last))
+    table = _fold(fresh) if snap is None else merge_features(
+        snap, _fold(fresh.filter(F.col("batch_id") > F.lit(upto))))
+    table.write.mode("overwrite").parquet(f"{root.rstrip('/')}/feature_snapshot/upto={last}")
+    return last
+
+
 def kafka_sink_frame(results: DataFrame) -> DataFrame:
     """key/value frame for a Kafka sink (value = JSON of the nested result row)."""
     nested = result_rows(results)

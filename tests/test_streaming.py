@@ -244,3 +244,19 @@ def test_command_line_launcher_runs_once():
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert os.path.isdir(os.path.join(root, "out", "results", "batch_id=0"))
     assert os.path.isdir(os.path.join(root, "out", "dlq", "batch_id=0"))
+
+
+def test_feature_snapshot_compaction(spark):
+    h = Harness(spark)
+    h.add([_rec(1, 1, 100_000, 100_000), _rec(2, 2, 100_000, 100_001)])
+    h.run()
+    h.add([_rec(3, 1, 100_500, 100_200)])
+    h.run()
+    assert sinks.compact_features(spark, h.out) == 1
+    h.add([_rec(4, 1, 100_900, 100_900), _rec(5, 3, 101_000, 101_000)])
+    h.run()
+    f = {r.patient_id: (r.record_count, r.last_activity) for r in sinks.read_features(spark, h.out).collect()}
+    assert f == {1: (3, 100_900), 2: (1, 100_000), 3: (1, 101_000)}
+    assert sinks.compact_features(spark, h.out) == 2
+    g = {r.patient_id: (r.record_count, r.last_activity) for r in sinks.read_features(spark, h.out).collect()}
+    assert g == f
