@@ -23,21 +23,39 @@ from ..functions.numeric import round_half
 NUM_FEATURES = 1 << 18
 
 
+def _featurizer() -> list:
+    return [RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W+", toLowercase=True, minTokenLength=1),
+            HashingTF(inputCol="tokens", outputCol="tf", numFeatures=NUM_FEATURES)]
+
+
 def text_pipeline(max_iter: int = 15, reg: float = 0.01, tol: float = 1e-4) -> Pipeline:
-    return Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W+", toLowercase=True, minTokenLength=1),
-        HashingTF(inputCol="tokens", outputCol="tf", numFeatures=NUM_FEATURES),
-        IDF(inputCol="tf", outputCol="features", minDocFreq=1),
-        LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol,
-                           probabilityCol="probability", predictionCol="prediction"),
-    ])
+    """The whole pipeline as one estimator (``train`` fits the same stages with one featurisation pass)."""
+    return Pipeline(stages=[*_featurizer(), IDF(inputCol="tf", outputCol="features", minDocFreq=1),
+                            _classifier(max_iter, reg, tol)])
+
+
+def _classifier(max_iter: int = 15, reg: float = 0.01, tol: float = 1e-4) -> LogisticRegression:
+    return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol,
+                              probabilityCol="probability", predictionCol="prediction")
 
 
 def train(labelled: DataFrame) -> PipelineModel:
-    """Fit on (text, quality) rows with a known label."""
+    """Fit on (text, quality) rows with a known label.
+
+    The labelled texts are tokenised and hashed once and the (sparse) term vectors persisted for the
+    iterative fits (IDF, the feature summary and L-BFGS passes of the classifier); a lost executor only
+    recomputes its partitions from the lineage.
+    """
     data = labelled.filter(F.col("quality").isNotNull() & F.col("text").isNotNull()) \
         .select("text", F.col("quality").cast("double").alias("label"))
-    return text_pipeline().fit(data)
+    prep = Pipeline(stages=_featurizer()).fit(data)
+    tf = prep.transform(data).select("tf", "label").persist()
+    try:
+        idf = IDF(inputCol="tf", outputCol="features", minDocFreq=1).fit(tf)
+        clf = _classifier().fit(idf.transform(tf))
+    finally:
+        tf.unpersist()
+    return PipelineModel(stages=[*prep.stages, idf, clf])
 
 
 def score(model: PipelineModel, docs: DataFrame) -> DataFrame:
