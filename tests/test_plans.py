@@ -54,3 +54,12 @@ def test_entry_contract(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_running_state_moves_the_rows_exactly_once(spark):
+    df = QUERIES["patient_risk_running"](spark, SF_SMALL)
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = re.split(r"\n\(\d+\) ", text)
+    row_exchanges = [b for b in blocks if b.startswith("Exchange") and re.search(r"Input \[\d+\]: \[[^\]]*\bbmi#", b)]
+    assert len(row_exchanges) == 1, row_exchanges
+    assert "_sub" in row_exchanges[0] and "patient_id" in row_exchanges[0]
