@@ -63,3 +63,13 @@ def test_running_state_moves_the_rows_exactly_once(spark):
     row_exchanges = [b for b in blocks if b.startswith("Exchange") and re.search(r"Input \[\d+\]: \[[^\]]*\bbmi#", b)]
     assert len(row_exchanges) == 1, row_exchanges
     assert "_sub" in row_exchanges[0] and "patient_id" in row_exchanges[0]
+
+
+def test_watermark_moves_the_rows_exactly_once(spark):
+    from pulseward.operators import lateness
+    from pulseward.plans import live
+    df = lateness.with_watermark(live.checked_feed(spark, SF_SMALL))
+    text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    blocks = re.split(r"\n\(\d+\) ", text)
+    row_exchanges = [b for b in blocks if b.startswith("Exchange") and re.search(r"Input \[\d+\]: \[[^\]]*\bbmi#", b)]
+    assert len(row_exchanges) == 1, row_exchanges
