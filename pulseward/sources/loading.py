@@ -91,8 +91,9 @@ def replay_cyclic(spark: SparkSession, rows: DataFrame, total: int, n_rows: int)
 
 
 def replay_shuffled(rows: DataFrame, total: int, n_rows: int, rps: int, seed: int) -> DataFrame:
-    """(i, epoch, seq, patient_id, timestamp) for ``total`` records sampled epoch by epoch without
-    replacement; the order inside an epoch is a hash permutation, so the result is deterministic."""
+    """(i, epoch, seq, patient_id, timestamp, id) for ``total`` records sampled epoch by epoch without
+    replacement; the order inside an epoch is a hash permutation, so the result is deterministic. Record ids
+    are ``medical_record_{patient}_{ms}`` with the replay clock's ms."""
     epochs = -(-total // n_rows)
     per_epoch = rows.select("seq", "patient_id", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     h = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("seq"))
@@ -103,7 +104,10 @@ def replay_shuffled(rows: DataFrame, total: int, n_rows: int, rps: int, seed: in
                              summary_chunk=lambda c: F.shiftright(c, 20))
     i = F.col("epoch").cast("long") * F.lit(n_rows) + F.col("_rank") - 1
     out = ranked.select(i.alias("i"), "epoch", "seq", "patient_id").filter(F.col("i") < F.lit(total))
-    return out.withColumn("timestamp", F.lit(T0_MS) + (F.col("i") * F.lit(1000) / F.lit(rps)).cast("long"))
+    out = out.withColumn("timestamp", F.lit(T0_MS) + (F.col("i") * F.lit(1000) / F.lit(rps)).cast("long"))
+    rid = F.concat(F.lit("medical_record_"), F.col("patient_id").cast("string"), F.lit("_"),
+                   F.col("timestamp").cast("string"))
+    return out.withColumn("id", rid)
 
 
 def stratified(rows: DataFrame, n: int) -> DataFrame:

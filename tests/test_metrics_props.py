@@ -66,3 +66,11 @@ def test_shuffled_replay_epochs_are_permutations(spark):
     first = rep.filter(F.col("epoch") == 0).orderBy("i").select("seq").limit(20).collect()
     second = rep.filter(F.col("epoch") == 1).orderBy("i").select("seq").limit(20).collect()
     assert first != second
+
+
+def test_shuffled_replay_record_ids(spark):
+    from pulseward.plans import catalog
+    from pulseward.sources import loading
+    rows = catalog._cleansed(spark, SF_SMALL)
+    r = loading.replay_shuffled(rows, total=5, n_rows=rows.count(), rps=50, seed=42).orderBy("i").first()
+    assert r.i == 0 and r.timestamp == loading.T0_MS and r.id == f"medical_record_{r.patient_id}_{loading.T0_MS}"
