@@ -17,7 +17,7 @@ Replays are generated with ``spark.range`` and an equi-join on the row number, n
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.records import raw_to_wire
@@ -117,7 +117,6 @@ def stratified(rows: DataFrame, n: int) -> DataFrame:
     yes = rows.filter(label == "Yes").orderBy("seq").limit(half).withColumn("_part", F.lit(0))
     no = rows.filter(label == "No").orderBy("seq").limit(half).withColumn("_part", F.lit(1))
     both = yes.unionByName(no)
-    from pyspark.sql import Window
     # at most n rows here (two limits), so one ordered window is bounded
     pos = (F.row_number().over(Window.orderBy("_part", "seq")) - 1).cast("long")
     rec = raw_to_wire(both.withColumn("position", pos), F.lit(None).cast("long"), id_prefix="test_medical_",
