@@ -260,3 +260,36 @@ def test_feature_snapshot_compaction(spark):
     assert sinks.compact_features(spark, h.out) == 2
     g = {r.patient_id: (r.record_count, r.last_activity) for r in sinks.read_features(spark, h.out).collect()}
     assert g == f
+
+
+def test_crash_after_sink_write_is_replayed_exactly_once(spark):
+    h = Harness(spark)
+    marker = os.path.join(h.root, "crashed")
+
+    def crash_once_after_write(batch, batch_id):
+        sinks.risk_batch_writer(h.out)(batch, batch_id)
+        if batch_id == 1 and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise RuntimeError("simulated executor loss after the sink write, before the batch commit")
+
+    def run():
+        jobs.configure(spark)
+        q = (jobs.risk_stream(sources.file_source(spark, h.inp)).writeStream.outputMode("append")
+             .foreachBatch(crash_once_after_write).option("checkpointLocation", os.path.join(h.root, "ck"))
+             .trigger(once=True).start())
+        try:
+            q.awaitTermination(180)
+        except Exception:
+            return False
+        return True
+
+    h.add([_rec(1, 1, 100_000, 100_000)])
+    assert run()
+    h.add([_rec(2, 1, 100_100, 100_100), _rec(3, 1, 90_000, 100_200)])
+    assert not run()                # batch 1 wrote its folders, then failed before commit
+    assert run()                    # restart: batch 1 is replayed from the checkpoint
+    res, late = h.table("results"), h.table("late")
+    assert sorted(res) == [1, 2] and list(late) == [3]
+    assert res[2].patient_stats.total_records == 2   # state of the failed attempt was not kept
+    f = {r.patient_id: r.record_count for r in sinks.read_features(spark, h.out).collect()}
+    assert f == {1: 2}
