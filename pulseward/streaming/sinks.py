@@ -12,7 +12,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dlq import DLQ_TOPIC
 from ..operators.features import merge_features, upsert_features
 
 
@@ -94,11 +93,13 @@ def read_features(spark: SparkSession, root: str) -> DataFrame:
     return merge_features(snap, _fold(upd.filter(F.col("batch_id") > F.lit(upto))))
 
 
-def compact_features(spark: SparkSession, root: str) -> int | None:
-    """Fold the feature updates up to the newest batch into ``feature_snapshot/upto=<batch>``; later reads
-    start from it. Safe to repeat and to run next to the stream (it only reads committed batch folders)."""
+def compact_features(spark: SparkSession, root: str, upto_batch: int | None = None) -> int | None:
+    """Fold the feature updates up to ``upto_batch`` (default: the newest batch folder) into
+    ``feature_snapshot/upto=<batch>``; later reads start from it. Safe to repeat. Next to a running stream,
+    pass the last committed batch id (``query.lastProgress['batchId']``) so that no folder still being
+    written is folded."""
     upd = read_table(spark, root, "feature_updates")
-    last = upd.agg(F.max("batch_id")).first()[0]
+    last = upto_batch if upto_batch is not None else upd.agg(F.max("batch_id")).first()[0]
     if last is None:
         return None
     snap, upto = _latest_snapshot(spark, root)
@@ -117,5 +118,3 @@ def kafka_sink_frame(results: DataFrame) -> DataFrame:
     return nested.select(F.col("patient_id").cast("string").alias("key"),
                          F.to_json(F.struct(*[c for c in nested.columns if c != "seq"])).alias("value"))
 
-
-DLQ_TOPIC_NAME = DLQ_TOPIC
