@@ -118,3 +118,13 @@ def kafka_sink_frame(results: DataFrame) -> DataFrame:
     return nested.select(F.col("patient_id").cast("string").alias("key"),
                          F.to_json(F.struct(*[c for c in nested.columns if c != "seq"])).alias("value"))
 
+
+
+def late_ratio_by_batch(spark: SparkSession, root: str, alarm: float = 0.05) -> DataFrame:
+    """T7 on the stream: per micro-batch, late rows over valid rows (late + results) and the > 5 % alarm."""
+    res = read_table(spark, root, "results").groupBy("batch_id").agg(F.count(F.lit(1)).alias("accepted"))
+    late = read_table(spark, root, "late").groupBy("batch_id").agg(F.count(F.lit(1)).alias("late"))
+    both = res.join(late, "batch_id", "full_outer").na.fill(0, ["accepted", "late"])
+    valid = F.col("accepted") + F.col("late")
+    ratio = F.when(valid > 0, F.col("late") / valid).otherwise(F.lit(0.0))
+    return both.select("batch_id", "accepted", "late", ratio.alias("late_ratio"), (ratio > alarm).alias("late_alarm"))

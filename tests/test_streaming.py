@@ -293,3 +293,9 @@ def test_crash_after_sink_write_is_replayed_exactly_once(spark):
     assert res[2].patient_stats.total_records == 2   # state of the failed attempt was not kept
     f = {r.patient_id: r.record_count for r in sinks.read_features(spark, h.out).collect()}
     assert f == {1: 2}
+
+
+def test_late_ratio_per_micro_batch(two_batches):
+    rows = {r.batch_id: r for r in sinks.late_ratio_by_batch(two_batches.spark, two_batches.out).collect()}
+    assert (rows[0].accepted, rows[0].late, rows[0].late_alarm) == (2, 0, False)
+    assert (rows[1].accepted, rows[1].late) == (2, 1) and rows[1].late_ratio == 1 / 3 and rows[1].late_alarm
