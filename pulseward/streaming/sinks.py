@@ -128,3 +128,11 @@ def late_ratio_by_batch(spark: SparkSession, root: str, alarm: float = 0.05) ->
     valid = F.col("accepted") + F.col("late")
     ratio = F.when(valid > 0, F.col("late") / valid).otherwise(F.lit(0.0))
     return both.select("batch_id", "accepted", "late", ratio.alias("late_ratio"), (ratio > alarm).alias("late_alarm"))
+
+
+def drift_since(spark: SparkSession, root: str, reference_upto_batch: int) -> DataFrame:
+    """A5/A6 on the stream: PSI of the risk levels of results in batches after ``reference_upto_batch``
+    against those up to it (one row: counts, PSI, drift verdict) -- the batch operator on the results table."""
+    from ..operators.quality import psi_between
+    res = read_table(spark, root, "results")
+    return psi_between(res, F.col("batch_id") <= F.lit(reference_upto_batch))

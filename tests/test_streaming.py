@@ -299,3 +299,9 @@ def test_late_ratio_per_micro_batch(two_batches):
     rows = {r.batch_id: r for r in sinks.late_ratio_by_batch(two_batches.spark, two_batches.out).collect()}
     assert (rows[0].accepted, rows[0].late, rows[0].late_alarm) == (2, 0, False)
     assert (rows[1].accepted, rows[1].late) == (2, 1) and rows[1].late_ratio == 1 / 3 and rows[1].late_alarm
+
+
+def test_drift_between_micro_batch_ranges(two_batches):
+    r = sinks.drift_since(two_batches.spark, two_batches.out, 0).first()
+    assert (r.reference_records, r.current_records) == (2, 2)
+    assert r.psi == 0.0 and r.drift is False      # all results are 'high' in both ranges
