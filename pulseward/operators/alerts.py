@@ -42,6 +42,11 @@ THRESHOLD_RULES = [
     ThresholdRule("HighMedicalBackpressure", "backpressured", 0.0, 60_000, "warning"),
     ThresholdRule("HighKafkaLagMedical", "kafka_lag", 1000.0, 180_000, "warning"),
 ]
+# Quality limits that live query progress can check directly (series of streaming.progress).
+PROGRESS_RULES = [
+    ThresholdRule("SlowCheckpoint", "checkpoint_ms", 30_000.0, 0, "warning"),
+    ThresholdRule("SlowMicroBatch", "batch_duration_ms", 30_000.0, 60_000, "warning"),
+]
 COUNTER_RULE = ("MedicalCheckpointFailures", "failed_checkpoints", 300_000, 60_000, "critical")
 
 

@@ -4,6 +4,7 @@
 metadata, not data) becomes a few rows ``(series, seq, ts_ms, value)``:
 
   batch_duration_ms      trigger execution time of the micro-batch
+  checkpoint_ms          time spent writing the offset log and the commit log (the query checkpoint)
   input_rows             rows read by the micro-batch
   input_rows_per_second  processed rows per second
   state_rows             rows in the state store (first stateful operator)
@@ -46,6 +47,7 @@ class ProgressMetrics(StreamingQueryListener):
         p = event.progress
         ts, seq, q = _ts_ms(p.timestamp), int(p.batchId), p.name or str(p.id)
         values = {"batch_duration_ms": float(p.durationMs.get("triggerExecution", 0)),
+                  "checkpoint_ms": float(p.durationMs.get("walCommit", 0) + p.durationMs.get("commitOffsets", 0)),
                   "input_rows": float(p.numInputRows),
                   "input_rows_per_second": float(p.processedRowsPerSecond or 0.0)}
         if p.stateOperators:

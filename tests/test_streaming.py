@@ -221,11 +221,13 @@ def test_progress_events_become_metric_rows(spark):
         spark.streams.removeListener(listener)
     m = listener.frame(spark)
     series = {r.series for r in m.select("series").distinct().collect()}
-    assert {"batch_duration_ms", "input_rows", "state_rows"} <= series
+    assert {"batch_duration_ms", "checkpoint_ms", "input_rows", "state_rows"} <= series
     assert m.filter("series = 'input_rows'").agg({"value": "sum"}).first()[0] >= 3
     # the alert operators run on these rows unchanged
     rule = ThresholdRule("SlowBatches", "batch_duration_ms", -1.0, 0, "warning")
     assert threshold_alerts(m.drop("query"), [rule]).count() >= 1
+    from pulseward.operators.alerts import PROGRESS_RULES
+    assert threshold_alerts(m.drop("query"), PROGRESS_RULES).count() == 0   # a healthy local run
 
 
 def test_command_line_launcher_runs_once():
