@@ -68,3 +68,29 @@ def score(model: PipelineModel, docs: DataFrame) -> DataFrame:
         F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
         round_half(F.element_at(p, cls + 1), 6).alias("confidence"),
         F.size("tokens").alias("n_tokens"))
+
+
+def score_with_model(docs: DataFrame, predict_logits, n_classes: int = 2, max_batch: int = 64) -> DataFrame:
+    """M1 with a user-supplied model: ``predict_logits(list[str]) -> list[list[float]]`` is called on batches
+    of at most ``max_batch`` texts inside ``mapInPandas`` (Arrow batches, one model load per task if the
+    callable loads lazily); softmax, argmax, label and confidence are then column expressions (R6).
+    Every document is scored; an empty input gives an empty output."""
+    import pandas as pd
+
+    from ..functions.scoring import argmax, softmax
+
+    def batches(frames):
+        for pdf in frames:
+            for start in range(0, len(pdf), max_batch):
+                part = pdf.iloc[start:start + max_batch]
+                logits = predict_logits(part["text"].fillna("").tolist()) if len(part) else []
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(),
+                                    "logits": [list(map(float, row)) for row in logits]})
+
+    raw = docs.select("doc_id", "text").mapInPandas(batches, "doc_id long, logits array<double>")
+    probs = raw.select("doc_id", softmax(F.col("logits")).alias("p"))
+    cls = argmax(F.col("p"))
+    return probs.select(
+        "doc_id",
+        F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
+        round_half(F.element_at("p", (cls + 1).cast("int")), 6).alias("confidence"))
