@@ -43,3 +43,25 @@ def test_batch_command_line_lists_and_runs():
                           target, "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=300)
     assert run.returncode == 0, run.stderr[-2000:]
     assert os.path.isdir(target)
+
+
+def _raw(spark, labels):
+    rows = [(i, 100 + i, 60, "Male", "120/80", 200, 25.0, "No", "No", 1, 2, "Home", lab) for i, lab in enumerate(labels)]
+    return spark.createDataFrame(rows, "seq long, patient_id int, age int, gender string, blood_pressure string, "
+                                       "cholesterol int, bmi double, diabetes string, hypertension string, "
+                                       "medication_count int, length_of_stay int, discharge_destination string, "
+                                       "readmitted_30_days string")
+
+
+def test_stratified_takes_first_yes_then_first_no(spark):
+    out = loading.stratified(_raw(spark, ["No", "Yes", "No", "Yes", "Yes", "No"]), 4).orderBy("position").collect()
+    assert [(r.position, r.seq) for r in out] == [(0, 1), (1, 3), (2, 0), (3, 2)]
+    assert out[0].id == "test_medical_101" and out[0].readmission_risk_raw == 1.0 and out[0].is_test
+
+
+def test_cyclic_replay_wraps_in_file_order(spark):
+    rows = _raw(spark, ["No", "Yes", "No"]).filter("seq != 1")          # gaps in seq are fine
+    out = loading.replay_cyclic(spark, rows, total=5, n_rows=2).orderBy("i").collect()
+    assert [r.seq for r in out] == [0, 2, 0, 2, 0]
+    assert [r.timestamp for r in out] == [loading.T0_MS + 100 * (i + 1) for i in range(5)]
+    assert out[1].id == f"patient_102_{loading.T0_MS + 200}"
