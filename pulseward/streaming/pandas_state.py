@@ -1,9 +1,10 @@
 """Keyed per-patient risk state with ``applyInPandasWithState`` (vectorised engine).
 
 Same rows as ``processor.PatientRiskProcessor`` (the ``transformWithState`` engine), computed per patient and
-micro-batch on a pandas frame: late rows are split off against the current watermark, the running counts of
-the accepted rows are cumulative sums on top of the stored counts. State travels with the group's Arrow batch,
-so there is no per-key round trip to a state server.
+micro-batch with numpy on the group's columns: rows are put in arrival order (``lexsort``), late rows are
+marked against the current watermark, the running counts of the accepted rows are cumulative sums on top of
+the stored counts, and one frame per group is emitted. State travels with the group's Arrow batch, so there
+is no per-key round trip to a state server.
 
 Lifetime (24 h of processing time, renewed only by writes): the state keeps the processing time of its last
 write. A group that receives data after the lifetime has passed starts from zero; a group without data is
@@ -50,40 +51,47 @@ def make_state_fn(ttl_ms: int = TTL_MS):
         watermark = state.getCurrentWatermarkMs()
         parts = list(frames)
         pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        if len(pdf) > 1:
-            pdf = pdf.sort_values(["arrival_ms", "seq"], kind="stable")
+        cols_in = {c: pdf[c].to_numpy() for c in pdf.columns}
+        order = np.lexsort((cols_in["seq"], cols_in["arrival_ms"]))       # arrival order
+        cols_in = {c: v[order] for c, v in cols_in.items()}
+        n = len(order)
         prev = state.get if state.exists else None
         if prev is not None and now - prev[6] >= ttl_ms:
             prev = None                                   # expired: never returned
-        late = (pdf["event_time_ms"] < watermark).to_numpy() if watermark is not None else np.zeros(len(pdf), bool)
-        acc, lat = pdf[~late], pdf[late]
-        common = ["seq", "patient_id", "arrival_ms", "age", "bmi", "medication_count", "length_of_stay"]
-        if len(lat):
-            cols = {c: lat[c].to_numpy() for c in common}
-            cols.update(kind=["late"] * len(lat), record_id=lat["id"].to_numpy(),
-                        processing_timestamp=lat["event_time_ms"].to_numpy(),
-                        watermark=np.full(len(lat), watermark, dtype=np.int64))
-            yield _frame(cols, len(lat))
-        if len(acc):
-            base = prev[:4] if prev is not None else (0, 0, 0, 0)
-            created = prev[5] if prev is not None else now
-            lvl = acc["risk_level"].to_numpy()
-            high = base[1] + np.cumsum(lvl == "high")
-            medium = base[2] + np.cumsum(lvl == "medium")
-            low = base[3] + np.cumsum((lvl != "high") & (lvl != "medium"))
-            total = base[0] + np.arange(1, len(acc) + 1)
-            per_row_ms = (time.perf_counter() - started) * 1000.0 / len(acc)
-            cols = {c: acc[c].to_numpy() for c in common}
-            cols.update(kind=["result"] * len(acc), record_id=acc["id"].to_numpy(), risk_level=lvl,
-                        total_records=total, high_risk_count=high, medium_risk_count=medium, low_risk_count=low,
-                        high_risk_ratio=high / total, last_activity=acc["timestamp"].to_numpy(),
-                        state_age_seconds=np.full(len(acc), (now - created) / 1000.0),
-                        processing_timestamp=acc["event_time_ms"].to_numpy(),
-                        processing_latency_ms=np.full(len(acc), per_row_ms),
-                        watermark=np.full(len(acc), watermark, dtype=np.int64))
-            yield _frame(cols, len(acc))
+        late = cols_in["event_time_ms"] < watermark
+        acc = ~late
+        n_acc = int(acc.sum())
+        base = prev[:4] if prev is not None else (0, 0, 0, 0)
+        created = prev[5] if prev is not None else now
+        lvl = cols_in["risk_level"]
+        # running counts over accepted rows only (late rows get nulls)
+        total = base[0] + np.cumsum(acc)
+        high = base[1] + np.cumsum(acc & (lvl == "high"))
+        medium = base[2] + np.cumsum(acc & (lvl == "medium"))
+        low = base[3] + np.cumsum(acc & (lvl != "high") & (lvl != "medium"))
+
+        def only_acc(values):
+            out = values.astype(object)
+            out[late] = None
+            return out
+
+        per_row_ms = (time.perf_counter() - started) * 1000.0 / max(n_acc, 1)
+        out = {c: cols_in[c] for c in ("seq", "patient_id", "arrival_ms", "age", "bmi", "medication_count",
+                                        "length_of_stay")}
+        out.update(kind=np.where(late, "late", "result"), record_id=cols_in["id"],
+                   risk_level=only_acc(lvl), total_records=only_acc(total), high_risk_count=only_acc(high),
+                   medium_risk_count=only_acc(medium), low_risk_count=only_acc(low),
+                   high_risk_ratio=only_acc(high / np.maximum(total, 1)),
+                   last_activity=only_acc(cols_in["timestamp"]),
+                   state_age_seconds=only_acc(np.full(n, (now - created) / 1000.0)),
+                   processing_timestamp=cols_in["event_time_ms"],
+                   processing_latency_ms=only_acc(np.full(n, per_row_ms)),
+                   watermark=np.full(n, watermark, dtype=np.int64))
+        yield _frame(out, n)
+        if n_acc:
+            last = np.flatnonzero(acc)[-1]
             state.update((int(total[-1]), int(high[-1]), int(medium[-1]), int(low[-1]),
-                          int(acc["timestamp"].iloc[-1]), int(created), int(now)))
+                          int(cols_in["timestamp"][last]), int(created), int(now)))
             state.setTimeoutDuration(ttl_ms)
         elif prev is not None:
             state.setTimeoutDuration(max(1, prev[6] + ttl_ms - now))   # keep the original expiry
