@@ -230,7 +230,8 @@ def test_progress_events_become_metric_rows(spark):
     assert threshold_alerts(m.drop("query"), PROGRESS_RULES).count() == 0   # a healthy local run
 
 
-def test_command_line_launcher_runs_once():
+@pytest.mark.parametrize("engine", ["tws", "pandas"])
+def test_command_line_launcher_runs_once(engine):
     import subprocess
     import sys
     root = tempfile.mkdtemp(prefix="pulseward-cli-", dir="/tmp")
@@ -242,7 +243,8 @@ def test_command_line_launcher_runs_once():
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     proc = subprocess.run([sys.executable, "-m", "pulseward.streaming", "--path", inp, "--out",
                            os.path.join(root, "out"), "--checkpoint", os.path.join(root, "ck"), "--once",
-                           "--master", "local[2]"], cwd=repo, capture_output=True, text=True, timeout=300)
+                           "--engine", engine, "--master", "local[2]"], cwd=repo, capture_output=True, text=True,
+                          timeout=300)
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert os.path.isdir(os.path.join(root, "out", "results", "batch_id=0"))
     assert os.path.isdir(os.path.join(root, "out", "dlq", "batch_id=0"))
