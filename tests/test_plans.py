@@ -25,7 +25,7 @@ def test_queries_read_only_their_columns_of_the_parsed_table(spark):
     assert "PushedFilters: [IsNull(error)]" in plan
 
 
-def test_running_state_shuffles_rows_once_on_patient_and_chunk(spark):
+def test_running_state_exchanges_rows_on_patient_and_chunk(spark):
     df = QUERIES["patient_risk_running"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     # exchanges are inserted later; check the physical plan after preparation
