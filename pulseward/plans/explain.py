@@ -12,8 +12,8 @@ from . import live
 from .catalog import QUERIES
 
 
-
-def fmt(df):
+def fmt(df) -> str:
+    """The plan tree plus, per exchange / scan / window / join / aggregate node, its key lines."""
     text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     tree, _, details = text.partition("\n\n\n")
     keep = []
