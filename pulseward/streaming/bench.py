@@ -8,19 +8,21 @@ is processed or the deadline passes. Returns rows/s and per-batch durations from
 from __future__ import annotations
 
 import os
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources.feed import feed
 from . import jobs, sources
 
 
 def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadline_s: float = 600.0,
                       engine: str = "tws") -> dict:
-    root = tempfile.mkdtemp(prefix="pulseward-streambench-", dir="/tmp")
+    # under the shared checkpoint folder (a scratch folder only for local sessions without the setting)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streambench-{uuid.uuid4().hex[:12]}"
     inp = os.path.join(root, "in")
     fd = feed(spark, sf_dir)
     n = fd.count()
