@@ -73,3 +73,12 @@ def test_watermark_moves_the_rows_exactly_once(spark):
     blocks = re.split(r"\n\(\d+\) ", text)
     row_exchanges = [b for b in blocks if b.startswith("Exchange") and re.search(r"Input \[\d+\]: \[[^\]]*\bbmi#", b)]
     assert len(row_exchanges) == 1, row_exchanges
+
+
+def test_broadcast_only_after_runtime_measurement(spark):
+    df = QUERIES["patient_features_lookup"](spark, SF_SMALL)
+    initial = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in initial and "BroadcastHashJoin" not in initial   # nothing broadcast up front
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final                                         # AQE measured a small side
