@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_quality
+from . import op1_quality, op2_pieces
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality.op1_quality_rules,
+    "op2_piece_round_trip": op2_pieces.op2_piece_round_trip,
 }
 
 ORACLE: dict[str, str] = {
