@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_quality, op2_pieces
+from . import op1_quality, op2_pieces, op3_dart
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality.op1_quality_rules,
     "op2_piece_round_trip": op2_pieces.op2_piece_round_trip,
+    "op3_dart_minhash": op3_dart.op3_dart_minhash,
 }
 
 ORACLE: dict[str, str] = {
