@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op1_quality, op2_pieces, op3_dart
+from . import op1_quality, op2_pieces, op3_dart, op9_suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality.op1_quality_rules,
     "op2_piece_round_trip": op2_pieces.op2_piece_round_trip,
     "op3_dart_minhash": op3_dart.op3_dart_minhash,
+    "op9_suffix_dedup": op9_suffix.op9_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {

@@ -25,8 +25,9 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes of all texts one after another, offsets); a null is an empty text."""
-    column = column.cast(pa.large_string()).fill_null("")
+    """(bytes of all texts or binaries one after another, offsets); a null is empty."""
+    binary = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+    column = column.cast(pa.large_binary() if binary else pa.large_string()).fill_null(b"" if binary else "")
     _, offsets, data = column.buffers()
     off = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
