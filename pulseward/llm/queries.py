@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op10_lm, op1_quality, op2_pieces, op3_dart, op4_ranker, op5_cascade, op6_wavelet, op7_forest, op9_suffix
+from . import op10_lm, op1_quality, op2_pieces, op3_dart, op4_ranker, op5_cascade, op6_wavelet, op7_forest, op8_mixing, op9_suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality.op1_quality_rules,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_cascade": op5_cascade.op5_url_cascade,
     "op6_wavelet_shards": op6_wavelet.op6_wavelet_shards,
     "op7_prefix_forest": op7_forest.op7_prefix_forest,
+    "op8_temperature_mix": op8_mixing.op8_temperature_mix,
     "op9_suffix_dedup": op9_suffix.op9_suffix_dedup,
     "op10_cross_entropy": op10_lm.op10_cross_entropy,
 }
@@ -23,4 +24,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op1_quality_rules": op1_quality.ORACLE,
     "op5_url_cascade": op5_cascade.ORACLE,
+    "op8_temperature_mix": op8_mixing.ORACLE,
 }
