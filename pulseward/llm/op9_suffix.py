@@ -237,7 +237,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     kinds = stage(shared.groupBy("ah", "ch").agg(
         F.sum("times").alias("cnt"), F.min(F.struct("rid", "lo")).alias("at"), F.first("n").alias("n"),
         F.first("p").alias("p")), "op9-contexts")
-    per = kinds.groupBy("ah").agg(F.count("*").alias("kinds"))
+    per = stage(kinds.groupBy("ah").agg(F.count("*").alias("kinds")), "op9-kinds")
     kinds = kinds.join(per, "ah")
     whole = kinds.where("kinds = 1 and cnt > 1").select(
         "ah", "ch", F.array(F.struct(F.lit(0).alias("f"), F.col("n").alias("u"))).alias("spans"))
