@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..staging import stage
 
-__all__ = ["stage", "read", "words", "non_space", "keyed", "broadcast_bytes", "SPACE"]
+__all__ = ["stage", "read", "words", "non_space", "keyed", "let", "SPACE"]
 
 #: Characters that separate words: space and U+0009..U+000D.
 SPACE = " \t\n\x0b\x0c\r"
@@ -23,6 +23,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(plain, " ", -1), lambda w: w != "")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once. A filter that the optimizer pushes below a projection takes the
+    projection's expressions with it; bound like this, an array isn't built anew in every step of a lambda over it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def non_space(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
 
@@ -31,9 +37,3 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns plus ``rid``, a row number of its own for every row (also of repeated rows and rows
     without an id), written once so that a retried task or a second scan sees the same numbers."""
     return stage(docs.select(*columns).withColumn("rid", F.monotonically_increasing_id()), "keyed")
-
-
-def broadcast_bytes(spark: SparkSession) -> int:
-    """The session's limit for a broadcast side, in bytes."""
-    raw = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(raw)

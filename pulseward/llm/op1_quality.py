@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import non_space, read, stage, words
+from .common import let, non_space, read, stage, words
 
 SYMBOLS = "#*$%&|<>"      # fixed by the contract
 MIN_WORDS = 10            # fixed by the contract
@@ -30,29 +30,29 @@ MIN_DOCS = 50
 MIN_LEFT = 0.5
 
 
-def repeat_words(ws: Column, n: int = WINDOW) -> Column:
-    """Number of words in ``n``-word windows found twice or more in the array ``ws``."""
-    last = F.size(ws) - n + 1
-    starts = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(n)]))
-    return F.transform(F.array(hashes), lambda h: _covered(h, n))[0]
+def repeat_words(words_: Column, n: int = WINDOW) -> Column:
+    """Number of words in ``n``-word windows found twice or more in the array ``words_``."""
+    def hashes(ws: Column) -> Column:
+        last = F.size(ws) - n
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(n)]))
 
+    def positions(s: Column) -> Column:
+        again = F.filter(s, lambda x, i: ((i > 0) & (F.get(s, i - 1)["h"] == x["h"]))
+                         | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False)))
+        return F.array_sort(F.transform(again, lambda x: x["i"]))
 
-def _covered(h: Column, n: int) -> Column:
-    def positions(hashes: Column) -> Column:
-        pairs = F.array_sort(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        return F.transform(F.array(pairs), lambda s: F.array_sort(F.transform(
-            F.filter(s, lambda x, i: ((i > 0) & (F.get(s, i - 1)["h"] == x["h"]))
-                     | F.coalesce(F.get(s, i + 1)["h"] == x["h"], F.lit(False))),
-            lambda x: x["i"])))[0]
+    def covered(p: Column) -> Column:
+        each = F.transform(p, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(p, i + 1) - x, F.lit(n))).cast("long"))
+        return F.aggregate(each, F.lit(0).cast("long"), lambda a, b: a + b)
 
-    def covered(pos: Column) -> Column:
-        return F.transform(F.array(pos), lambda p: F.aggregate(
-            F.transform(p, lambda x, i: F.least(F.lit(n), F.coalesce(F.get(p, i + 1) - x, F.lit(n))).cast("long")),
-            F.lit(0).cast("long"), lambda a, b: a + b))[0]
+    def count(h: Column) -> Column:
+        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        # most texts repeat no window: the distinct count decides that without sorting pairs
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(
+            let(let(pairs, positions), covered))
 
-    # most texts repeat no window: the distinct count decides that without sorting pairs
-    return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(positions(h)))
+    return let(let(words_, hashes), count)
 
 
 def _lines(text: Column) -> Column:

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import keyed, read, stage
 from .deep_shallow import deep_shallow
@@ -263,28 +264,44 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(f, u) for f, u in out]
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP) -> DataFrame:
-    """Every row of ``docs`` (rid, text): rid, n_bytes, spans (maximal removed runs) and kept, the remaining bytes."""
-    j = docs.select("rid", "text").join(repeated_spans(docs, width, max_group), "rid", "left")
+def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, as_text: bool = False,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
+    """Every row of ``docs`` (rid, text): rid, the ``carry`` columns, n_bytes, spans (maximal removed runs) and kept,
+    the remaining bytes. With ``as_text`` kept is a string: a character that a run cuts is dropped whole, and a text
+    without runs, null too, is as it was."""
+    columns = ["rid", *carry]
+    j = docs.select(*columns, "text").join(repeated_spans(docs, width, max_group), "rid", "left").select(
+        *columns, "text", "spans")
+    schema = T.StructType([*j.select(*columns).schema.fields, T.StructField("n_bytes", T.LongType()),
+                           T.StructField("spans", T.ArrayType(T.StructType([T.StructField("f", T.LongType()),
+                                                                            T.StructField("u", T.LongType())]))),
+                           T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
+    k = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 64):
-                part = b.slice(k, 64)
-                raw, off = text_bytes(part.column(1))
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                raw, off = text_bytes(part.column(k))
                 data = raw.tobytes()
-                runs = [merged(s) for s in part.column(2).to_pylist()]
+                runs = [merged(s) for s in part.column(k + 1).to_pylist()]
                 kept = []
                 for i, r in enumerate(runs):
                     edges = [0, *(x for fu in r for x in fu), int(off[i + 1] - off[i])]
-                    kept.append(b"".join(data[off[i] + x:off[i] + y] for x, y in zip(edges[::2], edges[1::2])))
+                    pieces = [data[off[i] + x:off[i] + y] for x, y in zip(edges[::2], edges[1::2])]
+                    if not as_text:
+                        kept.append(b"".join(pieces))
+                    elif r:
+                        kept.append("".join(x.decode("utf-8", "ignore") for x in pieces))
+                    else:
+                        kept.append(part.column(k)[i].as_py())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(off)),
+                    [*part.columns[:k], pa.array(np.diff(off)),
                      pa.array([[{"f": f, "u": u} for f, u in r] for r in runs],
                               pa.list_(pa.struct([("f", pa.int64()), ("u", pa.int64())]))),
-                     pa.array(kept, pa.binary())], ["rid", "n_bytes", "spans", "kept"])
+                     pa.array(kept, pa.string() if as_text else pa.binary())], [*columns, "n_bytes", "spans", "kept"])
 
-    return j.mapInArrow(run, "rid long, n_bytes long, spans array<struct<f:long,u:long>>, kept binary")
+    return j.mapInArrow(run, schema)
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
