@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.name not in QUERIES:
         ap.error(f"unknown query {args.name!r}; see 'python -m pulseward list'")
     from .session import get_spark
-    spark = get_spark(master=args.master) if args.master else get_spark()
+    spark = get_spark(master=args.master)
     df = QUERIES[args.name](spark, args.data_dir)
     if args.out:
         df.write.mode("overwrite").parquet(args.out)

@@ -27,6 +27,8 @@ ERR_TYPE = "type_mismatch"
 ERR_NULL = "null_field"
 ERR_AGE = "invalid_age"
 ERR_BMI = "invalid_bmi"
+ERR_CELL = "invalid_cell"
+ERR_PRESSURE = "invalid_blood_pressure"
 
 
 def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
@@ -88,18 +90,33 @@ def yes_no_flag(col: Column) -> Column:
     return F.coalesce((col == F.lit("Yes")).cast("int"), F.lit(0))
 
 
+def blood_pressure(text: Column) -> tuple[Column, Column]:
+    """Systolic and diastolic value of 'sys/dia'; null where a part is missing or no whole number."""
+    parts = F.split(text, "/")
+    return F.get(parts, F.lit(0)).try_cast("int"), F.get(parts, F.lit(1)).try_cast("int")
+
+
+def raw_error_code() -> Column:
+    """Error of a raw row, null if it can be reshaped: a cell that doesn't fit its column (``corrupt`` holds the
+    line), or a blood pressure that isn't two whole numbers."""
+    systolic, diastolic = blood_pressure(F.col("blood_pressure"))
+    return (F.when(F.col("corrupt").isNotNull(), F.lit(ERR_CELL))
+             .when(F.col("blood_pressure").isNotNull() & (systolic.isNull() | diastolic.isNull()),
+                   F.lit(ERR_PRESSURE)))
+
+
 def raw_to_wire(raw: DataFrame, timestamp: Column, id_prefix: str = "patient_",
                 with_ms_in_id: bool = True) -> DataFrame:
     """Reshape raw CSV rows into wire-record columns (blood pressure split, Yes/No flags, record ids)."""
-    bp = F.split(F.col("blood_pressure"), "/")
+    systolic, diastolic = blood_pressure(F.col("blood_pressure"))
     pid = F.col("patient_id").cast("long")
     rid = (F.concat(F.lit(id_prefix), pid.cast("string"), F.lit("_"), timestamp.cast("string"))
            if with_ms_in_id else F.concat(F.lit(id_prefix), pid.cast("string")))
     return raw.select(
         "*",
         rid.alias("id"),
-        bp.getItem(0).cast("int").alias("systolic_bp"),
-        bp.getItem(1).cast("int").alias("diastolic_bp"),
+        systolic.alias("systolic_bp"),
+        diastolic.alias("diastolic_bp"),
         yes_no_flag(F.col("diabetes")).alias("diabetes_flag"),
         yes_no_flag(F.col("hypertension")).alias("hypertension_flag"),
         yes_no_flag(F.col("readmitted_30_days")).cast("double").alias("readmission_risk_raw"),

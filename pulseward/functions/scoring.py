@@ -93,10 +93,14 @@ def linear_score() -> Column:
 
 def softmax(logits: Column) -> Column:
     """Numerically stable softmax over an ARRAY<DOUBLE>."""
-    m = F.array_max(logits)
-    exps = F.transform(logits, lambda x: F.exp(x - m))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(exps, lambda x: x / total)
+    exps = _bound(F.array_max(logits), lambda m: F.transform(logits, lambda x: F.exp(x - m)))
+    return _bound(exps, lambda e: _bound(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x),
+                                         lambda total: F.transform(e, lambda x: x / total)))
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, not in every step of a lambda."""
+    return F.transform(F.array(value), use)[0]
 
 
 def argmax(values: Column) -> Column:

@@ -1,6 +1,6 @@
 """Latency and request metrics over a table of samples.
 
-Input: ``metric_samples(seq, stage, ts_ms, latency_ms, ok, batch_size)``. Percentiles over all samples use the
+Input: ``metric_samples(seq, stage, ts_ms, latency_ms, ok, batch_size, is_batch)``. Percentiles over all samples use the
 distributed ``exact_percentiles``; "last 1,000" metrics first take the top 1,000 by ``seq`` (a per-partition
 top-k, so at most partitions x 1,000 rows move) and then aggregate that bounded set. One-row results of two
 different aggregations are combined by a union and a second aggregation, not by a join.
@@ -73,16 +73,16 @@ def rolling_metrics(samples: DataFrame, n: int = LAST_N) -> DataFrame:
 
 
 def client_metrics(samples: DataFrame) -> DataFrame:
-    """Request counters, success rate, percentiles over all samples, throughput.
+    """Request counters, success rate, percentiles over successful requests, throughput.
 
     One error is counted per failed request (deviation: a failing "not loaded" call is not counted twice).
     """
-    pct = exact_percentiles(samples, "latency_ms", PCTS)
-    bs = F.col("batch_size")
+    pct = exact_percentiles(samples.filter("ok"), "latency_ms", PCTS)
+    batch = F.col("is_batch")
     totals = samples.agg(
         F.count(F.lit(1)).alias("total_requests"), F.count_if(~F.col("ok")).alias("failed_requests"),
-        F.count_if(bs == 1).alias("single_requests"), F.count_if(bs > 1).alias("batch_requests"),
-        F.count_if((bs > 1) & ~F.col("ok")).alias("batch_errors"), _duration_s(samples).alias("duration_s"))
+        F.count_if(~batch).alias("single_requests"), F.count_if(batch).alias("batch_requests"),
+        F.count_if(batch & ~F.col("ok")).alias("batch_errors"), _duration_s(samples).alias("duration_s"))
     row = _one_row(pct, totals)
     return row.select(
         "total_requests", "failed_requests",
@@ -116,8 +116,8 @@ def stage_metrics(samples: DataFrame, window_ms: int = REPORT_WINDOW_MS) -> Data
 
 
 def index_percentiles(samples: DataFrame, n: int = LAST_N) -> DataFrame:
-    """Nearest-index percentiles sorted[int(n*q)] over the last ``n`` latencies in seconds."""
-    recent = last_n(samples, n).select((F.col("latency_ms") / F.lit(1000.0)).alias("s"))
+    """Nearest-index percentiles sorted[int(n*q)] over the last ``n`` successful latencies in seconds."""
+    recent = last_n(samples.filter("ok"), n).select((F.col("latency_ms") / F.lit(1000.0)).alias("s"))
     agg = recent.agg(F.array_sort(F.collect_list("s")).alias("v"), F.count(F.lit(1)).alias("n"))
     pick = lambda q: F.element_at("v", (F.floor(F.col("n").cast("double") * F.lit(q)) + 1).cast("int"))
     return agg.select(F.col("n").alias("sample_count"),
@@ -135,15 +135,15 @@ def _histogram(values: DataFrame, col: str, bounds: list, labels: list[str]) ->
 
 
 def latency_histogram(samples: DataFrame, n: int = LAST_N) -> DataFrame:
-    """Cumulative latency histogram (seconds) over the last ``n`` samples, with sum and count."""
-    recent = last_n(samples, n).select((F.col("latency_ms") / F.lit(1000.0)).alias("s"))
+    """Cumulative latency histogram (seconds) over the last ``n`` successful samples, with sum and count."""
+    recent = last_n(samples.filter("ok"), n).select((F.col("latency_ms") / F.lit(1000.0)).alias("s"))
     out = _histogram(recent, "s", LATENCY_BUCKETS, [str(b) for b in LATENCY_BUCKETS])
     return out.withColumn("total_sum", round_half("total_sum", 6))
 
 
 def batch_size_histogram(samples: DataFrame, n: int = LAST_N) -> DataFrame:
     """Cumulative batch-size histogram over the last ``n`` batch requests, with sum and count."""
-    recent = last_n(samples, n).select("batch_size")
+    recent = last_n(samples.filter("is_batch"), n).select("batch_size")
     return _histogram(recent, "batch_size", BATCH_BUCKETS, [str(b) for b in BATCH_BUCKETS])
 
 

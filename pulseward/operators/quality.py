@@ -65,7 +65,8 @@ def _hour(col: str) -> Column:
 
 def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments: DataFrame,
                    samples: DataFrame, p99_by_hour: DataFrame, ttl_ms: int) -> DataFrame:
-    """One row per arrival hour with the six quality limits as boolean columns.
+    """One row per hour in which any row arrived (valid or not) or any metric sample was taken, with the six
+    quality limits as boolean columns.
 
       late_ratio        late / valid records arriving in the hour                  > 0.05
       psi_prev_hour     PSI of the hour's level shares against the previous hour with accepted records  > 0.2
@@ -79,6 +80,7 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
     are keyed by hour and combined by union + aggregation; the only windows run over the hour table.
     """
     rows = watermarked.groupBy(_hour("arrival_ms").alias("hour_ms")).agg(
+        F.count(F.lit(1)).alias("n_input"),
         F.count_if(F.col("error").isNull()).alias("valid_records"),
         F.count_if(F.col("late")).alias("late_records"),
         F.count_if(F.col("arrival_ms") - F.col("event_time_ms") > F.lit(5000)).alias("lag_records"))
@@ -91,9 +93,10 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
               .unionByName(seg.select(_hour_expr(F.col("e") + F.lit(ttl_ms)).alias("hour_ms"),
                                       F.lit(-1).alias("live_delta")))
               .groupBy("hour_ms").agg(F.sum("live_delta").alias("live_delta")))
-    smp = samples.groupBy(_hour("ts_ms").alias("hour_ms")).agg(F.max("latency_ms").alias("checkpoint_ms"))
+    smp = samples.groupBy(_hour("ts_ms").alias("hour_ms")).agg(
+        F.count(F.lit(1)).alias("n_input"), F.max("latency_ms").alias("checkpoint_ms"))
     parts = [rows, levels, deltas, smp, p99_by_hour]
-    cols = ["valid_records", "late_records", "lag_records", "n_acc", *[f"n_{l}" for l in LEVELS], "live_delta",
+    cols = ["n_input", "valid_records", "late_records", "lag_records", "n_acc", *[f"n_{l}" for l in LEVELS], "live_delta",
             "checkpoint_ms", "p99_ms"]
     aligned = [p.select("hour_ms", *[F.col(c) if c in p.columns else F.lit(None).alias(c) for c in cols])
                for p in parts]
@@ -114,12 +117,13 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
     psi = F.when(F.col("pv_high").isNotNull(),
                  psi_terms([F.col(f"pv_{l}") for l in LEVELS], [F.col(f"sh_{l}") for l in LEVELS]))
     acc = acc.select("hour_ms", round_half(psi, 9).alias("psi_prev_hour"))
-    out = with_live.filter(F.col("valid_records") > 0).join(acc, "hour_ms", "left")
-    ratio = F.col("late_records") / F.col("valid_records")
+    out = with_live.filter(F.col("n_input") > 0).join(acc, "hour_ms", "left")
+    out = out.na.fill(0, ["valid_records", "late_records", "lag_records"])
+    ratio = F.when(F.col("valid_records") > 0, F.col("late_records") / F.col("valid_records"))
     growth = F.when(F.col("prev_live") > 0, F.col("live_states") / F.col("prev_live") - 1)
     return out.select(
         "hour_ms", "valid_records", "late_records", round_half(ratio, 9).alias("late_ratio"),
-        (ratio > LATE_RATIO_LIMIT).alias("late_flag"),
+        F.coalesce(ratio > LATE_RATIO_LIMIT, F.lit(False)).alias("late_flag"),
         "psi_prev_hour", F.coalesce(F.col("psi_prev_hour") > PSI_LIMIT, F.lit(False)).alias("drift_flag"),
         F.col("live_states").cast("long").alias("live_states"), round_half(growth, 9).alias("state_growth"),
         F.coalesce(growth > STATE_GROWTH_LIMIT, F.lit(False)).alias("growth_flag"),

@@ -56,7 +56,7 @@ def validate_records(spark, sf_dir):
 def dlq_rows(spark, sf_dir):
     """Dead-letter rows (malformed, wrong type, null or out-of-range fields)."""
     from ..operators.dlq import dlq_envelope
-    return dlq_envelope(live.checked_feed(spark, sf_dir)).drop("original_data")
+    return dlq_envelope(live.checked_feed(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- step 3: lateness, TTL, running state
@@ -122,13 +122,15 @@ def linear_risk(spark, sf_dir):
 
 @query
 def softmax_label(spark, sf_dir):
-    """Softmax over two logits, argmax label (class 1 positive) and its probability as confidence."""
+    """Softmax over the logits of all classes, argmax label (0 negative, 1 positive, else the class number) and
+    its probability as confidence."""
     lg = fixtures.logits(spark, sf_dir)
     probs = lg.select("vec_id", scoring.softmax(F.col("logits")).alias("p"))
     cls = scoring.argmax(F.col("p"))
     return probs.select(
         "vec_id",
-        F.when(cls == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("label"),
+        F.when(cls == 0, F.lit("negative")).when(cls == 1, F.lit("positive"))
+         .otherwise(F.concat(F.lit("class_"), cls.cast("string"))).alias("label"),
         round_half(F.element_at("p", (cls + 1).cast("int")), 9).alias("confidence"),
         round_half(F.element_at("p", 1), 9).alias("p_negative"),
         round_half(F.element_at("p", 2), 9).alias("p_positive"))
@@ -138,23 +140,27 @@ def softmax_label(spark, sf_dir):
 
 
 def _feature_table(spark, sf_dir):
-    """The stored feature table: upserts from accepted records of patients with id % 3 <> 0. The other third
-    has no stored features, so lookups exercise the default row (fixture definition, not a sample)."""
-    acc = live.accepted_records(spark, sf_dir)
-    return feat.upsert_features(acc.filter(F.col("patient_id") % 3 != 0))
+    """The stored feature table: upserts from all accepted records."""
+    return feat.upsert_features(live.accepted_records(spark, sf_dir))
+
+
+UNKNOWN_PATIENT, UNKNOWN_SEQ = 1_000_000_000, 1_000_000_000_000   # offsets of the requests for unknown patients
 
 
 @query
 def patient_features_update(spark, sf_dir):
-    """Per patient record_count and last_activity after all upserts (patients with id % 3 <> 0)."""
+    """Per patient record_count and last_activity after all upserts."""
     return _feature_table(spark, sf_dir)
 
 
 @query
 def patient_features_lookup(spark, sf_dir):
-    """Features for every accepted record; unknown patients get the default row."""
+    """Features for every accepted record, and for a request more per third record whose patient is
+    unknown; unknown patients get the default row."""
     acc = live.accepted_records(spark, sf_dir).select("seq", "patient_id")
-    return feat.lookup_features(acc, _feature_table(spark, sf_dir))
+    unknown = acc.filter(F.col("seq") % 3 == 0).select(
+        (F.col("seq") + UNKNOWN_SEQ).alias("seq"), (F.col("patient_id") + UNKNOWN_PATIENT).alias("patient_id"))
+    return feat.lookup_features(acc.unionByName(unknown), _feature_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- step 5: quality

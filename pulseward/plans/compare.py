@@ -82,7 +82,7 @@ def main(argv: list[str]) -> int:
     from .oracle import ORACLE
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or sorted(ORACLE)
-    spark = get_spark()
+    spark = get_spark(master="local[8]", shuffle_partitions=8)
     con = duckdb_connection(sf_dir)
     bad = 0
     for n in names:

@@ -29,7 +29,7 @@ def fmt(df) -> str:
     return tree.strip() + "\n\n" + "\n".join(keep)
 
 def main(sf: str = "/root/testdata/sf0.01") -> str:
-    spark = get_spark()
+    spark = get_spark(master="local[8]", shuffle_partitions=8)
     parts = [    "# Physical plans of the two row-moving steps\n",
              "Generated with `explain(\"formatted\")` on sf0.01 (the initial plan; with AQE the small sort-merge joins "
              "become broadcasts at run time). Read them for: one `Exchange` of the rows (the one whose input carries "

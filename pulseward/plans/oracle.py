@@ -122,8 +122,15 @@ ORACLE["validate_records"] = with_ctes(
     f"SELECT seq, {RECORD_COLS}, event_time_ms FROM checked WHERE error IS NULL")
 
 ORACLE["dlq_rows"] = with_ctes(
-    "SELECT seq, error, event_time_ms AS \"timestamp\", patient_id AS \"key\", 'dlq-medical' AS topic "
-    "FROM checked WHERE error IS NOT NULL")
+    "SELECT seq, original_data, error, event_time_ms AS \"timestamp\", patient_id AS \"key\", 'dlq-medical' AS topic "
+    "FROM checked JOIN wire USING (seq) WHERE error IS NOT NULL", """
+wire AS (SELECT seq, CASE WHEN malformed THEN substr(doc, 1, 40) ELSE doc END AS original_data FROM (
+  SELECT seq, malformed, '{"id":"patient_' || src_patient || '_' || ts_ms || '","patient_id":' || src_patient
+    || ',"age":' || src_age || ',"gender":"' || src_gender || '","systolic_bp":' || src_systolic
+    || ',"diastolic_bp":' || src_diastolic || ',"cholesterol":' || src_cholesterol || ',"bmi":' || src_bmi
+    || ',"diabetes":' || src_diabetes || ',"hypertension":' || src_hypertension || ',"medication_count":'
+    || src_medication || ',"length_of_stay":' || src_stay || ',"discharge_destination":"' || src_destination
+    || '","readmission_risk_raw":' || src_risk || ',"timestamp":' || src_timestamp || '}' AS doc FROM feed))""")
 
 ORACLE["late_records"] = with_ctes(
     "SELECT seq, patient_id, arrival_ms, event_time_ms, watermark_ms FROM flagged WHERE late")
@@ -177,16 +184,15 @@ SELECT seq, round((age / CAST(100 AS DOUBLE) + bmi / CAST(40 AS DOUBLE) + medica
 FROM checked WHERE error IS NULL""")
 
 ORACLE["softmax_label"] = """
-WITH lg AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings),
-e AS (SELECT vec_id, exp(x0 - greatest(x0, x1)) AS e0, exp(x1 - greatest(x0, x1)) AS e1 FROM lg),
-p AS (SELECT vec_id, e0 / (CAST(0.0 AS DOUBLE) + e0 + e1) AS p0, e1 / (CAST(0.0 AS DOUBLE) + e0 + e1) AS p1 FROM e)
-SELECT vec_id, CASE WHEN p1 > p0 THEN 'positive' ELSE 'negative' END AS label,
-  round(CASE WHEN p1 > p0 THEN p1 ELSE p0 END, 9) AS confidence, round(p0, 9) AS p_negative, round(p1, 9) AS p_positive
-FROM p"""
+WITH lg AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM lg),
+p AS (SELECT vec_id, list_position(v, list_max(v)) - 1 AS cls, list_transform(e, lambda x: x / list_sum(e)) AS p FROM e)
+SELECT vec_id, CASE cls WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' ELSE 'class_' || cls END AS label,
+  round(p[cls + 1], 9) AS confidence, round(p[1], 9) AS p_negative, round(p[2], 9) AS p_positive FROM p"""
 
 # ---------------------------------------------------------------- step 4: features
 FEATS = """
-fw AS (SELECT * FROM accepted WHERE patient_id % 3 <> 0),
+fw AS (SELECT * FROM accepted),
 fcount AS (SELECT patient_id, count(*) AS record_count FROM fw GROUP BY patient_id),
 flast AS (SELECT patient_id, "timestamp" AS last_activity FROM (
   SELECT patient_id, "timestamp", row_number() OVER (PARTITION BY patient_id ORDER BY arrival_ms DESC, seq DESC) AS rn
@@ -199,7 +205,8 @@ ORACLE["patient_features_lookup"] = with_ctes("""
 SELECT a.seq, a.patient_id, coalesce(f.record_count, 0) AS record_count, CAST(0.5 AS DOUBLE) AS avg_risk_score,
   coalesce(f.last_activity, 0) AS last_activity, CAST(0.0 AS DOUBLE) AS risk_trend,
   f.patient_id IS NOT NULL AS known_patient
-FROM accepted a LEFT JOIN feats f ON a.patient_id = f.patient_id""", FEATS)
+FROM (SELECT seq, patient_id FROM accepted UNION ALL
+      SELECT seq + 1000000000000, patient_id + 1000000000 FROM accepted WHERE seq % 3 = 0) a LEFT JOIN feats f ON a.patient_id = f.patient_id""", FEATS)
 
 # ---------------------------------------------------------------- step 5: quality
 SPLIT_MS = 1705363200000
@@ -231,11 +238,14 @@ FROM (SELECT *, CASE WHEN reference_records > 0 AND current_records > 0 THEN
 SAMPLES = """
 smp AS (SELECT event_id AS seq, event_type AS stage, epoch_us(ts) // 1000 AS ts_ms, value AS latency_ms,
                event_type <> 'error' AS ok, 1 + event_id % 120 AS batch_size FROM events),
-last1000 AS (SELECT * FROM smp ORDER BY seq DESC LIMIT 1000)"""
+last1000 AS (SELECT * FROM smp ORDER BY seq DESC LIMIT 1000),
+last1000_ok AS (SELECT * FROM smp WHERE ok ORDER BY seq DESC LIMIT 1000),
+last1000_batch AS (SELECT * FROM smp WHERE batch_size > 1 ORDER BY seq DESC LIMIT 1000)"""
 
 ORACLE["quality_flags"] = with_ctes(f"""
-SELECT hour_ms, valid_records, late_records, round(late_records / valid_records, 9) AS late_ratio,
-  late_records / valid_records > CAST(0.05 AS DOUBLE) AS late_flag,
+SELECT hour_ms, valid_records, late_records,
+  round(CASE WHEN valid_records > 0 THEN late_records / valid_records END, 9) AS late_ratio,
+  coalesce(CASE WHEN valid_records > 0 THEN late_records / valid_records END > CAST(0.05 AS DOUBLE), false) AS late_flag,
   psi_prev_hour, coalesce(psi_prev_hour > CAST(0.2 AS DOUBLE), false) AS drift_flag,
   live_states, round(growth, 9) AS state_growth, coalesce(growth > CAST(0.1 AS DOUBLE), false) AS growth_flag,
   checkpoint_ms, coalesce(checkpoint_ms > 30000, false) AS checkpoint_flag,
@@ -243,7 +253,7 @@ SELECT hour_ms, valid_records, late_records, round(late_records / valid_records,
 FROM (
   SELECT l.*, CASE WHEN prev_live > 0 THEN live_states / prev_live - 1 END AS growth, ps.psi_prev_hour
   FROM liv2 l LEFT JOIN ps USING (hour_ms)
-  WHERE valid_records > 0)""", SAMPLES, f"""
+  WHERE has_input)""", SAMPLES, f"""
 rows_h AS (SELECT (arrival_ms // 3600000) * 3600000 AS hour_ms,
   count(*) FILTER (WHERE error IS NULL) AS valid_records, count(*) FILTER (WHERE late) AS late_records,
   count(*) FILTER (WHERE arrival_ms - event_time_ms > 5000) AS lag_records FROM flagged GROUP BY 1),
@@ -257,7 +267,9 @@ smp_h AS (SELECT (ts_ms // 3600000) * 3600000 AS hour_ms, max(latency_ms) AS che
   round(quantile_cont(latency_ms, 0.99), 6) AS p99_ms FROM smp GROUP BY 1),
 hours AS (SELECT hour_ms FROM rows_h UNION SELECT hour_ms FROM lv_h UNION SELECT hour_ms FROM deltas
           UNION SELECT hour_ms FROM smp_h),
-comb AS (SELECT h.hour_ms, r.valid_records, r.late_records, r.lag_records, v.n_acc, s.checkpoint_ms, s.p99_ms,
+comb AS (SELECT h.hour_ms, r.hour_ms IS NOT NULL OR s.hour_ms IS NOT NULL AS has_input,
+  coalesce(r.valid_records, 0) AS valid_records, coalesce(r.late_records, 0) AS late_records,
+  coalesce(r.lag_records, 0) AS lag_records, v.n_acc, s.checkpoint_ms, s.p99_ms,
   coalesce(d.live_delta, 0) AS live_delta
   FROM hours h LEFT JOIN rows_h r USING (hour_ms) LEFT JOIN lv_h v USING (hour_ms)
   LEFT JOIN deltas d USING (hour_ms) LEFT JOIN smp_h s USING (hour_ms)),
@@ -291,7 +303,7 @@ FROM (SELECT {pcts('latency_ms')} FROM last1000) r,
 
 ORACLE["client_metrics"] = with_ctes(f"""
 SELECT count(*) AS total_requests, count(*) FILTER (WHERE NOT ok) AS failed_requests,
-  round((count(*) - count(*) FILTER (WHERE NOT ok)) / count(*), 9) AS success_rate, {pcts('latency_ms')},
+  round((count(*) - count(*) FILTER (WHERE NOT ok)) / count(*), 9) AS success_rate, {pcts('CASE WHEN ok THEN latency_ms END')},
   count(*) FILTER (WHERE batch_size = 1) AS single_requests, count(*) FILTER (WHERE batch_size > 1) AS batch_requests,
   count(*) FILTER (WHERE batch_size > 1 AND NOT ok) AS batch_errors,
   round(count(*) / ((max(ts_ms) - min(ts_ms)) / CAST(1000 AS DOUBLE)), 6) AS throughput_rps
@@ -312,14 +324,14 @@ SELECT n AS sample_count,
   v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.5 AS DOUBLE)) AS BIGINT) + 1] AS p50_seconds,
   v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.95 AS DOUBLE)) AS BIGINT) + 1] AS p95_seconds,
   v[CAST(floor(CAST(n AS DOUBLE) * CAST(0.99 AS DOUBLE)) AS BIGINT) + 1] AS p99_seconds
-FROM (SELECT list_sort(list(latency_ms / CAST(1000 AS DOUBLE))) AS v, count(*) AS n FROM last1000)""", SAMPLES)
+FROM (SELECT list_sort(list(latency_ms / CAST(1000 AS DOUBLE))) AS v, count(*) AS n FROM last1000_ok)""", SAMPLES)
 
 _LB = ["0.001", "0.005", "0.01", "0.05", "0.1", "0.5", "1.0", "2.0", "5.0"]
 ORACLE["latency_histogram"] = with_ctes(
     " UNION ALL ".join(f"SELECT '{b}' AS le, b{i} AS cumulative_count, total_count, total_sum FROM agg"
                        for i, b in enumerate(_LB))
     + " UNION ALL SELECT '+Inf' AS le, total_count AS cumulative_count, total_count, total_sum FROM agg",
-    SAMPLES, "s AS (SELECT latency_ms / CAST(1000 AS DOUBLE) AS s FROM last1000)",
+    SAMPLES, "s AS (SELECT latency_ms / CAST(1000 AS DOUBLE) AS s FROM last1000_ok)",
     "agg AS (SELECT " + ", ".join(f"count(*) FILTER (WHERE s <= CAST({b} AS DOUBLE)) AS b{i}" for i, b in enumerate(_LB))
     + ", count(*) AS total_count, round(sum(s), 6) AS total_sum FROM s)")
 
@@ -330,7 +342,7 @@ ORACLE["batch_size_histogram"] = with_ctes(
     + " UNION ALL SELECT '+Inf' AS le, total_count AS cumulative_count, total_count, total_sum FROM agg",
     SAMPLES,
     "agg AS (SELECT " + ", ".join(f"count(*) FILTER (WHERE batch_size <= {b}) AS b{i}" for i, b in enumerate(_BB))
-    + ", count(*) AS total_count, CAST(sum(batch_size) AS BIGINT) AS total_sum FROM last1000)")
+    + ", count(*) AS total_count, CAST(sum(batch_size) AS BIGINT) AS total_sum FROM last1000_batch)")
 
 ORACLE["compare_runs"] = with_ctes("""
 SELECT b.metric, b.value AS "before", a.value AS "after",

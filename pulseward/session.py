@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job here relies on. Time zone UTC keeps epoch-ms arithmetic stable. Broadcasts are decided
@@ -29,14 +30,23 @@ BASE_CONF = {
 }
 
 
-def get_spark(master: str = "local[8]", app: str = "pulseward", shuffle_partitions: int = 8,
+def get_spark(master: str | None = None, app: str = "pulseward", shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
+    """A session with the settings above where the submission has not set them. ``master``, ``shuffle_partitions``
+    and ``extra`` are set only if given: launched by spark-submit, its master and its settings hold."""
     _export_pythonpath()
-    builder = SparkSession.builder.master(master).appName(app)
-    conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    own = dict(extra or {})
+    if shuffle_partitions is not None:
+        own["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master is not None:
+        own["spark.master"] = master
+    asked = SparkConf(loadDefaults=False)
+    for k, v in own.items():
+        asked.set(k, v)
+    SparkContext._ensure_initialized(conf=asked)   # starts the JVM, which knows what was submitted
+    submitted = SparkConf()
+    builder = SparkSession.builder.appName(submitted.get("spark.app.name", app))
+    for k, v in {**{k: v for k, v in BASE_CONF.items() if not submitted.contains(k)}, **own}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,10 +1,11 @@
 """Inputs derived from the supplied tables for the metric, alert, loading and text operators.
 
-  metric_samples  (seq, stage, ts_ms, latency_ms, ok, batch_size) from ``events``:
-                  event_id, event_type, epoch ms of ts, value, event_type <> 'error', 1 + event_id % 120
+  metric_samples  (seq, stage, ts_ms, latency_ms, ok, batch_size, is_batch) from ``events``:
+                  event_id, event_type, epoch ms of ts, value, event_type <> 'error', 1 + event_id % 120; a
+                  request for one record is a single request, the others are batch requests
   metric_series   (series, seq, ts_ms, value) from ``events``; see ``metric_series``
   raw_rows        raw CSV-shaped rows (schema of a discharge file) from the record feed; see ``raw_rows``
-  logits          (vec_id, logits ARRAY<DOUBLE>): the first two elements of ``embeddings.embedding``
+  logits          (vec_id, logits ARRAY<DOUBLE>): ``embeddings.embedding``, a logit per class
   texts           (doc_id, text, quality) from ``documents`` left-joined with ``labels``
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeutil import epoch_ms
-from ..tables import read_table, spread
+from ..tables import read_table
 from .feed import feed_fields
 
 # Metric series names carried by each event type, and the counter's reset period.
@@ -33,7 +34,8 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_ms(ev, "ts").alias("ts_ms"),
         F.col("value").alias("latency_ms"),
         (F.col("event_type") != F.lit("error")).alias("ok"),
-        (1 + F.col("event_id") % 120).alias("batch_size"))
+        (1 + F.col("event_id") % 120).alias("batch_size"),
+        (F.col("event_id") % 120 != 0).alias("is_batch"))
 
 
 def counter_value(event_id) -> F.Column:
@@ -84,10 +86,10 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    return emb.select("vec_id", F.slice(F.col("embedding").cast("array<double>"), 1, 2).alias("logits"))
+    return emb.select("vec_id", F.col("embedding").cast("array<double>").alias("logits"))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
     return docs.join(labels, "doc_id", "left")

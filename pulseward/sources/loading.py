@@ -16,11 +16,11 @@ Replays are generated with ``spark.range`` and an equi-join on the row number, n
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.records import raw_to_wire
+from ..functions.records import raw_error_code, raw_to_wire
 from ..operators.scan import Running, chunked_running
 from ..schemas import RAW_COLUMNS, RAW_CSV_SCHEMA
 
@@ -35,19 +35,19 @@ DEMO_ROWS = [
 ]
 
 
-def read_raw_csv(spark: SparkSession, path: str | None) -> DataFrame:
-    """Header CSV with the explicit raw schema; the two demo rows when ``path`` does not exist.
+def read_raw_csv(spark: SparkSession, path: str | None, demo: bool = False) -> DataFrame:
+    """Header CSV with the explicit raw schema, ``seq`` (position in file order) and ``corrupt``, the line of
+    a row with a cell that doesn't fit its column. ``demo``: the two demo rows instead of a file; a path that doesn't
+    exist is an error.
 
     Common missing-value spellings are read as null so that ``cleanse`` drops them.
     """
-    df = None
-    if path:
-        try:  # a missing path fails here, when the file source lists its input
-            df = spark.read.schema(RAW_CSV_SCHEMA).option("header", True).option("mode", "PERMISSIVE").csv(path)
-        except AnalysisException:
-            df = None
-    if df is None:
-        return spark.createDataFrame(DEMO_ROWS, RAW_CSV_SCHEMA).withColumn("seq", F.monotonically_increasing_id())
+    if demo:
+        rows = spark.createDataFrame(DEMO_ROWS, RAW_CSV_SCHEMA).withColumn("corrupt", F.lit(None).cast("string"))
+        return rows.withColumn("seq", F.monotonically_increasing_id())
+    schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("corrupt", T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "corrupt").csv(path))
     missing = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None"]
     for c, t in zip(RAW_COLUMNS, RAW_CSV_SCHEMA.fields):
         if t.dataType.simpleString() == "string":
@@ -56,6 +56,11 @@ def read_raw_csv(spark: SparkSession, path: str | None) -> DataFrame:
     return df.withColumn("seq", F.monotonically_increasing_id())
 
 
+def good_rows(raw: DataFrame) -> DataFrame:
+    """The raw rows that can be reshaped; the others are ``operators.dlq.raw_dead_letters``."""
+    return raw.filter(raw_error_code().isNull()).drop("corrupt")
+
+
 def cleanse(raw: DataFrame) -> DataFrame:
     """Drop duplicate rows (first copy kept) and rows with any null."""
     firsts = raw.groupBy(*RAW_COLUMNS).agg(F.min("seq").alias("seq"))

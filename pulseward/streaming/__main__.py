@@ -24,25 +24,45 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out", required=True, help="root folder of the result / late / dlq / feature tables")
     ap.add_argument("--checkpoint", required=True, help="checkpoint root (one sub-folder per query)")
     ap.add_argument("--engine", choices=["tws", "pandas"], default="tws")
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=100_000,
+                    help="records per micro-batch for --source kafka; bounds what one task sorts per patient")
+    ap.add_argument("--max-files-per-trigger", type=int, default=1, help="files per micro-batch for --source files")
     ap.add_argument("--trigger-seconds", type=float, default=2.0)
     ap.add_argument("--once", action="store_true")
     ap.add_argument("--master", default=None, help="master URL when not launched by spark-submit")
     args = ap.parse_args(argv)
 
-    spark = get_spark(master=args.master) if args.master else get_spark()
+    spark = get_spark(master=args.master)
     if args.source == "kafka":
-        make = lambda: sources.kafka_source(spark, args.bootstrap, args.topic)
+        options = {"kind": "kafka", "bootstrap": args.bootstrap, "topic": args.topic,
+                   "max_offsets_per_trigger": args.max_offsets_per_trigger}
     else:
-        make = lambda: sources.file_source(spark, args.path, fmt=args.format)
+        options = {"kind": "files", "path": args.path, "fmt": args.format,
+                   "max_files_per_trigger": args.max_files_per_trigger}
+    make = lambda: sources.pick_source(spark, **options)
     trigger = {"once": True} if args.once else {"processingTime": f"{args.trigger_seconds} seconds"}
     risk = jobs.start_risk_query(make(), args.out, os.path.join(args.checkpoint, "risk"), trigger=trigger,
                                  engine=args.engine,
                                  kafka_bootstrap=args.bootstrap if args.source == "kafka" else None)
     dlq = jobs.start_dlq_query(make(), args.out, os.path.join(args.checkpoint, "dlq"), trigger=trigger)
-    risk.awaitTermination()
-    dlq.awaitTermination()
+    wait_for_all(spark, [risk, dlq])
     return 0
 
 
+def wait_for_all(spark, queries) -> None:
+    """Returns when all queries have ended; if one fails, the others are stopped and its error is raised."""
+    try:
+        while any(q.isActive for q in queries):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+        for q in queries:
+            if q.exception():
+                raise q.exception()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

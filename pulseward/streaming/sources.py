@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from ..schemas import FEED_SCHEMA
 
+# Topics and consumer group.
 RECORDS_TOPIC = "medical-records"
 RESULTS_TOPIC = "medical-risk-results"
 CONSUMER_GROUP = "readmission-analysis"
 
 
 def kafka_source(spark: SparkSession, bootstrap: str, topic: str = RECORDS_TOPIC, group: str = CONSUMER_GROUP,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int = 100_000) -> DataFrame:
     """Records topic from the earliest offset; value as text, broker time as arrival.
 
     The consumer-group name becomes ``groupIdPrefix``: Spark then gives every query its own group id (the
@@ -30,9 +31,7 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str = RECORDS_TOPIC
               .option("subscribe", topic)
               .option("startingOffsets", "earliest")
               .option("groupIdPrefix", group))
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    raw = reader.load()
+    raw = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger)).load()
     # offsets are per partition; (partition, offset) packed into one ordered sequence number
     seq = F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")
     return raw.select(seq.alias("seq"), F.unix_millis(F.col("timestamp")).alias("arrival_ms"),

@@ -11,17 +11,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has task slots.
-
-    Large inputs are already split into many file partitions and pass through unchanged (no shuffle);
-    only a small, unsplittable input (e.g. one parquet row group) is spread before CPU-heavy work.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without a SparkContext (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(slots) if parts < slots else df

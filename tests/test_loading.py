@@ -3,14 +3,40 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from pulseward.operators.dlq import raw_dead_letters
+
 from pulseward.sources import loading
 
 
-def test_missing_file_gives_demo_rows(spark):
-    df = loading.read_raw_csv(spark, "/nonexistent/hospital.csv")
-    assert df.count() == 2
+def test_demo_rows_only_on_request(spark):
+    assert loading.read_raw_csv(spark, None, demo=True).count() == 2
+    with pytest.raises(AnalysisException):
+        loading.read_raw_csv(spark, "/nonexistent/hospital.csv")
+
+
+def test_bad_cells_and_blood_pressures_are_dead_letters(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="pulseward-csv-", dir="/tmp"), "rows.csv")
+    with open(path, "w") as f:
+        f.write("patient_id,age,gender,blood_pressure,cholesterol,bmi,diabetes,hypertension,medication_count,"
+                "length_of_stay,discharge_destination,readmitted_30_days\n")
+        f.write("1,65.0,Male,130/80,200,25.5,Yes,No,3,5,Home,No\n")      # 65.0 in a whole-number column
+        f.write("2,72,Female,n/a,240,28.1,No,Yes,5,7,Home,Yes\n")
+        f.write("3,80,Female,130,250,31.0,No,Yes,6,9,Rehab,Yes\n")
+        f.write("4,81,Female,131/79,250,31.0,No,Yes,6,9,Rehab,Yes\n")
+    raw = loading.read_raw_csv(spark, path).cache()
+    assert [r.patient_id for r in loading.good_rows(raw).collect()] == [4]
+    bad = {r.error: [] for r in raw_dead_letters(raw).collect()}
+    for r in raw_dead_letters(raw).collect():
+        bad[r.error].append(r)
+    assert [r.original_data for r in bad["invalid_cell"]] == ["1,65.0,Male,130/80,200,25.5,Yes,No,3,5,Home,No"]
+    assert sorted(r.key for r in bad["invalid_blood_pressure"]) == [2, 3]
+    # reshaping itself never fails on such a cell
+    rec = {r.patient_id: r for r in loading.to_records(raw.filter("patient_id > 1"), F.lit(1).cast("long")).collect()}
+    assert (rec[2].systolic_bp, rec[3].systolic_bp, rec[3].diastolic_bp, rec[4].diastolic_bp) == (None, 130, None, 79)
 
 
 def test_csv_scan_cleanse_and_records(spark):

@@ -8,9 +8,9 @@ from pulseward.operators import metrics
 
 @pytest.fixture(scope="module")
 def samples(spark):
-    rows = [(i, "view", 1000 * i, float(10 * (i + 1)), i not in (3, 7), 1 + i) for i in range(10)]
+    rows = [(i, "view", 1000 * i, float(10 * (i + 1)), i not in (3, 7), 1 + i, i > 0) for i in range(10)]
     return spark.createDataFrame(rows, "seq long, stage string, ts_ms long, latency_ms double, ok boolean, "
-                                       "batch_size long")
+                                       "batch_size long, is_batch boolean")
 
 
 def test_linear_and_nearest_index_percentiles_differ(samples):
@@ -19,7 +19,7 @@ def test_linear_and_nearest_index_percentiles_differ(samples):
     assert (s.p50, s.p95, s.p99) == tuple(round(float(np.percentile(lat, q)), 6) for q in (50, 95, 99))
     assert (s.min, s.max, s.mean, s.sample_count) == (10.0, 100.0, 55.0, 10)
     assert s.std == round(float(np.std(lat)), 6) and s.sla_ok is False
-    idx = metrics.index_percentiles(samples).first()          # sorted[int(n * q)] in seconds
+    idx = metrics.index_percentiles(samples).first()          # sorted[int(n * q)] of the 8 successful, in seconds
     assert (idx.p50_seconds, idx.p95_seconds, idx.p99_seconds) == (0.06, 0.1, 0.1)
 
 
@@ -35,6 +35,6 @@ def test_penalised_and_client_metrics(samples):
 
 def test_histograms(samples):
     lat = {r.le: r.cumulative_count for r in metrics.latency_histogram(samples).collect()}
-    assert (lat["0.01"], lat["0.05"], lat["0.1"], lat["+Inf"]) == (1, 5, 10, 10)
+    assert (lat["0.01"], lat["0.05"], lat["0.1"], lat["+Inf"]) == (1, 4, 8, 8)   # successful requests
     bs = {r.le: r.cumulative_count for r in metrics.batch_size_histogram(samples).collect()}
-    assert (bs["1"], bs["5"], bs["10"], bs["+Inf"]) == (1, 5, 10, 10)
+    assert (bs["1"], bs["5"], bs["10"], bs["+Inf"]) == (0, 4, 9, 9)   # batch requests
