@@ -2,10 +2,9 @@
 
 L1 "condition held for a minimum time": consecutive points of a series where the condition holds form an
 island; the alert fires at the first point whose distance to the island's first point is at least ``for``.
-Islands are found without a per-series window: for every point, the last earlier point where the condition
-did *not* hold (a running maximum, computed by ``chunked_running`` over (timestamp, sequence block) chunks
-with a day-level summary) identifies the island, so islands are groups of an ordinary aggregation. The firing point needs the island start, which is
-joined back on (series, island); AQE splits an island that is very large.
+Islands are found without a per-series window: the island of a point is named by the last point that held while its
+predecessor did not (a running maximum by ``chunked_running`` over ranges of the time order). Its timestamp is the
+island's start, so every point knows it, and islands are groups of an ordinary aggregation with map-side combination.
 
 L2 "counter rate over 5 m > 0 held for 1 m": per point the increase since the previous point (a drop is a
 counter reset, so the increase is the new value), summed over the trailing 300 s and divided by 300. This is
@@ -22,9 +21,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..staging import stage
-from .scan import SEQ_BLOCK, Running, by_period, chunked_running, time_chunk
+from .scan import Running, chunked_running, with_ranges
 
-DAY_MS = 86_400_000
+EXACT = "decimal(28,9)"   # sums of increases: a difference of two of them is exact to 1e-9
 
 
 @dataclass(frozen=True)
@@ -56,38 +55,31 @@ def _rules_frame(spark, rules: list[ThresholdRule]) -> DataFrame:
 
 
 def island_points(points: DataFrame, cond: F.Column, keys: list[str]) -> DataFrame:
-    """All points with ``_hold`` and, for points where ``cond`` holds, their island's start, end, size and
-    maximum value (per ``keys``, ordered by ts_ms, seq)."""
-    marked = points.withColumn("_hold", F.coalesce(cond, F.lit(False)))
-    # last earlier-or-same point where the condition did not hold identifies the island (-1: none yet)
-    breaks = chunked_running(marked, keys, time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
-                             [Running("_last_break", "max",
-                                      F.when(~F.col("_hold"), F.struct("ts_ms", "seq")))],
-                             summary_chunk=by_period(DAY_MS))
-    pts = breaks.withColumn("_island", F.when(F.col("_hold"), F.coalesce(F.col("_last_break.seq"),
-                                                                           F.lit(-1).cast("long")))) \
-                .drop("_last_break")
-    gk = [*keys, "_island"]
-    islands = pts.filter(F.col("_hold")).groupBy(*gk).agg(
-        F.min("ts_ms").alias("island_start_ms"), F.max("ts_ms").alias("island_end_ms"),
-        F.count(F.lit(1)).alias("n_points"), F.max("value").alias("max_value"))
-    return pts.join(islands, gk, "left")
+    """All points with ``_hold`` and, for points where ``cond`` holds, ``_island``: (ts_ms, seq) of the first point of
+    their island (per ``keys``, ordered by ts_ms, seq). Both scans use the same ranges: one shuffle of the points."""
+    marked = with_ranges(points, "ts_ms", "seq").withColumn("_hold", F.coalesce(cond, F.lit(False)))
+    prev = chunked_running(marked, keys, None, ["ts_ms", "seq"], [Running("_held", "prev", F.col("_hold"))],
+                           chunk_name="_range")
+    first = F.col("_hold") & ~F.coalesce("_held", F.lit(False))
+    out = chunked_running(prev, keys, None, ["ts_ms", "seq"],
+                          [Running("_island", "max", F.when(first, F.struct("ts_ms", "seq")))], chunk_name="_range")
+    return out.withColumn("_island", F.when(F.col("_hold"), F.col("_island"))).drop("_held", "_range")
 
 
 def held_islands(points: DataFrame, cond: F.Column, for_ms, keys: list[str]) -> DataFrame:
     """One row per island that fires: start, first firing point, end, size, maximum value."""
-    need = F.col("island_start_ms") + (F.lit(for_ms) if isinstance(for_ms, int) else for_ms)
-    pts = island_points(points, cond, keys).filter(F.col("_hold"))
-    gk = [*keys, "_island", "island_start_ms", "island_end_ms", "n_points", "max_value"]
-    out = pts.groupBy(*gk).agg(F.min(F.when(F.col("ts_ms") >= need, F.col("ts_ms"))).alias("firing_since_ms"))
-    return out.filter(F.col("firing_since_ms").isNotNull()).drop("_island")
+    start = F.col("_island.ts_ms")
+    need = start + (F.lit(for_ms) if isinstance(for_ms, int) else for_ms)
+    out = island_points(points, cond, keys).filter(F.col("_hold")).groupBy(*keys, "_island").agg(
+        F.max("ts_ms").alias("island_end_ms"), F.count(F.lit(1)).alias("n_points"), F.max("value").alias("max_value"),
+        F.min(F.when(F.col("ts_ms") >= need, F.col("ts_ms"))).alias("firing_since_ms"))
+    return out.filter(F.col("firing_since_ms").isNotNull()).withColumn("island_start_ms", start).drop("_island")
 
 
 def threshold_alerts(series: DataFrame, rules: list[ThresholdRule] = THRESHOLD_RULES) -> DataFrame:
     """L1: one row per firing island per rule."""
     spark = series.sparkSession
-    r = _rules_frame(spark, rules)            # a handful of fixed rules: size known, broadcast is safe
-    pts = series.join(F.broadcast(r), "series", "inner")
+    pts = series.join(_rules_frame(spark, rules), "series", "inner")
     out = held_islands(pts, F.col("value") > F.col("threshold"), F.col("for_ms"),
                        ["alert", "series", "severity", "for_ms"])
     return out.select("alert", "series", "severity", "island_start_ms", "firing_since_ms", "island_end_ms",
@@ -105,36 +97,36 @@ def trailing_sum(points: DataFrame, keys: list[str], col: str, range_ms: int) ->
     key or a whole time range, however the points are distributed in time.
     """
     cols = points.columns
-    cum = chunked_running(points, keys, time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
-                          [Running("_cum", "sum", F.col(col))], summary_chunk=by_period(DAY_MS))
+    cum = chunked_running(with_ranges(points, "ts_ms", "seq"), keys, None, ["ts_ms", "seq"],
+                          [Running("_cum", "sum", F.col(col).cast(EXACT))], chunk_name="_range").drop("_range")
     cum = stage(cum, "trailing_cum")
     data = cum.select(*keys, F.col("ts_ms").alias("_t"), F.lit(0).alias("_kind"), F.col("seq").alias("_o"),
                       F.lit(0).alias("_probe"), F.col("_cum"), F.lit(None).cast("long").alias("_point"),
                       *[F.lit(None).cast(points.schema[c].dataType).alias(f"_v_{c}") for c in cols])
     probes = [cum.select(*keys, (F.col("ts_ms") - F.lit(back)).alias("_t"), F.lit(1).alias("_kind"),
-                         F.col("seq").alias("_o"), F.lit(i).alias("_probe"), F.lit(None).cast("double").alias("_cum"),
+                         F.col("seq").alias("_o"), F.lit(i).alias("_probe"), F.lit(None).cast(cum.schema["_cum"].dataType).alias("_cum"),
                          F.col("seq").alias("_point"), *[F.col(c).alias(f"_v_{c}") for c in cols])
               for i, back in ((1, 0), (2, range_ms))]
     both = data.unionByName(probes[0]).unionByName(probes[1])
-    chunk = F.struct(F.col("_t").alias("a"), F.col("_kind").alias("k"),
-                     F.floor(F.col("_o") / F.lit(SEQ_BLOCK)).alias("b"))
-    last = chunked_running(both, keys, chunk, ["_t", "_kind", "_o", "_probe"],
+    # data before probes at one timestamp: ranges over 2 t + kind keep this order inside a burst as well
+    both = with_ranges(both.withColumn("_tk", F.col("_t") * 2 + F.col("_kind")), "_tk", "_o")
+    last = chunked_running(both, keys, None, ["_tk", "_o", "_probe"],
                            [Running("_last", "max", F.when(F.col("_kind") == 0, F.struct("_t", "_o", "_cum")))],
-                           summary_chunk=lambda c: F.floor(c.getField("a") / F.lit(DAY_MS)))
-    c_at = F.coalesce(F.col("_last._cum"), F.lit(0.0))
+                           chunk_name="_range")
+    c_at = F.coalesce(F.col("_last._cum"), F.lit(0).cast(cum.schema["_cum"].dataType))
     per_point = last.filter(F.col("_kind") == 1).groupBy(*keys, "_point").agg(
         *[F.first(f"_v_{c}", ignorenulls=True).alias(c) for c in cols if c not in keys],
         F.max(F.when(F.col("_probe") == 1, c_at)).alias("_now"),
         F.max(F.when(F.col("_probe") == 2, c_at)).alias("_back"))
-    return per_point.select(*cols, (F.col("_now") - F.col("_back")).alias(f"{col}_sum"))
+    return per_point.select(*cols, (F.col("_now") - F.col("_back")).cast("double").alias(f"{col}_sum"))
 
 
 def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int = COUNTER_RULE[2],
                  for_ms: int = COUNTER_RULE[3]) -> DataFrame:
     """L2: per point of a counter series: increase, rate over the trailing ``range_ms``, alert state."""
     pts = series.filter(F.col("series") == name)
-    prev = chunked_running(pts, ["series"], time_chunk("ts_ms", "seq"), ["ts_ms", "seq"],
-                           [Running("_prev", "prev", F.col("value"))], summary_chunk=by_period(DAY_MS))
+    prev = chunked_running(with_ranges(pts, "ts_ms", "seq"), ["series"], None, ["ts_ms", "seq"],
+                           [Running("_prev", "prev", F.col("value"))], chunk_name="_range").drop("_range")
     p = F.col("_prev")
     inc = (F.when(p.isNull(), F.lit(0.0)).when(F.col("value") >= p, F.col("value") - p)
             .otherwise(F.col("value")))
@@ -143,7 +135,7 @@ def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int =
     rated = summed.withColumn("rate", F.col("increase_sum") / F.lit(range_ms / 1000.0)).drop("increase_sum")
     # stored once: the island step reads the rated points in two branches
     marked = island_points(stage(rated, "counter_rate"), F.col("rate") > 0, ["series"])
-    firing = F.col("_hold") & (F.col("ts_ms") >= F.col("island_start_ms") + F.lit(for_ms))
+    firing = F.col("_hold") & (F.col("ts_ms") >= F.col("_island.ts_ms") + F.lit(for_ms))
     return marked.select("seq", "ts_ms", F.col("value").alias("counter"), "increase",
                          round_half("rate", 9).alias("rate_5m"), (F.col("rate") > 0).alias("above"),
                          F.coalesce(firing, F.lit(False)).alias("firing"))

@@ -5,10 +5,9 @@ strictly earlier in arrival order (arrival_ms, seq) -- all rows, including malfo
 because the watermark is assigned before filtering -- minus the 5 s bound and 1 ms. A record is late when its
 event time is below that watermark. The first arrival has no watermark (null) and is never late.
 
-The running maximum is global (no key), so it is computed with ``chunked_running`` instead of an
-unpartitioned window. Rows are chunked by (exact arrival ms, block of 2^20 sequence numbers) -- monotone in
-the arrival order, so even a burst with one broker timestamp splits by row count -- and the per-chunk summary
-(about one row per distinct arrival ms) is itself scanned two-level by arrival minute.
+The running maximum is global (no key), so it is computed with ``chunked_running`` instead of an unpartitioned window:
+the rows are shuffled once, to ranges of the arrival order of about equal row counts, and the maxima of the ranges (a
+few thousand rows at most, besides bursts) give each range what came before it.
 """
 
 from __future__ import annotations
@@ -18,9 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..functions.records import LATE_DELAY_MS, parse_records, with_checks
-from .scan import Running, by_period, chunked_running, time_chunk
+from .scan import Running, chunked_running, with_ranges
 
-WATERMARK_CHUNK_MS = 60_000     # chunk of the summary level (arrival minute)
 LATE_ALARM_RATIO = 0.05
 
 
@@ -29,17 +27,17 @@ def checked(feed_df: DataFrame) -> DataFrame:
     return with_checks(parse_records(feed_df))
 
 
-def with_watermark(checked_df: DataFrame, chunk_ms: int = WATERMARK_CHUNK_MS,
-                   delay_ms: int = LATE_DELAY_MS) -> DataFrame:
+def with_watermark(checked_df: DataFrame, delay_ms: int = LATE_DELAY_MS,
+                   rows_per_range: int | None = None) -> DataFrame:
     """Add ``watermark_ms`` and ``late`` (valid records only can be late)."""
     out = chunked_running(
-        checked_df, keys=[], chunk=time_chunk("arrival_ms", "seq"), order=["arrival_ms", "seq"],
-        specs=[Running("_max_before", "max", F.col("event_time_ms"), inclusive=False)],
-        summary_chunk=by_period(chunk_ms))
+        with_ranges(checked_df, "arrival_ms", "seq", rows=rows_per_range), keys=[], chunk=None, chunk_name="_range",
+        order=["arrival_ms", "seq"],
+        specs=[Running("_max_before", "max", F.col("event_time_ms"), inclusive=False)])
     wm = F.col("_max_before") - F.lit(delay_ms + 1)
     return (out.withColumn("watermark_ms", wm)
                .withColumn("late", F.col("error").isNull() & F.coalesce(F.col("event_time_ms") < wm, F.lit(False)))
-               .drop("_max_before"))
+               .drop("_max_before", "_range"))
 
 
 def accepted(watermarked: DataFrame) -> DataFrame:

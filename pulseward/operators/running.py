@@ -8,15 +8,12 @@ arrival (arrival_ms, seq):
     record's own timestamp field -- the last processed record, not the maximum) and the state age (arrival
     time since the segment started, in seconds; arrival replaces wall clock).
 
-Plan (no single-task window even for a patient -- or one patient-hour -- with a third of all rows):
-  * hour level: rows are chunked by (patient, arrival hour). Because an hour is shorter than the lifetime, a
-    segment can only start at the first row of an hour chunk, so every segment decision is taken on the
-    per-(patient, hour) summary (first/last arrival and level counts; a window per patient over hours);
-  * sub-chunk level: inside an hour, rows are cut into sub-chunks (exact arrival ms, block of 2^20 sequence
-    numbers); a window per (patient, hour) over the sub-chunk summaries (at most one per distinct ms and
-    block) gives the counts before each sub-chunk. The hour-level values are joined onto this small table;
-  * rows: a window inside each sub-chunk adds the row's own running counts; one join on the sub-chunk key.
-The rows are shuffled once, on (patient, hour, sub-chunk); everything else moves summaries.
+Plan (no single-task window even for a patient -- or one patient in one millisecond -- with a third of all rows): the
+rows are cut into ranges of the arrival order of about equal row counts (``scan.with_ranges``) and shuffled once, on
+(patient, range). A window in each (patient, range) finds the gaps, the segments that start inside and the counts in
+them. One carry row per (patient, range) -- first and last arrival, starts inside, counts after the last start -- is
+enough to tell, by a window over the ranges of a patient, what the segment that is open at the range's start holds; it
+is joined back on (patient, range), by which the rows are partitioned already.
 """
 
 from __future__ import annotations
@@ -25,10 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import risk_level, seven_factor_score
+from .scan import with_ranges
 
 TTL_MS = 24 * 3600 * 1000
-PATIENT_CHUNK_MS = 3_600_000
-SUB_BLOCK = 1 << 20    # inside one arrival ms, rows are split into blocks of this many sequence numbers
 LEVELS = ("high", "medium", "low")
 
 
@@ -36,81 +32,65 @@ def scored(accepted_df: DataFrame) -> DataFrame:
     return accepted_df.withColumn("risk_level", risk_level(seven_factor_score()))
 
 
-def _chunk_plan(df: DataFrame, ttl_ms: int, chunk_ms: int, with_levels: bool) -> DataFrame:
-    if chunk_ms > ttl_ms:
-        raise ValueError("chunk_ms must not exceed ttl_ms (segments may only start at chunk boundaries)")
-    rows = (df.withColumn("_chunk", F.floor(F.col("arrival_ms") / F.lit(chunk_ms)))
-              .withColumn("_sub", F.struct(F.col("arrival_ms").alias("a"),
-                                           F.floor(F.col("seq") / F.lit(SUB_BLOCK)).alias("b"))))
-    keys = ["patient_id", "_chunk"]
-    sub_keys = [*keys, "_sub"]
+def _segmented(df: DataFrame, ttl_ms: int, with_levels: bool, rows_per_range: int | None) -> DataFrame:
+    keys = ["patient_id", "_range"]
     counted = ["total", *LEVELS] if with_levels else ["total"]
-
-    def level_counts(prefix: str) -> list:
-        out = [F.count(F.lit(1)).alias(f"{prefix}total")]
-        if with_levels:
-            out += [F.count_if(F.col("risk_level") == l).alias(f"{prefix}{l}") for l in LEVELS]
-        return out
-
-    # hour level: every segment decision (a segment can only start at the first row of an hour chunk)
-    summary = rows.groupBy(*keys).agg(F.min("arrival_ms").alias("_first_ms"), F.max("arrival_ms").alias("_last_ms"),
-                                      *level_counts("_n_"))
-    wc = Window.partitionBy("patient_id").orderBy("_chunk")
-    upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    s1 = summary.select(
-        *keys, "_first_ms",
-        F.lag("_last_ms").over(wc).alias("_prev_last_ms"),
-        *[F.coalesce(F.sum(f"_n_{c}").over(before), F.lit(0)).alias(f"_cum_{c}") for c in counted])
-    start = F.col("_prev_last_ms").isNull() | (F.col("_first_ms") - F.col("_prev_last_ms") >= F.lit(ttl_ms))
-    s1 = s1.withColumn("_chunk_start", start)
-    on_start = lambda c: F.when(F.col("_chunk_start"), c)
-    hour_level = s1.select(
-        *keys, "_prev_last_ms",
-        F.max(on_start(F.col("_first_ms"))).over(upto).alias("_seg_start_ms"),
-        F.sum(F.col("_chunk_start").cast("long")).over(upto).alias("segment"),
-        *[(F.col(f"_cum_{c}") - F.max(on_start(F.col(f"_cum_{c}"))).over(upto)).alias(f"_off_{c}")
-          for c in counted])
-
-    # sub-chunk level inside an hour: counts of earlier sub-chunks and the last arrival before each sub-chunk;
-    # the hour-level values are attached here, on the small table, so the rows are joined only once
-    sub = rows.groupBy(*sub_keys).agg(F.max("arrival_ms").alias("_sub_last_ms"), *level_counts("_m_"))
-    wp = Window.partitionBy(*keys).orderBy("_sub")
-    sub_prefix = sub.select(
-        *sub_keys,
-        F.lag("_sub_last_ms").over(wp).alias("_sb_prev_ms"),
-        *[F.coalesce(F.sum(f"_m_{c}").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-          .alias(f"_sb_{c}") for c in counted]).join(hour_level, keys)
-
-    # rows: running values inside their sub-chunk (one shuffle of the rows, on the sub-chunk)
-    w = Window.partitionBy(*sub_keys).orderBy("arrival_ms", "seq")
-    upto_row = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = [F.row_number().over(w).cast("long").alias("_l_total"),
-             F.lag("arrival_ms").over(w).alias("_l_prev_ms")]
-    if with_levels:
-        local += [F.count_if(F.col("risk_level") == l).over(upto_row).alias(f"_l_{l}") for l in LEVELS]
-    joined = rows.select("*", *local).join(sub_prefix, on=sub_keys, how="inner")
-    first = F.col("_l_total") == 1
-    prev = F.when(first, F.coalesce(F.col("_sb_prev_ms"), F.col("_prev_last_ms"))).otherwise(F.col("_l_prev_ms"))
-    out = joined.select(
-        "*",
-        prev.alias("prev_arrival_ms"),
-        (F.col("arrival_ms") - prev).alias("gap_ms"),
+    is_level = {"total": F.lit(1), **{l: (F.col("risk_level") == l).cast("int") for l in LEVELS}}
+
+    # inside a range: gaps, segments that start there, counts since the range's start
+    w = Window.partitionBy(*keys).orderBy("arrival_ms", "seq")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = with_ranges(df, "arrival_ms", "seq", rows=rows_per_range)
+    rows = rows.withColumn("_prev", F.lag("arrival_ms").over(w))
+    rows = rows.withColumn("_starts", F.coalesce(F.col("arrival_ms") - F.col("_prev") >= F.lit(ttl_ms), F.lit(False)))
+    rows = rows.select("*", F.sum(F.col("_starts").cast("long")).over(upto).alias("_local"),
+                       *[F.sum(is_level[c]).over(upto).alias(f"_n_{c}") for c in counted])
+    before = lambda c: F.col(f"_n_{c}") - is_level[c]  # noqa: E731  count before the row
+    rows = rows.select("*", F.max(F.when(F.col("_starts"), F.col("arrival_ms"))).over(upto).alias("_start_ms"),
+                       *[F.max(F.when(F.col("_starts"), before(c))).over(upto).alias(f"_b_{c}") for c in counted])
+
+    # the carry rows of a patient, in range order
+    carry = rows.groupBy(*keys).agg(
+        F.min("arrival_ms").alias("_first"), F.max("arrival_ms").alias("_last"), F.max("_local").alias("_inside"),
+        F.max("_start_ms").alias("_inside_ms"),
+        *[(F.max(f"_n_{c}") - F.coalesce(F.max(f"_b_{c}"), F.lit(0))).alias(f"_t_{c}") for c in counted])
+    wr = Window.partitionBy("patient_id").orderBy("_range")
+    earlier = wr.rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.withColumn("_before", F.lag("_last").over(wr))
+    carry = carry.withColumn("_new", F.col("_before").isNull() | (F.col("_first") - F.col("_before") >= F.lit(ttl_ms)))
+    opened = F.coalesce(F.col("_inside_ms"), F.when(F.col("_new"), F.col("_first")))   # start of the segment left open
+    carry = carry.select("*", opened.alias("_opened"),
+                         *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_sum_{c}") for c in counted])
+    carried = [F.when(F.col("_new"), F.lit(0)).otherwise(
+        F.col(f"_sum_{c}") - F.max(F.when(F.col("_opened").isNotNull(), F.col(f"_sum_{c}"))).over(earlier))
+        .alias(f"_c_{c}") for c in counted]
+    segments = F.coalesce(F.sum(F.col("_inside") + F.col("_new").cast("long")).over(earlier), F.lit(0))
+    carry = carry.select(
+        *keys, "_before", *carried, (segments + F.col("_new").cast("long")).alias("_segments"),
+        F.when(F.col("_new"), F.col("_first")).otherwise(F.max("_opened").over(earlier)).alias("_open_ms"))
+
+    out = rows.join(carry, keys)
+    prev = F.coalesce("_prev", "_before")
+    first_segment = F.col("_local") == 0
+    return out.select(
+        *df.columns, prev.alias("prev_arrival_ms"), (F.col("arrival_ms") - prev).alias("gap_ms"),
         F.coalesce(F.col("arrival_ms") - prev >= F.lit(ttl_ms), F.lit(False)).alias("ttl_reset"),
-        *[(F.col(f"_off_{c}") + F.col(f"_sb_{c}") + F.col(f"_l_{c}")).alias(f"_seg_{c}") for c in counted])
-    return out
+        (F.col("_segments") + F.col("_local")).alias("segment"),
+        F.when(first_segment, F.col("_open_ms")).otherwise(F.col("_start_ms")).alias("_seg_start_ms"),
+        *[(F.col(f"_n_{c}") + F.when(first_segment, F.col(f"_c_{c}")).otherwise(-F.col(f"_b_{c}"))).cast("long")
+          .alias(f"_seg_{c}") for c in counted])
 
 
-def ttl_segments(accepted_df: DataFrame, ttl_ms: int = TTL_MS, chunk_ms: int = PATIENT_CHUNK_MS) -> DataFrame:
+def ttl_segments(accepted_df: DataFrame, ttl_ms: int = TTL_MS, rows_per_range: int | None = None) -> DataFrame:
     """Per accepted record the previous arrival of the patient, the gap, the reset flag and segment number."""
-    out = _chunk_plan(accepted_df, ttl_ms, chunk_ms, with_levels=False)
+    out = _segmented(accepted_df, ttl_ms, False, rows_per_range)
     return out.select(*accepted_df.columns, "prev_arrival_ms", "gap_ms", "ttl_reset", "segment")
 
 
 def patient_risk_running(accepted_df: DataFrame, ttl_ms: int = TTL_MS,
-                         chunk_ms: int = PATIENT_CHUNK_MS) -> DataFrame:
+                         rows_per_range: int | None = None) -> DataFrame:
     """A1-A3 over accepted records; one output row per record (flat columns, see module docstring)."""
-    out = _chunk_plan(scored(accepted_df), ttl_ms, chunk_ms, with_levels=True)
+    out = _segmented(scored(accepted_df), ttl_ms, True, rows_per_range)
     total, high = F.col("_seg_total"), F.col("_seg_high")
     return out.select(
         "seq", "id", "patient_id", "risk_level", "arrival_ms", "event_time_ms", "watermark_ms", "segment",

@@ -13,9 +13,8 @@ The large side is shuffled once, on (keys, chunk); the join back reuses that par
 most one row per non-empty (key, chunk) and is never broadcast by hint: AQE may still turn the join into a
 broadcast after it has measured the summary.
 
-Chunks may be fine-grained (e.g. a struct of the exact arrival time and a block of the sequence number, so
-that even a burst of identical timestamps splits by row count); the summary is then large as well and its
-prefix is computed two-level again (``summary_chunk``).
+``with_ranges`` gives chunks of about equal row counts. Chunks may also be fine-grained; the summary is then large as
+well and its prefix is computed two-level again (``summary_chunk``).
 
 Supported kinds, each with ``inclusive`` (frame ends at the current row) or exclusive (ends one row before):
   ``sum``  running sum;   ``max``  running maximum (nulls ignored);
@@ -27,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,17 +39,18 @@ class Running:
     inclusive: bool = True
 
 
-def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[str],
+def chunked_running(df: DataFrame, keys: list[str], chunk: Column | None, order: list[str],
                     specs: list[Running], chunk_name: str = "_chunk",
                     summary_chunk: Callable[[Column], Column] | None = None) -> DataFrame:
     """Add one column per ``Running`` spec; see module docstring. ``order`` must be unique within a key.
 
-    ``chunk`` may be a struct (compared field by field). With ``summary_chunk`` the prefix over the per-chunk
+    Without ``chunk`` the chunks are an existing column ``chunk_name`` (see ``with_ranges``), which is kept: a second
+    scan over the same ranges then needs no further shuffle of the rows. ``chunk`` may be a struct (compared field by field). With ``summary_chunk`` the prefix over the per-chunk
     summary is itself computed two-level, chunked by ``summary_chunk(chunk)`` (monotone in the chunk); use it
     when chunks are fine-grained, so that the summary table is large.
     """
     part = [*keys, chunk_name]
-    base = df.withColumn(chunk_name, chunk)
+    base = df if chunk is None else df.withColumn(chunk_name, chunk)
     w = Window.partitionBy(*part).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -110,19 +111,35 @@ def chunked_running(df: DataFrame, keys: list[str], chunk: Column, order: list[s
             out_cols.append(F.greatest(p, l).alias(s.name))
         else:
             out_cols.append(F.when(F.col("_first_in_chunk"), p).otherwise(l).alias(s.name))
-    drop = [c for c in joined.columns if c.startswith(("_l_", "_p_", "_x_")) or c in ("_first_in_chunk", chunk_name)]
+    drop = [c for c in joined.columns if c.startswith(("_l_", "_p_", "_x_")) or c == "_first_in_chunk"
+            or (c == chunk_name and chunk is not None)]
     return joined.select("*", *out_cols).drop(*drop)
 
 
-SEQ_BLOCK = 1 << 20
+SEQ_BLOCK = 1 << 20            # inside one timestamp that fills ranges of its own, a chunk is this many sequence numbers
+ROWS_PER_RANGE = 1 << 20
+MAX_RANGES = 4096
 
 
-def time_chunk(ts: str, seq: str) -> Column:
-    """A fine chunk monotone in the order (ts, seq): the exact timestamp and a block of sequence numbers, so
-    even many rows with one timestamp split by row count. Pair with ``by_period`` as ``summary_chunk``."""
-    return F.struct(F.col(ts).alias("a"), F.floor(F.col(seq) / F.lit(SEQ_BLOCK)).alias("b"))
+def with_ranges(df: DataFrame, ts: str, seq: str, name: str = "_range", rows: int | None = None) -> DataFrame:
+    """``df`` with ``name``, a chunk that is monotone in the order (ts, seq): ranges of ``ts`` between fixed cut
+    points, about ``rows`` rows each (at most ``MAX_RANGES``). A timestamp that fills a range is a range of its own,
+    cut into blocks of sequence numbers, so a burst splits by row count too.
 
-
-def by_period(period: int) -> Callable[[Column], Column]:
-    """Summary chunk for ``time_chunk``: the period (same unit as the timestamp) that contains the chunk."""
-    return lambda c: F.floor(c.getField("a") / F.lit(period))
+    The cut points are approximate quantiles (one pass over one column; the driver gets the cut points alone). A key
+    has at most one summary row per range, so summaries are smaller than the rows by the rows per key and range.
+    """
+    rows = rows or ROWS_PER_RANGE
+    n = df.count()
+    k = min(MAX_RANGES, -(-n // rows))
+    cuts = df.approxQuantile(ts, [i / k for i in range(1, k)], 1 / (4 * k)) if k > 1 else []
+    heavy = sorted({c for c in cuts if cuts.count(c) > 1})
+    splits = sorted({*cuts, *(c + 1 for c in heavy)})
+    if splits:
+        df = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ts", outputCol="_bucket",
+                        handleInvalid="keep").transform(df.withColumn("_ts", F.col(ts).cast("double"))).drop("_ts")
+    else:
+        df = df.withColumn("_bucket", F.lit(0.0))
+    block = (F.when(F.col(ts).isin([int(c) for c in heavy]), F.floor(F.col(seq) / F.lit(SEQ_BLOCK)))
+             .otherwise(F.lit(0)) if heavy else F.lit(0)).cast("long")
+    return df.withColumn(name, F.struct(F.col("_bucket").cast("int").alias("a"), block.alias("b"))).drop("_bucket")

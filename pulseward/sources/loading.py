@@ -10,7 +10,7 @@
 
 Row numbers (0..N-1 in file order, needed to wrap the replay) come from the running count in
 ``operators.scan`` chunked by blocks of ``seq`` (and the block summaries again by blocks of blocks); ranks
-inside a shuffled epoch likewise, chunked by the top 30 hash bits and summarised by the top 10.
+inside a shuffled epoch likewise, over ranges of the hash.
 Replays are generated with ``spark.range`` and an equi-join on the row number, never on the driver.
 """
 
@@ -88,7 +88,8 @@ def with_row_index(rows: DataFrame, chunk: int = SEQ_CHUNK) -> DataFrame:
 def replay_cyclic(spark: SparkSession, rows: DataFrame, total: int, n_rows: int) -> DataFrame:
     """``total`` records replaying ``rows`` (``n_rows`` of them) in file order, wrapping at the end."""
     indexed = with_row_index(rows)
-    positions = spark.range(total).select(F.col("id").alias("i"), (F.col("id") % F.lit(n_rows)).alias("row_index"))
+    positions = spark.range(total if n_rows else 0).select(
+        F.col("id").alias("i"), (F.col("id") % F.lit(max(n_rows, 1))).alias("row_index"))
     ts = F.lit(T0_MS) + F.lit(CYCLIC_STEP_MS) * (F.col("i") + 1)
     joined = positions.join(indexed, "row_index", "inner").withColumn("_ts", ts)
     rec = raw_to_wire(joined, F.col("_ts"))
@@ -99,14 +100,16 @@ def replay_shuffled(rows: DataFrame, total: int, n_rows: int, rps: int, seed: in
     """(i, epoch, seq, patient_id, timestamp, id) for ``total`` records sampled epoch by epoch without
     replacement; the order inside an epoch is a hash permutation, so the result is deterministic. Record ids
     are ``medical_record_{patient}_{ms}`` with the replay clock's ms."""
-    epochs = -(-total // n_rows)
+    epochs = -(-total // max(n_rows, 1))
+    if epochs <= 0:
+        rows, epochs = rows.limit(0), 1
     per_epoch = rows.select("seq", "patient_id", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     h = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("seq"))
     hashed = per_epoch.withColumn("_h", h)
-    # 2^30 hash chunks per epoch (a few rows each at any size), summarised by the top 10 bits
-    ranked = chunked_running(hashed, ["epoch"], F.shiftright(F.col("_h"), 34), ["_h", "seq"],
-                             [Running("_rank", "sum", F.lit(1).cast("long"))],
-                             summary_chunk=lambda c: F.shiftright(c, 20))
+    # ranges of the hash, about 2^16 rows each, so that the summary is far smaller than the rows
+    bits = max(0, n_rows.bit_length() - 16)
+    chunk = F.shiftright(F.col("_h"), 64 - bits) if bits else F.lit(0).cast("long")
+    ranked = chunked_running(hashed, ["epoch"], chunk, ["_h", "seq"], [Running("_rank", "sum", F.lit(1).cast("long"))])
     i = F.col("epoch").cast("long") * F.lit(n_rows) + F.col("_rank") - 1
     out = ranked.select(i.alias("i"), "epoch", "seq", "patient_id").filter(F.col("i") < F.lit(total))
     out = out.withColumn("timestamp", F.lit(T0_MS) + (F.col("i") * F.lit(1000) / F.lit(rps)).cast("long"))

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from conftest import SF_SMALL
 from pulseward.plans.catalog import QUERIES
 
@@ -25,13 +26,19 @@ def test_queries_read_only_their_columns_of_the_parsed_table(spark):
     assert "PushedFilters: [IsNull(error)]" in plan
 
 
-def test_running_state_exchanges_rows_on_patient_and_chunk(spark):
+@pytest.fixture
+def small_ranges(monkeypatch):
+    from pulseward.operators import scan
+    monkeypatch.setattr(scan, "ROWS_PER_RANGE", 100)   # a single range would be folded out of the plan
+
+
+def test_running_state_exchanges_rows_on_patient_and_chunk(spark, small_ranges):
     df = QUERIES["patient_risk_running"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     # exchanges are inserted later; check the physical plan after preparation
     prepared = df._jdf.queryExecution().executedPlan().toString()
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", prepared)
-    on_rows = [e for e in exchanges if "patient_id" in e and "_chunk" in e]
+    on_rows = [e for e in exchanges if "patient_id" in e and "_range" in e]
     assert len(on_rows) >= 1
     assert "Window" in plan
 
@@ -56,16 +63,16 @@ def test_entry_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_running_state_moves_the_rows_exactly_once(spark):
+def test_running_state_moves_the_rows_exactly_once(spark, small_ranges):
     df = QUERIES["patient_risk_running"](spark, SF_SMALL)
     text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     blocks = re.split(r"\n\(\d+\) ", text)
     row_exchanges = [b for b in blocks if b.startswith("Exchange") and re.search(r"Input \[\d+\]: \[[^\]]*\bbmi#", b)]
     assert len(row_exchanges) == 1, row_exchanges
-    assert "_sub" in row_exchanges[0] and "patient_id" in row_exchanges[0]
+    assert "_range" in row_exchanges[0] and "patient_id" in row_exchanges[0]
 
 
-def test_watermark_moves_the_rows_exactly_once(spark):
+def test_watermark_moves_the_rows_exactly_once(spark, small_ranges):
     from pulseward.operators import lateness
     from pulseward.plans import live
     df = lateness.with_watermark(live.checked_feed(spark, SF_SMALL))
@@ -82,3 +89,41 @@ def test_broadcast_only_after_runtime_measurement(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "BroadcastHashJoin" in final                                         # AQE measured a small side
+
+
+def test_summaries_are_far_smaller_than_the_rows(spark, small_ranges):
+    """Of the exchanges that run, one per step moves as many records as there are rows; the others a tenth at most."""
+    from pulseward.operators import lateness
+    from pulseward.plans import live
+    from pyspark.sql import functions as F
+
+    def moved(df):
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        found, todo = [], [plan]
+        while todo:
+            p = todo.pop()
+            name = p.nodeName()
+            if name == "AdaptiveSparkPlan":
+                todo.append(p.executedPlan())
+                continue
+            if "QueryStage" in name:
+                todo.append(p.plan())
+                continue
+            if name == "Exchange":
+                found.append(p.metrics().apply("shuffleRecordsWritten").value())
+            children = p.children()
+            todo += [children.apply(i) for i in range(children.size())]
+        return sorted(found, reverse=True)
+
+    checked = live.checked_feed(spark, SF_SMALL)
+    n = checked.count()
+    counts = moved(lateness.with_watermark(checked))
+    assert counts[0] == n and all(c <= n / 10 for c in counts[1:]), counts
+    # one patient with all rows: ranges split it, and the carry has a row per range
+    from pulseward.operators.running import ttl_segments
+    acc = live.accepted_records(spark, SF_SMALL).withColumn("patient_id", F.lit(1).cast("long"))
+    n = acc.count()
+    counts = moved(ttl_segments(acc))
+    assert counts[0] == n and all(c <= n / 10 for c in counts[1:] if c != n), counts

@@ -57,7 +57,7 @@ def test_patient_running_matches_sequential_state(spark, rows):
     _check_patient_running(spark, rows)
 
 
-def _check_patient_running(spark, rows):
+def _check_patient_running(spark, rows, rows_per_range=None):
     recs = []
     for i, (pid, arrival, hits) in enumerate(rows):
         age = 70 if hits >= 1 else 30
@@ -70,7 +70,7 @@ def _check_patient_running(spark, rows):
     df = spark.createDataFrame(pdf, "seq long, id string, patient_id long, arrival_ms long, event_time_ms long, "
                                     "watermark_ms long, timestamp long, age int, bmi double, medication_count int, "
                                     "length_of_stay int, diabetes int, hypertension int, cholesterol int")
-    out = patient_risk_running(df).select("seq", "risk_level", "total_records", "high_risk_count",
+    out = patient_risk_running(df, rows_per_range=rows_per_range).select("seq", "risk_level", "total_records", "high_risk_count",
                                           "medium_risk_count", "low_risk_count", "state_age_seconds").toPandas()
     levels = out.set_index("seq")["risk_level"]
     pdf["risk_level"] = pdf["seq"].map(levels)
@@ -131,11 +131,26 @@ def test_recursive_struct_chunks_match_pandas(spark, rows):
 @given(rows=st.lists(st.tuples(st.integers(1, 2), st.sampled_from([0, 7, 7, 7, 3_599_999, 3_600_000,
                                                                      90_000_000, 90_000_000]),
                                st.integers(0, 7)), min_size=1, max_size=40))
-def test_patient_running_with_tiny_sub_chunks(spark, rows):
-    import pulseward.operators.running as running_mod
-    old = running_mod.SUB_BLOCK
-    running_mod.SUB_BLOCK = 2          # bursts of one timestamp now span several sub-chunks
+def test_patient_running_with_tiny_ranges(spark, rows):
+    import pulseward.operators.scan as scan
+    old = scan.SEQ_BLOCK
+    scan.SEQ_BLOCK = 2          # bursts of one timestamp span several ranges
     try:
-        _check_patient_running(spark, rows)
+        _check_patient_running(spark, rows, rows_per_range=4)
     finally:
-        running_mod.SUB_BLOCK = old
+        scan.SEQ_BLOCK = old
+
+
+def test_ranges_split_bursts_and_follow_the_order(spark):
+    import pulseward.operators.scan as scan
+    old, scan.SEQ_BLOCK = scan.SEQ_BLOCK, 10
+    try:
+        df = spark.createDataFrame([(5 if i < 80 else i, i) for i in range(100)], "ts long, seq long")
+        got = [(r["_range"], r.ts, r.seq) for r in scan.with_ranges(df, "ts", "seq", rows=10).collect()]
+    finally:
+        scan.SEQ_BLOCK = old
+    assert [x[1:] for x in sorted(got)] == sorted(x[1:] for x in got)
+    sizes = {}
+    for r, _, _ in got:
+        sizes[r] = sizes.get(r, 0) + 1
+    assert max(sizes.values()) <= 20 and len(sizes) >= 8
