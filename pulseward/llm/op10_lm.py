@@ -146,7 +146,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, word_bits: int
     """``docs`` (doc_id, text) scored; ``target`` (doc_id) names the documents of the target corpus."""
     ids = stage(target.where("doc_id is not null").select("doc_id").distinct()
                 .withColumn("good", F.lit(True)), "op10-target")
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").select(
+    # the list of good documents has no size bound: always a sort-merge join, so that the plan is one at every size
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
         "text", F.coalesce("good", F.lit(False)).alias("good"))
     counts = load_counts(stage(count_blocks(marked, word_bits, pair_bits), "op10-counts"), word_bits, pair_bits)
     return score_documents(docs, *counts, word_bits, pair_bits)
