@@ -1,10 +1,9 @@
 """Exact percentiles without gathering a group's values in one place.
 
 ``percentile`` in Spark keeps every distinct value of a group in one aggregation buffer. Here the values are
-first counted per (keys, value) -- a partial aggregation, so a hot group is combined map-side -- then the
-distinct values are ranked with the two-level running sum of ``operators.scan`` (chunked by a monotone
-log-scale bucket of the value, so no task holds all distinct values of a group) and the two neighbouring
-order statistics are picked:
+first counted per (keys, value) -- a partial aggregation, so a hot group is combined map-side -- and the counts are
+stored. Ranks come from the two-level running sum of ``operators.scan`` over ranges of the values of about equal row
+counts (``with_ranges``), however the values are spread, and the two neighbouring order statistics are picked:
 
     pos = (n - 1) * q,  p = v[floor(pos)] + (v[ceil(pos)] - v[floor(pos)]) * (pos - floor(pos))
 
@@ -14,20 +13,12 @@ agree only to about 1e-14 on interpolated values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
-from .scan import Running, chunked_running
-
-BUCKETS_PER_DOUBLING = 64
-
-
-def value_bucket(v: Column) -> Column:
-    """Monotone non-decreasing bucket of a double: sign(v) * floor(log2(|v| + 1) * 64)."""
-    mag = F.floor(F.log2(F.abs(v) + F.lit(1.0)) * F.lit(BUCKETS_PER_DOUBLING))
-    return F.when(v < 0, -mag).otherwise(mag)
-
+from ..staging import stage
+from .scan import Running, chunked_running, with_ranges
 
 def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: list[str] | None = None,
                       digits: int = 6) -> DataFrame:
@@ -35,8 +26,9 @@ def exact_percentiles(df: DataFrame, value: str, qs: dict[str, float], keys: lis
     keys = list(keys or [])
     v = F.col(value).cast("double")
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = chunked_running(counts, keys, value_bucket(F.col("_v")), ["_v"],
-                             [Running("_hi", "sum", F.col("_c"))])
+    counts = stage(counts, "percentile_counts")
+    ranked = chunked_running(with_ranges(counts, "_v", None), keys, None, ["_v"], [Running("_hi", "sum", F.col("_c"))],
+                             chunk_name="_range")
     if keys:
         ranked = ranked.join(counts.groupBy(*keys).agg(F.sum("_c").alias("_n")), keys)
     else:  # no key: the total is one number, read from a one-row aggregate

@@ -121,10 +121,11 @@ ROWS_PER_RANGE = 1 << 20
 MAX_RANGES = 4096
 
 
-def with_ranges(df: DataFrame, ts: str, seq: str, name: str = "_range", rows: int | None = None) -> DataFrame:
+def with_ranges(df: DataFrame, ts: str, seq: str | None, name: str = "_range", rows: int | None = None) -> DataFrame:
     """``df`` with ``name``, a chunk that is monotone in the order (ts, seq): ranges of ``ts`` between fixed cut
     points, about ``rows`` rows each (at most ``MAX_RANGES``). A timestamp that fills a range is a range of its own,
-    cut into blocks of sequence numbers, so a burst splits by row count too.
+    cut into blocks of sequence numbers, so a burst splits by row count too; without ``seq`` (``ts`` unique per key)
+    it isn't, and ``ts`` may be any number.
 
     The cut points are approximate quantiles (one pass over one column; the driver gets the cut points alone). A key
     has at most one summary row per range, so summaries are smaller than the rows by the rows per key and range.
@@ -133,7 +134,7 @@ def with_ranges(df: DataFrame, ts: str, seq: str, name: str = "_range", rows: in
     n = df.count()
     k = min(MAX_RANGES, -(-n // rows))
     cuts = df.approxQuantile(ts, [i / k for i in range(1, k)], 1 / (4 * k)) if k > 1 else []
-    heavy = sorted({c for c in cuts if cuts.count(c) > 1})
+    heavy = sorted({c for c in cuts if cuts.count(c) > 1}) if seq else []
     splits = sorted({*cuts, *(c + 1 for c in heavy)})
     if splits:
         df = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ts", outputCol="_bucket",

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -100,12 +101,18 @@ def test_trailing_sum_matches_naive_range_sum(spark, pts):
         assert out.loc[r.seq, "x_sum"] == sel.x.sum()
 
 
-def test_value_bucket_is_monotone(spark):
-    from pulseward.operators.percentiles import value_bucket
-    vals = sorted([-1e9, -1000.5, -3.0, -1e-9, 0.0, 1e-9, 0.5, 1.0, 2.0, 3.999, 1e6, 1e300])
-    df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = [r.b for r in df.select(value_bucket(F.col("v")).alias("b")).collect()]
-    assert got == sorted(got)
+def test_percentiles_of_crowded_values(spark, monkeypatch):
+    """Many distinct values close together, and negative ones: ranges split them by count."""
+    from pulseward.operators import scan
+    from pulseward.operators.percentiles import exact_percentiles
+    monkeypatch.setattr(scan, "ROWS_PER_RANGE", 50)
+    rng = np.random.default_rng(0)
+    vals = np.concatenate([30 + rng.random(900) / 1000, -rng.random(50) * 1e6, rng.random(50) * 1e6]).round(9)
+    df = spark.createDataFrame([(int(i % 3), float(v)) for i, v in enumerate(vals)], "k int, v double")
+    got = exact_percentiles(df, "v", {"p50": 0.5, "p99": 0.99}).first()
+    assert (got.p50, got.p99) == tuple(pytest.approx(np.percentile(vals, q), abs=2e-6) for q in (50, 99))
+    for r in exact_percentiles(df, "v", {"p95": 0.95}, keys=["k"]).collect():
+        assert r.p95 == pytest.approx(np.percentile(vals[r.k::3], 95), abs=2e-6)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
