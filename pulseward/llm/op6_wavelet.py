@@ -114,7 +114,7 @@ def shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens: int =
         if ids:
             yield shard()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(run, "part long, seq long, doc_ids array<long>, lengths array<long>, data binary")
 
 
