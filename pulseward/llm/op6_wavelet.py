@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +36,7 @@ from .wavelet import WaveletMatrix
 
 END_ID = 2                 # fixed by the contract
 SHARD_TOKENS = 1 << 20
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 1_000_000
 #: A space between white space, or after white space at the end: chunks can't be cut there.
 _RUN = re.compile(r"\s (?:\s|\Z)")
 
@@ -50,27 +52,66 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}     # what follows a space -> ids of the space and it
+        self.bare: dict[str, bytes] = {}      # parts without a space before them
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() if sys.byteorder == "big" else array("I", e.ids).tobytes()
+                for e in self.batch(texts, add_special_tokens=False)]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that encode alone."""
+        parts = [_pieces(c) for c in chunks]
+        wanted = list({p for ps in parts for p in ps}.difference(self.bare))
+        self.bare.update(zip(wanted, self._library(wanted)))
+        return [b"".join([self.bare[p] for p in ps]) for ps in parts]
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if not text:
             return b""
-        if _RUN.search(text):
-            return self._library([text])[0]
         if len(self.known) > MAX_CHUNKS:
             self.known.clear()
+        if len(self.bare) > MAX_CHUNKS // 4:
+            self.bare.clear()
         head, *rest = text.split(" ")
-        chunks = [" " + c for c in rest]
+        ids = list(map(self.known.get, rest))
+        if None in ids:
+            missing = [k for k, i in enumerate(ids) if i is None]
+            new = list({rest[k] for k in missing})
+            odd = [c for c in new if not c or c[0].isspace()]   # never remembered, so a run is always seen here
+            if odd and _RUN.search(text):
+                return self._library([text])[0]
+            found = dict(zip(new, self._chunks([" " + c for c in new])))
+            for k in missing:
+                ids[k] = found[rest[k]]
+            for c in odd:
+                del found[c]
+            self.known.update(found)
         if head:
-            chunks.insert(0, head)
-        new = list(set(chunks).difference(self.known))
-        if new:
-            self.known.update(zip(new, self._library(new)))
-        return b"".join(map(self.known.__getitem__, chunks))
+            ids.insert(0, self._chunks([head])[0])
+        return b"".join(ids)
+
+
+def _pieces(chunk: str) -> list[str]:
+    """Parts of a chunk that encode alone: the library's pattern never runs over a line feed between other
+    characters, nor from a letter to the comma or full stop after it."""
+    if "\n" not in chunk:
+        if chunk[-1] in ",." and len(chunk) > 2 and chunk[-2].isalpha() and chunk[-2] < "\u0250":
+            return [chunk[:-1], chunk[-1]]
+        return [chunk]
+    out = []
+    lines = chunk.split("\n")
+    if any(not x or x[0].isspace() or x[-1].isspace() for x in [lines[0].lstrip(" "), *lines[1:]]):
+        return [chunk]
+    for i, line in enumerate(lines):
+        if i:
+            out.append("\n")
+        if len(line) > 2 and line[-1] in ",." and line[-2].isalpha() and line[-2] < "\u0250":
+            out += [line[:-1], line[-1]]
+        else:
+            out.append(line)
+    return out
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
