@@ -5,7 +5,7 @@ Sub-packages:
   functions  -- column expressions (JSON parse, validation, risk scoring, softmax)
   operators  -- DataFrame operators (lateness, running state, features, quality, metrics, alerts, text)
   plans      -- the query catalogue used by ``__spark_entry__`` and its DuckDB oracle SQL
-  streaming  -- Structured Streaming job (transformWithState processor, idempotent sinks)
+  streaming  -- Structured Streaming job (transformWithStateInPandas processor, idempotent sinks)
 """
 
 __version__ = "0.1.0"

@@ -28,12 +28,6 @@ def _featurizer() -> list:
             HashingTF(inputCol="tokens", outputCol="tf", numFeatures=NUM_FEATURES)]
 
 
-def text_pipeline(max_iter: int = 15, reg: float = 0.01, tol: float = 1e-4) -> Pipeline:
-    """The whole pipeline as one estimator (``train`` fits the same stages with one featurisation pass)."""
-    return Pipeline(stages=[*_featurizer(), IDF(inputCol="tf", outputCol="features", minDocFreq=1),
-                            _classifier(max_iter, reg, tol)])
-
-
 def _classifier(max_iter: int = 15, reg: float = 0.01, tol: float = 1e-4) -> LogisticRegression:
     return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol,
                               probabilityCol="probability", predictionCol="prediction")
@@ -58,6 +52,24 @@ def train(labelled: DataFrame) -> PipelineModel:
     return PipelineModel(stages=[*prep.stages, idf, clf])
 
 
+def held_out(doc_id: str = "doc_id", share: int = 5) -> F.Column:
+    """One document in ``share``, by hash, is kept out of training."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(share)) == 0
+
+
+def accuracy(docs: DataFrame) -> DataFrame:
+    """One row: number of held-out labelled texts, accuracy and area under the ROC curve on them, after training on
+    the other labelled texts."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    known = docs.filter(F.col("quality").isNotNull() & F.col("text").isNotNull())
+    model = train(known.filter(~held_out()))
+    scored = model.transform(known.filter(held_out()).select("doc_id", "text", F.col("quality").cast("double").alias("label")))
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(scored)
+    return scored.agg(F.count(F.lit(1)).alias("n_held_out"),
+                      F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+                      F.lit(auc).alias("auc"))
+
+
 def score(model: PipelineModel, docs: DataFrame) -> DataFrame:
     """(doc_id, label, confidence, n_tokens) for every document."""
     scored = model.transform(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))

@@ -336,3 +336,10 @@ def score_texts(spark, sf_dir):
     docs = fixtures.texts(spark, sf_dir)
     model = text.train(docs)
     return text.score(model, docs)
+
+
+@query
+def score_texts_accuracy(spark, sf_dir):
+    """M1: accuracy and AUC of the text scorer on held-out labelled documents."""
+    from ..operators import text
+    return text.accuracy(fixtures.texts(spark, sf_dir))

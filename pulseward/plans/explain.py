@@ -34,7 +34,7 @@ def main(sf: str = "/root/testdata/sf0.01") -> str:
              "Generated with `explain(\"formatted\")` on sf0.01 (the initial plan; with AQE the small sort-merge joins "
              "become broadcasts at run time). Read them for: one `Exchange` of the rows (the one whose input carries "
              "record columns such as `bmi`), the scans' pruned `ReadSchema` / `PushedFilters`, and windows "
-             "partitioned by chunk keys only.\n",
+             "partitioned by range keys only.\n",
              "## Watermark over the parsed feed (`lateness.with_watermark`)\n",
              "Rows: `Exchange hashpartitioning(_chunk)` with `_chunk = (arrival ms, seq block)`. Summary 1 "
              "(max per chunk) is exchanged by arrival minute (`_chunk_s`); summary 2 (per minute) runs in one "

@@ -44,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     risk = jobs.start_risk_query(make(), args.out, os.path.join(args.checkpoint, "risk"), trigger=trigger,
                                  engine=args.engine,
                                  kafka_bootstrap=args.bootstrap if args.source == "kafka" else None)
-    dlq = jobs.start_dlq_query(make(), args.out, os.path.join(args.checkpoint, "dlq"), trigger=trigger)
+    dlq = jobs.start_dlq_query(make(), args.out, os.path.join(args.checkpoint, "dlq"), trigger=trigger,
+                               kafka_bootstrap=args.bootstrap if args.source == "kafka" else None)
     wait_for_all(spark, [risk, dlq])
     return 0
 

@@ -53,7 +53,7 @@ def stream_throughput(spark: SparkSession, sf_dir: str, batches: int = 10, deadl
     finally:
         q.stop()
     durations.sort()
-    try:  # per-record processing time inside the stateful operator (the reference's processing_latency_ms)
+    try:  # from the start of a record's micro-batch until its state is written
         res = spark.read.parquet(os.path.join(root, "out", "results"))
         p99 = res.select(F.percentile("processing_latency_ms", 0.99)).first()[0]
     except Exception:

@@ -2,7 +2,7 @@
 
 ``risk_stream``: parse -> event time -> watermark of 5 s assigned to *all* parsed rows (bad rows move it
 too) -> keep valid rows -> risk level (column expressions) -> ``groupBy(patient_id)`` and a stateful
-operator: ``transformWithState`` (TTL ValueState, default) or ``applyInPandasWithState`` (vectorised).
+operator: ``transformWithStateInPandas`` (TTL ValueState, default) or ``applyInPandasWithState``.
 Catalyst pushes every conjunct that leaves the event time alone below the watermark node, where bad rows would no
 longer move it; validity is therefore one expression over the event time (its value on valid rows, null on others).
 ``dlq_stream``: the same parse, rows with an error, as dead-letter envelopes.
@@ -36,9 +36,9 @@ def configure(spark: SparkSession) -> None:
 
 def risk_stream(feed_stream: DataFrame, ttl_ms: int = TTL_MS, delay: str = WATERMARK_DELAY,
                 engine: str = "tws") -> DataFrame:
-    """Stateful per-patient stream. ``engine``: 'tws' (``transformWithState`` with a TTL ValueState, default)
-    or 'pandas' (``applyInPandasWithState``, vectorised per key, state in the Arrow batch). Both emit the same
-    rows; the pandas engine needs no state-server round trips and gains with many rows per key and micro-batch."""
+    """Stateful per-patient stream. ``engine``: 'tws' (``transformWithStateInPandas`` with a TTL ValueState, default)
+    or 'pandas' (``applyInPandasWithState``, state in the Arrow batch). Both count with the same numpy function per
+    key and micro-batch and emit the same rows."""
     parsed = checked(feed_stream).withColumn("event_time", F.timestamp_millis(F.col("event_time_ms")))
     watermarked = parsed.withWatermark("event_time", delay)
     valid = watermarked.filter(F.when(F.col("error").isNull(), F.col("event_time")).isNotNull())
@@ -48,7 +48,8 @@ def risk_stream(feed_stream: DataFrame, ttl_ms: int = TTL_MS, delay: str = WATER
         "bmi", "medication_count", "length_of_stay")
     grouped = scored.groupBy("patient_id")
     if engine == "tws":
-        return grouped.transformWithState(PatientRiskProcessor(ttl_ms), OUTPUT_SCHEMA, "Append", "ProcessingTime")
+        return grouped.transformWithStateInPandas(PatientRiskProcessor(ttl_ms), OUTPUT_SCHEMA, "Append",
+                                                  "ProcessingTime")
     if engine == "pandas":
         return grouped.applyInPandasWithState(make_state_fn(ttl_ms), OUTPUT_SCHEMA, PANDAS_STATE_SCHEMA, "append",
                                               "ProcessingTimeTimeout")
@@ -71,7 +72,8 @@ def start_risk_query(feed_stream: DataFrame, out_root: str, checkpoint: str, ttl
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
-def start_dlq_query(feed_stream: DataFrame, out_root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_dlq_query(feed_stream: DataFrame, out_root: str, checkpoint: str, trigger: dict | None = None,
+                    kafka_bootstrap: str | None = None) -> StreamingQuery:
     w = (dlq_stream(feed_stream).writeStream.outputMode("append")
-         .foreachBatch(dlq_batch_writer(out_root)).option("checkpointLocation", checkpoint))
+         .foreachBatch(dlq_batch_writer(out_root, kafka_bootstrap)).option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()

@@ -1,10 +1,7 @@
-"""Keyed per-patient risk state with ``applyInPandasWithState`` (vectorised engine).
+"""Keyed per-patient risk state with ``applyInPandasWithState``.
 
-Same rows as ``processor.PatientRiskProcessor`` (the ``transformWithState`` engine), computed per patient and
-micro-batch with numpy on the group's columns: rows are put in arrival order (``lexsort``), late rows are
-marked against the current watermark, the running counts of the accepted rows are cumulative sums on top of
-the stored counts, and one frame per group is emitted. State travels with the group's Arrow batch, so there
-is no per-key round trip to a state server.
+Same rows as ``processor.PatientRiskProcessor``, by the same function on a patient's rows of a micro-batch
+(``processor.advance``). State travels with the group's Arrow batch.
 
 Lifetime (24 h of processing time, renewed only by writes): the state keeps the processing time of its last
 write. A group that receives data after the lifetime has passed starts from zero; a group without data is
@@ -14,15 +11,13 @@ called without a write (Spark clears the timeout on every call).
 
 from __future__ import annotations
 
-import time
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState
 
-from .processor import OUTPUT_SCHEMA, TTL_MS
+from .processor import TTL_MS, advance, output_frame
 
 PANDAS_STATE_SCHEMA = T.StructType([
     T.StructField("total_records", T.LongType()),
@@ -33,68 +28,23 @@ PANDAS_STATE_SCHEMA = T.StructType([
     T.StructField("created_ms", T.LongType()),
     T.StructField("last_write_ms", T.LongType()),
 ])
-_NAMES = OUTPUT_SCHEMA.fieldNames()
-
-
-def _frame(cols: dict, n: int) -> pd.DataFrame:
-    # absent columns are all-null object columns; present integer columns stay plain int64 (no nullable dtypes)
-    return pd.DataFrame({name: cols[name] if name in cols else np.full(n, None, dtype=object) for name in _NAMES})
-
 
 def make_state_fn(ttl_ms: int = TTL_MS):
     def update(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        started = time.perf_counter()
         now = state.getCurrentProcessingTimeMs()
-        watermark = state.getCurrentWatermarkMs()
-        parts = list(frames)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        cols_in = {c: pdf[c].to_numpy() for c in pdf.columns}
-        order = np.lexsort((cols_in["seq"], cols_in["arrival_ms"]))       # arrival order
-        cols_in = {c: v[order] for c, v in cols_in.items()}
-        n = len(order)
         prev = state.get if state.exists else None
         if prev is not None and now - prev[6] >= ttl_ms:
             prev = None                                   # expired: never returned
-        late = cols_in["event_time_ms"] < watermark
-        acc = ~late
-        n_acc = int(acc.sum())
-        base = prev[:4] if prev is not None else (0, 0, 0, 0)
-        created = prev[5] if prev is not None else now
-        lvl = cols_in["risk_level"]
-        # running counts over accepted rows only (late rows get nulls)
-        total = base[0] + np.cumsum(acc)
-        high = base[1] + np.cumsum(acc & (lvl == "high"))
-        medium = base[2] + np.cumsum(acc & (lvl == "medium"))
-        low = base[3] + np.cumsum(acc & (lvl != "high") & (lvl != "medium"))
-
-        def only_acc(values):
-            out = values.astype(object)
-            out[late] = None
-            return out
-
-        per_row_ms = (time.perf_counter() - started) * 1000.0 / max(n_acc, 1)
-        out = {c: cols_in[c] for c in ("seq", "patient_id", "arrival_ms", "age", "bmi", "medication_count",
-                                        "length_of_stay")}
-        out.update(kind=np.where(late, "late", "result"), record_id=cols_in["id"],
-                   risk_level=only_acc(lvl), total_records=only_acc(total), high_risk_count=only_acc(high),
-                   medium_risk_count=only_acc(medium), low_risk_count=only_acc(low),
-                   high_risk_ratio=only_acc(high / np.maximum(total, 1)),
-                   last_activity=only_acc(cols_in["timestamp"]),
-                   state_age_seconds=only_acc(np.full(n, (now - created) / 1000.0)),
-                   processing_timestamp=cols_in["event_time_ms"],
-                   processing_latency_ms=only_acc(np.full(n, per_row_ms)),
-                   watermark=np.full(n, watermark, dtype=np.int64))
-        yield _frame(out, n)
-        if n_acc:
-            last = np.flatnonzero(acc)[-1]
-            state.update((int(total[-1]), int(high[-1]), int(medium[-1]), int(low[-1]),
-                          int(cols_in["timestamp"][last]), int(created), int(now)))
+        out, n, new = advance(frames, prev, now, state.getCurrentWatermarkMs())
+        if new is not None:
+            state.update((*new, int(now)))
             state.setTimeoutDuration(ttl_ms)
         elif prev is not None:
             state.setTimeoutDuration(max(1, prev[6] + ttl_ms - now))   # keep the original expiry
         elif state.exists:
             state.remove()
+        yield output_frame(out, n, now)
     return update

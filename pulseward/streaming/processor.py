@@ -1,14 +1,14 @@
 """Keyed per-patient risk state for Structured Streaming.
 
-One ``StatefulProcessor`` keyed by ``patient_id`` keeps the running counts in a ``ValueState`` whose lifetime
-is 24 h of processing time, renewed on every write (expired state is never returned). For each record of the
-key in a micro-batch, in arrival order:
+One ``StatefulProcessor`` keyed by ``patient_id`` (``transformWithStateInPandas``) keeps the running counts in a
+``ValueState`` whose lifetime is 24 h of processing time, renewed on every write (expired state is never returned).
+A patient's records of a micro-batch are put in arrival order and counted with numpy (``advance``):
   * event time below the current watermark -> a ``late`` row, state untouched;
-  * otherwise the counts are updated and a ``result`` row is emitted with the statistics after the update,
-    the watermark, the processing time and the time spent per record.
-Risk levels are computed before the operator as column expressions; the Python code only keeps counts.
-Rows of one key in one micro-batch are sorted in memory; a micro-batch is bounded by the source's
-``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``.
+  * otherwise a ``result`` row with the statistics after the record, the watermark and the processing time.
+``processing_latency_ms`` is the time from the start of the micro-batch, before its records are parsed, until after the
+patient's state has been written; the records of a patient in a micro-batch share it.
+Risk levels are computed before the operator as column expressions. One patient's rows of a micro-batch are in memory
+together; a micro-batch is bounded by the source's ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator
 
-from pyspark.sql import Row
+import numpy as np
+import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -49,6 +50,54 @@ OUTPUT_SCHEMA = T.StructType([
 _NAMES = OUTPUT_SCHEMA.fieldNames()
 
 
+def advance(frames: Iterator[pd.DataFrame], prev: tuple | None, now: int, watermark: int) -> tuple[dict, int, tuple | None]:
+    """Output columns of one patient's rows, their number, and the state (total, high, medium, low, last activity,
+    created) after them, None if every row is late. ``prev``: the state before."""
+    parts = list(frames)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+    order = np.lexsort((cols["seq"], cols["arrival_ms"]))       # arrival order
+    cols = {c: v[order] for c, v in cols.items()}
+    n = len(order)
+    late = cols["event_time_ms"] < watermark
+    acc = ~late
+    base = prev[:4] if prev is not None else (0, 0, 0, 0)
+    created = prev[5] if prev is not None else now
+    level = cols["risk_level"]
+    # running counts over accepted rows only (late rows get nulls)
+    total = base[0] + np.cumsum(acc)
+    high = base[1] + np.cumsum(acc & (level == "high"))
+    medium = base[2] + np.cumsum(acc & (level == "medium"))
+    low = base[3] + np.cumsum(acc & (level != "high") & (level != "medium"))
+
+    def only_acc(values):
+        out = values.astype(object)
+        out[late] = None
+        return out
+
+    out = {c: cols[c] for c in ("seq", "patient_id", "arrival_ms", "age", "bmi", "medication_count", "length_of_stay")}
+    out.update(kind=np.where(late, "late", "result"), record_id=cols["id"], risk_level=only_acc(level),
+               total_records=only_acc(total), high_risk_count=only_acc(high), medium_risk_count=only_acc(medium),
+               low_risk_count=only_acc(low), high_risk_ratio=only_acc(high / np.maximum(total, 1)),
+               last_activity=only_acc(cols["timestamp"]),
+               state_age_seconds=only_acc(np.full(n, (now - created) / 1000.0)),
+               processing_timestamp=cols["event_time_ms"], watermark=np.full(n, watermark, dtype=np.int64))
+    state = None
+    if acc.any():
+        last = np.flatnonzero(acc)[-1]
+        state = (int(total[-1]), int(high[-1]), int(medium[-1]), int(low[-1]), int(cols["timestamp"][last]), int(created))
+    return out, n, state
+
+
+def output_frame(out: dict, n: int, started_ms: int) -> pd.DataFrame:
+    """Call after the state has been written: the latency ends here."""
+    spent = np.full(n, time.time() * 1000.0 - started_ms).astype(object)
+    spent[out["kind"] == "late"] = None
+    cols = {**out, "processing_latency_ms": spent}
+    # absent columns are all-null object columns; present integer columns stay plain int64 (no nullable dtypes)
+    return pd.DataFrame({name: cols[name] if name in cols else np.full(n, None, dtype=object) for name in _NAMES})
+
+
 class PatientRiskProcessor(StatefulProcessor):
     def __init__(self, ttl_ms: int = TTL_MS):
         self.ttl_ms = ttl_ms
@@ -56,44 +105,13 @@ class PatientRiskProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("patient_risk", STATE_SCHEMA, self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        now_ms = timerValues.getCurrentProcessingTimeInMs()
-        current = self.state.get()  # None when absent or expired (one state call instead of two)
-        if current is None:
-            total = high = medium = low = 0
-            last_activity, created = 0, now_ms
-        else:
-            total, high, medium, low, last_activity, created = current
-        changed = False
-        for r in sorted(rows, key=lambda x: (x.arrival_ms, x.seq)):
-            started = time.perf_counter()
-            base = dict(seq=r.seq, record_id=r.id, patient_id=r.patient_id, processing_timestamp=r.event_time_ms,
-                        watermark=watermark, arrival_ms=r.arrival_ms, age=r.age, bmi=r.bmi,
-                        medication_count=r.medication_count, length_of_stay=r.length_of_stay)
-            if r.event_time_ms < watermark:
-                yield _row(kind="late", **base)
-                continue
-            total += 1
-            if r.risk_level == "high":
-                high += 1
-            elif r.risk_level == "medium":
-                medium += 1
-            else:
-                low += 1
-            last_activity = r.timestamp
-            changed = True
-            yield _row(kind="result", risk_level=r.risk_level, total_records=total, high_risk_count=high,
-                       medium_risk_count=medium, low_risk_count=low,
-                       high_risk_ratio=(high / total) if total else 0.0, last_activity=last_activity,
-                       state_age_seconds=(now_ms - created) / 1000.0,
-                       processing_latency_ms=(time.perf_counter() - started) * 1000.0, **base)
-        if changed:
-            self.state.update((total, high, medium, low, last_activity, created))
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        prev = self.state.get()   # None when absent or expired
+        out, n, state = advance(rows, prev, now, timerValues.getCurrentWatermarkInMs())
+        if state is not None:
+            self.state.update(state)
+        yield output_frame(out, n, now)
 
     def close(self) -> None:
         pass
-
-
-def _row(**values) -> Row:
-    return Row(**{n: values.get(n) for n in _NAMES})

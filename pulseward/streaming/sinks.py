@@ -57,12 +57,22 @@ def risk_batch_writer(root: str, with_features: bool = True, kafka_bootstrap: st
     return write
 
 
-def dlq_batch_writer(root: str):
+def dlq_batch_writer(root: str, kafka_bootstrap: str | None = None):
+    """foreachBatch function for dead letters: the table, and with ``kafka_bootstrap`` their topic too (at least once)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         _write(batch, root, "dlq", batch_id)
+        if kafka_bootstrap:
+            rows = read_table(batch.sparkSession, root, f"dlq/batch_id={batch_id}")
+            (kafka_dlq_frame(rows).write.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap).save())
     return write
 
 
+def kafka_dlq_frame(dlq: DataFrame) -> DataFrame:
+    """topic/key/value frame of dead letters (value = JSON of the envelope)."""
+    envelope = F.struct("original_data", "error", "timestamp", "key")
+    return dlq.select("topic", F.col("key").cast("string").alias("key"), F.to_json(envelope).alias("value"))
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{table}")
 

@@ -17,4 +17,4 @@ def test_every_query_registered_and_oracle_keys_known():
     from pulseward.plans.catalog import QUERIES
     assert set(ORACLE) <= set(QUERIES)
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"score_texts"}
+    assert rows_only == {"score_texts", "score_texts_accuracy"}

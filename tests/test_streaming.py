@@ -213,7 +213,7 @@ def test_stage_reports_are_emitted_once_per_window(spark):
     got = {(r.stage, r.window_start_ms): r for r in spark.sql(f"SELECT * FROM {name}").collect()}
     assert set(got) == {("view", 0), ("click", 0), ("view", hour)}
     assert got[("view", 0)]["count"] == 2 and got[("view", 0)].avg_ms == 2.0
-    assert got[("view", 0)].p95_ms == pytest.approx(1.0 + 2.0 * 0.95)
+    assert got[("view", 0)].p95_ms == 3.0          # a sample, from the bounded sketch
 
 
 def test_progress_events_become_metric_rows(spark):
