@@ -6,7 +6,7 @@ import os
 import re
 import sys
 
-from ..operators import lateness
+from ..operators import lateness, scan
 from ..session import get_spark
 from . import live
 from .catalog import QUERIES
@@ -29,6 +29,7 @@ def fmt(df) -> str:
     return tree.strip() + "\n\n" + "\n".join(keep)
 
 def main(sf: str = "/root/testdata/sf0.01") -> str:
+    scan.ROWS_PER_RANGE = 1000   # several ranges on this small input
     spark = get_spark(master="local[8]", shuffle_partitions=8)
     parts = [    "# Physical plans of the two row-moving steps\n",
              "Generated with `explain(\"formatted\")` on sf0.01 (the initial plan; with AQE the small sort-merge joins "
@@ -36,13 +37,11 @@ def main(sf: str = "/root/testdata/sf0.01") -> str:
              "record columns such as `bmi`), the scans' pruned `ReadSchema` / `PushedFilters`, and windows "
              "partitioned by range keys only.\n",
              "## Watermark over the parsed feed (`lateness.with_watermark`)\n",
-             "Rows: `Exchange hashpartitioning(_chunk)` with `_chunk = (arrival ms, seq block)`. Summary 1 "
-             "(max per chunk) is exchanged by arrival minute (`_chunk_s`); summary 2 (per minute) runs in one "
-             "window over minutes.\n", "```", fmt(lateness.with_watermark(live.checked_feed(spark, sf))), "```\n",
+             "Rows: one `Exchange hashpartitioning(_range)`, ranges of the arrival order of about equal row counts. "
+             "The summary has one row per range.\n", "```", fmt(lateness.with_watermark(live.checked_feed(spark, sf))), "```\n",
              "## Running per-patient state (`patient_risk_running`)\n",
-             "Rows: one `Exchange hashpartitioning(patient_id, _chunk, _sub)`. Hour summary: partial/final "
-             "aggregate on (patient, hour), window per patient. Sub-chunk summary: aggregate on (patient, hour, "
-             "sub-chunk), window per (patient, hour), joined with the hour level before meeting the rows.\n",
+             "Rows: one `Exchange hashpartitioning(patient_id, _range)`. The carry has one row per (patient, range), is "
+             "scanned by a window per patient and joined back on (patient, range).\n",
              "```", fmt(QUERIES["patient_risk_running"](spark, sf)), "```\n"]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "PLANS.md")
     with open(path, "w") as f:
