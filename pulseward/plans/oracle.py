@@ -31,15 +31,15 @@ feed AS (
   FROM events
 ),
 parsed AS (
-  SELECT seq, arrival_ms, ts_ms, event_type, NOT malformed AS parsed, false AS type_mismatch,
+  SELECT seq, arrival_ms, ts_ms, event_type, NOT malformed AS parsed, NOT malformed AND seq % 113 = 9 AS type_mismatch,
     IF(malformed, NULL, 'patient_' || CAST(src_patient AS VARCHAR) || '_' || CAST(ts_ms AS VARCHAR)) AS id,
     IF(malformed, NULL, src_patient) AS patient_id,
-    IF(malformed, NULL, src_age) AS age,
+    IF(malformed OR seq % 113 = 9, NULL, src_age) AS age,
     IF(malformed, NULL, src_gender) AS gender,
     IF(malformed, NULL, src_systolic) AS systolic_bp,
     IF(malformed, NULL, src_diastolic) AS diastolic_bp,
-    IF(malformed, NULL, src_cholesterol) AS cholesterol,
-    IF(malformed, NULL, src_bmi) AS bmi,
+    IF(malformed, NULL, IF(seq % 107 = 3, 200, src_cholesterol)) AS cholesterol,
+    IF(malformed OR seq % 109 = 5, NULL, src_bmi) AS bmi,
     IF(malformed, NULL, src_diabetes) AS diabetes,
     IF(malformed, NULL, src_hypertension) AS hypertension,
     IF(malformed, NULL, src_medication) AS medication_count,
@@ -54,7 +54,9 @@ checked AS (
     CASE WHEN parsed AND "timestamp" IS NOT NULL AND "timestamp" <> 0 THEN "timestamp" ELSE arrival_ms END
       AS event_time_ms,
     CASE WHEN NOT parsed THEN 'malformed_json'
+         WHEN type_mismatch THEN 'type_mismatch'
          WHEN age < 0 OR age > 150 THEN 'invalid_age'
+         WHEN bmi IS NULL THEN 'null_field'
          WHEN bmi < 10 OR bmi > 60 THEN 'invalid_bmi' END AS error
   FROM parsed
 ),
@@ -126,8 +128,9 @@ ORACLE["dlq_rows"] = with_ctes(
     "FROM checked JOIN wire USING (seq) WHERE error IS NOT NULL", """
 wire AS (SELECT seq, CASE WHEN malformed THEN substr(doc, 1, 40) ELSE doc END AS original_data FROM (
   SELECT seq, malformed, '{"id":"patient_' || src_patient || '_' || ts_ms || '","patient_id":' || src_patient
-    || ',"age":' || src_age || ',"gender":"' || src_gender || '","systolic_bp":' || src_systolic
-    || ',"diastolic_bp":' || src_diastolic || ',"cholesterol":' || src_cholesterol || ',"bmi":' || src_bmi
+    || ',"age":' || IF(seq % 113 = 9, '"' || src_age || '"', src_age::VARCHAR) || ',"gender":"' || src_gender || '","systolic_bp":' || src_systolic
+    || ',"diastolic_bp":' || src_diastolic || IF(seq % 107 = 3, '', ',"cholesterol":' || src_cholesterol)
+    || ',"bmi":' || IF(seq % 109 = 5, 'null', src_bmi::VARCHAR)
     || ',"diabetes":' || src_diabetes || ',"hypertension":' || src_hypertension || ',"medication_count":'
     || src_medication || ',"length_of_stay":' || src_stay || ',"discharge_destination":"' || src_destination
     || '","readmission_risk_raw":' || src_risk || ',"timestamp":' || src_timestamp || '}' AS doc FROM feed))""")

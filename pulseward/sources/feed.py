@@ -5,6 +5,9 @@ The feed plays the role of the broker topic: ``seq`` is the offset, ``arrival_ms
 so the same definitions can be written in DuckDB SQL for the oracle (see ``plans.oracle``):
 
   malformed         event_id % 101 = 7 (JSON text cut short)
+  missing key       no cholesterol at event_id % 107 = 3 (takes its default)
+  explicit null     bmi at event_id % 109 = 5
+  wrong type        age as text at event_id % 113 = 9
   age               -1 / 151 at event_id % 97 = 5 / 11, else 18 + (event_id*37 + user_id*11) % 73
   bmi               5.0 / 60.5 at event_id % 89 = 3 / 7, else (180 + event_id*53 % 221) / 10
   timestamp         0 at event_id % 103 = 1 (exercises the fall-back to arrival time), else epoch ms of ts
@@ -64,13 +67,17 @@ def feed_fields(events: DataFrame) -> DataFrame:
 
 
 def record_json(fields: DataFrame) -> Column:
-    """JSON text of the wire record; malformed rows are cut short."""
+    """JSON text of the wire record: keys left out, nulls, texts for numbers, and malformed rows cut short."""
     doc = F.to_json(F.struct(
         F.concat(F.lit("patient_"), F.col("patient_id").cast("string"), F.lit("_"),
                  F.col("ts_ms").cast("string")).alias("id"),
         "patient_id", "age", "gender", "systolic_bp", "diastolic_bp", "cholesterol", "bmi", "diabetes",
         "hypertension", "medication_count", "length_of_stay", "discharge_destination",
         "readmission_risk_raw", "timestamp"))
+    seq = F.col("seq")
+    doc = F.when(seq % 107 == 3, F.regexp_replace(doc, '"cholesterol":[0-9]+,', "")).otherwise(doc)
+    doc = F.when(seq % 109 == 5, F.regexp_replace(doc, '"bmi":[0-9.]+', '"bmi":null')).otherwise(doc)
+    doc = F.when(seq % 113 == 9, F.regexp_replace(doc, '"age":(-?[0-9]+)', '"age":"$1"')).otherwise(doc)
     return F.when(F.col("malformed"), F.substring(doc, 1, 40)).otherwise(doc)
 
 
