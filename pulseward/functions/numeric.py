@@ -20,7 +20,8 @@ MEAN_SCALE = 10   # decimals kept from each value before the exact sum
 def round_half(x: Column | str, digits: int) -> Column:
     x = F.col(x) if isinstance(x, str) else x
     p = float(10 ** digits)
-    return F.floor(x * F.lit(p) + F.lit(0.5)) / F.lit(p)
+    # from 2^53 on, a double has no fraction to round (and FLOOR's long would overflow)
+    return F.when(F.abs(x * F.lit(p)) < F.lit(2.0 ** 53), F.floor(x * F.lit(p) + F.lit(0.5)) / F.lit(p)).otherwise(x)
 
 
 def exact_mean_parts(col: str, name: str) -> list[Column]:

@@ -25,3 +25,10 @@ def test_exact_mean_is_order_independent_and_half_up(spark):
 def test_exact_mean_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert df.agg(*exact_mean_parts("v", "m")).select(exact_mean("m").alias("m")).first().m is None
+
+
+def test_round_half_of_large_values(spark):
+    from pulseward.functions.numeric import round_half
+    vals = [9.3e9, 1e300, -4e18, 123456789.5, 0.1234567895]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r[0] for r in df.select(round_half("v", 9)).collect()][:4] == vals[:4]
