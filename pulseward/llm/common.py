@@ -5,14 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..staging import stage
+from .. import staging
 
-__all__ = ["stage", "read", "words", "non_space", "keyed", "let", "SPACE"]
+__all__ = ["stage", "discard", "stored", "read", "words", "non_space", "keyed", "let", "SPACE"]
 
 #: Characters that separate words: space and U+0009..U+000D.
 SPACE = " \t\n\x0b\x0c\r"
 
 
+_STORED: list[str] = []
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to a table of its own in the shared folder and read back."""
+    spark = df.sparkSession
+    path = staging._path(spark, name)
+    df.write.parquet(path)
+    _STORED.append(path)
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the tables of ``stage`` results that nothing reads any more: whatever was made from them is written."""
+    for f in frames:
+        delete(f.sparkSession, f.__dict__.get("_stored_at"))
+
+
+def delete(spark: SparkSession, path: str | None) -> None:
+    if path:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _STORED:
+            _STORED.remove(path)
+
+
+def stored() -> list[str]:
+    """Paths of the tables that ``stage`` has written in this process and nobody has deleted."""
+    return list(_STORED)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 

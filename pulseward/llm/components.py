@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import discard, stage
 
 
 def _both(e: DataFrame) -> DataFrame:
@@ -42,7 +42,8 @@ def components(links: DataFrame) -> DataFrame:
               "links")
     before = _state(e)
     while before[0]:
-        e = stage(_small_star(_large_star(e)).distinct(), "links")
+        old, e = e, stage(_small_star(_large_star(e)).distinct(), "links")
+        discard(old)
         now = _state(e)
         if now == before:
             break

@@ -8,10 +8,11 @@ limit that yields about ``k (ln k + 2)`` of them, keeps the earliest per coordin
 coordinate is empty. Two texts agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 Equal texts are first reduced to one. Signatures are cut into bands; texts that share a band are compared, exactly,
-on their shingle sets. Within a band's bucket no all-pairs list is made: centres are chosen (1, then 2, 4, ...), each
-is compared with the members that are not yet in its component, the verified links are joined into components, and a
-bucket is closed once its open members are of one component. A pair is never left out unless both texts are already
-in one class, so no cap is needed.
+on their shingle sets. No list of all pairs is made: first each bucket's members are compared with one centre, and the
+verified links are joined into components; then the buckets that still hold several components are finished in blocks
+of members, whose pairs of different components are told apart by their signatures inside a task and never become
+rows. A pair is only left out if both texts are in one class already, or if their signatures say that they are well
+below the threshold, so no cap is needed.
 
 Result: one row per row of the input: ``class_id``, the smallest doc_id of the class, and ``keep``, true for one row
 of each class. Defined results: texts without words (null, empty, white space) and rows without doc_id are in no
@@ -25,12 +26,13 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed, read, stage
+from .common import discard, keyed, read, stage
 from .components import components
 from .textnum import mix, shingles, slices, text_bytes, unit, word_hashes
 
@@ -38,6 +40,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 30, 5     # a pair of similarity 0.8 shares a band with probability 1 - 7e-6
 DOUBLINGS = 60
+BLOCK = 512             # members
+AGREE = 5 / 6           # of the threshold: a pair of similarity 0.8 agrees that much but for 2 in 100,000
 MASK = (1 << 64) - 1
 
 
@@ -141,41 +145,104 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
     return j.mapInArrow(run, "a long, b long")
 
 
-def _smallest(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` smallest ``c`` of each bucket: first within salted parts of it, then over these."""
-    w = Window.partitionBy("bucket", "salt").orderBy("c")
-    part = (rows.withColumn("salt", F.pmod(F.xxhash64("c"), F.lit(256)))
-            .withColumn("k", F.row_number().over(w)).where(F.col("k") <= n))
-    best = part.withColumn("k", F.row_number().over(Window.partitionBy("bucket").orderBy("c")))
-    return best.where(F.col("k") <= n).select("bucket", "c")
-
-
-def _classes(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """(rid, label) of the members (bucket, rid) that are linked to others."""
-    spark = members.sparkSession
-    label = spark.createDataFrame([], "rid long, label long")
-    opened = members.withColumn("label", F.col("rid"))
-    centres = 1
-    while True:
-        # the centres of each bucket: its members with the smallest hashes of this round
-        order = F.struct(F.xxhash64("rid", F.lit(centres)).alias("h"), "rid", "label")
-        chosen = stage(_smallest(opened.select("bucket", order.alias("c")), centres), "dart-centres")
-        pairs = (opened.join(chosen.select("bucket", F.col("c.rid").alias("a"), F.col("c.label").alias("la")), "bucket")
-                 .where("label <> la").select(F.least("a", "rid").alias("a"), F.greatest("a", "rid").alias("b")).distinct())
-        links = stage(_verified(pairs, texts, size, threshold), "dart-links")
-        found = links.limit(1).count() > 0
-        if found:
-            known = label.select(F.col("rid").alias("a"), F.col("label").alias("b"))
-            label = stage(components(links.unionByName(known)).select(F.col("a").alias("rid"), "label"), "dart-labels")
-        rest = (opened.select("bucket", "rid")
-                .join(chosen.select("bucket", F.col("c.rid").alias("rid")), ["bucket", "rid"], "left_anti")
-                .join(label, "rid", "left").select("bucket", "rid", F.coalesce("label", "rid").alias("label")))
-        rest = stage(rest, "dart-open")
-        mixed = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        opened = stage(rest.join(mixed.select("bucket"), "bucket", "left_semi"), "dart-open")
-        if opened.limit(1).count() == 0:
-            return label
-        centres *= 2
+def _joined(links: DataFrame, label: DataFrame) -> DataFrame:
+    """Labels (rid, label) after the links (a, b) as well."""
+    if links.limit(1).count() == 0:
+        return label
+    known = label.select(F.col("rid").alias("a"), F.col("label").alias("b"))
+    out = stage(components(links.unionByName(known)).select(F.col("a").alias("rid"), "label"), "dart-labels")
+    discard(label)
+    return out
+
+
+def _open(members: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one label, with the bucket's number of members ``m``."""
+    labelled = stage(members.join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid")), "dart-labelled")
+    mixed = stage(labelled.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
+                  .where("x <> y").select("bucket", "m"), "dart-mixed")
+    out = stage(labelled.join(mixed, "bucket"), "dart-open")
+    discard(labelled, mixed)
+    return out
+
+
+def _in_blocks(opened: DataFrame, texts: DataFrame, bands: int, rows: int, size: int, threshold: float) -> DataFrame:
+    """Links (a, b) between members of a bucket that have different labels, without a row per pair.
+
+    A bucket's members are dealt to blocks of about ``BLOCK``; a task gets two blocks with signatures and shingle
+    sets. A pair is looked at in the first band that it shares, so once in all; the pairs whose signatures agree in
+    ``AGREE`` of the threshold or more are compared exactly, unless links found in this task join them already.
+    """
+    k = bands * rows
+    wanted = opened.select("rid").distinct()
+
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi in slices(b.column(1)):
+                part = b.slice(lo, hi - lo)
+                element, begin = shingles(*word_hashes(*text_bytes(part.column(1))), size)
+                sig = dart_signatures(element, begin, None, k).astype("<u4")
+                sets = [np.unique(element[begin[i]:begin[i + 1]]).tobytes() for i in range(len(part))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.tobytes() for s in sig], pa.binary()),
+                                                  pa.array(sets, pa.binary())], ["rid", "sig", "elements"])
+
+    facts = stage(texts.select("rid", "text").join(wanted, "rid", "left_semi").mapInArrow(
+        described, "rid long, sig binary, elements binary"), "dart-facts")
+    dealt = (opened.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("rid", F.lit(7)), F.col("blocks")).cast("int")))
+    cells = dealt.select("bucket", "band", "rid", "label", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = cells.select("bucket", "band", "rid", "label", "own", F.least("own", "other").alias("i"),
+                         F.greatest("own", "other").alias("j")).join(facts, "rid")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j, band = (int(pdf[c].iloc[0]) for c in ("i", "j", "band"))
+        rid, label, own = (pdf[c].to_numpy() for c in ("rid", "label", "own"))
+        sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(-1, k)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["elements"]]
+        length = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while x in parent:
+                x = parent[x]
+            return x
+
+        out = []
+        for x in left:
+            y = right[right > x] if i == j else right
+            y = y[(label[y] != label[x]) & (np.minimum(length[y], length[x]) >= threshold * np.maximum(length[y], length[x]))]
+            equal = sig[y] == sig[x]
+            shared = equal.reshape(len(y), bands, rows).all(axis=2)
+            y = y[(shared.argmax(axis=1) == band) & shared.any(axis=1) & (equal.sum(axis=1) >= AGREE * threshold * k)]
+            for z in y:
+                a, b = root(int(label[x])), root(int(label[z]))
+                if a == b:
+                    continue
+                both = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                if both >= threshold * (length[x] + length[z] - both):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((rid[x], rid[z]))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    links = stage(cells.groupBy("bucket", "i", "j").applyInPandas(solve, "a long, b long"), "dart-links")
+    discard(facts)
+    return links
+
+
+def _classes(members: DataFrame, texts: DataFrame, bands: int, rows: int, size: int, threshold: float) -> DataFrame:
+    """(rid, label) of the members (bucket, band, rid) that are linked to others."""
+    label = members.sparkSession.createDataFrame([], "rid long, label long")
+    # one centre per bucket, by hash, so that the buckets of a group have the same few centres
+    centre = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rid").alias("h"), "rid")).alias("c"))
+    pairs = (members.join(centre.select("bucket", F.col("c.rid").alias("c")), "bucket").where("rid <> c")
+             .select(F.least("rid", "c").alias("a"), F.greatest("rid", "c").alias("b")).distinct())
+    links = stage(_verified(pairs, texts, size, threshold), "dart-links")
+    label = _joined(links, label)
+    opened = _open(members, label)
+    more = _in_blocks(opened, texts, bands, rows, size, threshold)
+    label = _joined(more, label)
+    discard(links, opened, more)
+    return label
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE,
@@ -185,14 +252,15 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size:
     real = sig.where("doc_id is not null and bands is not null")
     one = stage(real.groupBy("th").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least_doc")), "dart-texts")
     bucket = (real.join(one.select("rid"), "rid", "left_semi")
-              .select("rid", F.explode("bands").alias("bucket")))
+              .select("rid", F.posexplode("bands").alias("band", "bucket")))
     shared = bucket.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = stage(bucket.join(shared, "bucket"), "dart-members")
     wanted = members.select("rid").distinct()
     texts = stage(docs.select("rid", "text").join(wanted, "rid", "left_semi"), "dart-candidates")
-    label = _classes(members, texts, size, threshold)
+    label = _classes(members, texts, bands, rows, size, threshold)
     of_text = stage(one.join(label, "rid", "left").select("th", F.coalesce("label", "rid").alias("label"),
                                                           F.col("rid").alias("first_rid"), "least_doc"), "dart-classes")
+    discard(one, label, members, texts)
     of_class = of_text.groupBy("label").agg(F.min("least_doc").alias("class_id"), F.min("first_rid").alias("kept_rid"))
     named = of_text.select("th", "label").join(of_class, "label").select("th", "class_id", "kept_rid")
     rows_ = sig.select("rid", "doc_id", F.when(F.col("doc_id").isNotNull() & F.col("bands").isNotNull(), F.col("th")).alias("th"))

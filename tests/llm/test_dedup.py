@@ -83,9 +83,8 @@ def near_texts():
     return texts + texts[150:160] + ["a b", "a b", "a c", None, "", " \n", None, "word " * 20_000, "word " * 20_001]
 
 
-@pytest.mark.parametrize("large,block", [(32, 512), (4, 20)])
-def test_near_duplicate_classes(spark, monkeypatch, large, block):
-    monkeypatch.setattr(op3_dart, "LARGE", large)
+@pytest.mark.parametrize("block", [512, 20])
+def test_near_duplicate_classes(spark, monkeypatch, block):
     monkeypatch.setattr(op3_dart, "BLOCK", block)
     texts = near_texts()
     docs = spark.createDataFrame(docs_of(texts) + [(None, texts[0], "", "", 0), (0, texts[0], "", "", 0)], DOCS)
