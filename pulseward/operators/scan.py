@@ -135,12 +135,10 @@ def with_ranges(df: DataFrame, ts: str, seq: str | None, name: str = "_range", r
     k = min(MAX_RANGES, -(-n // rows))
     cuts = df.approxQuantile(ts, [i / k for i in range(1, k)], 1 / (4 * k)) if k > 1 else []
     heavy = sorted({c for c in cuts if cuts.count(c) > 1}) if seq else []
-    splits = sorted({*cuts, *(c + 1 for c in heavy)})
-    if splits:
-        df = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ts", outputCol="_bucket",
-                        handleInvalid="keep").transform(df.withColumn("_ts", F.col(ts).cast("double"))).drop("_ts")
-    else:
-        df = df.withColumn("_bucket", F.lit(0.0))
+    # one cut point at least: a constant range would be folded, and the join on it would become a cartesian product
+    splits = sorted({*cuts, *(c + 1 for c in heavy)}) or [0.0]
+    df = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="_ts", outputCol="_bucket",
+                    handleInvalid="keep").transform(df.withColumn("_ts", F.col(ts).cast("double"))).drop("_ts")
     block = (F.when(F.col(ts).isin([int(c) for c in heavy]), F.floor(F.col(seq) / F.lit(SEQ_BLOCK)))
              .otherwise(F.lit(0)) if heavy else F.lit(0)).cast("long")
     return df.withColumn(name, F.struct(F.col("_bucket").cast("int").alias("a"), block.alias("b"))).drop("_bucket")
