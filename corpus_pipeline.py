@@ -13,15 +13,34 @@ operators holds here too: null texts and empty tables pass through, rows without
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseward.llm import op1_quality, op2_pieces, op3_dart, op8_mixing, op9_suffix
-from pulseward.llm.common import read, stage
+from pulseward.llm.common import delete, discard, read, stage, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_leftover: list[str] = []
+
+
+def _after_the_last(step):
+    """A stage that first deletes the tables which the stage before it stored: as its documents have been written and
+    read again, nothing reads those any more. Its own stay, for its result is read after it returns."""
+    @wraps(step)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for path in _leftover:
+            delete(spark, path)
+        before = set(stored())
+        out = step(spark, docs, sf_dir)
+        _leftover[:] = [p for p in stored() if p not in before]
+        return out
+    return run_stage
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a row number ``rid``, written once: stages join by it."""
     return stage(docs.select(*COLUMNS).withColumn("rid", F.monotonically_increasing_id()), "pipeline")
@@ -33,16 +52,19 @@ def _documents(rows: DataFrame, text) -> DataFrame:
         F.col("_t").eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length("_t").cast("long")).alias("n_chars"))
 
 
+@_after_the_last
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _documents(op1_quality.quality_rules(docs.select(*COLUMNS)).where("kept"), F.col("clean_text"))
 
 
+@_after_the_last
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _keyed(docs)
     kept = op3_dart.near_duplicates(rows).where("keep").select("rid")
     return rows.join(kept, "rid", "left_semi").select(*COLUMNS)
 
 
+@_after_the_last
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A removed run may begin or end inside a character; the bytes left of such a character go too."""
     cut = op9_suffix.without_repeats(_keyed(docs), as_text=True, carry=("doc_id", "lang", "source", "n_chars"))
@@ -50,11 +72,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         F.size("spans") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
+@_after_the_last
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _keyed(docs)
     return rows.join(op8_mixing.mixture(rows).select("rid"), "rid").select(*COLUMNS)
 
 
+@_after_the_last
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op2_pieces.encode_documents(docs, op2_pieces.model_path(), "doc_id", "source")
 
@@ -68,8 +92,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-        if step is not STAGES[-1][1]:
-            docs = stage(docs, name.replace(" ", "-"))
-    return docs
+    for _, step in STAGES[:-1]:
+        before, docs = docs, stage(step(spark, docs, sf_dir), "pipeline-documents")
+        discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, stage, words
+from .common import discard, read, stage, words
 
 MAX_REPEATS = 2.0
 BLOCK_DOCS = 4096
@@ -99,6 +99,7 @@ def mixture(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: f
                              "block", "h"), "op8-used")
     sums = used.groupBy("skey", "epoch", "block").agg(F.sum("n").alias("inside"))
     over = Window.partitionBy("skey", "epoch").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    discard(rows, plan, sources)
     sums = stage(sums.select("skey", "epoch", "block", F.coalesce(F.sum("inside").over(over), F.lit(0)).alias("base")), "op8-blocks")
     within = Window.partitionBy("skey", "epoch", "block").orderBy("h", "rid").rowsBetween(Window.unboundedPreceding, -1)
     placed = used.join(sums, ["skey", "epoch", "block"]).withColumn(

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import keyed, read, stage
+from .common import discard, keyed, read, stage
 from .deep_shallow import deep_shallow
 from .textnum import mix, text_bytes
 
@@ -235,11 +235,12 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     every = stage(anchors(docs, width), "op9-anchors")
     common = every.groupBy("ah").agg(F.sum("times").alias("s")).where("s > 1").select("ah")
     shared = stage(every.join(common, "ah", "left_semi"), "op9-shared")
+    discard(every)
     kinds = stage(shared.groupBy("ah", "ch").agg(
         F.sum("times").alias("cnt"), F.min(F.struct("rid", "lo")).alias("at"), F.first("n").alias("n"),
         F.first("p").alias("p")), "op9-contexts")
     per = stage(kinds.groupBy("ah").agg(F.count("*").alias("kinds")), "op9-kinds")
-    kinds = kinds.join(per, "ah")
+    stored_kinds, kinds = kinds, kinds.join(per, "ah")
     whole = kinds.where("kinds = 1 and cnt > 1").select(
         "ah", "ch", F.array(F.struct(F.lit(0).alias("f"), F.col("n").alias("u"))).alias("spans"))
     wanted = kinds.where("kinds > 1").select("ah", "ch", "n", "p", "cnt", (F.col("kinds") > max_group).alias("hot"),
@@ -247,6 +248,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     fetched = stage(_fetch(docs, wanted, width), "op9-fetched")
     found = stage(whole.unionByName(_sorted_groups(fetched.where("not hot").drop("hot"), width))
                   .unionByName(_window_counts(fetched.where("hot"), width)).where(F.size("spans") > 0), "op9-found")
+    discard(stored_kinds, per, fetched)
     placed = shared.join(found, ["ah", "ch"]).select("rid", F.when(
         F.col("times") > 1, F.array(F.struct(F.col("lo").alias("f"), (F.col("lo") + F.col("n") * F.col("times") + width - 1).alias("u")))
     ).otherwise(F.transform("spans", lambda s: F.struct((F.col("lo") + s["f"]).alias("f"),
