@@ -54,7 +54,9 @@ def _documents(rows: DataFrame, text) -> DataFrame:
 
 @_after_the_last
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _documents(op1_quality.quality_rules(docs.select(*COLUMNS)).where("kept"), F.col("clean_text"))
+    """Line counts are over distinct texts: copies of a text are left for the next stage, which keeps one."""
+    rows = op1_quality.quality_rules(docs.select(*COLUMNS), distinct_texts=True)
+    return _documents(rows.where("kept"), F.col("clean_text"))
 
 
 @_after_the_last

@@ -10,6 +10,9 @@ combination. The table of boilerplate lines is written; a host has at most (mean
 of them. It is joined as one array per host: a broadcast while its files are under the session's threshold, a
 sort-merge join beyond it (AQE splits a hot host).
 
+``distinct_texts`` (the pipeline's stage) counts distinct texts instead of rows, lines and hosts alike: copies of one
+text are one document, so they don't make their own lines boilerplate. The query counts rows, as its SQL does.
+
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own; a
 null ``doc_id`` stays; repeated rows are documents of their own; other columns are ignored. Empty table: no rows.
 """
@@ -77,12 +80,16 @@ def base_columns(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed).drop("_w", "_l")
 
 
-def frequent_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def frequent_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+                   distinct_texts: bool = False) -> DataFrame:
     """(host, bad): per host the array of hashes of its boilerplate lines."""
-    d = docs.select(F.col("source").alias("host"), "text")
-    hashed = F.transform(_lines(F.col("text")), lambda x: F.xxhash64(_normal(x)))
+    hashed = F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.xxhash64(_normal(x))))
+    d = docs.select(F.col("source").alias("host"), "text", hashed.alias("hashes"))
+    if distinct_texts:   # combined before the shuffle: a group of copies sends one row a task
+        d = stage(d.groupBy("host", F.xxhash64("text").alias("t"), F.length("text").alias("size"))
+                  .agg(F.first("hashes").alias("hashes")).select("host", "hashes"), "op1-texts")
     blank = F.xxhash64(F.lit(""))
-    lines = d.select("host", F.explode(F.array_distinct(hashed)).alias("h")).where(F.col("h") != blank)
+    lines = d.select("host", F.explode("hashes").alias("h")).where(F.col("h") != blank)
     counts = lines.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     hosts = stage(d.groupBy("host").agg(F.count("*").alias("docs")), "op1-hosts")
     bad = (counts.join(hosts, counts["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
@@ -91,9 +98,10 @@ def frequent_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int
     return stage(bad.groupBy("host").agg(F.collect_list("h").alias("bad")), "op1-lines")
 
 
-def with_line_frequency(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS) -> DataFrame:
+def with_line_frequency(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+                        distinct_texts: bool = False) -> DataFrame:
     """``docs`` with ``clean_text`` (boilerplate lines removed) and ``n_left`` (its words)."""
-    bad = frequent_lines(docs, max_share, min_docs)
+    bad = frequent_lines(docs, max_share, min_docs, distinct_texts)
     j = docs.join(bad, docs["source"].eqNullSafe(bad["host"]), "left").drop("host")
     kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("bad"), F.xxhash64(_normal(x))))
     changed = F.exists(_lines(F.col("text")), lambda x: F.array_contains(F.col("bad"), F.xxhash64(_normal(x))))
@@ -103,9 +111,9 @@ def with_line_frequency(docs: DataFrame, max_share: float = MAX_SHARE, min_docs:
 
 
 def quality_rules(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                  min_left: float = MIN_LEFT) -> DataFrame:
+                  min_left: float = MIN_LEFT, distinct_texts: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): the base measures, ``n_left``, ``clean_text``, ``kept``."""
-    d = with_line_frequency(docs, max_share, min_docs)
+    d = with_line_frequency(docs, max_share, min_docs, distinct_texts)
     left = F.when(F.col("clean_text").eqNullSafe(F.col("text")), F.col("n_words")).otherwise(
         F.size(words(F.col("clean_text"))).cast("long"))
     out = base_columns(d).withColumn("n_left", left)

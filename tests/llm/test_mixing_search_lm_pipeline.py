@@ -192,6 +192,26 @@ def test_pipeline_keeps_clean_documents_and_takes_effect(spark, tables):
         assert step(spark, empty, d).count() == 0
 
 
+def test_pipeline_keeps_one_of_a_third_of_copies_and_still_removes_boilerplate(spark, tables):
+    import corpus_pipeline as cp
+    rng = random.Random(7)
+
+    def prose(n=60):
+        return " ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+    copied, banner = "\n".join(prose(12) for _ in range(5)), "accept all cookies"
+    rows = docs_of([copied] * 70 + [prose() for _ in range(70)] + [f"{banner}\n{prose()}" for _ in range(70)])
+    d = tables(documents=(rows, DOCS))
+    first = cp.quality_rules(spark, spark.read.parquet(f"{d}/documents.parquet"), d)
+    first.write.parquet(f"{d}/first.parquet")
+    first = spark.read.parquet(f"{d}/first.parquet")
+    texts = [r.text for r in first.collect()]
+    assert len(texts) == 210 and texts.count(copied) == 70
+    assert not any(banner in t for t in texts)
+    left = [r.text for r in cp.near_dedup(spark, first, d).collect()]
+    assert left.count(copied) == 1 and len(left) == 141
+
+
 def test_every_query_is_registered():
     import __spark_entry__ as entry
     names = {n.split("_")[0] for n in entry.queries()}
