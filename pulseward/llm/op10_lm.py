@@ -1,14 +1,17 @@
 """Cross-entropy difference: every document is scored under a target and a background word-bigram model.
 
 The target corpus is the documents labelled good, the background corpus is all documents. The models are matched: one
-vocabulary (words hashed to ``2 ** WORD_BITS`` entries, word pairs to ``2 ** PAIR_BITS``; a parameter of the model,
-every word of every text counts), one order, the same smoothing (pairs backed off to words with ``MU``, words to the
-uniform distribution with ``DELTA``), and background counts scaled to the target's number of words. The score is the
-mean over a text's words of the target's loss less the background's (nats); the lower, the more like the target.
+vocabulary (all distinct words of the corpus; words and word pairs are counted exactly, by 64-bit hash), one order, the
+same smoothing (pairs backed off to words with ``MU``, words to the uniform distribution with ``DELTA``), and background
+counts scaled to the target's number of words. The score is the mean over a text's words of the target's loss less the
+background's (nats); the lower, the more like the target. ``word_bits`` and ``pair_bits`` under 64 count hash cells.
 
-Counting: each task adds up dense count vectors of its texts and emits them in blocks; the blocks are summed by a
-shuffle on the block number. So the traffic is a fixed amount per task, and the finished model has a fixed size
-(``model_bytes``), which bounds the broadcast. Scoring is a map over whole texts.
+Counting: a task takes its texts in batches of about ``BATCH`` words and emits the distinct words and pairs of a batch
+with both corpora's counts, cut into blocks of the hash range. A shuffle on the block brings equal keys together, where
+they are summed; the totals of a batch's own keys go back to the batch, by a second shuffle, and its texts are scored
+with them (the texts are read once more for that). So the tables grow with the corpus, no task holds more than a block of them and a batch, a word or pair in
+every text is one key a batch, and the driver gets three sums. There are ``BLOCKS`` blocks, more beyond ``BLOCKS`` times
+``BLOCK_CHARS`` characters of text. The texts are written once, so that a retried task sees the same batches.
 
 Defined results: a text without words has n_tokens 0 and null losses and score; without a labelled good document, or
 without any word, the target model is uniform; a doc_id with several labels counts as good if one is; rows without
@@ -17,127 +20,222 @@ doc_id are background only; repeated rows count each time; other columns are ign
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, stage
 from .textnum import mix, slices, text_bytes, word_hashes
 
-WORD_BITS = 20
-PAIR_BITS = 22
+WORD_BITS = 64
+PAIR_BITS = 64
 MU = 20.0
 DELTA = 0.5
-BLOCK = 1 << 13
-
-
-def model_bytes(word_bits: int = WORD_BITS, pair_bits: int = PAIR_BITS) -> int:
-    return 2 * 8 * ((1 << word_bits) + (1 << pair_bits))
+BATCH = 1 << 21
+BLOCKS = 1 << 10
+BLOCK_CHARS = 1 << 25
+WORDS, PAIRS, DOCS = 0, 1, 2   # kinds of rows, in the order in which a batch is read
+ROWS = "batch long, kind int, block int, a binary, b binary, c binary"
 
 
 def token_ids(column: pa.Array, word_bits: int, pair_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text of each word, word id, id of the pair with the word before it, whether it is a text's first)."""
+    """(words of each text, key of each word, key of its pair with the word before it, whether it is a text's first)."""
     h, first = word_hashes(*text_bytes(column))
     n = np.diff(first)
-    word = (h >> np.uint64(64 - word_bits)).astype(np.int64)
-    pair = np.zeros(len(h), np.int64)
-    pair[1:] = (mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) >> np.uint64(64 - pair_bits)).astype(np.int64)
+    pair = np.zeros(len(h), np.uint64)
+    pair[1:] = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
     head = np.zeros(len(h), bool)
     head[first[:-1][n > 0]] = True
-    return np.repeat(np.arange(len(n)), n), word, pair, head
+    return n, _top(h, word_bits), _top(pair, pair_bits), head
+
+
+def _top(h: np.ndarray, bits: int) -> np.ndarray:
+    return h & np.uint64(((1 << bits) - 1) << (64 - bits))
+
+
+def pack(a: np.ndarray) -> bytes:
+    """The bytes of ``a``, all first ones, all second ones, ..., compressed, after their number."""
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: pa.Scalar, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    data = data.as_buffer()
+    size = int.from_bytes(data[:8].to_pybytes(), "little")
+    raw = np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(raw.reshape(width, len(raw) // width).T).view(kind).ravel()
+
 
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                      ["batch", "kind", "block", "a", "b", "c"])
 
-def count_blocks(docs: DataFrame, word_bits: int, pair_bits: int) -> DataFrame:
-    """(model, block, counts) of ``docs`` (text, good): model 0 counts the good texts, model 1 all; a vector holds
-    the word counts, then the pair counts."""
-    words, pairs = 1 << word_bits, 1 << pair_bits
 
+def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kinds: tuple[int, ...]) -> DataFrame:
+    """``ROWS`` of ``docs`` (doc_id, text, good). ``WORDS``, ``PAIRS``: per batch and block the distinct keys, ascending,
+    as differences (a) and their counts in the good texts (b) and in all (c). ``DOCS``: per batch, of every word the
+    rank of its key (a); of every word but a text's first the number of its pair, counted from 1 in order of first
+    occurrence, or 0 if it occurs first here, then the ranks of the pairs' keys (b); doc_ids, whether they aren't null,
+    numbers of words, and numbers of keys (c). A batch is the same in every call: ``docs`` is a stored table, and the
+    partition's number is that of its own scan."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, words + pairs), np.int32)   # one task's texts
+        batch, held, size = None, [], 0
         for b in batches:
-            for lo, hi in slices(b.column(0)):
-                good = b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-                text, word, pair, head = token_ids(b.column(0).slice(lo, hi - lo), word_bits, pair_bits)
-                of_good = good[text]
-                for model, pick in ((0, of_good), (1, slice(None))):
-                    total[model, :words] += np.bincount(word[pick], minlength=words).astype(np.int32)
-                    total[model, words:] += np.bincount(pair[pick][~head[pick]], minlength=pairs).astype(np.int32)
-        for model in (0, 1):
-            for k in range(0, words + pairs, BLOCK):
-                part = total[model, k:k + BLOCK]
-                if part.any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([model], pa.int32()), pa.array([k // BLOCK], pa.int32()),
-                         pa.array([part.astype("<i4").tobytes()], pa.binary())], ["model", "block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, total = None, None
-        for b in batches:
-            for model, block, counts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if (model, block) != key:
-                    if key is not None:
-                        yield out(key, total)
-                    key, total = (model, block), np.zeros(BLOCK, np.int64)
-                v = np.frombuffer(counts.as_buffer(), "<i4")
-                total[:len(v)] += v
-        if key is not None:
-            yield out(key, total)
-
-    def out(key: tuple[int, int], total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()),
-                                           pa.array([total.astype("<i8").tobytes()], pa.binary())],
-                                          ["model", "block", "counts"])
-
-    kind = "model int, block int, counts binary"
-    return docs.select("text", "good").mapInArrow(run, kind).repartition("model", "block").sortWithinPartitions(
-        "model", "block").mapInArrow(add, kind)
-
-
-def load_counts(blocks: DataFrame, word_bits: int, pair_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word counts, pair counts), two rows each: the model of fixed size."""
-    words, pairs = 1 << word_bits, 1 << pair_bits
-    flat = np.zeros((2, -(-(words + pairs) // BLOCK) * BLOCK), np.int64)
-    for r in blocks.collect():   # at most model_bytes() in all
-        flat[r["model"], r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], "<i8")
-    return flat[:, :words], flat[:, words:words + pairs]
+            if batch is None and b.num_rows:
+                batch = b.column(3)[0].as_py() << 33
+            for lo, hi in slices(b.column(1)):
+                part = b.slice(lo, hi - lo)
+                ids = part.column(0)
+                tokens = token_ids(part.column(1), word_bits, pair_bits)
+                held.append((ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False),
+                             part.column(2).to_numpy(zero_copy_only=False), *tokens))
+                size += len(tokens[1])
+                if size >= BATCH:
+                    yield from emit(batch, held)
+                    batch, held, size = batch + 1, [], 0
+        if held:
+            yield from emit(batch, held)
+
+    def emit(batch: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, valid, good, n, word, pair, head = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        good = np.repeat(good, n)
+        uw, wi = np.unique(word, return_inverse=True)
+        if WORDS in kinds:
+            yield from cut(batch, WORDS, uw, wi, good)
+        if kinds == (WORDS,):
+            return
+        up, at, pi = np.unique(pair[~head], return_index=True, return_inverse=True)
+        if PAIRS in kinds:
+            yield from cut(batch, PAIRS, up, pi, good[~head])
+        if DOCS in kinds:
+            order = np.argsort(at)   # ranks of the pairs' keys, by first occurrence
+            number = np.empty(len(up), np.int32)
+            number[order] = np.arange(1, len(up) + 1)
+            number = number[pi]
+            number[at] = 0
+            info = np.concatenate([ids.astype(np.int64), valid.astype(np.int64), n.astype(np.int64), [len(uw), len(up)]])
+            yield _rows([(batch, DOCS, 0, pack(wi.astype(np.int32)),
+                          pack(np.concatenate([number, order.astype(np.int32)])), pack(info))])
+
+    def cut(batch: int, kind: int, keys: np.ndarray, at: np.ndarray, good: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(keys):
+            return
+        n, g = (np.bincount(x, minlength=len(keys)).astype(np.int32) for x in (at, at[good]))
+        block = (keys >> np.uint64(64 - (blocks.bit_length() - 1))).astype(np.int64)
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        rows = [(batch, kind, int(block[lo]), pack(np.diff(keys[lo:hi], prepend=np.uint64(0))), pack(g[lo:hi]),
+                 pack(n[lo:hi])) for lo, hi in zip(starts, [*starts[1:], len(keys)])]
+        for k in range(0, len(rows), 512):
+            yield _rows(rows[k:k + 512])
+
+    return docs.select("doc_id", "text", "good", F.spark_partition_id().alias("part")).mapInArrow(run, ROWS)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[int], list[int], list[np.ndarray]]]:
+    """(kind, block, its batches, their numbers of keys, [index of each key, good counts, all counts of the distinct
+    keys]) of sorted rows of ``key_blocks``."""
+    def summed(key: tuple[int, int], held: list[tuple]):
+        keys = [np.cumsum(unpack(a, np.uint64), dtype=np.uint64) for _, a, _, _ in held]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        good, n = (np.bincount(at, np.concatenate([unpack(r[i], np.int32) for r in held])).astype(np.int64)
+                   for i in (2, 3))
+        return *key, [r[0] for r in held], [len(k) for k in keys], [at, good, n]
+
+    key, held = None, []
+    for b in batches:
+        for batch, kind, block, *data in zip(*(c.to_pylist() for c in b.columns[:3]), *b.columns[3:]):
+            if (kind, block) != key:
+                if held:
+                    yield summed(key, held)
+                key, held = (kind, block), []
+            held.append((batch, *data))
+    if held:
+        yield summed(key, held)
+
+
+def totals(words: DataFrame) -> tuple[int, int, int]:
+    """(distinct words, words of the good texts, words of all texts), from the word rows of ``key_blocks``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, _, (_, good, n) in _blocks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in (len(n), good.sum(), n.sum())],
+                                             ["v", "good", "n"])
+
+    one = words.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(
+        run, "v long, good long, n long").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("v", "good", "n")]).first()
+    return one[0], one[1], one[2]
+
+
+def add_up(keys: DataFrame) -> DataFrame:
+    """``ROWS`` with the counts of the keys of ``key_blocks`` in the whole corpus, in good texts (a) and in all (b)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kind, block, of, sizes, (at, good, n) in _blocks(batches):
+            ends = np.cumsum(sizes)
+            for k in range(0, len(of), 512):
+                own = [(batch, at[end - size:end]) for batch, size, end in
+                       zip(of[k:k + 512], sizes[k:k + 512], ends[k:k + 512])]
+                yield _rows([(batch, kind, block, pack(good[x]), pack(n[x]), b"") for batch, x in own])
+
+    return keys.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(run, ROWS)
 
 
 def losses(word_counts: np.ndarray, pair_counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair: np.ndarray,
-           head: np.ndarray, scale: float, total: float, mu: float, delta: float) -> np.ndarray:
-    """Loss of each word; ``before``: id of the word before it; counts are multiplied by ``scale``."""
-    p = (word_counts[word] * scale + delta) / (total + delta * len(word_counts))
+           head: np.ndarray, scale: float, total: float, vocabulary: int, mu: float, delta: float) -> np.ndarray:
+    """Loss of each word; ``before``: index of the word before it; counts are multiplied by ``scale``."""
+    p = (word_counts[word] * scale + delta) / (total + delta * vocabulary)
     q = (pair_counts[pair] * scale + mu * p) / (word_counts[before] * scale + mu)
     return -np.log(np.where(head, p, q))
 
 
-def score_documents(docs: DataFrame, word_counts: np.ndarray, pair_counts: np.ndarray, word_bits: int, pair_bits: int,
-                    mu: float = MU, delta: float = DELTA) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text): doc_id, n_tokens, loss_target, loss_background, score."""
-    total = word_counts.sum(axis=1).astype(float)
+def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: float = MU, delta: float = DELTA) -> DataFrame:
+    """Every text in ``rows`` (of ``add_up``, and ``DOCS``): doc_id, n_tokens, loss_target, loss_background, score."""
+    total = (float(good), float(n))
     # background counts are scaled to the target's number of words
     scale = (1.0, total[0] / total[1] if total[0] and total[1] else 1.0)
-    shared = docs.sparkSession.sparkContext.broadcast((word_counts.astype(np.float32), pair_counts.astype(np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wc, pc = shared.value
+        counts = {WORDS: [], PAIRS: []}
         for b in batches:
-            for lo, hi in slices(b.column(1)):
-                part = b.slice(lo, hi - lo)
-                text, word, pair, head = token_ids(part.column(1), word_bits, pair_bits)
-                before = np.concatenate([word[:1], word[:-1]])
-                n = np.bincount(text, minlength=len(part))
-                sums = [np.bincount(text, losses(wc[m], pc[m], before, word, pair, head, scale[m], total[m] * scale[m],
-                                                 mu, delta), len(part)) for m in (0, 1)]
-                none = n == 0
-                t, g = (s / np.maximum(n, 1) for s in sums)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n.astype(np.int64)), pa.array(t, mask=none), pa.array(g, mask=none),
-                     pa.array(t - g, mask=none)], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(
+            for kind, *data in zip(b.column(1).to_pylist(), *b.columns[3:]):
+                if kind == DOCS:
+                    yield score(counts, *data)
+                    counts = {WORDS: [], PAIRS: []}
+                else:
+                    counts[kind].append(tuple(unpack(x, np.int64) for x in data[:2]))
+
+    def score(counts: dict, word: pa.Scalar, pair: pa.Scalar, info: pa.Scalar) -> pa.RecordBatch:
+        word, pair, info = unpack(word, np.int32), unpack(pair, np.int32), unpack(info, np.int64)
+        (ids, valid, n), sizes = info[:-2].reshape(3, -1), info[-2:].tolist()
+        if sizes != [sum(len(c[0]) for c in counts[k]) for k in (WORDS, PAIRS)]:
+            raise ValueError("the counts are of another batch")
+        first = np.cumsum(n) - n
+        head = np.zeros(len(word), bool)
+        head[first[n > 0]] = True
+        number, rank = pair[:len(pair) - sizes[1]].copy(), pair[len(pair) - sizes[1]:]
+        number[number == 0] = np.arange(1, sizes[1] + 1)
+        pair = np.zeros(len(word), np.int32)
+        pair[~head] = rank[number - 1]
+        before = np.concatenate([word[:1], word[:-1]])
+        text = np.repeat(np.arange(len(n)), n)
+        sums = []
+        for m in (0, 1):
+            ofw, ofp = (np.concatenate([*(c[m] for c in counts[k]), [0]]) for k in (WORDS, PAIRS))
+            sums.append(np.bincount(text, losses(ofw, ofp, before, word, pair, head, scale[m], total[m] * scale[m],
+                                                 vocabulary, mu, delta), len(n)))
+        none = n == 0
+        t, g = (s / np.maximum(n, 1) for s in sums)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, mask=valid == 0), pa.array(n), pa.array(t, mask=none), pa.array(g, mask=none),
+             pa.array(t - g, mask=none)], ["doc_id", "n_tokens", "loss_target", "loss_background", "score"])
+
+    return rows.repartition("batch").sortWithinPartitions("batch", "kind", "block").mapInArrow(
         run, "doc_id long, n_tokens long, loss_target double, loss_background double, score double")
 
 
@@ -147,10 +245,25 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, word_bits: int
     ids = stage(target.where("doc_id is not null").select("doc_id").distinct()
                 .withColumn("good", F.lit(True)), "op10-target")
     # the list of good documents has no size bound: always a sort-merge join, so that the plan is one at every size
-    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").select(
-        "text", F.coalesce("good", F.lit(False)).alias("good"))
-    counts = load_counts(stage(count_blocks(marked, word_bits, pair_bits), "op10-counts"), word_bits, pair_bits)
-    return score_documents(docs, *counts, word_bits, pair_bits)
+    marked = stage(docs.select(F.col("doc_id").cast("long"), "text").join(ids.hint("merge"), "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("good", F.lit(False)).alias("good")), "op10-texts")
+    chars = marked.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(BLOCKS, 1 << (chars // BLOCK_CHARS).bit_length())
+    _free_shuffles(marked)
+
+    def rows(*kinds: int) -> DataFrame:
+        return key_blocks(marked, word_bits, pair_bits, blocks, kinds)
+
+    distinct, good, n = totals(rows(WORDS))
+    _free_shuffles(marked)
+    vocabulary = distinct if word_bits == 64 else 1 << word_bits
+    return score_documents(rows(DOCS).unionByName(add_up(rows(WORDS, PAIRS))), vocabulary, good, n)
+
+
+def _free_shuffles(df: DataFrame) -> None:
+    """Spark deletes the shuffle files of finished queries when the JVM collects garbage."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
 
 
 def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

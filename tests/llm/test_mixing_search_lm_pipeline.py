@@ -157,6 +157,33 @@ def test_cross_entropy_difference(spark, good):
     assert op10_lm.cross_entropy_difference(docs.select("doc_id", "text").where("false"), target, 10, 12).count() == 0
 
 
+def test_cross_entropy_counts_words_and_pairs_exactly(spark, monkeypatch):
+    monkeypatch.setattr(op10_lm, "BATCH", 20_000)   # several batches a task
+    rng = np.random.default_rng(5)
+    seqs = [["hot", "pair", *map(str, rng.integers(0, 60_000, 700))] for _ in range(400)]
+    docs = spark.createDataFrame([(i, " ".join(s)) for i, s in enumerate(seqs)] + [(None, "no id")], "doc_id long, text string")
+    good = set(range(0, 400, 4))
+    target = spark.createDataFrame([(g,) for g in good], "doc_id long")
+    out = {r.doc_id: r for r in op10_lm.cross_entropy_difference(docs, target).collect()}
+    assert len(out) == 401 and out[None].n_tokens == 2
+    c1, c2 = [Counter(), Counter()], [Counter(), Counter()]
+    for d, s in [*enumerate(seqs), (None, ["no", "id"])]:
+        for m in ([0, 1] if d in good else [1]):
+            c1[m].update(s)
+            c2[m].update(zip(s, s[1:]))
+    n = [sum(c.values()) for c in c1]
+    assert len(c2[1]) > 270_000   # 2^22 cells would hold thousands of colliding pairs
+    for d in range(0, 400, 7):
+        for m, got in ((0, out[d].loss_target), (1, out[d].loss_background)):
+            k, loss = (1.0, n[0] / n[1])[m], 0.0
+            for a, b in zip([None, *seqs[d]], seqs[d]):
+                p = (c1[m][b] * k + op10_lm.DELTA) / (n[m] * k + op10_lm.DELTA * len(c1[1]))
+                if a is not None:
+                    p = (c2[m][a, b] * k + op10_lm.MU * p) / (c1[m][a] * k + op10_lm.MU)
+                loss -= math.log(p)
+            assert got == pytest.approx(loss / len(seqs[d]), rel=1e-9)
+
+
 def test_pipeline_keeps_clean_documents_and_takes_effect(spark, tables):
     import corpus_pipeline as cp
     rng = random.Random(4)
