@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op10_lm, op1_quality, op2_pieces, op3_dart, op4_ranker, op5_cascade, op6_wavelet, op7_forest, op8_mixing, op9_suffix
+from . import (op10_lm, op11_ranked_search, op12_conversations, op13_decontaminate, op1_quality, op2_pieces, op3_dart, op4_ranker,
+               op5_cascade, op6_wavelet, op7_forest, op8_mixing, op9_suffix)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality.op1_quality_rules,
@@ -19,10 +20,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_temperature_mix": op8_mixing.op8_temperature_mix,
     "op9_suffix_dedup": op9_suffix.op9_suffix_dedup,
     "op10_cross_entropy": op10_lm.op10_cross_entropy,
+    "op11_ranked_search": op11_ranked_search.op11_ranked_search,
+    "op12_conversation_repair": op12_conversations.op12_conversation_repair,
+    "op13_decontaminate": op13_decontaminate.op13_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op1_quality_rules": op1_quality.ORACLE,
     "op5_url_cascade": op5_cascade.ORACLE,
     "op8_temperature_mix": op8_mixing.ORACLE,
+    "op11_ranked_search": op11_ranked_search.ORACLE,
+    "op13_decontaminate": op13_decontaminate.ORACLE,
 }
