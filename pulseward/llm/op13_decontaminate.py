@@ -35,7 +35,7 @@ from .terms import query_blocks, terms_of
 from .textnum import slices, text_bytes
 
 WINDOW = 10             # fixed by the contract
-SHARD_BYTES = 4 << 20   # text of a shard
+SHARD_BYTES = 2 << 20   # text of a shard
 SHARD_WORDS = 1 << 20   # words of a shard: longer texts are cut
 SEGMENT = 512
 BLOCK_BYTES = 4 << 20   # of test items that are sent to the shards at once

@@ -1,20 +1,20 @@
 """Quality rules: per-document base rules and cross-document line frequency (DataFrame functions only).
 
 A line is normalised (outer and repeated white space removed, lower case) and hashed. Per host (``source``) the
-distinct documents that hold the line are counted. A line that more than ``max_share`` of a host's documents and
-at least ``min_docs`` of them hold is boilerplate of that host; it is removed there. A document is depleted, and
+distinct texts that hold the line are counted: copies of one text are one document, so they don't make their own
+lines boilerplate. A line is boilerplate of a host, and removed there, if at least ``min_docs`` of the host's distinct
+texts and more than ``max_share`` of them hold it, or ``many`` of them whatever the share. So a small host needs a few
+documents that agree, and in a host of any size a line in ``many`` documents goes. A document is depleted, and
 rejected, if what is left has under ``min_words`` words or under ``min_left`` of its words.
 
-Scale: a document's lines are made distinct inside its row, so the count is one ``groupBy`` with map-side
-combination. The table of boilerplate lines is written; a host has at most (mean lines per document) / max_share
-of them. It is joined as one array per host: a broadcast while its files are under the session's threshold, a
-sort-merge join beyond it (AQE splits a hot host).
-
-``distinct_texts`` (the pipeline's stage) counts distinct texts instead of rows, lines and hosts alike: copies of one
-text are one document, so they don't make their own lines boilerplate. The query counts rows, as its SQL does.
+Scale: a text's lines are made distinct inside its row, and copies are combined before the shuffle, so the counts are
+two ``groupBy`` with map-side combination. The table of boilerplate lines is written; a host has at most (mean lines
+per document) / max_share + (all its lines) / many of them. It is joined as one array per host: a broadcast while its
+files are under the session's threshold, a sort-merge join beyond it (AQE splits a hot host).
 
 Defined results: a null or empty text has no words and fails the base rules; a null host is a host of its own; a
-null ``doc_id`` stays; repeated rows are documents of their own; other columns are ignored. Empty table: no rows.
+null ``doc_id`` stays; repeated rows are rows of their own in the result; other columns are ignored. Empty table: no
+rows.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ MIN_WORDS = 10            # fixed by the contract
 MAX_REPEAT_PCT = 20       # fixed by the contract
 WINDOW = 5                # words in a repeated window; fixed by the contract
 MAX_SHARE = 0.1
-MIN_DOCS = 50
+MIN_DOCS = 5
+MANY = 10_000
 MIN_LEFT = 0.5
 
 
@@ -80,40 +81,46 @@ def base_columns(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed).drop("_w", "_l")
 
 
-def frequent_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                   distinct_texts: bool = False) -> DataFrame:
+def _hashed_lines(text: Column) -> Column:
+    return F.transform(_lines(text), lambda x: F.struct(x.alias("line"), F.xxhash64(_normal(x)).alias("h")))
+
+
+def frequent_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, many: int = MANY) -> DataFrame:
     """(host, bad): per host the array of hashes of its boilerplate lines."""
-    hashed = F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.xxhash64(_normal(x))))
-    d = docs.select(F.col("source").alias("host"), "text", hashed.alias("hashes"))
-    if distinct_texts:   # combined before the shuffle: a group of copies sends one row a task
-        d = stage(d.groupBy("host", F.xxhash64("text").alias("t"), F.length("text").alias("size"))
-                  .agg(F.first("hashes").alias("hashes")).select("host", "hashes"), "op1-texts")
+    text = F.coalesce("text", F.lit(""))
+    hashes = F.array_distinct(F.transform(_lines(text), lambda x: F.xxhash64(_normal(x))))
+    d = docs.select(F.col("source").alias("host"), F.xxhash64(text).alias("t"), F.length(text).alias("size"), hashes.alias("hashes"))
+    # combined before the shuffle: a group of copies sends one row a task
+    d = stage(d.groupBy("host", "t", "size").agg(F.first("hashes").alias("hashes")).select("host", "hashes"), "op1-texts")
     blank = F.xxhash64(F.lit(""))
     lines = d.select("host", F.explode("hashes").alias("h")).where(F.col("h") != blank)
     counts = lines.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     hosts = stage(d.groupBy("host").agg(F.count("*").alias("docs")), "op1-hosts")
     bad = (counts.join(hosts, counts["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-           .where(F.col("n") > max_share * F.col("docs")))
-    # at most (mean lines per document) / max_share entries per host
+           .where((F.col("n") > max_share * F.col("docs")) | (F.col("n") >= many)))
     return stage(bad.groupBy("host").agg(F.collect_list("h").alias("bad")), "op1-lines")
 
 
 def with_line_frequency(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                        distinct_texts: bool = False) -> DataFrame:
-    """``docs`` with ``clean_text`` (boilerplate lines removed) and ``n_left`` (its words)."""
-    bad = frequent_lines(docs, max_share, min_docs, distinct_texts)
+                        many: int = MANY) -> DataFrame:
+    """``docs`` with ``clean_text`` (boilerplate lines removed)."""
+    bad = frequent_lines(docs, max_share, min_docs, many)
     j = docs.join(bad, docs["source"].eqNullSafe(bad["host"]), "left").drop("host")
-    kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains(F.col("bad"), F.xxhash64(_normal(x))))
-    changed = F.exists(_lines(F.col("text")), lambda x: F.array_contains(F.col("bad"), F.xxhash64(_normal(x))))
-    clean = F.when(F.col("bad").isNotNull() & F.col("text").isNotNull() & changed,
-                   F.array_join(kept, "\n")).otherwise(F.col("text"))
+
+    def without(lines: Column) -> Column:
+        kept = F.filter(lines, lambda x: ~F.array_contains(F.col("bad"), x["h"]))
+        return let(kept, lambda k: F.when(F.size(k) == F.size(lines), F.col("text")).otherwise(
+            F.array_join(F.transform(k, lambda x: x["line"]), "\n")))
+
+    clean = F.when(F.col("bad").isNotNull() & F.col("text").isNotNull(), let(_hashed_lines(F.col("text")), without)).otherwise(
+        F.col("text"))
     return j.withColumn("clean_text", clean).drop("bad")
 
 
-def quality_rules(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                  min_left: float = MIN_LEFT, distinct_texts: bool = False) -> DataFrame:
+def quality_rules(docs: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS, many: int = MANY,
+                  min_left: float = MIN_LEFT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): the base measures, ``n_left``, ``clean_text``, ``kept``."""
-    d = with_line_frequency(docs, max_share, min_docs, distinct_texts)
+    d = with_line_frequency(docs, max_share, min_docs, many)
     left = F.when(F.col("clean_text").eqNullSafe(F.col("text")), F.col("n_words")).otherwise(
         F.size(words(F.col("clean_text"))).cast("long"))
     out = base_columns(d).withColumn("n_left", left)
@@ -136,14 +143,14 @@ wp AS (SELECT rid, len(w) AS n, i, w[i:i+{WINDOW - 1}] AS g FROM ws, LATERAL unn
 rep AS (SELECT rid, i FROM wp QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
 cov AS (SELECT rid, sum(least({WINDOW}, coalesce(nx - i, {WINDOW}))) AS c
         FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nx FROM rep) GROUP BY rid),
-ln AS (SELECT rid, source, p, l, lower(array_to_string({_W.format('l')}, ' ')) AS norm, len({_W.format('l')}) AS lw
-       FROM (SELECT rid, source, unnest(string_split(t, chr(10))) AS l,
+ln AS (SELECT rid, source, t, p, l, lower(array_to_string({_W.format('l')}, ' ')) AS norm, len({_W.format('l')}) AS lw
+       FROM (SELECT rid, source, t, unnest(string_split(t, chr(10))) AS l,
                     unnest(range(1, len(string_split(t, chr(10))) + 1)) AS p FROM ws)),
 dup AS (SELECT rid, count(*) - count(DISTINCT l) AS nd FROM ln WHERE norm <> '' GROUP BY rid),
-fr AS (SELECT source, norm, count(DISTINCT rid) AS n FROM ln WHERE norm <> '' GROUP BY ALL),
-hosts AS (SELECT source, count(*) AS docs FROM d GROUP BY ALL),
+fr AS (SELECT source, norm, count(DISTINCT t) AS n FROM ln WHERE norm <> '' GROUP BY ALL),
+hosts AS (SELECT source, count(DISTINCT t) AS docs FROM ws GROUP BY ALL),
 bad AS (SELECT fr.source, norm FROM fr JOIN hosts ON fr.source IS NOT DISTINCT FROM hosts.source
-        WHERE n >= {MIN_DOCS} AND n > {MAX_SHARE}::DOUBLE * docs),
+        WHERE n >= {MIN_DOCS} AND (n > {MAX_SHARE}::DOUBLE * docs OR n >= {MANY})),
 lost AS (SELECT rid, sum(lw) AS lost FROM ln JOIN bad ON ln.source IS NOT DISTINCT FROM bad.source
          AND ln.norm = bad.norm GROUP BY rid),
 m AS (SELECT ws.rid, doc_id, len(w)::BIGINT AS n_words,

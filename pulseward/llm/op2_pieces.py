@@ -200,12 +200,14 @@ def load(path: str) -> PieceModel:
     return _MODELS[path]
 
 
-def encode_documents(docs: DataFrame, path: str, *columns: str) -> DataFrame:
-    """``columns`` of every row, ``ids`` (with the end id) and ``n_tokens``."""
+def encode_documents(docs: DataFrame, path: str, *columns: str, decoded: bool = False) -> DataFrame:
+    """``columns`` of every row, ``ids`` (with the end id) and ``n_tokens``. With ``decoded`` also ``decoded``, the text
+    that the ids give when they are decoded again."""
     from pyspark.sql import types as T
     kept = docs.select(*columns, "text")
+    more = [T.StructField("decoded", T.StringType())] if decoded else []
     schema = T.StructType([*kept.drop("text").schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("n_tokens", T.LongType())])
+                           T.StructField("n_tokens", T.LongType()), *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
@@ -213,9 +215,10 @@ def encode_documents(docs: DataFrame, path: str, *columns: str) -> DataFrame:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
                 ids = [model.encode(t) for t in part.column(part.num_columns - 1).to_pylist()]
+                again = [pa.array([model.decode(i) for i in ids], pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(map(len, ids), pa.int64())],
-                    [*columns, "ids", "n_tokens"])
+                    [*part.columns[:-1], pa.array(ids, pa.list_(pa.int32())), pa.array(map(len, ids), pa.int64()), *again],
+                    schema.fieldNames())
 
     return kept.mapInArrow(run, schema)
 

@@ -14,9 +14,10 @@ of members, whose pairs of different components are told apart by their signatur
 rows. A pair is only left out if both texts are in one class already, or if their signatures say that they are well
 below the threshold, so no cap is needed.
 
-Result: one row per row of the input: ``class_id``, the smallest doc_id of the class, and ``keep``, true for one row
-of each class. Defined results: texts without words (null, empty, white space) and rows without doc_id are in no
-class (class_id = doc_id, keep = true). Fewer than five words: one shingle of them all. Repeated rows are one class.
+Result: one row per row of the input: ``class_id``, the smallest doc_id of the class (null if it has none), and
+``keep``, true for one row of each class. Defined results: texts without words (null, empty, white space) are in no
+class (class_id = doc_id, keep = true). Fewer than five words: one shingle of them all. Repeated rows are one class, and
+rows without doc_id are in the class of their text.
 Scale: texts are shuffled by row number, buckets by band; hot buckets are joins that AQE splits.
 """
 
@@ -249,7 +250,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size:
                     threshold: float = SIMILARITY) -> DataFrame:
     """(rid, doc_id, class_id, keep) for every row of ``docs`` (rid, doc_id, text)."""
     sig = stage(signatures(docs, bands, rows, size), "dart-signatures")
-    real = sig.where("doc_id is not null and bands is not null")
+    real = sig.where("bands is not null")
     one = stage(real.groupBy("th").agg(F.min("rid").alias("rid"), F.min("doc_id").alias("least_doc")), "dart-texts")
     bucket = (real.join(one.select("rid"), "rid", "left_semi")
               .select("rid", F.posexplode("bands").alias("band", "bucket")))
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size:
     discard(one, label, members, texts)
     of_class = of_text.groupBy("label").agg(F.min("least_doc").alias("class_id"), F.min("first_rid").alias("kept_rid"))
     named = of_text.select("th", "label").join(of_class, "label").select("th", "class_id", "kept_rid")
-    rows_ = sig.select("rid", "doc_id", F.when(F.col("doc_id").isNotNull() & F.col("bands").isNotNull(), F.col("th")).alias("th"))
+    rows_ = sig.select("rid", "doc_id", F.when(F.col("bands").isNotNull(), F.col("th")).alias("th"))
     return rows_.join(named, "th", "left").select(
         "rid", "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce(F.col("rid") == F.col("kept_rid"), F.lit(True)).alias("keep"))

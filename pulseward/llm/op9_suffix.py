@@ -1,9 +1,9 @@
 """Suffix-array dedup: remove every byte covered by a ``width``-byte string that starts anywhere else too.
 
 Sorting every suffix of a corpus would move ``width`` bytes per byte. Instead each window of ``width`` bytes names
-an anchor: the position, among its first ``width - 255``, whose 256 bytes have the smallest hash (the leftmost of
-equals). Equal windows name equal anchors at equal distances, so only windows of anchors with the same 256 bytes can
-be equal. Runs of windows with one anchor form a context of up to ``2 * width - 256`` bytes.
+an anchor: the position, among its first ``width - gram + 1``, whose ``gram`` bytes have the smallest hash (the leftmost
+of equals). Equal windows name equal anchors at equal distances, so only windows of anchors with the same bytes can
+be equal. Runs of windows with one anchor form a context of up to ``2 * width - gram`` bytes. ``gram`` is a power of two.
 
 1. One pass writes an anchor row per context (hashes, place, number of windows); anchors that occur once are dropped
    and equal contexts are counted, both with map-side combination.
@@ -11,13 +11,13 @@ be equal. Runs of windows with one anchor form a context of up to ``2 * width -
    prefixes, are put in order by deep-shallow sorting; a window is repeated if another context (or a second
    occurrence of its own) agrees with it on both sides of the anchor, which common prefix lengths tell for each
    distance. An anchor with over ``max_group`` distinct contexts (the edge of a passage that very many texts share)
-   isn't sorted by one task: each of its windows is counted by its own 128-bit hash.
+   isn't sorted by one task: each of its windows is counted by its own hash (two of 64 bits).
 3. The repeated runs are joined back by context, gathered per text and cut out.
 
 Hashes: anchors and contexts count as equal when 64-bit hashes of the anchor and of the whole context agree.
 Defined results: null text = empty text; rows without doc_id and repeated rows are texts of their own; other columns
-are ignored; an empty table gives no rows. Scale: rows per anchor, not per byte, are shuffled (about one per 73
-bytes); the text itself is shuffled by row number twice. Gathered lists are bounded by one text's length.
+are ignored; an empty table gives no rows. Scale: rows per anchor, not per byte, are shuffled (about one per half of
+``width - gram``, 73 bytes in the query); the text itself is shuffled by row number twice. Gathered lists are bounded by one text's length.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from .deep_shallow import deep_shallow
 from .textnum import mix, text_bytes
 
 WIDTH = 400
-GRAM = 256            # bytes of an anchor; a power of two
+GRAM = 256            # bytes of an anchor
 CHUNK = 1 << 18       # window starts handled at once
 MAX_GROUP = 4000
 SORT_AT_ONCE = 20_000
@@ -43,11 +43,11 @@ SORT_AT_ONCE = 20_000
 _ROW = ("ah long, ch long, rid long, lo long, n int, p int, times int")
 
 
-def _gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """Hash of the ``GRAM`` bytes from each position on, by doubling."""
+def _gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes from each position on, by doubling."""
     h = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[raw]
     size = 1
-    while size < GRAM:
+    while size < gram:
         a, b = h[:-size], h[size:]
         h = a * np.uint64(0xD6E8FEB86659FD93) + (b ^ (b >> np.uint64(29)))
         h ^= h >> np.uint64(32)
@@ -55,6 +55,15 @@ def _gram_hashes(raw: np.ndarray) -> np.ndarray:
     return h * np.uint64(0x94D049BB133111EB) ^ (h >> np.uint64(31))
 
 
+def _chained(h: np.ndarray, at: np.ndarray, size: np.ndarray, gram: int, most: int, seed: int) -> np.ndarray:
+    """Hash of the ``size`` bytes (``gram`` to ``most``) from each position ``at`` on, from the hashes ``h`` of the grams
+    that cover them."""
+    out = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    for k in range(0, most, gram):
+        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + h[at + np.minimum(k, size - gram)])
+    return out
+
+
 def _first_least(h: np.ndarray, span: int) -> np.ndarray:
     """Position of the leftmost smallest value of ``h[i:i + span]`` for each i that has so many."""
     v, at, size = h, np.arange(len(h), dtype=np.int32), 1
@@ -67,15 +76,15 @@ def _first_least(h: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-def anchors_of(raw: np.ndarray, off: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+def anchors_of(raw: np.ndarray, off: np.ndarray, width: int, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
     """(text, start in the text, windows, distance to the anchor, anchor hash, context hash, repetitions) of every
     context, in parts. Equal contexts that follow each other directly come once, with their number."""
-    span = width - GRAM + 1
+    span = width - gram + 1
     for s in range(0, max(0, len(raw) - width + 1), CHUNK):
         part = raw[s:s + CHUNK + width + span]
         if len(part) < width:
             break
-        h = _gram_hashes(part)
+        h = _gram_hashes(part, gram)
         at = _first_least(h, span)[:CHUNK]
         at = at[:len(part) - width + 1]
         i = np.arange(len(at))
@@ -91,9 +100,7 @@ def anchors_of(raw: np.ndarray, off: np.ndarray, width: int) -> Iterator[tuple[n
         size = n + width - 1
         ah = h[at[edge]]
         p = at[edge] - edge
-        ch = mix(h[edge] + np.uint64(0x9E3779B97F4A7C15) * n.astype(np.uint64))
-        ch = mix(ch * np.uint64(0xD6E8FEB86659FD93) + h[edge + (size - GRAM) // 2])
-        ch = mix(ch * np.uint64(0xD6E8FEB86659FD93) + h[edge + size - GRAM] + p.astype(np.uint64))
+        ch = mix(_chained(h, edge, size, gram, 2 * width - gram, 1) + p.astype(np.uint64))
         t = text[edge]
         again = np.zeros(len(edge), bool)
         again[1:] = (ch[1:] == ch[:-1]) & (ah[1:] == ah[:-1]) & (t[1:] == t[:-1]) & (edge[1:] == edge[:-1] + n[:-1])
@@ -103,11 +110,11 @@ def anchors_of(raw: np.ndarray, off: np.ndarray, width: int) -> Iterator[tuple[n
                ch[head].view(np.int64), times)
 
 
-def anchors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def anchors(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rid = b.column(0).to_numpy(zero_copy_only=False)
-            for t, lo, n, p, ah, ch, times in anchors_of(*text_bytes(b.column(1)), width):
+            for t, lo, n, p, ah, ch, times in anchors_of(*text_bytes(b.column(1)), width, gram):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ah), pa.array(ch), pa.array(rid[t]), pa.array(lo.astype(np.int64)),
                      pa.array(n.astype(np.int32)), pa.array(p.astype(np.int32)), pa.array(times.astype(np.int32))],
@@ -122,7 +129,7 @@ def _runs(mask: np.ndarray) -> list[dict]:
 
 
 def repeated_windows(group: np.ndarray, n: np.ndarray, p: np.ndarray, count: np.ndarray, context: list[bytes],
-                     width: int) -> list[np.ndarray]:
+                     width: int, gram: int = GRAM) -> list[np.ndarray]:
     """For each context the mask of its windows that occur elsewhere too. ``group`` (ascending): the anchor."""
     m = len(context)
     sides = []
@@ -131,7 +138,7 @@ def repeated_windows(group: np.ndarray, n: np.ndarray, p: np.ndarray, count: np.
         bound = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         for a, b in zip(bound, np.append(bound[1:], m)):
             strings = [c[:q][::-1] if reverse else c[q:] for c, q in zip(context[a:b], p[a:b])]
-            order, lcp = deep_shallow(strings, 0 if reverse else GRAM)
+            order, lcp = deep_shallow(strings, 0 if reverse else gram)
             place[a + np.array(order)] = np.arange(a, b)
             cut[a:b] = [-1, *lcp[1:]]
         sides.append((place, cut))
@@ -149,12 +156,12 @@ def repeated_windows(group: np.ndarray, n: np.ndarray, p: np.ndarray, count: np.
     return masks
 
 
-def _sorted_groups(contexts: DataFrame, width: int) -> DataFrame:
+def _sorted_groups(contexts: DataFrame, width: int, gram: int) -> DataFrame:
     """(ah, ch, spans) of the contexts (ah, ch, n, p, cnt, context), an anchor's contexts in one task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(t: pa.Table) -> pa.RecordBatch:
             col = {c: t.column(c).to_numpy() for c in ("ah", "ch", "n", "p", "cnt")}
-            masks = repeated_windows(col["ah"], col["n"], col["p"], col["cnt"], t.column("context").to_pylist(), width)
+            masks = repeated_windows(col["ah"], col["n"], col["p"], col["cnt"], t.column("context").to_pylist(), width, gram)
             spans = [_runs(x) for x in masks]
             return pa.RecordBatch.from_arrays(
                 [pa.array(col["ah"]), pa.array(col["ch"]),
@@ -180,7 +187,7 @@ def _sorted_groups(contexts: DataFrame, width: int) -> DataFrame:
         run, "ah long, ch long, spans array<struct<f:int,u:int>>")
 
 
-def _window_counts(contexts: DataFrame, width: int) -> DataFrame:
+def _window_counts(contexts: DataFrame, width: int, gram: int) -> DataFrame:
     """The same for anchors with very many contexts: each window is counted by its own hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -188,14 +195,15 @@ def _window_counts(contexts: DataFrame, width: int) -> DataFrame:
                 part = b.slice(lo, 256)
                 raw, off = text_bytes(part.column(5))
                 n = part.column(2).to_numpy()
-                h = _gram_hashes(raw)
+                h = _gram_hashes(raw, gram)
                 row = np.repeat(np.arange(len(n)), n)
                 o = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
                 at = off[:-1][row] + o
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
-                     pa.array(o.astype(np.int32)), pa.array(h[at].view(np.int64)),
-                     pa.array(h[at + width - GRAM].view(np.int64)), part.column(4).take(pa.array(row))],
+                     pa.array(o.astype(np.int32)),
+                     *(pa.array(_chained(h, at, np.full(len(at), width), gram, width, seed).view(np.int64)) for seed in (1, 2)),
+                     part.column(4).take(pa.array(row))],
                     ["ah", "ch", "o", "f1", "f2", "cnt"])
 
     w = stage(contexts.select("ah", "ch", "n", "p", "cnt", "context").mapInArrow(
@@ -230,9 +238,9 @@ def _fetch(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return j.mapInArrow(run, "ah long, ch long, n int, p int, cnt long, hot boolean, context binary")
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, gram: int = GRAM) -> DataFrame:
     """(rid, spans) of the texts (rid, text) that hold repeated bytes; spans: array of (from, until) in bytes."""
-    every = stage(anchors(docs, width), "op9-anchors")
+    every = stage(anchors(docs, width, gram), "op9-anchors")
     common = every.groupBy("ah").agg(F.sum("times").alias("s")).where("s > 1").select("ah")
     shared = stage(every.join(common, "ah", "left_semi"), "op9-shared")
     discard(every)
@@ -246,8 +254,8 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     wanted = kinds.where("kinds > 1").select("ah", "ch", "n", "p", "cnt", (F.col("kinds") > max_group).alias("hot"),
                                              "at.rid", "at.lo")
     fetched = stage(_fetch(docs, wanted, width), "op9-fetched")
-    found = stage(whole.unionByName(_sorted_groups(fetched.where("not hot").drop("hot"), width))
-                  .unionByName(_window_counts(fetched.where("hot"), width)).where(F.size("spans") > 0), "op9-found")
+    found = stage(whole.unionByName(_sorted_groups(fetched.where("not hot").drop("hot"), width, gram))
+                  .unionByName(_window_counts(fetched.where("hot"), width, gram)).where(F.size("spans") > 0), "op9-found")
     discard(stored_kinds, per, fetched)
     placed = shared.join(found, ["ah", "ch"]).select("rid", F.when(
         F.col("times") > 1, F.array(F.struct(F.col("lo").alias("f"), (F.col("lo") + F.col("n") * F.col("times") + width - 1).alias("u")))
@@ -267,12 +275,12 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, as_text: bool = False,
-                    carry: tuple[str, ...] = ()) -> DataFrame:
+                    carry: tuple[str, ...] = (), gram: int = GRAM) -> DataFrame:
     """Every row of ``docs`` (rid, text): rid, the ``carry`` columns, n_bytes, spans (maximal removed runs) and kept,
     the remaining bytes. With ``as_text`` kept is a string: a character that a run cuts is dropped whole, and a text
     without runs, null too, is as it was."""
     columns = ["rid", *carry]
-    j = docs.select(*columns, "text").join(repeated_spans(docs, width, max_group), "rid", "left").select(
+    j = docs.select(*columns, "text").join(repeated_spans(docs, width, max_group, gram), "rid", "left").select(
         *columns, "text", "spans")
     schema = T.StructType([*j.select(*columns).schema.fields, T.StructField("n_bytes", T.LongType()),
                            T.StructField("spans", T.ArrayType(T.StructType([T.StructField("f", T.LongType()),
@@ -307,9 +315,10 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GR
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``kept_text``: the remaining bytes as text; U+FFFD stands for what is left of a character that a run cuts."""
     docs = keyed(read(spark, sf_dir, "documents"), "doc_id", "text")
     cut = without_repeats(docs)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["u"] - s["f"])
     digest = cut.select("rid", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
     return docs.select("rid", "doc_id").join(digest, "rid").drop("rid")

@@ -9,31 +9,30 @@ def suffix_array(seq: np.ndarray) -> np.ndarray:
     """Positions of the non-zero values of ``seq`` (a zero follows every part, the last one too), ordered by the
     values from there to the next zero; equal ones in any order. Prefix doubling: after round r suffixes are in order
     of their first 2^r values, and only groups that still hold several unfinished suffixes are sorted again."""
-    at = np.flatnonzero(seq)
-    if not len(at):
-        return at.astype(np.int32)
-    key = (seq[at].astype(np.int64) << 32) | seq[at + 1]
+    order = np.flatnonzero(seq).astype(np.int32)
+    if not len(order):
+        return order
+    key = (seq[order].astype(np.int64) << 32) | seq[order + 1]
     by = np.argsort(key, kind="stable")
-    order, key = at[by], key[by]
-    rank = np.zeros(len(seq) + 1, np.int64)   # 0: ended
-    where = np.arange(len(order))             # slots of ``order`` that are to be sorted again
+    order, key = order[by], key[by]
+    rank = np.zeros(len(seq) + 1, np.int32)               # 0: ended
+    where = np.arange(len(order), dtype=np.int32)         # slots of ``order`` that are to be sorted again
     ended = (key & 0xFFFFFFFF) == 0
     length = 2
-    base = np.zeros(len(order), np.int64)
+    base = np.zeros(len(order), np.int32)
     while True:
         fresh = np.ones(len(where), bool)
         fresh[1:] = (key[1:] != key[:-1]) | (base[1:] != base[:-1])
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(where)), 0))
+        head = np.maximum.accumulate(np.where(fresh, np.arange(len(where), dtype=np.int32), 0))
         rank[order[where]] = where[head] + 1
         last = np.append(fresh[1:], True)
         again = ~(fresh & last) & ~ended
         where = where[again]
         if not len(where):
-            return order.astype(np.int32)
+            return order
         p = order[where]
         base = rank[p]
-        nxt = np.minimum(p + length, len(seq))
-        key = rank[nxt]
+        key = rank[np.minimum(p + length, len(seq))]
         by = np.lexsort((key, base))
         order[where], key, base = p[by], key[by], base[by]
         ended = key == 0

@@ -87,13 +87,16 @@ def near_texts():
 def test_near_duplicate_classes(spark, monkeypatch, block):
     monkeypatch.setattr(op3_dart, "BLOCK", block)
     texts = near_texts()
-    docs = spark.createDataFrame(docs_of(texts) + [(None, texts[0], "", "", 0), (0, texts[0], "", "", 0)], DOCS)
+    alone = " ".join(f"only{i}" for i in range(40))
+    more = [(None, texts[0], "", "", 0), (0, texts[0], "", "", 0), (None, alone, "", "", 0), (None, alone + " x", "", "", 0)]
+    docs = spark.createDataFrame([(*r, 1) for r in docs_of(texts) + more], DOCS + ", class_id int")   # a clashing name
     out = op3_dart.near_duplicates(keyed(docs, "doc_id", "text")).collect()
-    assert len(out) == len(texts) + 2
-    got = {r.doc_id: r.class_id for r in out}
+    assert len(out) == len(texts) + 4
+    got = {r.doc_id: r.class_id for r in out if r.doc_id is not None}
     assert [got[i] for i in range(len(texts))] == classes(texts)
-    kept = [r.class_id for r in out if r.keep and r.doc_id is not None]
-    assert sorted(kept) == sorted(set(classes(texts))) and all(r.keep for r in out if r.doc_id is None)
+    kept = [r.class_id for r in out if r.keep and r.class_id is not None]
+    assert sorted(kept) == sorted(set(classes(texts)))   # one row of each class, whether it has a doc_id or not
+    assert [r.keep for r in out if r.class_id is None].count(True) == 1 and sum(r.class_id is None for r in out) == 2
 
 
 def test_no_documents(spark):
@@ -170,15 +173,19 @@ def spans_texts():
     return texts + [None, "", "x" * 399, "y" * 401, "z" * 400, some(30_000)] + texts[:3]
 
 
-@pytest.mark.parametrize("max_group,chunk", [(4000, 1 << 18), (2, 1 << 18), (4000, 700)])
-def test_repeated_bytes_against_brute_force(spark, tables, monkeypatch, max_group, chunk):
+@pytest.mark.parametrize("max_group,chunk,width,gram", [(4000, 1 << 18, 400, 256), (2, 1 << 18, 400, 256), (4000, 700, 400, 256),
+                                                        (4000, 1 << 18, 200, 64), (2, 1 << 18, 200, 64), (3, 700, 37, 8)])
+def test_repeated_bytes_against_brute_force(spark, tables, monkeypatch, max_group, chunk, width, gram):
     monkeypatch.setattr(op9_suffix, "CHUNK", chunk)     # read by the driver only; workers keep the default
     texts = spans_texts()
-    d = tables(documents=(docs_of(texts), DOCS))
-    monkeypatch.setattr(op9_suffix.without_repeats, "__defaults__", (400, max_group, False, ()))
+    d = tables(documents=([(*r, b"x") for r in docs_of(texts)], DOCS + ", spans binary"))   # a clashing name
+    monkeypatch.setattr(op9_suffix.without_repeats, "__defaults__", (width, max_group, False, (), gram))
     out = {r.doc_id: r for r in op9_suffix.op9_suffix_dedup(spark, d).collect()}
     assert [(out[i].n_bytes, out[i].n_removed, out[i].n_spans, out[i].kept_sha256) for i in range(len(texts))] == \
-        brute(texts, 400)
+        brute(texts, width)
+    for i in range(len(texts)):
+        if not out[i].n_removed:
+            assert out[i].kept_text == (texts[i] or "")
 
 
 def test_anchor_chunks_do_not_change_windows(monkeypatch):

@@ -62,6 +62,29 @@ def test_boilerplate_lines_go_and_depleted_documents_are_rejected(spark, tables)
     assert op1_quality.quality_rules(docs.where("false").select("doc_id", "text", "source")).count() == 0
 
 
+def test_copies_are_one_document_and_lines_go_at_every_size(spark, tables):
+    """A third of a host is one clean text: it stays. Its banner goes from small and large hosts alike."""
+    clean = "\n".join(" ".join(f"c{i}d{j}" for j in range(8)) for i in range(4))
+    for n in (10, 300):
+        own = ["accept all cookies\n" + " ".join(f"w{i}x{j}" for j in range(30)) for i in range(n)]
+        rows = docs_of([clean] * n + own + [" ".join(f"p{i}q{j}" for j in range(12)) for i in range(n)])
+        out = {r.doc_id: r for r in op1_quality.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+        assert all(out[i].kept and out[i].clean_text == clean for i in range(n))
+        assert all(out[i].kept and out[i].n_left == 30 for i in range(n, 2 * n))
+        assert all(out[i].kept for i in range(2 * n, 3 * n))
+    # below the share, but in many documents
+    rows = docs_of([f"a banner\n{'w ' * 20}{i}" for i in range(30)] + [f"{'v ' * 20}{i}" for i in range(400)])
+    docs = spark.createDataFrame(rows, DOCS)
+    assert op1_quality.frequent_lines(docs).count() == 0
+    assert op1_quality.frequent_lines(docs, many=30).count() == 1
+
+
+def test_lines_go_from_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    changed = op1_quality.with_line_frequency(docs).where("not (clean_text <=> text)").count()
+    assert changed > 50
+
+
 def test_ranker_learns_from_pairs_and_handles_edge_cases(spark):
     rng = np.random.default_rng(1)
 
