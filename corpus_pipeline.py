@@ -2,9 +2,10 @@
 
 1. quality rules: rejected documents go, boilerplate lines of a host are removed from the others
 2. near duplicates by DartMinHash: one document of each class stays
-3. suffix-array dedup: bytes covered by repeated 400-byte strings are removed
+3. suffix-array dedup: bytes covered by repeated strings of ``PASSAGE_BYTES`` are removed, which passages of over 50
+   words hold
 4. mixing of sources to target weights: documents of small sources are repeated, none is left out
-5. SentencePiece encoding: ids of every text
+5. SentencePiece encoding and decoding: ids of every text, and the text decoded from them
 
 A stage takes (spark, docs, sf_dir), works on every row that its predecessor kept and, but for the last, returns the
 columns of documents (doc_id, text, lang, source, n_chars; n_chars follows the text). Every defined result of the
@@ -13,6 +14,7 @@ operators holds here too: null texts and empty tables pass through, rows without
 
 from __future__ import annotations
 
+import threading
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +24,9 @@ from pulseward.llm import op1_quality, op2_pieces, op3_dart, op8_mixing, op9_suf
 from pulseward.llm.common import delete, discard, read, stage, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-_leftover: list[str] = []
+PASSAGE_BYTES = 200   # 50 words have more in nearly every text
+PASSAGE_GRAM = 64
+_leftover = threading.local()   # runs of several threads don't meet
 
 
 def _after_the_last(step):
@@ -32,11 +34,11 @@ def _after_the_last(step):
     read again, nothing reads those any more. Its own stay, for its result is read after it returns."""
     @wraps(step)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        for path in _leftover:
+        for path in getattr(_leftover, "paths", ()):
             delete(spark, path)
         before = set(stored())
         out = step(spark, docs, sf_dir)
-        _leftover[:] = [p for p in stored() if p not in before]
+        _leftover.paths = [p for p in stored() if p not in before]
         return out
     return run_stage
 
@@ -55,7 +57,7 @@ def _documents(rows: DataFrame, text) -> DataFrame:
 @_after_the_last
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Line counts are over distinct texts: copies of a text are left for the next stage, which keeps one."""
-    rows = op1_quality.quality_rules(docs.select(*COLUMNS), distinct_texts=True)
+    rows = op1_quality.quality_rules(docs.select(*COLUMNS))
     return _documents(rows.where("kept"), F.col("clean_text"))
 
 
@@ -69,7 +71,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_after_the_last
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A removed run may begin or end inside a character; the bytes left of such a character go too."""
-    cut = op9_suffix.without_repeats(_keyed(docs), as_text=True, carry=("doc_id", "lang", "source", "n_chars"))
+    cut = op9_suffix.without_repeats(_keyed(docs), PASSAGE_BYTES, as_text=True,
+                                     carry=("doc_id", "lang", "source", "n_chars"), gram=PASSAGE_GRAM)
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.when(
         F.size("spans") > 0, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
@@ -82,7 +85,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_after_the_last
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op2_pieces.encode_documents(docs, op2_pieces.model_path(), "doc_id", "source")
+    return op2_pieces.encode_documents(docs, op2_pieces.model_path(), "doc_id", "source", decoded=True)
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_dedup), ("suffix-array dedup", substring_dedup),
