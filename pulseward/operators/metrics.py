@@ -61,17 +61,22 @@ def latency_summary(samples: DataFrame) -> DataFrame:
     return row.withColumn("sla_ok", F.col("p99") < F.lit(SLA_P99_MS))
 
 
-def rolling_metrics(samples: DataFrame, n: int = LAST_N) -> DataFrame:
-    """Percentiles over the last ``n`` samples; throughput and error rate over all samples."""
-    recent = last_n(samples, n).agg(*[round_half(F.percentile("latency_ms", q), 6).alias(k) for k, q in PCTS.items()])
-    totals = samples.agg(F.count(F.lit(1)).alias("total_requests"), F.count_if(~F.col("ok")).alias("errors"),
-                         _duration_s(samples).alias("duration_s"))
-    row = _one_row(recent, totals)
+def rolling_row(recent: DataFrame, totals: DataFrame) -> DataFrame:
+    """A8 from the last samples and the one-row ``totals`` (total_requests, errors, duration_s) over all."""
+    pct = recent.agg(*[round_half(F.percentile("latency_ms", q), 6).alias(k) for k, q in PCTS.items()])
+    row = _one_row(pct, totals)
     return row.select("p50", "p95", "p99", "total_requests", "errors",
                       round_half(safe_div("total_requests", "duration_s"), 6).alias("throughput_rps"),
                       round_half(safe_div("errors", "total_requests"), 9).alias("error_rate"))
 
 
+def rolling_metrics(samples: DataFrame, n: int = LAST_N) -> DataFrame:
+    """Percentiles over the last ``n`` samples; throughput and error rate over all samples."""
+    return rolling_row(last_n(samples, n), samples.agg(
+        F.count(F.lit(1)).alias("total_requests"), F.count_if(~F.col("ok")).alias("errors"),
+        _duration_s(samples).alias("duration_s")))
+
+
 def client_metrics(samples: DataFrame) -> DataFrame:
     """Request counters, success rate, percentiles over successful requests, throughput.
 

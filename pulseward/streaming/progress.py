@@ -11,7 +11,8 @@ metadata, not data) becomes a few rows ``(series, seq, ts_ms, value)``:
   late_rows_dropped      rows dropped by the watermark (first stateful operator)
 
 ``frame(spark)`` returns the rows collected so far as a DataFrame; ``append_to(spark, path)`` appends and
-clears them, so a long-running job keeps the driver's list short.
+clears them, so a long-running job keeps the driver's list short. The launcher registers the listener, appends about
+every two seconds and runs the alert rules (``live_alerts``) on the table as a stream.
 """
 
 from __future__ import annotations
@@ -30,9 +31,12 @@ def _ts_ms(text: str) -> int:
 
 
 class ProgressMetrics(StreamingQueryListener):
-    def __init__(self):
+    """``skip``: names of queries whose progress isn't a metric (the one that reads the metrics)."""
+
+    def __init__(self, skip: tuple[str, ...] = ()):
         self._rows: list[tuple] = []
         self._lock = threading.Lock()
+        self._skip = skip
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -45,6 +49,8 @@ class ProgressMetrics(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
+        if p.name in self._skip:
+            return
         ts, seq, q = _ts_ms(p.timestamp), int(p.batchId), p.name or str(p.id)
         values = {"batch_duration_ms": float(p.durationMs.get("triggerExecution", 0)),
                   "checkpoint_ms": float(p.durationMs.get("walCommit", 0) + p.durationMs.get("commitOffsets", 0)),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FEED_SCHEMA
+from .shuffled import shuffled_replay_source
 
 # Topics and consumer group.
 RECORDS_TOPIC = "medical-records"
@@ -56,7 +57,8 @@ def rate_replay_source(spark: SparkSession, records: DataFrame, n_rows: int, row
 
 def pick_source(spark: SparkSession, kind: str, **options) -> DataFrame:
     """The stream source named by configuration: 'kafka' (bootstrap, topic, group, max_offsets_per_trigger),
-    'files' (path, fmt, max_files_per_trigger) or 'rate' (records, n_rows, rows_per_batch, t0_ms).
+    'files' (path, fmt, max_files_per_trigger), 'rate' (records, n_rows, rows_per_batch, t0_ms) or 'shuffled' (the same,
+    rps, seed).
     There is no broker probing: an unavailable broker is a configuration error, not a silent switch."""
     if kind == "kafka":
         return kafka_source(spark, **options)
@@ -64,4 +66,6 @@ def pick_source(spark: SparkSession, kind: str, **options) -> DataFrame:
         return file_source(spark, **options)
     if kind == "rate":
         return rate_replay_source(spark, **options)
+    if kind == "shuffled":
+        return shuffled_replay_source(spark, **options)
     raise ValueError(f"unknown source kind {kind!r}")

@@ -70,6 +70,13 @@ def test_results_carry_state_across_batches_and_restarts(two_batches):
     assert res[7].processing_timestamp == 100_400  # timestamp 0 -> arrival time
 
 
+def test_results_carry_the_features_stored_by_earlier_batches(two_batches):
+    res = two_batches.table("results")
+    assert not res[1].patient_features.known_patient and res[1].patient_features.avg_risk_score == 0.5
+    f = res[5].patient_features   # patient 1 was unknown in the first micro-batch
+    assert (f.known_patient, f.record_count, f.last_activity) == (True, 1, 100_000)
+
+
 def test_late_rows_are_routed_and_do_not_touch_state(two_batches):
     late = two_batches.table("late")
     assert list(late) == [4]
