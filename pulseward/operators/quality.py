@@ -41,19 +41,39 @@ def psi_terms(expected: list[Column], actual: list[Column]) -> Column:
     return F.abs(total)
 
 
-def psi_between(df: DataFrame, is_reference: Column) -> DataFrame:
-    """One row: record counts of both sides, PSI (rounded to 9 digits) and the drift verdict."""
-    lvl = level_of()
-    ref, cur = is_reference, ~is_reference
-    agg = df.agg(F.count_if(ref).alias("reference_records"), F.count_if(cur).alias("current_records"),
-                 *[F.count_if(ref & (lvl == l)).alias(f"r_{l}") for l in LEVELS],
-                 *[F.count_if(cur & (lvl == l)).alias(f"c_{l}") for l in LEVELS])
+def _psi_row(sides: DataFrame) -> DataFrame:
+    """From one row of reference_records, r_<level>, current_records, c_<level>."""
     e = [F.col(f"r_{l}") / F.col("reference_records") for l in LEVELS]
     a = [F.col(f"c_{l}") / F.col("current_records") for l in LEVELS]
     both = (F.col("reference_records") > 0) & (F.col("current_records") > 0)
     psi = F.when(both, psi_terms(e, a))
-    return agg.select("reference_records", "current_records", round_half(psi, 9).alias("psi"),
-                      F.coalesce(psi > PSI_LIMIT, F.lit(False)).alias("drift"))
+    return sides.select("reference_records", "current_records", round_half(psi, 9).alias("psi"),
+                        F.coalesce(psi > PSI_LIMIT, F.lit(False)).alias("drift"))
+
+
+def psi_between(df: DataFrame, is_reference: Column) -> DataFrame:
+    """One row: record counts of both sides, PSI (rounded to 9 digits) and the drift verdict."""
+    lvl = level_of()
+    ref, cur = is_reference, ~is_reference
+    return _psi_row(df.agg(F.count_if(ref).alias("reference_records"), F.count_if(cur).alias("current_records"),
+                           *[F.count_if(ref & (lvl == l)).alias(f"r_{l}") for l in LEVELS],
+                           *[F.count_if(cur & (lvl == l)).alias(f"c_{l}") for l in LEVELS]))
+
+
+def level_counts(where: Column) -> list[Column]:
+    """Aggregates that count the rows ``where`` holds for, in all (``accepted``) and by level (``n_<level>``)."""
+    return [F.count_if(where).alias("accepted"), *[F.count_if(where & (level_of() == l)).alias(f"n_{l}") for l in LEVELS]]
+
+
+def psi_of_counts(counts: DataFrame, is_reference: Column) -> DataFrame:
+    """``psi_between`` from mergeable counts per period (``level_counts``) instead of the records."""
+    def total(col: str, side: Column) -> Column:
+        return F.coalesce(F.sum(F.when(side, F.col(col))), F.lit(0)).cast("long")
+
+    return _psi_row(counts.agg(total("accepted", is_reference).alias("reference_records"),
+                               total("accepted", ~is_reference).alias("current_records"),
+                               *[total(f"n_{l}", is_reference).alias(f"r_{l}") for l in LEVELS],
+                               *[total(f"n_{l}", ~is_reference).alias(f"c_{l}") for l in LEVELS]))
 
 
 HOUR_MS = 3_600_000

@@ -329,3 +329,15 @@ def test_drift_between_micro_batch_ranges(two_batches):
     r = sinks.drift_since(two_batches.spark, two_batches.out, 0).first()
     assert (r.reference_records, r.current_records) == (2, 2)
     assert r.psi == 0.0 and r.drift is False      # all results are 'high' in both ranges
+
+
+def test_drift_of_counts_equals_drift_of_records(spark):
+    from pyspark.sql import functions as F
+
+    from pulseward.operators.quality import level_counts, psi_between, psi_of_counts
+    levels = ["high", "medium", None, "low", "other"]
+    rows = spark.createDataFrame([(b, levels[(b * i) % 5]) for b in range(6) for i in range(50 + b)], "batch_id int, risk_level string")
+    counts = rows.groupBy("batch_id").agg(*level_counts(F.lit(True)))
+    for upto in (-1, 0, 2, 5):
+        ref = F.col("batch_id") <= upto
+        assert psi_of_counts(counts, ref).collect() == psi_between(rows, ref).collect()
