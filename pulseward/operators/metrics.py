@@ -1,8 +1,9 @@
 """Latency and request metrics over a table of samples.
 
-Input: ``metric_samples(seq, stage, ts_ms, latency_ms, ok, batch_size, is_batch)``. Percentiles over all samples use the
-distributed ``exact_percentiles``; "last 1,000" metrics first take the top 1,000 by ``seq`` (a per-partition
-top-k, so at most partitions x 1,000 rows move) and then aggregate that bounded set. One-row results of two
+Input: ``metric_samples(seq, stage, ts_ms, latency_ms, ok, batch_size, is_batch)``. Percentiles over all samples, or over
+two runs, are selected by histogram refinement (``selected_percentiles``), those per stage and window use
+``exact_percentiles``; "last 1,000" metrics first take the top 1,000 by ``seq`` (a per-partition top-k, so at most
+partitions x 1,000 rows move) and then aggregate that bounded set. One-row results of two
 different aggregations are combined by a union and a second aggregation, not by a join.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_mean, exact_mean_parts, round_half
-from .percentiles import exact_percentiles
+from .percentiles import exact_percentiles, selected_percentiles
 
 PCTS = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
 LAST_N = 1000
@@ -52,7 +53,7 @@ def _duration_s(samples: DataFrame):
 
 def latency_summary(samples: DataFrame) -> DataFrame:
     """p50/p95/p99 (linear), max, min, mean, population std and the p99 < 30 ms check."""
-    pct = exact_percentiles(samples, "latency_ms", PCTS)
+    pct = selected_percentiles(samples, "latency_ms", PCTS)
     stats = samples.agg(F.count(F.lit(1)).alias("sample_count"), F.max("latency_ms").alias("max"),
                         F.min("latency_ms").alias("min"), *exact_mean_parts("latency_ms", "mean"),
                         round_half(F.stddev_pop("latency_ms"), 6).alias("std"))
@@ -82,7 +83,7 @@ def client_metrics(samples: DataFrame) -> DataFrame:
 
     One error is counted per failed request (deviation: a failing "not loaded" call is not counted twice).
     """
-    pct = exact_percentiles(samples.filter("ok"), "latency_ms", PCTS)
+    pct = selected_percentiles(samples.filter("ok"), "latency_ms", PCTS)
     batch = F.col("is_batch")
     totals = samples.agg(
         F.count(F.lit(1)).alias("total_requests"), F.count_if(~F.col("ok")).alias("failed_requests"),
@@ -100,7 +101,7 @@ def penalised_metrics(samples: DataFrame) -> DataFrame:
     """A10: a failed call counts as 1000 ms; throughput = n / (sum of latencies in seconds)."""
     pen = samples.select(F.when(F.col("ok"), F.col("latency_ms")).otherwise(F.lit(FAILED_CALL_MS)).alias("lat"),
                          "ok")
-    pct = exact_percentiles(pen, "lat", PCTS)
+    pct = selected_percentiles(pen, "lat", PCTS)
     totals = pen.agg(F.count(F.lit(1)).alias("n"), F.sum("lat").alias("lat_sum"),
                      F.count_if(~F.col("ok")).alias("errors"))
     row = _one_row(pct, totals)
@@ -153,15 +154,15 @@ def batch_size_histogram(samples: DataFrame, n: int = LAST_N) -> DataFrame:
 
 
 def compare_runs(samples: DataFrame, run_of) -> DataFrame:
-    """Per-run p50/p95/p99/mean, paired on the metric name, with the improvement in percent."""
-    runs = samples.select(run_of.alias("run"), "latency_ms")
-    pct = exact_percentiles(runs, "latency_ms", PCTS, keys=["run"])
-    mean = runs.groupBy("run").agg(*exact_mean_parts("latency_ms", "mean")).select("run", exact_mean("mean").alias("mean"))
-    wide = pct.join(mean, "run")
-    tall = wide.select("run", F.expr("stack(4, 'p50', p50, 'p95', p95, 'p99', p99, 'mean', mean)")
-                       .alias("metric", "value"))
-    before = tall.filter(F.col("run") == "before").select("metric", F.col("value").alias("before"))
-    after = tall.filter(F.col("run") == "after").select("metric", F.col("value").alias("after"))
-    paired = before.join(after, "metric", "inner")
+    """p50/p95/p99/mean of the runs ``before`` and ``after`` (``run_of``), with the improvement in percent. No
+    rows unless both runs have a latency. Both runs are columns of one row throughout, so nothing is joined."""
+    runs = ("before", "after")
+    at = samples.select(run_of.alias("run"), "latency_ms")
+    pct = selected_percentiles(at, "latency_ms", {f"_{k}": q for k, q in PCTS.items()}, F.col("run"), runs)
+    wide = at.select(*[F.when(F.col("run") == r, F.col("latency_ms")).alias(r) for r in runs])
+    means = wide.agg(*[part for r in runs for part in exact_mean_parts(r, r)])
+    row = _one_row(pct, means.select(*[exact_mean(r).alias(f"{r}_mean") for r in runs]))
+    tall = row.select(F.expr("stack(4, " + ", ".join(f"'{m}', before_{m}, after_{m}" for m in (*PCTS, "mean")) + ")")
+                      .alias("metric", "before", "after")).filter("before is not null and after is not null")
     imp = safe_div(F.col("before") - F.col("after"), "before") * 100
-    return paired.select("metric", "before", "after", round_half(imp, 6).alias("improvement_pct"))
+    return tall.select("metric", "before", "after", round_half(imp, 6).alias("improvement_pct"))
