@@ -2,28 +2,31 @@
 
 L1 "condition held for a minimum time": consecutive points of a series where the condition holds form an
 island; the alert fires at the first point whose distance to the island's first point is at least ``for``.
-Islands are found without a per-series window: the island of a point is named by the last point that held while its
-predecessor did not (a running maximum by ``chunked_running`` over ranges of the time order). Its timestamp is the
-island's start, so every point knows it, and islands are groups of an ordinary aggregation with map-side combination.
+Islands are found without a per-series window, in one two-level scan (``island_points``): inside a range of the time
+order windows give each point the start of its island, as far as the range shows it; one summary row per (key, range)
+tells which island is open at the range's end, and the start of an island that began in an earlier range is joined
+back. Every point knows its island's start, and islands are groups of an ordinary aggregation.
 
 L2 "counter rate over 5 m > 0 held for 1 m": per point the increase since the previous point (a drop is a
 counter reset, so the increase is the new value), summed over the trailing 300 s and divided by 300. This is
-our windowed rate (no extrapolation). The previous point comes from the two-level scan; the trailing sum is a
-difference of two as-of lookups of the cumulative sum (``trailing_sum``), also two-level.
+our windowed rate (no extrapolation). The previous point comes from the two-level scan. The rate is the same for all
+points of one instant, so the increases are summed per instant first (a burst becomes one row), the trailing sum is a
+``RANGE`` frame inside time ranges that hold copies of the 300 s before them, the islands are found on these rows, and
+rate and state are joined back to the points.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half
 from ..staging import stage
-from .scan import Running, chunked_running, with_ranges
+from .scan import Running, chunked_running, with_overlap, with_ranges
 
-EXACT = "decimal(28,9)"   # sums of increases: a difference of two of them is exact to 1e-9
+EXACT = "decimal(28,9)"   # sums of increases are exact to 1e-9, in any order
 
 
 @dataclass(frozen=True)
@@ -49,21 +52,38 @@ PROGRESS_RULES = [
 COUNTER_RULE = ("MedicalCheckpointFailures", "failed_checkpoints", 300_000, 60_000, "critical")
 
 
-def _rules_frame(spark, rules: list[ThresholdRule]) -> DataFrame:
-    return spark.createDataFrame([(r.alert, r.series, float(r.threshold), int(r.for_ms), r.severity) for r in rules],
-                                 "alert string, series string, threshold double, for_ms long, severity string")
+def _with_rules(series: DataFrame, rules: list[ThresholdRule]) -> DataFrame:
+    """A row per point and rule of its series; the rules are part of the expression, so nothing is joined."""
+    each = [F.lit(None).cast("struct<alert:string,threshold:double,for_ms:bigint,severity:string>")] + [F.when(F.col("series") == r.series, F.struct(
+        F.lit(r.alert).alias("alert"), F.lit(float(r.threshold)).alias("threshold"),
+        F.lit(int(r.for_ms)).cast("long").alias("for_ms"), F.lit(r.severity).alias("severity"))) for r in rules]
+    return series.withColumn("_rule", F.explode(F.array_compact(F.array(*each)))).select(*series.columns, "_rule.*")
 
 
 def island_points(points: DataFrame, cond: F.Column, keys: list[str]) -> DataFrame:
     """All points with ``_hold`` and, for points where ``cond`` holds, ``_island``: (ts_ms, seq) of the first point of
-    their island (per ``keys``, ordered by ts_ms, seq). Both scans use the same ranges: one shuffle of the points."""
-    marked = with_ranges(points, "ts_ms", "seq").withColumn("_hold", F.coalesce(cond, F.lit(False)))
-    prev = chunked_running(marked, keys, None, ["ts_ms", "seq"], [Running("_held", "prev", F.col("_hold"))],
-                           chunk_name="_range")
-    first = F.col("_hold") & ~F.coalesce("_held", F.lit(False))
-    out = chunked_running(prev, keys, None, ["ts_ms", "seq"],
-                          [Running("_island", "max", F.when(first, F.struct("ts_ms", "seq")))], chunk_name="_range")
-    return out.withColumn("_island", F.when(F.col("_hold"), F.col("_island"))).drop("_held", "_range")
+    their island (per ``keys``, ordered by ts_ms, seq). ``points`` may have ranges ``_range`` already. The points are
+    shuffled once, on (keys, range); the other exchanges move a row per (key, range)."""
+    if "_range" not in points.columns:
+        points = with_ranges(points, "ts_ms", "seq")
+    part, at = [*keys, "_range"], F.struct("ts_ms", "seq")
+    w = Window.partitionBy(*part).orderBy("ts_ms", "seq")
+    local = points.withColumn("_hold", F.coalesce(cond, F.lit(False)))
+    local = local.withColumns({"_before": F.coalesce(F.lag("_hold").over(w), F.lit(False)), "_first": F.first(at).over(w)})
+    local = local.withColumn("_start", F.max(F.when(F.col("_hold") & ~F.col("_before"), at)).over(w))
+    # per range: whether all its points hold, its first point, and the start of the island open at its end
+    ranges = local.groupBy(*part).agg(F.bool_and("_hold").alias("_all"), F.min("_first").alias("_first"),
+                                      F.max_by(F.struct(F.when(F.col("_hold"), F.col("_start")).alias("s")), at).alias("_open"))
+    wk = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumns({
+        "_cut": F.last(F.when(~F.col("_all"), F.col("_open")), ignorenulls=True).over(wk),    # of the last range not all held
+        "_cuts": F.coalesce(F.count_if(~F.col("_all")).over(wk), F.lit(0))})
+    wg = Window.partitionBy(*keys, "_cuts").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    since = F.min(F.when(F.col("_all"), F.col("_first"))).over(wg)                            # all held from there on
+    carry = ranges.withColumn("_carry", F.coalesce("_cut.s", since)).select(*part, "_carry")
+    mine = F.when(F.col("_start") == F.col("_first"), F.coalesce("_carry", "_start")).otherwise(F.col("_start"))
+    return (local.join(carry, part).withColumn("_island", F.when(F.col("_hold"), mine))
+            .drop("_before", "_first", "_start", "_carry", "_range"))
 
 
 def held_islands(points: DataFrame, cond: F.Column, for_ms, keys: list[str]) -> DataFrame:
@@ -78,64 +98,45 @@ def held_islands(points: DataFrame, cond: F.Column, for_ms, keys: list[str]) ->
 
 def threshold_alerts(series: DataFrame, rules: list[ThresholdRule] = THRESHOLD_RULES) -> DataFrame:
     """L1: one row per firing island per rule."""
-    spark = series.sparkSession
-    pts = series.join(_rules_frame(spark, rules), "series", "inner")
+    pts = _with_rules(series, rules)
     out = held_islands(pts, F.col("value") > F.col("threshold"), F.col("for_ms"),
                        ["alert", "series", "severity", "for_ms"])
     return out.select("alert", "series", "severity", "island_start_ms", "firing_since_ms", "island_end_ms",
                       "n_points", "max_value")
 
 
+def trailing_by_time(points: DataFrame, keys: list[str], col: str, range_ms: int) -> DataFrame:
+    """(keys, ts_ms, <col>_sum, _range) per instant that a key has points at: the sum of ``col`` over its points with
+    ts in (ts - range_ms, ts]. Sums per instant are stored first, so the frame runs over one row per instant."""
+    at = stage(points.groupBy(*keys, "ts_ms").agg(F.sum(F.col(col).cast(EXACT)).alias("_s")), "sums_per_instant")
+    w = Window.partitionBy(*keys, "_range").orderBy("ts_ms").rangeBetween(-(range_ms - 1), 0)
+    total = F.coalesce(F.sum("_s").over(w), F.lit(0)).cast("double")
+    return with_overlap(at, "ts_ms", range_ms).withColumn(f"{col}_sum", total).filter("_own").drop("_s", "_own")
+
+
 def trailing_sum(points: DataFrame, keys: list[str], col: str, range_ms: int) -> DataFrame:
-    """Per point, ``<col>_sum`` = sum of ``col`` over points of the same key with ts in (ts - range_ms, ts].
-
-    Written as C(ts) - C(ts - range_ms), where C(x) is the cumulative sum over points with ts <= x. C comes
-    from a two-level running sum in (ts, seq) order. Each point then adds two probe rows, at ts and at
-    ts - range_ms, ordered after the data rows of the same timestamp; the last data row at or before a probe
-    (a two-level running maximum over (ts, seq, C) structs) gives C at the probe. Probes carry their point's
-    columns, so one aggregation per point reassembles the result -- no join, and no task holds a whole
-    key or a whole time range, however the points are distributed in time.
-    """
-    cols = points.columns
-    cum = chunked_running(with_ranges(points, "ts_ms", "seq"), keys, None, ["ts_ms", "seq"],
-                          [Running("_cum", "sum", F.col(col).cast(EXACT))], chunk_name="_range").drop("_range")
-    cum = stage(cum, "trailing_cum")
-    data = cum.select(*keys, F.col("ts_ms").alias("_t"), F.lit(0).alias("_kind"), F.col("seq").alias("_o"),
-                      F.lit(0).alias("_probe"), F.col("_cum"), F.lit(None).cast("long").alias("_point"),
-                      *[F.lit(None).cast(points.schema[c].dataType).alias(f"_v_{c}") for c in cols])
-    probes = [cum.select(*keys, (F.col("ts_ms") - F.lit(back)).alias("_t"), F.lit(1).alias("_kind"),
-                         F.col("seq").alias("_o"), F.lit(i).alias("_probe"), F.lit(None).cast(cum.schema["_cum"].dataType).alias("_cum"),
-                         F.col("seq").alias("_point"), *[F.col(c).alias(f"_v_{c}") for c in cols])
-              for i, back in ((1, 0), (2, range_ms))]
-    both = data.unionByName(probes[0]).unionByName(probes[1])
-    # data before probes at one timestamp: ranges over 2 t + kind keep this order inside a burst as well
-    both = with_ranges(both.withColumn("_tk", F.col("_t") * 2 + F.col("_kind")), "_tk", "_o")
-    last = chunked_running(both, keys, None, ["_tk", "_o", "_probe"],
-                           [Running("_last", "max", F.when(F.col("_kind") == 0, F.struct("_t", "_o", "_cum")))],
-                           chunk_name="_range")
-    c_at = F.coalesce(F.col("_last._cum"), F.lit(0).cast(cum.schema["_cum"].dataType))
-    per_point = last.filter(F.col("_kind") == 1).groupBy(*keys, "_point").agg(
-        *[F.first(f"_v_{c}", ignorenulls=True).alias(c) for c in cols if c not in keys],
-        F.max(F.when(F.col("_probe") == 1, c_at)).alias("_now"),
-        F.max(F.when(F.col("_probe") == 2, c_at)).alias("_back"))
-    return per_point.select(*cols, (F.col("_now") - F.col("_back")).cast("double").alias(f"{col}_sum"))
+    """Per point, ``<col>_sum`` = sum of ``col`` over points of the same key with ts in (ts - range_ms, ts]; null for
+    points without a key or time. The join is on (keys, ts_ms), where AQE splits the points of a burst."""
+    return points.join(trailing_by_time(points, keys, col, range_ms).drop("_range"), [*keys, "ts_ms"], "left")
 
 
 def counter_rate(series: DataFrame, name: str = COUNTER_RULE[1], range_ms: int = COUNTER_RULE[2],
                  for_ms: int = COUNTER_RULE[3]) -> DataFrame:
-    """L2: per point of a counter series: increase, rate over the trailing ``range_ms``, alert state."""
-    pts = series.filter(F.col("series") == name)
+    """L2: per point of a counter series: increase, rate over the trailing ``range_ms``, alert state. Points without a
+    time have none of these and are left out."""
+    pts = series.filter((F.col("series") == name) & F.col("ts_ms").isNotNull())
     prev = chunked_running(with_ranges(pts, "ts_ms", "seq"), ["series"], None, ["ts_ms", "seq"],
                            [Running("_prev", "prev", F.col("value"))], chunk_name="_range").drop("_range")
     p = F.col("_prev")
     inc = (F.when(p.isNull(), F.lit(0.0)).when(F.col("value") >= p, F.col("value") - p)
             .otherwise(F.col("value")))
-    with_inc = prev.withColumn("increase", inc).drop("_prev")
-    summed = trailing_sum(with_inc, ["series"], "increase", range_ms)
-    rated = summed.withColumn("rate", F.col("increase_sum") / F.lit(range_ms / 1000.0)).drop("increase_sum")
-    # stored once: the island step reads the rated points in two branches
-    marked = island_points(stage(rated, "counter_rate"), F.col("rate") > 0, ["series"])
+    # stored once: read for the sums per instant and for the result
+    points = stage(prev.withColumn("increase", inc).drop("_prev"), "counter_increase")
+    rated = trailing_by_time(points, ["series"], "increase", range_ms).withColumn("seq", F.lit(0))
+    rated = rated.withColumn("rate", F.col("increase_sum") / F.lit(range_ms / 1000.0))
+    marked = island_points(rated, F.col("rate") > 0, ["series"])
     firing = F.col("_hold") & (F.col("ts_ms") >= F.col("_island.ts_ms") + F.lit(for_ms))
-    return marked.select("seq", "ts_ms", F.col("value").alias("counter"), "increase",
-                         round_half("rate", 9).alias("rate_5m"), (F.col("rate") > 0).alias("above"),
-                         F.coalesce(firing, F.lit(False)).alias("firing"))
+    state = marked.select("series", "ts_ms", "rate", F.coalesce(firing, F.lit(False)).alias("firing"))
+    return points.join(state, ["series", "ts_ms"]).select(
+        "seq", "ts_ms", F.col("value").alias("counter"), "increase", round_half("rate", 9).alias("rate_5m"),
+        (F.col("rate") > 0).alias("above"), "firing")

@@ -119,6 +119,7 @@ def chunked_running(df: DataFrame, keys: list[str], chunk: Column | None, order:
 SEQ_BLOCK = 1 << 20            # inside one timestamp that fills ranges of its own, a chunk is this many sequence numbers
 ROWS_PER_RANGE = 1 << 20
 MAX_RANGES = 4096
+SPANS_PER_RANGE = 20           # a range with copies of the rows of the span before it is this many spans long at least
 
 
 def with_ranges(df: DataFrame, ts: str, seq: str | None, name: str = "_range", rows: int | None = None) -> DataFrame:
@@ -142,3 +143,24 @@ def with_ranges(df: DataFrame, ts: str, seq: str | None, name: str = "_range", r
     block = (F.when(F.col(ts).isin([int(c) for c in heavy]), F.floor(F.col(seq) / F.lit(SEQ_BLOCK)))
              .otherwise(F.lit(0)) if heavy else F.lit(0)).cast("long")
     return df.withColumn(name, F.struct(F.col("_bucket").cast("int").alias("a"), block.alias("b"))).drop("_bucket")
+
+
+def with_overlap(df: DataFrame, ts: str, span: int, name: str = "_range", rows: int | None = None) -> DataFrame:
+    """``df`` in ranges ``name`` (int) of the integer time ``ts``, every range with copies of the rows of the ``span``
+    before it: a frame ``RANGE BETWEEN span - 1 PRECEDING AND CURRENT ROW`` of a range's own rows (``_own``) lies
+    inside the range. Ranges hold about ``rows`` rows and are ``SPANS_PER_RANGE`` spans long or longer, so of rows
+    spread evenly one in ``SPANS_PER_RANGE`` is copied at most. ``ts`` should be unique per key (aggregate first):
+    a range of one key is then at most as many rows as its time has units, or ``rows``."""
+    rows = rows or ROWS_PER_RANGE
+    n = df.count()
+    k = min(MAX_RANGES, -(-n // rows))
+    splits: list[float] = []
+    for c in sorted(set(df.approxQuantile(ts, [i / k for i in range(1, k)], 1 / (4 * k)))) if k > 1 else []:
+        if not splits or c - splits[-1] >= SPANS_PER_RANGE * span:
+            splits.append(c)
+    df = df.withColumns({"_at": F.col(ts).cast("double"), "_until": (F.col(ts) + (span - 1)).cast("double")})
+    for col, out in (("_at", "_first"), ("_until", "_last")):
+        df = Bucketizer(splits=[float("-inf"), *(splits or [0.0]), float("inf")], inputCol=col, outputCol=out).transform(df)
+    first = F.col("_first").cast("int")
+    return (df.withColumn(name, F.explode(F.sequence(first, F.col("_last").cast("int"))))
+            .withColumn("_own", F.col(name) == first).drop("_at", "_until", "_first", "_last"))
