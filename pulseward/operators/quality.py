@@ -128,16 +128,14 @@ def hourly_quality(watermarked: DataFrame, scored_accepted: DataFrame, segments:
     w = Window.orderBy("hour_ms")   # over the hour table only (one row per hour of the time span)
     live = F.sum("live_delta").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     with_live = hours.withColumn("live_states", live).withColumn("prev_live", F.lag("live_states").over(w))
-    acc = with_live.filter(F.col("n_acc").isNotNull())
-    wa = Window.orderBy("hour_ms")
+    # level shares of the last earlier hour with accepted records; in the same window, so the hour table is read once
     shares = [F.col(f"n_{l}") / F.col("n_acc") for l in LEVELS]
-    prev = [F.lag(s).over(wa) for s in shares]
-    acc = acc.select("hour_ms", *[s.alias(f"sh_{l}") for s, l in zip(shares, LEVELS)],
-                     *[p.alias(f"pv_{l}") for p, l in zip(prev, LEVELS)])
-    psi = F.when(F.col("pv_high").isNotNull(),
-                 psi_terms([F.col(f"pv_{l}") for l in LEVELS], [F.col(f"sh_{l}") for l in LEVELS]))
-    acc = acc.select("hour_ms", round_half(psi, 9).alias("psi_prev_hour"))
-    out = with_live.filter(F.col("n_input") > 0).join(acc, "hour_ms", "left")
+    prev = F.last(F.when(F.col("n_acc").isNotNull(), F.struct(*[s.alias(l) for s, l in zip(shares, LEVELS)])),
+                  ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    out = with_live.withColumn("_prev", prev)
+    psi = F.when(F.col("n_acc").isNotNull() & F.col("_prev").isNotNull(),
+                 psi_terms([F.col(f"_prev.{l}") for l in LEVELS], shares))
+    out = out.withColumn("psi_prev_hour", round_half(psi, 9)).filter(F.col("n_input") > 0)
     out = out.na.fill(0, ["valid_records", "late_records", "lag_records"])
     ratio = F.when(F.col("valid_records") > 0, F.col("late_records") / F.col("valid_records"))
     growth = F.when(F.col("prev_live") > 0, F.col("live_states") / F.col("prev_live") - 1)

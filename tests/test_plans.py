@@ -127,3 +127,8 @@ def test_summaries_are_far_smaller_than_the_rows(spark, small_ranges):
     n = acc.count()
     counts = moved(ttl_segments(acc))
     assert counts[0] == n and all(c <= n / 10 for c in counts[1:] if c != n), counts
+
+
+def test_quality_flags_reads_the_hour_table_once(spark):
+    plan = _plan(QUERIES["quality_flags"](spark, SF_SMALL))
+    assert len(re.findall(r"\bExchange ", plan)) <= 21 and plan.count("FileScan") <= 10
