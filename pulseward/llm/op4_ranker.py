@@ -4,13 +4,15 @@ Every text gets measures that only its characters decide (no doc_id, source, lan
 is linear in them, and is learnt from preference pairs: a labelled good document is preferred to a labelled bad one
 with the logistic loss on the difference of their features (Newton steps, ridge penalty). The pairs are of a bounded,
 documented sample: the ``MAX_LABELLED`` labelled rows with the smallest md5 of doc_id; the i-th good document meets
-``PAIRS_PER_DOC`` bad ones and the other way round, along the two md5 orders. Scores become 0..1 by a logistic curve
-whose value 0.3 is put at the quantile of the sampled documents' scores that parts off the share of bad ones.
+``PAIRS_PER_DOC`` bad ones and the other way round, along the two md5 orders. The sample bounds this fit alone. Scores
+become 0..1 by a logistic curve whose value 0.3 is put at the quantile that parts off the share of bad ones among the
+scores of all labelled rows that no fold holds out (exact order statistics, selected by counting in rounds).
 
 Defined results: null and empty texts have all measures 0 and get the score these have; without a good and a bad
 label all scores are 0.5; labels that are null or not 0/1 are not learnt from; a doc_id with several labels has its
-largest; rows without doc_id aren't held out; repeated rows and other columns change nothing. Measures and scores are
-DataFrame expressions over whole texts; the driver sees the sample alone.
+largest; rows without doc_id aren't held out; repeated rows change no weight and count as rows in the quantile; other
+columns change nothing. Measures and scores are DataFrame expressions over whole texts, evaluated once per document and
+stored; the driver sees the sample and counts of score cells.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.percentiles import selected_percentiles
 from .common import let, non_space, read, stage, words
 
 THRESHOLD = 0.3            # fixed by the contract
@@ -30,7 +33,7 @@ STEPS = 25
 MARGIN = 0.02
 
 FEATURES = ("log_words", "mean_word", "upper", "digit", "symbol", "exclaim", "stop", "comma", "pipe", "distinct",
-            "short", "long_word", "lines", "line_dup", "top_word")
+            "short", "long_word", "lines", "line_dup", "first_word")
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
@@ -53,7 +56,7 @@ def with_measures(docs: DataFrame) -> DataFrame:
         "long_word": F.size(F.filter(ws, lambda w: F.length(w) >= 12)) / n,
         "lines": F.size("_l") / n,
         "line_dup": 1 - F.size(F.array_distinct("_l")) / F.greatest(F.size("_l"), F.lit(1)),
-        "top_word": let(ws, lambda a: F.size(F.filter(a, lambda w: w == F.get(a, F.lit(0))))) / n,
+        "first_word": let(ws, lambda a: F.size(F.filter(a, lambda w: w == F.get(a, F.lit(0))))) / n,
     }
     return (docs.withColumn("_w", words(F.col("text"))).withColumn("_l", lines)
             .withColumns({f"_f_{k}": v.cast("double") for k, v in measures.items()}).drop("_w", "_l"))
@@ -70,7 +73,7 @@ def _vector(x: np.ndarray, centre: np.ndarray, scale: np.ndarray) -> np.ndarray:
 
 
 def fit(features: np.ndarray, label: np.ndarray, pairs_per_doc: int = PAIRS_PER_DOC) -> dict:
-    """Weights of the Bradley-Terry model, the scaling, and the score at the threshold."""
+    """Weights of the Bradley-Terry model and the scaling."""
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(good) or not len(bad):
         return {"w": None}
@@ -88,30 +91,42 @@ def fit(features: np.ndarray, label: np.ndarray, pairs_per_doc: int = PAIRS_PER_
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    s = v @ w
-    q = len(bad) / (len(good) + len(bad))   # the middle of the scores just below and above this quantile
-    cut = float(np.quantile(s, [q * (1 - MARGIN), min(1.0, q * (1 + MARGIN))]).mean())
-    return {"w": w, "centre": centre, "scale": scale, "cut": cut}
+    return {"w": w, "centre": centre, "scale": scale}
 
 
-def score_column(model: dict, threshold: float = THRESHOLD) -> Column:
-    if model["w"] is None:
-        return F.lit(0.5)
+def raw_score(model: dict) -> Column:
+    """The linear score from the columns of ``with_measures``."""
     k = len(FEATURES)
-    total = F.lit(-model["cut"] + float(np.log(threshold / (1 - threshold))))
+    total = F.lit(0.0)
     for j, name in enumerate(FEATURES):
         z = (F.col(f"_f_{name}") - float(model["centre"][j])) / float(model["scale"][j])
         z = F.least(F.greatest(z, F.lit(-4.0)), F.lit(4.0))
         a, b, c = (float(model["w"][j + o * k]) for o in range(3))
         total = total + z * a + F.abs(z) * b + z * z * (c / 4)
-    return 1 / (1 + F.exp(-total))
+    return total
+
+
+def usable(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality) of the labels that may be learnt from, one row per doc_id."""
+    return (labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out())
+            .where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")))
+
+
+def threshold_score(scored: DataFrame, labels: DataFrame) -> float:
+    """The raw score that parts off the share of bad rows, over all rows of ``scored`` (doc_id, raw) with a usable
+    label: the middle of the scores just below and above that quantile. 0 without such rows."""
+    rows = stage(scored.join(usable(labels), "doc_id").select("raw", "quality"), "op4-labelled")
+    n, bad = rows.agg(F.count("*"), F.count_if(F.col("quality") == 0)).first()
+    if not n:
+        return 0.0
+    q = bad / n
+    ends = selected_percentiles(rows, "raw", {"low": q * (1 - MARGIN), "high": min(1.0, q * (1 + MARGIN))}, digits=12).first()
+    return (ends["low"] + ends["high"]) / 2
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> dict:
     """Fits on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, quality) marks and no fold holds out."""
-    lab = (labels.select("doc_id", "quality").where(F.col("quality").isin(0, 1) & ~held_out())
-           .where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-           .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_labelled))
+    lab = usable(labels).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(max_labelled)
     lab = stage(lab, "op4-labels")   # at most max_labelled rows
     rows = stage(with_measures(docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")).select(
         "doc_id", "quality", *(f"_f_{f}" for f in FEATURES)), "op4-sample")
@@ -123,13 +138,18 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     return fit(np.array([[r[f] for f in FEATURES] for r in got]), np.array([r["quality"] for r in got]))
 
 
-def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
     """Every row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted."""
-    d = with_measures(docs.select("doc_id", "text"))
-    return d.select("doc_id", held_out().alias("held_out"), score_column(model, threshold).alias("score")).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int"))
+    d = docs.select("doc_id", "text")
+    if model["w"] is None:
+        out = d.select("doc_id", held_out().alias("held_out"), F.lit(0.5).alias("score"))
+    else:
+        raw = stage(with_measures(d).select("doc_id", raw_score(model).alias("raw")), "op4-raw")
+        shift = float(np.log(threshold / (1 - threshold))) - threshold_score(raw, labels)
+        out = raw.select("doc_id", held_out().alias("held_out"), (1 / (1 + F.exp(-(F.col("raw") + shift)))).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op4_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(docs, train(docs, read(spark, sf_dir, "labels")))
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    return score(docs, labels, train(docs, labels))

@@ -96,15 +96,15 @@ def test_ranker_learns_from_pairs_and_handles_edge_cases(spark):
     docs = spark.createDataFrame(docs_of(texts), DOCS)
     labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(400)] + [(0, None, 0), (None, 1, 0), (5, 1, 1)],
                                    "doc_id long, quality int, toxic int")
-    out = {r.doc_id: r for r in op4_ranker.score(docs, op4_ranker.train(docs, labels)).collect()}
+    out = {r.doc_id: r for r in op4_ranker.score(docs, labels, op4_ranker.train(docs, labels)).collect()}
     assert len(out) == len(texts) and all(0 <= r.score <= 1 for r in out.values())
     held = [i for i in range(400) if out[i].held_out]
     assert 40 < len(held) < 140
     assert np.mean([out[i].predicted == int(i % 4 > 0) for i in held]) > 0.97
     assert out[400].score == out[401].score
-    none = op4_ranker.score(docs, op4_ranker.train(docs, labels.where("false"))).collect()
+    none = op4_ranker.score(docs, labels.where("false"), op4_ranker.train(docs, labels.where("false"))).collect()
     assert {r.score for r in none} == {0.5}
-    assert op4_ranker.score(docs.where("false"), op4_ranker.train(docs, labels)).count() == 0
+    assert op4_ranker.score(docs.where("false"), labels, op4_ranker.train(docs, labels)).count() == 0
 
 
 def test_pairwise_fit_orders_by_preference():
@@ -151,3 +151,30 @@ def test_urls(spark, tables, monkeypatch, small_broadcast):
 def test_no_pages(spark, tables):
     d = tables(pages=([], "page_id long, url string, html string"))
     assert op5_cascade.op5_url_cascade(spark, d).count() == 0
+
+
+def test_pairwise_scores_and_threshold_equal_numpy(spark):
+    """The columns restate the numpy model; the threshold is the quantile over all labelled rows, not the sample."""
+    import numpy as np
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = op4_ranker.train(docs, labels, max_labelled=40)
+    rows = op4_ranker.with_measures(docs).join(op4_ranker.usable(labels), "doc_id", "left").collect()
+    x = np.array([[r[f"_f_{f}"] for f in op4_ranker.FEATURES] for r in rows])
+    raw = op4_ranker._vector(x, model["centre"], model["scale"]) @ model["w"]
+    lab = np.array([-1 if r.quality is None else r.quality for r in rows])
+    assert (lab >= 0).sum() > 40
+    q = (lab == 0).sum() / (lab >= 0).sum()
+    m = op4_ranker.MARGIN
+    cut = np.quantile(raw[lab >= 0], [q * (1 - m), min(1.0, q * (1 + m))]).mean()
+    want = 1 / (1 + np.exp(-(raw - cut + np.log(0.3 / 0.7))))
+    got = {r.doc_id: r.score for r in op4_ranker.score(docs, labels, model).collect()}
+    assert np.allclose([got[r.doc_id] for r in rows], want, atol=1e-9)
+
+
+def test_pairwise_extra_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(i, "fine words here, and more. " * 3 if i % 2 else "!!! ### $$$", 1.0, 2)
+                                  for i in range(40)], "doc_id long, text string, raw double, quality int")
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(40)], "doc_id long, quality int, text string")
+    out = {r.doc_id: r for r in op4_ranker.score(docs, labels, op4_ranker.train(docs, labels)).collect()}
+    assert all(r.predicted == i % 2 for i, r in out.items())
