@@ -4,7 +4,8 @@ The target corpus is the documents labelled good, the background corpus is all d
 vocabulary (all distinct words of the corpus; words and word pairs are counted exactly, by 64-bit hash), one order, the
 same smoothing (pairs backed off to words with ``MU``, words to the uniform distribution with ``DELTA``), and background
 counts scaled to the target's number of words. The score is the mean over a text's words of the target's loss less the
-background's (nats); the lower, the more like the target. ``word_bits`` and ``pair_bits`` under 64 count hash cells.
+background's (nats); the lower, the more like the target. A text is scored by models that leave it out: its own words
+and pairs are taken off the counts and the number of words of the background and, if it is in it, of the target. ``word_bits`` and ``pair_bits`` under 64 count hash cells.
 
 Counting: a task takes its texts in batches of about ``BATCH`` words and emits the distinct words and pairs of a batch
 with both corpora's counts, cut into blocks of the hash range. A shuffle on the block brings equal keys together, where
@@ -83,7 +84,7 @@ def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kin
     as differences (a) and their counts in the good texts (b) and in all (c). ``DOCS``: per batch, of every word the
     rank of its key (a); of every word but a text's first the number of its pair, counted from 1 in order of first
     occurrence, or 0 if it occurs first here, then the ranks of the pairs' keys (b); doc_ids, whether they aren't null,
-    numbers of words, and numbers of keys (c). A batch is the same in every call: ``docs`` is a stored table, and the
+    whether they are good, numbers of words, and numbers of keys (c). A batch is the same in every call: ``docs`` is a stored table, and the
     partition's number is that of its own scan."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, held, size = None, [], 0
@@ -106,7 +107,7 @@ def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kin
     def emit(batch: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
         ids, valid, good, n, word, pair, head = (np.concatenate(c) for c in zip(*held))
         held.clear()
-        good = np.repeat(good, n)
+        own, good = good, np.repeat(good, n)
         uw, wi = np.unique(word, return_inverse=True)
         if WORDS in kinds:
             yield from cut(batch, WORDS, uw, wi, good)
@@ -121,7 +122,7 @@ def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kin
             number[order] = np.arange(1, len(up) + 1)
             number = number[pi]
             number[at] = 0
-            info = np.concatenate([ids.astype(np.int64), valid.astype(np.int64), n.astype(np.int64), [len(uw), len(up)]])
+            info = np.concatenate([*(x.astype(np.int64) for x in (ids, valid, own, n)), [len(uw), len(up)]])
             yield _rows([(batch, DOCS, 0, pack(wi.astype(np.int32)),
                           pack(np.concatenate([number, order.astype(np.int32)])), pack(info))])
 
@@ -186,19 +187,24 @@ def add_up(keys: DataFrame) -> DataFrame:
     return keys.repartition("kind", "block").sortWithinPartitions("kind", "block").mapInArrow(run, ROWS)
 
 
-def losses(word_counts: np.ndarray, pair_counts: np.ndarray, before: np.ndarray, word: np.ndarray, pair: np.ndarray,
-           head: np.ndarray, scale: float, total: float, vocabulary: int, mu: float, delta: float) -> np.ndarray:
-    """Loss of each word; ``before``: index of the word before it; counts are multiplied by ``scale``."""
-    p = (word_counts[word] * scale + delta) / (total + delta * vocabulary)
-    q = (pair_counts[pair] * scale + mu * p) / (word_counts[before] * scale + mu)
+def own_counts(text: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """For each position how often its ``key`` occurs in its text."""
+    _, at, n = np.unique(text.astype(np.int64) << 32 | key, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def losses(words: np.ndarray, pairs: np.ndarray, head: np.ndarray, scale: np.ndarray, total: np.ndarray,
+           vocabulary: int, mu: float, delta: float) -> np.ndarray:
+    """Loss of each word, from the counts of it and of its pair with the word before it (which, but at a text's head, is
+    the one in the position before); counts and ``total``, the number of all words, are multiplied by ``scale``."""
+    p = (words * scale + delta) / (total * scale + delta * vocabulary)
+    q = (pairs * scale + mu * p) / (np.concatenate([words[:1], words[:-1]]) * scale + mu)
     return -np.log(np.where(head, p, q))
 
 
 def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: float = MU, delta: float = DELTA) -> DataFrame:
     """Every text in ``rows`` (of ``add_up``, and ``DOCS``): doc_id, n_tokens, loss_target, loss_background, score."""
     total = (float(good), float(n))
-    # background counts are scaled to the target's number of words
-    scale = (1.0, total[0] / total[1] if total[0] and total[1] else 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = {WORDS: [], PAIRS: []}
@@ -212,7 +218,7 @@ def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: flo
 
     def score(counts: dict, word: pa.Scalar, pair: pa.Scalar, info: pa.Scalar) -> pa.RecordBatch:
         word, pair, info = unpack(word, np.int32), unpack(pair, np.int32), unpack(info, np.int64)
-        (ids, valid, n), sizes = info[:-2].reshape(3, -1), info[-2:].tolist()
+        (ids, valid, good, n), sizes = info[:-2].reshape(4, -1), info[-2:].tolist()
         if sizes != [sum(len(c[0]) for c in counts[k]) for k in (WORDS, PAIRS)]:
             raise ValueError("the counts are of another batch")
         first = np.cumsum(n) - n
@@ -222,13 +228,18 @@ def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: flo
         number[number == 0] = np.arange(1, sizes[1] + 1)
         pair = np.zeros(len(word), np.int32)
         pair[~head] = rank[number - 1]
-        before = np.concatenate([word[:1], word[:-1]])
         text = np.repeat(np.arange(len(n)), n)
+        own = own_counts(text, word), own_counts(text, np.where(head, sizes[1], pair))
+        left = total[0] - n * good, total[1] - n
+        # background counts are scaled to the target's number of words
+        both = (left[0] > 0) & (left[1] > 0)
+        scale = np.ones(len(n)), np.where(both, left[0] / np.maximum(left[1], 1), 1.0)
         sums = []
-        for m in (0, 1):
+        for m, inside in ((0, good[text]), (1, 1)):
             ofw, ofp = (np.concatenate([*(c[m] for c in counts[k]), [0]]) for k in (WORDS, PAIRS))
-            sums.append(np.bincount(text, losses(ofw, ofp, before, word, pair, head, scale[m], total[m] * scale[m],
-                                                 vocabulary, mu, delta), len(n)))
+            sums.append(np.bincount(text, losses(
+                ofw[word] - own[0] * inside, np.where(head, 0, ofp[pair] - own[1] * inside), head, scale[m][text],
+                left[m][text], vocabulary, mu, delta), len(n)))
         none = n == 0
         t, g = (s / np.maximum(n, 1) for s in sums)
         return pa.RecordBatch.from_arrays(

@@ -1,10 +1,13 @@
 """Token ids written as wavelet matrices, one per shard, and read back.
 
-Documents are put in ascending doc_id order (rows without doc_id first, equal ids by text) by a range partitioning;
+Documents are put in ascending doc_id order (rows without doc_id first, equal ids by hash of the text, then by row
+number, so that rows of one id are split too) by a range partitioning;
 each task encodes its texts, appends the end id and closes a shard once it holds ``shard_tokens`` ids, so a shard is
 whole documents. Shards are rows of a Parquet table in the shared folder, so that any store Spark reads can hold them
-and a lost task writes its shards again: (part, seq) in document order, the documents' ids and lengths, and ``data``,
-the wavelet matrix (format in ``wavelet.py``).
+and a lost task writes its shards again: (part, seq) in document order, the documents' ids, the number of token ids, and
+``data``, the wavelet matrix (format in ``wavelet.py``). No lengths are stored: where documents end is found by selecting
+the occurrences of the end id in the matrix; ``ends`` (the number of end ids in each document) is only there if a text
+holds the end id itself.
 
 Encoding gives exactly the ids of the tokenizers library: it is called on the distinct space-led chunks of a text
 and its results are remembered per Python worker, up to ``MAX_CHUNKS``. The library's pattern always starts a new
@@ -124,63 +127,77 @@ def encoder(path: str) -> ChunkEncoder:
 
 
 def shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """(part, seq, doc_ids, lengths, data) of ``docs`` (doc_id, text)."""
+    """(part, seq, doc_ids, ends, n, data) of ``docs`` (doc_id, text)."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
         ids: list[bytes] = []
         docs_in: list[int | None] = []
-        lengths: list[int] = []
+        ends: list[int] = []
         held = 0
 
         def shard() -> pa.RecordBatch:
             matrix = WaveletMatrix.build(np.frombuffer(b"".join(ids), "<u4"))
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([seq], pa.int64()), pa.array([docs_in], pa.list_(pa.int64())),
-                 pa.array([lengths], pa.list_(pa.int64())), pa.array([matrix.to_bytes()], pa.binary())],
-                ["part", "seq", "doc_ids", "lengths", "data"])
+                 pa.array([ends if max(ends) > 1 else None], pa.list_(pa.int64())), pa.array([matrix.n], pa.int64()),
+                 pa.array([matrix.to_bytes()], pa.binary())],
+                ["part", "seq", "doc_ids", "ends", "n", "data"])
 
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 one = enc.encode(text.as_py()) + end
                 ids.append(one)
                 docs_in.append(doc)
-                lengths.append(len(one) // 4)
-                held += lengths[-1]
+                ends.append(int(np.count_nonzero(np.frombuffer(one, "<u4") == end_id)))
+                held += len(one) // 4
                 if held >= shard_tokens:
                     yield shard()
                     seq += 1
-                    ids, docs_in, lengths, held = [], [], [], 0
+                    ids, docs_in, ends, held = [], [], [], 0
         if ids:
             yield shard()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(run, "part long, seq long, doc_ids array<long>, lengths array<long>, data binary")
+    order = ["doc_id", "_hash", "_row"]   # the bounds' samples hold no texts
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    return ordered.mapInArrow(run, "part long, seq long, doc_ids array<long>, ends array<long>, n long, data binary")
 
 
-def read_back(stored: DataFrame) -> DataFrame:
-    """(part, seq, doc_id, offset, n_tokens, ids_crc32) of every document, decoded from the shards' planes."""
+def document_ends(matrix: WaveletMatrix, docs: int, ends: list[int] | None, end_id: int = END_ID) -> np.ndarray:
+    """Position after each document of a shard: after its last end id."""
+    after = matrix.locate_all(end_id) + 1
+    if ends is not None:
+        after = after[np.cumsum(ends) - 1]
+    if len(after) != docs or after[-1] != matrix.n:
+        raise ValueError("the end ids don't fit the documents")
+    return after
+
+
+def read_back(stored: DataFrame, end_id: int = END_ID) -> DataFrame:
+    """(part, seq, doc_id, offset, n_tokens, ids_crc32) of every document, decoded from the shards' planes and cut at the
+    end ids that they locate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for part, seq, doc_ids, lengths, data in zip(*b.columns):
-                n = np.array(lengths.as_py(), np.int64)
-                end = np.cumsum(n)
-                raw = WaveletMatrix.from_bytes(data.as_py()).decode().astype("<u4").tobytes()
+            for part, seq, doc_ids, ends, data in zip(*b.columns):
+                matrix = WaveletMatrix.from_bytes(data.as_py())
+                end = document_ends(matrix, len(doc_ids), ends.as_py(), end_id)
+                n = np.diff(end, prepend=0)
+                raw = matrix.decode().astype("<u4").tobytes()
                 crc = [zlib.crc32(raw[4 * (e - k):4 * e]) for e, k in zip(end.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part.as_py()] * len(n), pa.int64()), pa.array([seq.as_py()] * len(n), pa.int64()),
                      pa.array(doc_ids.as_py(), pa.int64()), pa.array(end - n), pa.array(n), pa.array(crc, pa.int64())],
                     ["part", "seq", "doc_id", "offset", "n_tokens", "ids_crc32"])
 
-    return stored.select("part", "seq", "doc_ids", "lengths", "data").mapInArrow(
+    return stored.select("part", "seq", "doc_ids", "ends", "data").mapInArrow(
         run, "part long, seq long, doc_id long, offset long, n_tokens long, ids_crc32 long")
 
 
 def shard_starts(stored: DataFrame) -> DataFrame:
     """(part, seq, base): ids before each shard, summed within parts and then over the parts."""
-    size = stored.select("part", "seq", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-    size = stage(size, "op6-sizes")
+    size = stored.select("part", "seq", "n")
     parts = size.groupBy("part").agg(F.sum("n").alias("n"))
     base = parts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))

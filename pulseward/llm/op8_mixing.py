@@ -7,12 +7,14 @@ the smallest a whose weights repeat no source more than ``max_repeats`` times an
 tokens; by default the least at which no source has to leave anything out, so that mixing only repeats.
 
 Weights are realised as budgeted block permutations. A source's documents are dealt by hash to blocks of about
-``block_docs``, anew in every epoch; an epoch runs through its blocks, and through a block in hash order. A source
+``block_docs``, anew in every epoch; an epoch runs through its blocks, and through a block in hash order. The hash is of
+the doc_id, so rows without one, or with one repeated, meet in a block; a block of over ``OVERFULL`` times ``block_docs``
+rows is dealt again to parts by row number, and they follow one another. A source
 gets as many whole epochs as its budget holds, and of the next one the leading documents whose tokens fit in the rest.
 ``mix_key``, the share of its source's budget that precedes a document, orders the whole mixture: any leading part of
 it holds the sources in their weights.
 
-Running sums go over blocks and within a block, so no task sees a whole source; the table of sources is joined as a
+Running sums go over the parts of blocks and within a part, so no task sees a whole source or doc_id; the table of sources is joined as a
 broadcast while its files are under the session's threshold, else by sort-merge (a hot source is then split by AQE).
 Defined results: a null source is a source of its own; texts without words have 0 tokens and are in every whole
 epoch; a source without tokens gets weight 0 and one epoch; rows without doc_id and repeated rows are documents of
@@ -28,6 +30,7 @@ from .common import discard, read, stage, words
 
 MAX_REPEATS = 2.0
 BLOCK_DOCS = 4096
+OVERFULL = 2
 UNIT = 1_000_000       # exponents are multiples of 1 / UNIT
 PARTS = 32
 
@@ -97,12 +100,19 @@ def mixture(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, entropy: f
         "block", F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * F.col("blocks") / F.lit(1 << 32)).cast("int"))
     used = stage(used.select("rid", "doc_id", "source", "skey", "n", "tokens", "goal", "epochs", "rest", "epoch",
                              "block", "h"), "op8-used")
-    sums = used.groupBy("skey", "epoch", "block").agg(F.sum("n").alias("inside"))
-    over = Window.partitionBy("skey", "epoch").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     discard(rows, plan, sources)
-    sums = stage(sums.select("skey", "epoch", "block", F.coalesce(F.sum("inside").over(over), F.lit(0)).alias("base")), "op8-blocks")
-    within = Window.partitionBy("skey", "epoch", "block").orderBy("h", "rid").rowsBetween(Window.unboundedPreceding, -1)
-    placed = used.join(sums, ["skey", "epoch", "block"]).withColumn(
+    full = stage(used.groupBy("skey", "epoch", "block").agg(F.ceil(F.count("*") / (OVERFULL * block_docs)).alias("parts"))
+                 .where("parts > 1"), "op8-overfull")
+    dealt = used.join(full, ["skey", "epoch", "block"], "left").withColumn(
+        "part", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("rid"), F.col("parts"))).otherwise(0))
+    # one column names a part, so that rows aren't left dealt by block alone
+    dealt = dealt.withColumn("cell", F.concat_ws("|", "epoch", "block", "part", "skey"))
+    sums = dealt.groupBy("cell").agg(F.first("skey").alias("skey"), F.first("epoch").alias("epoch"), F.first("block").alias("block"),
+                                     F.first("part").alias("part"), F.sum("n").alias("inside"))
+    over = Window.partitionBy("skey", "epoch").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = stage(sums.select("cell", F.coalesce(F.sum("inside").over(over), F.lit(0)).alias("base")), "op8-blocks")
+    within = Window.partitionBy("cell").orderBy("h", "rid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.join(sums, "cell").withColumn(
         "before", F.col("base") + F.coalesce(F.sum("n").over(within), F.lit(0)))
     fits = (F.col("epoch") < F.col("epochs")) | (F.col("before") + F.col("n") <= F.col("rest"))
     at = (F.col("epoch") * F.col("tokens") + F.col("before")) / F.greatest("goal", F.lit(1))

@@ -91,6 +91,22 @@ class WaveletMatrix:
         block = np.unpackbits(np.frombuffer(self.planes[l][lo * (BLOCK // 8):(lo + 1) * (BLOCK // 8)], np.uint8))
         return lo * BLOCK + int(np.flatnonzero(block == bit)[k - before])
 
+    def _select(self, l: int, k: np.ndarray, bit: int) -> np.ndarray:
+        """``_at`` for many ``k``."""
+        plane = np.zeros((len(self.directory[l]) - 1) * (BLOCK // 8), np.uint8)
+        plane[:len(self.planes[l])] = np.frombuffer(self.planes[l], np.uint8)
+        plane = plane.reshape(-1, BLOCK // 8)
+        before = self.directory[l].astype(np.int64)
+        if not bit:
+            before = np.arange(len(before)) * BLOCK - before
+        block = np.minimum(np.searchsorted(before, k, "right") - 1, len(plane) - 1)
+        out = np.empty(len(k), np.int64)
+        for lo in range(0, len(k), BLOCK):    # BLOCK blocks of BLOCK bits at a time
+            own = block[lo:lo + BLOCK]
+            seen = np.cumsum(np.unpackbits(plane[own], axis=1) == bit, axis=1, dtype=np.uint16)
+            out[lo:lo + BLOCK] = own * BLOCK + (seen > (k[lo:lo + BLOCK] - before[own])[:, None]).argmax(axis=1)
+        return out
+
     def access(self, i: int) -> int:
         """The id at position ``i``."""
         value = 0
@@ -124,3 +140,11 @@ class WaveletMatrix:
             bit = token >> (self.levels - 1 - l) & 1
             i = self._at(l, i - self.zeros[l] if bit else i, bit)
         return i
+
+    def locate_all(self, token: int) -> np.ndarray:
+        """Positions of all occurrences of ``token``, ascending."""
+        at = np.arange(*self._range(token, 0, self.n), dtype=np.int64)
+        for l in range(self.levels - 1, -1, -1):
+            bit = token >> (self.levels - 1 - l) & 1
+            at = self._select(l, at - self.zeros[l] if bit else at, bit)
+        return at

@@ -46,6 +46,31 @@ def test_mixture_repeats_within_the_limit_and_leaves_nothing_out(spark):
     assert again == {(r.rid, r.epoch, r.block, r.mix_key) for r in out}
 
 
+def test_one_block_hash_for_most_rows_is_dealt_by_row(spark):
+    """Rows without doc_id, or with one repeated, hash to one block: its parts are bounded, nothing is lost or moved on."""
+    rows = [(None, "w w", "en", "a", 0)] * 300 + [(7, "w", "en", "a", 0)] * 200 + [(i, "w w w", "en", "a", 0) for i in range(100, 140)]
+    rows += [(1, "x " * 3000, "en", "b", 0), (None, None, "en", "b", 0)]
+    out = mixed(spark, rows, max_repeats=2.0, block_docs=8)
+    assert Counter(r.source for r in out if r.epoch == 0) == {"a": 540, "b": 2}
+    tokens = 300 * 2 + 200 + 40 * 3
+    words = {r.rid: len(r.text.split()) if r.text else 0 for r in spark.createDataFrame(rows, DOCS).withColumn(
+        "rid", F.monotonically_increasing_id()).collect()}
+    goal, at = {}, 0
+    for source in "ab":
+        whole = sum(n for rid, n in words.items() if rid in {r.rid for r in out if r.source == source})
+        ordered = sorted((r for r in out if r.source == source), key=lambda r: (r.mix_key, words[r.rid] > 0))
+        at = 0
+        for r in ordered:      # a document starts where the one before it ended
+            goal.setdefault(source, at / r.mix_key if r.mix_key else None)
+            if r.mix_key:
+                goal[source] = goal[source] or at / r.mix_key
+                assert r.mix_key * goal[source] == pytest.approx(at)
+            at += words[r.rid]
+        assert whole == (tokens if source == "a" else 3000)
+    blocks = [[r.block for r in sorted(out, key=lambda r: r.mix_key) if r.source == "a" and r.epoch == e] for e in (0, 1)]
+    assert all(b == sorted(b) for b in blocks)
+
+
 def test_budget_and_entropy(spark):
     rows = corpus()
     out = mixed(spark, rows, max_repeats=None, entropy=0.3, budget=120.0)
@@ -122,17 +147,21 @@ def brute_lm(docs, good, word_bits, pair_bits):
         for m in ([0, 1] if d in good else [1]):
             c1[m].update(map(word, s))
             c2[m].update(pair(a, b) for a, b in zip(s, s[1:]))
-    n = [sum(c.values()) for c in c1]
-    scale = [1.0, n[0] / n[1] if n[0] and n[1] else 1.0]
     out = {}
     for d, s in seqs.items():
+        one, two = Counter(map(word, s)), Counter(pair(a, b) for a, b in zip(s, s[1:]))
+        holds = [d in good, True]   # the models leave the text out
+        n = [sum(c.values()) - len(s) * h for c, h in zip(c1, holds)]
+        scale = [1.0, n[0] / n[1] if n[0] and n[1] else 1.0]
         loss = []
         for m in (0, 1):
             total = 0.0
+            w = {k: c1[m][k] - holds[m] * one[k] for k in one}
             for i, h in enumerate(s):
-                p = (c1[m][word(h)] * scale[m] + op10_lm.DELTA) / (n[m] * scale[m] + op10_lm.DELTA * (1 << word_bits))
+                p = (w[word(h)] * scale[m] + op10_lm.DELTA) / (n[m] * scale[m] + op10_lm.DELTA * (1 << word_bits))
                 if i:
-                    p = (c2[m][pair(s[i - 1], h)] * scale[m] + op10_lm.MU * p) / (c1[m][word(s[i - 1])] * scale[m] + op10_lm.MU)
+                    k = pair(s[i - 1], h)
+                    p = ((c2[m][k] - holds[m] * two[k]) * scale[m] + op10_lm.MU * p) / (w[word(s[i - 1])] * scale[m] + op10_lm.MU)
                 total -= math.log(p)
             loss.append(total / len(s) if s else None)
         out[d] = (len(s), *loss)
@@ -171,15 +200,16 @@ def test_cross_entropy_counts_words_and_pairs_exactly(spark, monkeypatch):
         for m in ([0, 1] if d in good else [1]):
             c1[m].update(s)
             c2[m].update(zip(s, s[1:]))
-    n = [sum(c.values()) for c in c1]
     assert len(c2[1]) > 270_000   # 2^22 cells would hold thousands of colliding pairs
     for d in range(0, 400, 7):
+        one, two = Counter(seqs[d]), Counter(zip(seqs[d], seqs[d][1:]))
+        n = [sum(c.values()) - len(seqs[d]) * h for c, h in zip(c1, (d in good, True))]
         for m, got in ((0, out[d].loss_target), (1, out[d].loss_background)):
-            k, loss = (1.0, n[0] / n[1])[m], 0.0
+            k, loss, h = (1.0, n[0] / n[1])[m], 0.0, m or d in good
             for a, b in zip([None, *seqs[d]], seqs[d]):
-                p = (c1[m][b] * k + op10_lm.DELTA) / (n[m] * k + op10_lm.DELTA * len(c1[1]))
+                p = ((c1[m][b] - h * one[b]) * k + op10_lm.DELTA) / (n[m] * k + op10_lm.DELTA * len(c1[1]))
                 if a is not None:
-                    p = (c2[m][a, b] * k + op10_lm.MU * p) / (c1[m][a] * k + op10_lm.MU)
+                    p = ((c2[m][a, b] - h * two[a, b]) * k + op10_lm.MU * p) / ((c1[m][a] - h * one[a]) * k + op10_lm.MU)
                 loss -= math.log(p)
             assert got == pytest.approx(loss / len(seqs[d]), rel=1e-9)
 

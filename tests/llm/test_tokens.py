@@ -10,6 +10,8 @@ import sentencepiece
 
 from .cases import DOCS, docs_of
 
+from pyspark.sql import functions as F
+
 from pulseward.llm import op2_pieces, op6_wavelet
 from pulseward.llm.wavelet import WaveletMatrix
 
@@ -84,6 +86,7 @@ def test_wavelet_matrix(n, top):
         at = np.flatnonzero(a == t)
         assert w.count(t) == len(at) and w.count(t, n // 3, n) == (at >= n // 3).sum()
         assert all(w.locate(t, k) == at[k] for k in range(0, len(at), 1 + len(at) // 6))
+        assert w.locate_all(t).tolist() == at.tolist()
         with pytest.raises(IndexError):
             w.locate(t, len(at))
 
@@ -111,6 +114,35 @@ def test_shards_round_trip_in_order(spark, tables, monkeypatch, shard):
         start += len(ids)
 
 
+@pytest.mark.parametrize("shard", [1, 20, 1 << 20])
+def test_documents_end_where_the_matrix_locates_the_end_id(spark, tables, monkeypatch, shard):
+    """Also where a text holds the end id itself, and where rows of one doc_id are split among tasks."""
+    monkeypatch.setattr(op6_wavelet.shards, "__defaults__", (op6_wavelet.END_ID, shard))
+    tok = op6_wavelet.encoder(op6_wavelet.tokenizer_path()).tokenizer
+    end = tok.id_to_token(op6_wavelet.END_ID)
+    texts = ["plain", end, f"a {end}{end} b", "", None, f"{end} end"]
+    rows = [(i, t, "", "", 0) for i, t in enumerate(texts)] + [(9, f"copy {i % 3}", "", "", 0) for i in range(300)]
+    d = tables(documents=(rows, DOCS))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = op6_wavelet.stage(op6_wavelet.shards(spark.read.parquet(f"{d}/documents.parquet"), op6_wavelet.tokenizer_path()), "t")
+        hot = stored.where(F.array_contains("doc_ids", 9)).select("part").distinct().count()
+        out = sorted(op6_wavelet.op6_wavelet_shards(spark, d).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert hot > 1 and len(out) == len(rows)
+    assert [r.doc_id for r in out] == sorted(r[0] for r in rows)
+    start = 0
+    for r in out:
+        assert r.start == start
+        start += r.n_tokens
+    ids = [tok.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert [(r.n_tokens, r.ids_crc32) for r in out[:len(texts)]] == [
+        (len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for i in ids]
+    assert any(i.count(2) > 1 for i in ids)
+
+
 def test_shards_of_repeated_and_missing_ids_and_of_nothing(spark, tables):
     d = tables(documents=([(None, "x", None, None, None), (3, "b", "", "", 1), (3, "a", "", "", 1), (1, None, "", "", 0)], DOCS))
     out = sorted((r.start, r.doc_id, r.n_tokens) for r in op6_wavelet.op6_wavelet_shards(spark, d).collect())
