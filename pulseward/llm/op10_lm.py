@@ -9,8 +9,8 @@ and pairs are taken off the counts and the number of words of the background and
 
 Counting: a task takes its texts in batches of about ``BATCH`` words and emits the distinct words and pairs of a batch
 with both corpora's counts, cut into blocks of the hash range. A shuffle on the block brings equal keys together, where
-they are summed; the totals of a batch's own keys go back to the batch, by a second shuffle, and its texts are scored
-with them (the texts are read once more for that). So the tables grow with the corpus, no task holds more than a block of them and a batch, a word or pair in
+they are summed; the totals of a batch's own keys go back to the batch, by a second shuffle that brings its texts,
+compressed, as well (the texts are read once more for that), and there the texts are scored. So the tables grow with the corpus, no task holds more than a block of them and a batch, a word or pair in
 every text is one key a batch, and the driver gets three sums. There are ``BLOCKS`` blocks, more beyond ``BLOCKS`` times
 ``BLOCK_CHARS`` characters of text. The texts are written once, so that a retried task sees the same batches.
 
@@ -59,10 +59,10 @@ def _top(h: np.ndarray, bits: int) -> np.ndarray:
     return h & np.uint64(((1 << bits) - 1) << (64 - bits))
 
 
-def pack(a: np.ndarray) -> bytes:
+def pack(a: np.ndarray, level: int = 1) -> bytes:
     """The bytes of ``a``, all first ones, all second ones, ..., compressed, after their number."""
     planes = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes()
-    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(planes, asbytes=True)
 
 
 def unpack(data: pa.Scalar, kind: type) -> np.ndarray:
@@ -79,52 +79,63 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       ["batch", "kind", "block", "a", "b", "c"])
 
 
-def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kinds: tuple[int, ...]) -> DataFrame:
-    """``ROWS`` of ``docs`` (doc_id, text, good). ``WORDS``, ``PAIRS``: per batch and block the distinct keys, ascending,
-    as differences (a) and their counts in the good texts (b) and in all (c). ``DOCS``: per batch, of every word the
-    rank of its key (a); of every word but a text's first the number of its pair, counted from 1 in order of first
-    occurrence, or 0 if it occurs first here, then the ranks of the pairs' keys (b); doc_ids, whether they aren't null,
-    whether they are good, numbers of words, and numbers of keys (c). A batch is the same in every call: ``docs`` is a stored table, and the
-    partition's number is that of its own scan."""
+def _cut(batches: Iterator[pa.RecordBatch], tokens) -> Iterator[tuple[int, list[tuple]]]:
+    """(number of the batch, [(rows, ``tokens`` of their texts)]) of rows (doc_id, text, good, part); the first of
+    ``tokens`` is the number of words of each text. A batch is the same in every call: the rows are those of a stored
+    table, and the partition's number is that of its own scan."""
+    batch, held, size = None, [], 0
+    for b in batches:
+        if batch is None and b.num_rows:
+            batch = b.column(3)[0].as_py() << 33
+        for lo, hi in slices(b.column(1)):
+            part = b.slice(lo, hi - lo)
+            held.append((part, tokens(part.column(1))))
+            size += int(held[-1][1][0].sum())
+            if size >= BATCH:
+                yield batch, held
+                batch, held, size = batch + 1, [], 0
+    if held:
+        yield batch, held
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", "good", F.spark_partition_id().alias("part"))
+
+
+def text_rows(docs: DataFrame) -> DataFrame:
+    """``ROWS`` of kind ``DOCS`` of ``docs`` (doc_id, text, good), one per batch: bytes of the texts (a) and how many
+    each has (b); doc_ids, whether they aren't null, and whether they are good (c)."""
+    def counted(column: pa.Array) -> tuple[np.ndarray]:
+        return (np.diff(word_hashes(*text_bytes(column))[1]),)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batch, held, size = None, [], 0
-        for b in batches:
-            if batch is None and b.num_rows:
-                batch = b.column(3)[0].as_py() << 33
-            for lo, hi in slices(b.column(1)):
-                part = b.slice(lo, hi - lo)
+        for batch, held in _cut(batches, counted):
+            raw, sizes, info = [], [], []
+            for part, _ in held:
+                data, offsets = text_bytes(part.column(1))
+                raw.append(data)
+                sizes.append(np.diff(offsets))
                 ids = part.column(0)
-                tokens = token_ids(part.column(1), word_bits, pair_bits)
-                held.append((ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False),
-                             part.column(2).to_numpy(zero_copy_only=False), *tokens))
-                size += len(tokens[1])
-                if size >= BATCH:
-                    yield from emit(batch, held)
-                    batch, held, size = batch + 1, [], 0
-        if held:
-            yield from emit(batch, held)
-
-    def emit(batch: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        ids, valid, good, n, word, pair, head = (np.concatenate(c) for c in zip(*held))
-        held.clear()
-        own, good = good, np.repeat(good, n)
-        uw, wi = np.unique(word, return_inverse=True)
-        if WORDS in kinds:
-            yield from cut(batch, WORDS, uw, wi, good)
-        if kinds == (WORDS,):
-            return
-        up, at, pi = np.unique(pair[~head], return_index=True, return_inverse=True)
-        if PAIRS in kinds:
-            yield from cut(batch, PAIRS, up, pi, good[~head])
-        if DOCS in kinds:
-            order = np.argsort(at)   # ranks of the pairs' keys, by first occurrence
-            number = np.empty(len(up), np.int32)
-            number[order] = np.arange(1, len(up) + 1)
-            number = number[pi]
-            number[at] = 0
-            info = np.concatenate([*(x.astype(np.int64) for x in (ids, valid, own, n)), [len(uw), len(up)]])
-            yield _rows([(batch, DOCS, 0, pack(wi.astype(np.int32)),
-                          pack(np.concatenate([number, order.astype(np.int32)])), pack(info))])
+                info.append([x.astype(np.int64) for x in (
+                    ids.fill_null(0).to_numpy(), *(x.to_numpy(zero_copy_only=False) for x in (ids.is_valid(), part.column(2))))])
+            yield _rows([(batch, DOCS, 0, pack(np.concatenate(raw), 3), pack(np.concatenate(sizes)),
+                          pack(np.concatenate([np.concatenate(x) for x in zip(*info)])))])
+
+    return _numbered(docs).mapInArrow(run, ROWS)
+
+
+def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kinds: tuple[int, ...]) -> DataFrame:
+    """``ROWS`` of ``docs`` (doc_id, text, good) of kinds ``WORDS``, ``PAIRS``: per batch and block the distinct keys,
+    ascending, as differences (a) and their counts in the good texts (b) and in all (c)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, held in _cut(batches, lambda column: token_ids(column, word_bits, pair_bits)):
+            good = np.concatenate([p.column(2).to_numpy(zero_copy_only=False) for p, _ in held])
+            n, word, pair, head = (np.concatenate(c) for c in zip(*(t for _, t in held)))
+            held.clear()
+            good = np.repeat(good, n)
+            yield from cut(batch, WORDS, *np.unique(word, return_inverse=True), good)
+            if PAIRS in kinds:
+                yield from cut(batch, PAIRS, *np.unique(pair[~head], return_inverse=True), good[~head])
 
     def cut(batch: int, kind: int, keys: np.ndarray, at: np.ndarray, good: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(keys):
@@ -137,7 +148,7 @@ def key_blocks(docs: DataFrame, word_bits: int, pair_bits: int, blocks: int, kin
         for k in range(0, len(rows), 512):
             yield _rows(rows[k:k + 512])
 
-    return docs.select("doc_id", "text", "good", F.spark_partition_id().alias("part")).mapInArrow(run, ROWS)
+    return _numbered(docs).mapInArrow(run, ROWS)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[int], list[int], list[np.ndarray]]]:
@@ -202,8 +213,9 @@ def losses(words: np.ndarray, pairs: np.ndarray, head: np.ndarray, scale: np.nda
     return -np.log(np.where(head, p, q))
 
 
-def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: float = MU, delta: float = DELTA) -> DataFrame:
-    """Every text in ``rows`` (of ``add_up``, and ``DOCS``): doc_id, n_tokens, loss_target, loss_background, score."""
+def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, word_bits: int = WORD_BITS,
+                    pair_bits: int = PAIR_BITS, mu: float = MU, delta: float = DELTA) -> DataFrame:
+    """Every text in ``rows`` (of ``add_up`` and ``text_rows``): doc_id, n_tokens, loss_target, loss_background, score."""
     total = (float(good), float(n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,20 +228,22 @@ def score_documents(rows: DataFrame, vocabulary: int, good: int, n: int, mu: flo
                 else:
                     counts[kind].append(tuple(unpack(x, np.int64) for x in data[:2]))
 
-    def score(counts: dict, word: pa.Scalar, pair: pa.Scalar, info: pa.Scalar) -> pa.RecordBatch:
-        word, pair, info = unpack(word, np.int32), unpack(pair, np.int32), unpack(info, np.int64)
-        (ids, valid, good, n), sizes = info[:-2].reshape(4, -1), info[-2:].tolist()
-        if sizes != [sum(len(c[0]) for c in counts[k]) for k in (WORDS, PAIRS)]:
+    def score(counts: dict, texts: pa.Scalar, sizes: pa.Scalar, info: pa.Scalar) -> pa.RecordBatch:
+        ids, valid, good = unpack(info, np.int64).reshape(3, -1)
+        offsets = np.concatenate([[0], np.cumsum(unpack(sizes, np.int64))])
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [
+            None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(unpack(texts, np.uint8))])
+        n, word, pair, head = token_ids(column, word_bits, pair_bits)
+        uw, word = np.unique(word, return_inverse=True)
+        up, rank = np.unique(pair[~head], return_inverse=True)
+        found = len(uw), len(up)
+        if found != tuple(sum(len(c[0]) for c in counts[k]) for k in (WORDS, PAIRS)):
             raise ValueError("the counts are of another batch")
-        first = np.cumsum(n) - n
-        head = np.zeros(len(word), bool)
-        head[first[n > 0]] = True
-        number, rank = pair[:len(pair) - sizes[1]].copy(), pair[len(pair) - sizes[1]:]
-        number[number == 0] = np.arange(1, sizes[1] + 1)
-        pair = np.zeros(len(word), np.int32)
-        pair[~head] = rank[number - 1]
+        pair = np.full(len(word), len(up))
+        pair[~head] = rank
+        del uw, up, rank
         text = np.repeat(np.arange(len(n)), n)
-        own = own_counts(text, word), own_counts(text, np.where(head, sizes[1], pair))
+        own = own_counts(text, word), own_counts(text, pair)
         left = total[0] - n * good, total[1] - n
         # background counts are scaled to the target's number of words
         both = (left[0] > 0) & (left[1] > 0)
@@ -268,7 +282,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, word_bits: int
     distinct, good, n = totals(rows(WORDS))
     _free_shuffles(marked)
     vocabulary = distinct if word_bits == 64 else 1 << word_bits
-    return score_documents(rows(DOCS).unionByName(add_up(rows(WORDS, PAIRS))), vocabulary, good, n)
+    return score_documents(text_rows(marked).unionByName(add_up(rows(WORDS, PAIRS))), vocabulary, good, n, word_bits, pair_bits)
 
 
 def _free_shuffles(df: DataFrame) -> None:
