@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -99,6 +100,23 @@ def test_chunk_encoder_equals_the_library():
         assert got == e.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_pieces_are_cut_only_where_the_library_cuts():
+    e = op6_wavelet.PieceEncoder(op6_wavelet.tokenizer_path())
+    letters = ["a", "Z", " ", "\n", "\t", "\x1c", "\x85", "\u2003", "\u3000", "'", "'s", "'re", "7", "²", "½", "_", "%", "×", "÷",
+               "ß", "ſ", "ж", "\u0482", "\u0301", "\u200b", "“", "漢", "\x00"]
+    texts = noise(3000, letters, 5)
+    for t, ids in zip(texts, e.encode_all(pa.array(texts))):
+        assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_a_word_is_encoded_once_whatever_follows_it():
+    e = op6_wavelet.PieceEncoder(op6_wavelet.tokenizer_path())
+    words, marks = [f"{a}é{b}" for a in "abcd" for b in "wxyz"], ["", ".", ",", "%%%", "***", "!?", "12"]
+    text = "".join(f" {w}{m}" for w in words for m in marks)
+    assert np.frombuffer(e.encode(text), "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(e.known) <= len(words) + len(marks) + 1
+
+
 @pytest.mark.parametrize("shard", [1, 50, 1 << 20])
 def test_shards_round_trip_in_order(spark, tables, monkeypatch, shard):
     texts = [None, *ODD, *noise(60, "ab cd\né", 5)]
