@@ -14,6 +14,10 @@ be equal. Runs of windows with one anchor form a context of up to ``2 * width -
    isn't sorted by one task: each of its windows is counted by its own hash (two of 64 bits).
 3. The repeated runs are joined back by context, gathered per text and cut out.
 
+Passages of over 50 words are often shorter than the 400 bytes of the query (51 words start at some 200), so the query also
+tells, in columns of its own, which bytes strings of ``PASSAGE_BYTES`` repeat. Those are found first: a longer string that
+starts elsewhere too lies inside a run of them, so ``width`` is then judged on the runs alone, with the same result.
+
 Hashes: anchors and contexts count as equal when 64-bit hashes of the anchor and of the whole context agree.
 Defined results: null text = empty text; rows without doc_id and repeated rows are texts of their own; other columns
 are ignored; an empty table gives no rows. Scale: rows per anchor, not per byte, are shuffled (about one per half of
@@ -22,11 +26,12 @@ are ignored; an empty table gives no rows. Scale: rows per anchor, not per byte,
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,10 +41,13 @@ from .textnum import mix, text_bytes
 
 WIDTH = 400
 GRAM = 256            # bytes of an anchor
+PASSAGE_BYTES = 200   # 51 words have more in nearly every text
+PASSAGE_GRAM = 64
 CHUNK = 1 << 18       # window starts handled at once
 MAX_GROUP = 4000
 SORT_AT_ONCE = 20_000
 
+_SPANS = "array<struct<f:long,u:long>>"
 _ROW = ("ah long, ch long, rid long, lo long, n int, p int, times int")
 
 
@@ -238,8 +246,8 @@ def _fetch(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return j.mapInArrow(run, "ah long, ch long, n int, p int, cnt long, hot boolean, context binary")
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, gram: int = GRAM) -> DataFrame:
-    """(rid, spans) of the texts (rid, text) that hold repeated bytes; spans: array of (from, until) in bytes."""
+def _repeated_contexts(docs: DataFrame, width: int, max_group: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Stored: the contexts of anchors that occur twice or more, and the repeated windows of each (ah, ch, spans)."""
     every = stage(anchors(docs, width, gram), "op9-anchors")
     common = every.groupBy("ah").agg(F.sum("times").alias("s")).where("s > 1").select("ah")
     shared = stage(every.join(common, "ah", "left_semi"), "op9-shared")
@@ -257,6 +265,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     found = stage(whole.unionByName(_sorted_groups(fetched.where("not hot").drop("hot"), width, gram))
                   .unionByName(_window_counts(fetched.where("hot"), width, gram)).where(F.size("spans") > 0), "op9-found")
     discard(stored_kinds, per, fetched)
+    return shared, found
+
+
+def _placed(shared: DataFrame, found: DataFrame, width: int) -> DataFrame:
     placed = shared.join(found, ["ah", "ch"]).select("rid", F.when(
         F.col("times") > 1, F.array(F.struct(F.col("lo").alias("f"), (F.col("lo") + F.col("n") * F.col("times") + width - 1).alias("u")))
     ).otherwise(F.transform("spans", lambda s: F.struct((F.col("lo") + s["f"]).alias("f"),
@@ -264,6 +276,65 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GRO
     return placed.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def repeated_spans(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, gram: int = GRAM) -> DataFrame:
+    """(rid, spans) of the texts (rid, text) that hold repeated bytes; spans: array of (from, until) in bytes."""
+    return _placed(*_repeated_contexts(docs, width, max_group, gram), width)
+
+
+def _runs_of(docs: DataFrame, width: int, max_group: int, gram: int) -> DataFrame:
+    """``repeated_spans`` as maximal runs, stored."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            runs = [[{"f": f, "u": u} for f, u in merged(s)] for s in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(runs, pa.list_(pa.struct([("f", pa.int64()), ("u", pa.int64())])))], ["rid", "spans"])
+
+    behind = _repeated_contexts(docs, width, max_group, gram)
+    out = stage(_placed(*behind, width).mapInArrow(run, f"rid long, spans {_SPANS}"), "op9-runs")
+    discard(*behind)
+    gc.collect()
+    docs.sparkSession._jvm.System.gc()   # Spark deletes the shuffle files of finished queries when the JVM collects garbage
+    return out
+
+
+def _inside(docs: DataFrame, runs: DataFrame, width: int) -> DataFrame:
+    """(rid, of, base, text): the bytes of each run of ``width`` or more, as a text of its own; ``of``, ``base``: whose it
+    is and where it starts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                raw, off = text_bytes(part.column(1))
+                w = part.column(2)
+                f, u = (w.flatten().field(k).to_numpy() for k in (0, 1))
+                lengths = np.diff(w.offsets.to_numpy())
+                at = np.repeat(off[:-1], lengths)
+                data = raw.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(0).to_numpy(), lengths)), pa.array(f),
+                     pa.array([data[x:y] for x, y in zip(at + f, at + u)], pa.binary())], ["of", "base", "text"])
+
+    long = runs.select("rid", F.filter("spans", lambda s: s["u"] - s["f"] >= width).alias("spans")).where(F.size("spans") > 0)
+    cut = docs.select("rid", "text").join(long, "rid").select("rid", "text", "spans").mapInArrow(
+        run, "of long, base long, text binary")
+    return stage(cut.withColumn("rid", F.monotonically_increasing_id()), "op9-inside")
+
+
+def spans_and_passages(docs: DataFrame, width: int, max_group: int, gram: int, passage: int, passage_gram: int) -> DataFrame:
+    """(rid, spans, passages): the runs that repeated strings of ``width`` and of ``passage`` bytes cover."""
+    passages = _runs_of(docs, passage, max_group, passage_gram)
+    if width < passage:
+        spans = _runs_of(docs, width, max_group, gram)
+    else:
+        inside = _inside(docs, passages, width)
+        own = _runs_of(inside, width, max_group, gram)
+        moved = F.transform("spans", lambda s: F.struct((F.col("base") + s["f"]).alias("f"), (F.col("base") + s["u"]).alias("u")))
+        spans = stage(own.join(inside.select("rid", "of", "base"), "rid").groupBy(F.col("of").alias("rid")).agg(
+            F.flatten(F.collect_list(moved)).alias("spans")), "op9-spans")
+        discard(inside, own)
+    return passages.withColumnRenamed("spans", "passages").join(spans, "rid", "full")
+
+
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for f, u in sorted((s["f"], s["u"]) for s in spans or ()):
@@ -275,13 +346,19 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GROUP, as_text: bool = False,
-                    carry: tuple[str, ...] = (), gram: int = GRAM) -> DataFrame:
+                    carry: tuple[str, ...] = (), gram: int = GRAM, *, passage: tuple[int, int] | None = None) -> DataFrame:
     """Every row of ``docs`` (rid, text): rid, the ``carry`` columns, n_bytes, spans (maximal removed runs) and kept,
     the remaining bytes. With ``as_text`` kept is a string: a character that a run cuts is dropped whole, and a text
-    without runs, null too, is as it was."""
+    without runs, null too, is as it was. With ``passage`` (bytes, and those of its anchors) the column passages, after
+    the carried ones: the runs that repeated strings of so many bytes cover, which are not removed."""
     columns = ["rid", *carry]
-    j = docs.select(*columns, "text").join(repeated_spans(docs, width, max_group, gram), "rid", "left").select(
-        *columns, "text", "spans")
+    if passage is None:
+        j = docs.select(*columns, "text").join(repeated_spans(docs, width, max_group, gram), "rid", "left")
+    else:
+        j = docs.select(*columns, "text").join(spans_and_passages(docs, width, max_group, gram, *passage), "rid", "left")
+        j = j.withColumn("passages", F.coalesce("passages", F.array().cast(_SPANS)))
+        columns.append("passages")
+    j = j.select(*columns, "text", "spans")
     schema = T.StructType([*j.select(*columns).schema.fields, T.StructField("n_bytes", T.LongType()),
                            T.StructField("spans", T.ArrayType(T.StructType([T.StructField("f", T.LongType()),
                                                                             T.StructField("u", T.LongType())]))),
@@ -314,11 +391,18 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, max_group: int = MAX_GR
     return j.mapInArrow(run, schema)
 
 
+def _length(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s["u"] - s["f"])
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``kept_text``: the remaining bytes as text; U+FFFD stands for what is left of a character that a run cuts."""
+    """``kept_text``: the remaining bytes as text; U+FFFD stands for what is left of a character that a run cuts.
+    ``has_passages``, ``n_passages``, ``n_passage_bytes``: whether, in how many maximal runs and on how many bytes the
+    text repeats strings of ``PASSAGE_BYTES``, which passages of over 50 words hold; only longer ones are removed."""
     docs = keyed(read(spark, sf_dir, "documents"), "doc_id", "text")
-    cut = without_repeats(docs)
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["u"] - s["f"])
-    digest = cut.select("rid", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
-    return docs.select("rid", "doc_id").join(digest, "rid").drop("rid")
+    cut = without_repeats(docs, carry=("doc_id",), passage=(PASSAGE_BYTES, PASSAGE_GRAM))
+    return cut.select(
+        "doc_id", "n_bytes", _length("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
+        (F.size("passages") > 0).alias("has_passages"), F.size("passages").cast("long").alias("n_passages"),
+        _length("passages").alias("n_passage_bytes"))

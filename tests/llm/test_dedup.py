@@ -188,6 +188,26 @@ def test_repeated_bytes_against_brute_force(spark, tables, monkeypatch, max_grou
             assert out[i].kept_text == (texts[i] or "")
 
 
+def test_passages_shorter_than_the_width_are_told(spark, tables):
+    """Words of five bytes: passages of 51 of them are shorter than 400 bytes, which alone are removed."""
+    rng = random.Random(11)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+
+    passage, long = words(51), words(120)
+    texts = [f"{words(30)} {passage} {words(20)}", f"{words(5)} {passage}", words(90), words(90), None, "",
+             f"{words(9)} {long} {words(3)}", f"{passage} {words(2)} {long}"]
+    d = tables(documents=(docs_of(texts), DOCS))
+    out = {r.doc_id: r for r in op9_suffix.op9_suffix_dedup(spark, d).collect()}
+    assert [(out[i].n_bytes, out[i].n_removed, out[i].n_spans, out[i].kept_sha256) for i in range(len(texts))] == \
+        brute(texts, 400)
+    assert [(out[i].n_bytes, out[i].n_passage_bytes, out[i].n_passages) for i in range(len(texts))] == \
+        [x[:3] for x in brute(texts, op9_suffix.PASSAGE_BYTES)]
+    assert [out[i].has_passages for i in range(len(texts))] == [True, True, False, False, False, False, True, True]
+    assert [out[i].n_removed > 0 for i in range(len(texts))] == [False] * 6 + [True, True]
+
+
 def test_anchor_chunks_do_not_change_windows(monkeypatch):
     rng = random.Random(7)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 3000))) for _ in range(5)]
