@@ -16,11 +16,11 @@ SPACE = " \t\n\x0b\x0c\r"
 _STORED: list[str] = []
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written to a table of its own in the shared folder and read back."""
+def stage(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """``df``, written to a table of its own in the shared folder (``options``: of the writer) and read back."""
     spark = df.sparkSession
     path = staging._path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     _STORED.append(path)
     out = spark.read.parquet(path)
     out._stored_at = path

@@ -15,8 +15,9 @@ is followed up to ``SEGMENT`` words. Pieces of a long text overlap likewise.
 Defined results: a null text has no words; rows without doc_id and repeated rows are documents of their own; items are
 told apart by item_id (rows with one id are one item; rows without id are one item, listed as an empty string); other
 columns are ignored; no documents: no rows; no items: nothing is hit. Scale: no shuffle of texts. An index row is
-about as large as its text; what a document sends on are its runs of hit words and its items. A window that very many
-documents share is one range of each shard's array.
+about as large as its text, and some ``GROUP_BYTES`` of rows are written or read at once, however many a task has; what a
+document sends on are its runs of hit words and its items. A window that very many documents share is one range of each
+shard's array.
 """
 
 from __future__ import annotations
@@ -39,6 +40,10 @@ SHARD_BYTES = 2 << 20   # text of a shard
 SHARD_WORDS = 1 << 20   # words of a shard: longer texts are cut
 SEGMENT = 512
 BLOCK_BYTES = 4 << 20   # of test items that are sent to the shards at once
+GROUP_BYTES = 8 << 20   # of index rows that are written or read at once: a row group
+
+# Parquet looks at the size of a group or page after 100 rows unless told otherwise, and a row is some MB here.
+_FILES = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": False}
 
 _SHARD = "rids binary, ids array<string>, begins binary, offsets binary, own binary, words binary, vocabulary binary, ends binary, sa binary"
 _HIT = "rid long, id string, n_words long, spans array<struct<f:long,u:long>>, items array<string>, longest long"
@@ -86,7 +91,7 @@ def build_index(docs: DataFrame) -> DataFrame:
                 p = b.slice(lo, hi - lo)
                 yield from _shards(p.column(0).to_numpy(zero_copy_only=False), p.column(1).to_pylist(), p.column(2))
 
-    return stage(docs.select("rid", "id", "text").mapInArrow(run, _SHARD), "op13-shards")
+    return stage(docs.select("rid", "id", "text").mapInArrow(run, _SHARD), "op13-shards", _FILES)
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,9 +5,11 @@ import heapq
 import random
 import re
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +189,22 @@ def test_longest_match_and_places(spark):
     assert rows["1"].longest == 0 and not rows["1"].spans and rows["1"].n_words == 9
 
 
+def test_index_rows_are_stored_in_small_row_groups(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, str(i), " ".join(map(str, rng.integers(0, 50_000, 150_000)))) for i in range(18)]
+    index = op13_decontaminate.build_index(spark.createDataFrame(rows, "rid long, id string, text string").coalesce(1))
+    assert index.count() >= 9
+    most = op13_decontaminate.GROUP_BYTES
+    for f in Path(index._stored_at.removeprefix("file:")).glob("*.parquet"):
+        meta = pq.read_metadata(f)
+        for g in map(meta.row_group, range(meta.num_row_groups)):
+            assert g.num_rows == 1 or g.total_byte_size * (g.num_rows - 1) / g.num_rows <= most   # the last row may go over
+    items = spark.createDataFrame([(r[1], " ".join(r[2].split()[1000 + r[0]:1012 + r[0]])) for r in rows], "id string, text string")
+    found = op13_decontaminate.search(index, items).collect()
+    assert [(r.id, r.n_words, [tuple(s) for s in r.spans], r["items"], r.longest) for r in sorted(found, key=lambda r: r.rid)] == [
+        (i, 150_000, [(1000 + k, 1012 + k)], [i], 12) for k, i, _ in rows]
+
+
 def test_decontamination_of_nothing(spark, tables):
     d = tables(documents=([], DOCS), benchmark=([(1, "a")], ITEMS))
     assert op13_decontaminate.op13_decontaminate(spark, d).count() == 0
